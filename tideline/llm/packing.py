@@ -12,7 +12,9 @@ Extra columns are ignored; an empty table gives no rows.
 
 from __future__ import annotations
 
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,27 +23,57 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tideline.llm.common import slices
+
 MOST_WORDS = 500_000
 
 
+#: Letters of Latin-1 in lower case, and what stands between them; both kinds of runs are tokenized apart.
+RUNS = re.compile("[a-zªµºß-öø-ÿ]+|[^a-zªµºß-öø-ÿ \n]+")
+BEYOND = re.compile("[^\x00-\xff]|'|<\\|")
+
+
 class WordIds(dict):
-    """Ids of the space-separated parts of texts as bytes; a tokenizer that drops white space maps each part alone."""
+    """Ids, as bytes, of the parts of texts between spaces and line feeds.
+
+    The tokenizer lower-cases, drops white space and splits letters from other characters, so a text may be cut at
+    spaces, and a part that is all Latin-1 without apostrophes (contractions) or "<|" (special strings) also between
+    runs of letters and of other characters. Runs are tokenized once, many at a time.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-
-    def __missing__(self, part: str) -> bytes:
-        if len(self) > MOST_WORDS:
-            self.clear()
-        ids = self[part] = np.array(self.tokenizer.encode(part, add_special_tokens=False).ids, self.kind).tobytes()
-        return ids
-
-    def ids(self, text: str, end_id: int) -> np.ndarray:
-        parts = text.replace("\n", " ").split(" ")
-        return np.frombuffer(b"".join(map(self.__getitem__, parts)) + np.array([end_id], self.kind).tobytes(), self.kind)
+        self.runs: dict[str, bytes] = {}
+
+    def learn(self, parts: set[str]) -> None:
+        """Tokenize parts that are not known yet."""
+        if len(self.runs) > MOST_WORDS:
+            self.runs.clear()
+        cut = {p: [p] if BEYOND.search(p) else RUNS.findall(p.lower()) for p in parts}
+        new = list({r for own in cut.values() for r in own if r not in self.runs})
+        for r, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
+            self.runs[r] = array(self.code, e.ids).tobytes()
+        for p, own in cut.items():
+            self[p] = b"".join([self.runs[r] for r in own])
+
+    @property
+    def code(self) -> str:
+        return "H" if self.kind.itemsize == 2 else "I"
+
+    def ids(self, texts: list[str], end_id: int) -> list[np.ndarray]:
+        """The ids of each text and end_id."""
+        parts = [t.replace("\n", " ").split(" ") for t in texts]
+        new = set().union(*parts).difference(self)
+        if new:
+            if len(self) > MOST_WORDS:
+                self.clear()
+                new = set().union(*parts)
+            self.learn(new)
+        end = array(self.code, [end_id]).tobytes()
+        return [np.frombuffer(b"".join(map(self.__getitem__, own)) + end, self.kind) for own in parts]
 
 
 class Tournament:
@@ -166,11 +198,11 @@ def pack(docs: DataFrame, *, path: str, end_id: int = 2, capacity: int = 4096, g
             for k in range(0, len(rows), 4096):
                 yield pa.RecordBatch.from_arrays([pa.array(list(x), kind) for x, kind in zip(zip(*rows[k : k + 4096], strict=True), kinds, strict=True)], names=names)
 
-        for batch in batches:
-            for owner, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                ids.append(words.ids(text, end_id))
+        for batch in slices(batches, "text", 1 << 20):
+            for owner, own in zip(batch.column("doc_id").to_pylist(), words.ids(batch.column("text").to_pylist(), end_id), strict=True):
+                ids.append(own)
                 owners.append(owner)
-                held += len(ids[-1])
+                held += len(own)
                 if held >= group_tokens:
                     yield from flush()
         if ids:
