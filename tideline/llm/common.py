@@ -6,6 +6,7 @@ import tempfile
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 #: ASCII upper case to lower case, every other byte as it is.
@@ -32,7 +33,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int) -> I
     for batch in batches:
         if batch.num_rows == 0:
             continue
-        sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
         at, held = 0, 0
         for i, n in enumerate(sizes):
             if held and held + n > most_bytes:
