@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tideline.llm import licenses, near_dup, packing, token_counts
+from tideline.llm import decontamination, licenses, near_dup, packing, token_counts
 from tideline.llm.common import read_table
 
 
@@ -23,12 +23,16 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(read_table(spark, sf_dir, "documents")).drop("detections")
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(read_table(spark, sf_dir, "documents"), path=public_tokenizers.path("piece_bpe_32k.model"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_near_duplicates, op2_packing, op5_license_scan, op10_token_counts)}
+    return {f.__name__: f for f in (op1_near_duplicates, op2_packing, op5_license_scan, op9_decontamination, op10_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -40,15 +44,23 @@ SQL: dict[str, str] = {
 WITH RECURSIVE words AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
 sets AS (
-  SELECT doc_id, CASE WHEN len(w) >= 5 THEN list_distinct(list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' ')))
+  SELECT doc_id, CASE WHEN len(w) >= 5 THEN list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')))
                       WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s FROM words),
 reps AS (SELECT min(doc_id) AS rep, list_sort(s) AS s, len(s) AS n FROM sets WHERE len(s) > 0 GROUP BY list_sort(s)),
 parts AS (SELECT rep, n, unnest(s) AS x FROM reps),
 pairs AS (SELECT p.rep AS a, q.rep AS b, count(*) AS c, any_value(p.n) AS na, any_value(q.n) AS nb FROM parts p JOIN parts q ON p.x = q.x AND p.rep < q.rep GROUP BY p.rep, q.rep),
 edges AS (SELECT a, b FROM pairs WHERE 100 * c >= 75 * (na + nb - c)),
 both_ways AS (SELECT a, b FROM edges UNION ALL SELECT b, a FROM edges),
-reach(node, at) AS (SELECT rep, rep FROM reps UNION SELECT r.node, e.b FROM reach r JOIN both_ways e ON r.at = e.a),
-roots AS (SELECT node, min(at) AS root FROM reach GROUP BY node)
+reach(node, far) AS (SELECT rep, rep FROM reps UNION SELECT r.node, e.b FROM reach r JOIN both_ways e ON r.far = e.a),
+roots AS (SELECT node, min(far) AS root FROM reach GROUP BY node)
 SELECT d.doc_id, len(d.s)::BIGINT AS n_shingles, coalesce(o.root, d.doc_id) AS component_id, coalesce(o.root, d.doc_id) = d.doc_id AS kept
 FROM sets d LEFT JOIN reps r ON list_sort(d.s) = r.s LEFT JOIN roots o ON o.node = r.rep""",
 }
+SQL["op9_decontamination"] = """
+WITH dw AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
+iw AS (SELECT item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM benchmark),
+ds AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) AS s FROM dw WHERE len(w) >= 5),
+it AS (SELECT DISTINCT item_id, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) AS s FROM iw WHERE len(w) >= 5),
+n AS (SELECT item_id, count(*) AS n_item FROM it GROUP BY item_id)
+SELECT doc_id, item_id, count(*) AS n_shared, any_value(n_item) AS n_item
+FROM ds JOIN it USING (s) JOIN n USING (item_id) GROUP BY doc_id, item_id HAVING 100 * count(*) >= 75 * any_value(n_item)"""
