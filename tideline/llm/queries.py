@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tideline.llm import decontamination, licenses, near_dup, packing, token_counts
+from tideline.llm import decontamination, licenses, near_dup, packing, substring_dedup, token_counts
 from tideline.llm.common import read_table
 
 
@@ -23,6 +23,10 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(read_table(spark, sf_dir, "documents")).drop("detections")
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeats(read_table(spark, sf_dir, "documents")).drop("kept", "spans")
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
@@ -32,7 +36,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_near_duplicates, op2_packing, op5_license_scan, op9_decontamination, op10_token_counts)}
+    return {f.__name__: f for f in (op1_near_duplicates, op2_packing, op5_license_scan, op6_suffix_dedup, op9_decontamination, op10_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -46,7 +50,7 @@ WITH RECURSIVE words AS (
 sets AS (
   SELECT doc_id, CASE WHEN len(w) >= 5 THEN list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')))
                       WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s FROM words),
-reps AS (SELECT min(doc_id) AS rep, list_sort(s) AS s, len(s) AS n FROM sets WHERE len(s) > 0 GROUP BY list_sort(s)),
+reps AS (SELECT min(doc_id) AS rep, s, len(s) AS n FROM (SELECT doc_id, list_sort(s) AS s FROM sets) WHERE len(s) > 0 GROUP BY s),
 parts AS (SELECT rep, n, unnest(s) AS x FROM reps),
 pairs AS (SELECT p.rep AS a, q.rep AS b, count(*) AS c, any_value(p.n) AS na, any_value(q.n) AS nb FROM parts p JOIN parts q ON p.x = q.x AND p.rep < q.rep GROUP BY p.rep, q.rep),
 edges AS (SELECT a, b FROM pairs WHERE 100 * c >= 75 * (na + nb - c)),
@@ -64,3 +68,16 @@ it AS (SELECT DISTINCT item_id, unnest(list_transform(range(1, len(w) - 3), lamb
 n AS (SELECT item_id, count(*) AS n_item FROM it GROUP BY item_id)
 SELECT doc_id, item_id, count(*) AS n_shared, any_value(n_item) AS n_item
 FROM ds JOIN it USING (s) JOIN n USING (item_id) GROUP BY doc_id, item_id HAVING 100 * count(*) >= 75 * any_value(n_item)"""
+
+SQL["op6_suffix_dedup"] = """
+WITH b AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+n AS (SELECT doc_id, h, (length(h) // 2)::BIGINT AS n_bytes FROM b),
+w AS (SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS x FROM (SELECT doc_id, h, unnest(range(0, n_bytes - 49)) AS i FROM n)),
+m AS (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY x) AS least FROM w),
+lost AS (SELECT DISTINCT doc_id, i + k AS i FROM (SELECT doc_id, i, unnest(range(0, 50)) AS k FROM m WHERE doc_id > least)),
+bytes AS (SELECT doc_id, unnest(range(0, n_bytes)) AS i, h FROM n),
+kept AS (SELECT doc_id, string_agg(substr(h, 2 * i + 1, 2), '' ORDER BY i) AS h FROM bytes ANTI JOIN lost USING (doc_id, i) GROUP BY doc_id),
+spans AS (SELECT doc_id, count(*) AS n_removed, count(*) FILTER (WHERE before IS NULL OR i > before + 1) AS n_spans
+          FROM (SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM lost) GROUP BY doc_id)
+SELECT n.doc_id, n.n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept.h, ''))) AS kept_sha256
+FROM n LEFT JOIN kept USING (doc_id) LEFT JOIN spans USING (doc_id)"""
