@@ -12,6 +12,7 @@ Extra columns are ignored; an empty table gives no rows.
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from array import array
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 
 from tideline.llm.common import slices
 
-MOST_WORDS = 500_000
+MOST_WORDS = 250_000
 
 
 #: Letters of Latin-1 in lower case, and what stands between them; both kinds of runs are tokenized apart.
@@ -42,6 +43,8 @@ class WordIds(dict):
     """
 
     def __init__(self, path: str):
+        # Spark's tasks are the parallelism; the library's own threads would only contend with them
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
