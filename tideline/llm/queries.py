@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tideline.llm import decontamination, licenses, near_dup, packing, substring_dedup, token_counts
+from tideline.llm import decontamination, licenses, near_dup, packing, substring_dedup, token_counts, unit_dedup
 from tideline.llm.common import read_table
 
 
@@ -27,6 +28,12 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(read_table(spark, sf_dir, "documents")).drop("kept", "spans")
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = unit_dedup.remove_repeated_units(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    removed = F.array_join(F.transform("spans", lambda s: F.concat_ws("-", s["start"].cast("string"), s["end"].cast("string"))), ",")
+    return out.select("doc_id", F.col("kept_text").alias("text"), "n_units", F.size("spans").cast("long").alias("n_removed"), removed.alias("removed"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
@@ -36,7 +43,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_near_duplicates, op2_packing, op5_license_scan, op6_suffix_dedup, op9_decontamination, op10_token_counts)}
+    return {f.__name__: f for f in (op1_near_duplicates, op2_packing, op5_license_scan, op6_suffix_dedup, op7_line_dedup, op9_decontamination, op10_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -81,3 +88,14 @@ spans AS (SELECT doc_id, count(*) AS n_removed, count(*) FILTER (WHERE before IS
           FROM (SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM lost) GROUP BY doc_id)
 SELECT n.doc_id, n.n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept.h, ''))) AS kept_sha256
 FROM n LEFT JOIN kept USING (doc_id) LEFT JOIN spans USING (doc_id)"""
+
+SQL["op7_line_dedup"] = r"""
+WITH u AS (SELECT doc_id, text, list_filter(string_split(regexp_replace(replace(coalesce(text, ''), chr(10), chr(10) || chr(1)), '([.!?] )', '\1' || chr(1), 'g'), chr(1)), lambda x: x <> '') AS us FROM documents),
+e AS (SELECT doc_id, unnest(us) AS unit, unnest(range(1, len(us) + 1)) AS k FROM u),
+o AS (SELECT doc_id, k, unit, coalesce(sum(length(unit)) OVER (PARTITION BY doc_id ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start,
+             regexp_extract_all(lower(unit), '[\p{L}\p{N}_]+') AS w FROM e),
+r AS (SELECT doc_id, k, unit, start, len(w) >= 5 AND row_number() OVER (PARTITION BY array_to_string(w, ' ') ORDER BY doc_id, k) > 1 AS lost FROM o),
+a AS (SELECT doc_id, string_agg(unit, '' ORDER BY k) FILTER (WHERE NOT lost) AS kept, count(*) FILTER (WHERE lost) AS n_removed,
+             string_agg(start || '-' || (start + length(unit)), ',' ORDER BY k) FILTER (WHERE lost) AS removed FROM r GROUP BY doc_id)
+SELECT u.doc_id, CASE WHEN text IS NULL THEN NULL ELSE coalesce(kept, '') END AS text, len(us)::BIGINT AS n_units, coalesce(n_removed, 0) AS n_removed, coalesce(removed, '') AS removed
+FROM u LEFT JOIN a USING (doc_id)"""
