@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import decontamination, licenses, near_dup, packing, substring_dedup, token_counts, unit_dedup
+from tideline.llm import decontamination, licenses, near_dup, packing, substring_dedup, token_counts, topk, unit_dedup
 from tideline.llm.common import read_table
 
 
@@ -34,6 +34,10 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.col("kept_text").alias("text"), "n_units", F.size("spans").cast("long").alias("n_removed"), removed.alias("removed"))
 
 
+def op8_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
@@ -43,7 +47,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_near_duplicates, op2_packing, op5_license_scan, op6_suffix_dedup, op7_line_dedup, op9_decontamination, op10_token_counts)}
+    return {f.__name__: f for f in (op1_near_duplicates, op2_packing, op5_license_scan, op6_suffix_dedup, op7_line_dedup, op8_top_k, op9_decontamination, op10_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -99,3 +103,11 @@ a AS (SELECT doc_id, string_agg(unit, '' ORDER BY k) FILTER (WHERE NOT lost) AS
              string_agg(start || '-' || (start + length(unit)), ',' ORDER BY k) FILTER (WHERE lost) AS removed FROM r GROUP BY doc_id)
 SELECT u.doc_id, CASE WHEN text IS NULL THEN NULL ELSE coalesce(kept, '') END AS text, len(us)::BIGINT AS n_units, coalesce(n_removed, 0) AS n_removed, coalesce(removed, '') AS removed
 FROM u LEFT JOIN a USING (doc_id)"""
+
+SQL["op8_top_k"] = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS e FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2]))::BIGINT AS score
+      FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
+r AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank, vec_id, score FROM s)
+SELECT query_id, rank::INT AS rank, vec_id, score FROM r WHERE rank <= 5"""
