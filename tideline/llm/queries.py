@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import decontamination, licenses, near_dup, packing, substring_dedup, token_counts, topk, unit_dedup
+from tideline.llm import decontamination, licenses, near_dup, packing, quality, substring_dedup, token_counts, topk, unit_dedup
 from tideline.llm.common import read_table
 
 
@@ -20,6 +20,12 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"), path=public_tokenizers.path("word_bpe_49k.json"), with_ids=False)
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read_table(spark, sf_dir, "documents").select("doc_id", "text"), read_table(spark, sf_dir, "labels")
+    model = quality.train(docs, quality.graded(labels), levels=3)
+    return quality.score(docs, model, at_least=2).drop("text")
+
+
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(read_table(spark, sf_dir, "documents")).drop("detections")
 
@@ -47,7 +53,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_near_duplicates, op2_packing, op5_license_scan, op6_suffix_dedup, op7_line_dedup, op8_top_k, op9_decontamination, op10_token_counts)}
+    return {f.__name__: f for f in (op1_near_duplicates, op2_packing, op4_quality_classifier, op5_license_scan, op6_suffix_dedup, op7_line_dedup, op8_top_k, op9_decontamination, op10_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
