@@ -7,9 +7,9 @@ smallest hash of each bin is its signature and empty bins borrow from a bin that
 
 Candidates are star-shaped: each bucket links its members to one centre, so pairs stay linear in the members. A star
 can miss a link between two leaves; therefore buckets whose members have not come together in one component after the
-stars get a second star with another centre, and what is still apart is compared pair by pair inside those buckets,
-where set sizes and 1-bit sketches rule out nearly all pairs before any is made. All candidates are confirmed on full
-sets. Components are found with alternating large and small stars.
+stars get a second star with another centre, and what is still apart is compared exactly: in buckets of a few members
+pair by pair, where set sizes and 1-bit sketches rule out nearly all pairs before any is made, and in larger buckets
+block by block, where only a forest of links leaves a task. All candidates are confirmed on full sets. Components are found with alternating large and small stars.
 
 Null and empty texts have an empty set, are linked with nothing, and keep their own id. Ties go to the smallest id.
 Extra columns are ignored. Ids are expected to be unique; equal ids would share a row's fate.
@@ -226,10 +226,13 @@ def near_duplicates(docs: DataFrame, *, percent: int = 75, id_col: str = "doc_id
     again = star(left.select("key", "node"), 1).where("node <> centre").select(*ordered("node", "centre")).distinct()
     links.append(materialize(confirm(close(again), sets, percent)))
     roots = components(reduce(DataFrame.union, links))
-    left = materialize(apart(left.select("key", "node")).join(sizes, "node"))
-    p, q = (left.select("key", *(F.col(c).alias(f"{c}_{x}") for c in ("node", "root", "n_shingles", "bits"))) for x in "ab")
-    rest = p.withColumnsRenamed({"node_a": "a", "n_shingles_a": "na"}).join(q.withColumnsRenamed({"node_b": "b", "n_shingles_b": "nb"}), "key").where((F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b")) & _near(percent)).select("a", "b").distinct()
+    left = materialize(apart(left.select("key", "node")).withColumn("members", F.count("*").over(Window.partitionBy("key"))).join(sizes, "node"))
+    columns = ("node", "root", "n_shingles", "bits")
+    p, q = (left.where(F.col("members") <= FEW).select("key", *(F.col(c).alias(f"{c}_{x}") for c in columns)) for x in "ab")
+    p, q = p.withColumnsRenamed({"node_a": "a", "n_shingles_a": "na"}), q.withColumnsRenamed({"node_b": "b", "n_shingles_b": "nb"})
+    rest = p.join(q, "key").where((F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b")) & _near(percent)).select("a", "b").distinct()
     links.append(materialize(confirm(rest, sets, percent)))
+    links.append(materialize(_by_blocks(left.where(F.col("members") > FEW), sets, percent)))
     roots = components(reduce(DataFrame.union, links))
 
     known = nodes.join(roots, "node", "left").select("node", "first_id", F.coalesce("root", "node").alias("root"))
@@ -238,6 +241,92 @@ def near_duplicates(docs: DataFrame, *, percent: int = 75, id_col: str = "doc_id
     return told.join(labels, "node", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce(F.col("component_id") == F.col("doc_id"), F.lit(True)).alias("kept"))
 
 
+#: Buckets of so many members are compared pair by pair; larger ones meet in blocks.
+FEW = 16
+#: A block holds sets of so many shingles, each set counting BLOCK_BASE more.
+BLOCK, BLOCK_BASE = 200_000, 400
+
+
+def _by_blocks(left: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between members of large buckets that are not in one component yet, as a forest for each pair of blocks.
+
+    Members that large buckets tie together, over all bands, form a group; a group is cut into blocks in order of the
+    components, and each pair of blocks that are not of one component is one row. Links are found inside the row, so no
+    pairs are made, and a pair that shares many buckets is compared once.
+    """
+    centre = F.min("node").over(Window.partitionBy("key"))
+    groups = components(left.select(F.col("node").alias("a"), centre.alias("b")))
+    nodes = left.select("node", "root", "n_shingles").distinct().join(groups.select("node", F.col("root").alias("group")), "node", "left").withColumn("group", F.coalesce("group", "node"))
+    so_far = F.sum(F.col("n_shingles") + BLOCK_BASE).over(Window.partitionBy("group").orderBy("root", "node"))
+    nodes = materialize(nodes.withColumn("block", F.floor(so_far / BLOCK).cast("int")))
+    meta = nodes.groupBy("group", "block").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+    x, y = (meta.select("group", *(F.col(c).alias(f"{c}_{k}") for c in ("block", "low", "high"))) for k in "xy")
+    pairs = x.join(y, "group").where((F.col("block_x") <= F.col("block_y")) & (F.least("low_x", "low_y") < F.greatest("high_x", "high_y"))).select("group", "block_x", "block_y")
+    blocks = nodes.join(sets, "node").groupBy("group", "block").agg(F.collect_list(F.struct("node", "root", "shingles")).alias("own"))
+    bx, by = (blocks.select("group", F.col("block").alias(f"block_{k}"), F.col("own").alias(f"own_{k}")) for k in "xy")
+    met = pairs.repartition("group", "block_x", "block_y").join(bx, ["group", "block_x"]).join(by, ["group", "block_y"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                edges = _forest(batch.column("own_x")[i].values, batch.column("own_y")[i].values, percent)
+                yield pa.RecordBatch.from_arrays([pa.array([e[k] for e in edges], pa.int64()) for k in range(2)], names=["a", "b"])
+
+    return met.select("own_x", "own_y").mapInArrow(run, "a long, b long")
+
+
+def _forest(x: pa.StructArray, y: pa.StructArray, percent: int) -> list[tuple[int, int]]:
+    """Links between two blocks of (node, root, shingles), without those that links before them make needless."""
+    shingles, owners, sizes = [], [], []
+    for own in (x, y):
+        sets = own.field("shingles")
+        n = np.diff(sets.offsets.to_numpy())
+        values = sets.values.to_numpy()[sets.offsets.to_numpy()[0] : sets.offsets.to_numpy()[-1]]
+        owner = np.repeat(np.arange(len(n)), n)
+        order = np.argsort(values, kind="stable")
+        shingles.append(values[order])
+        owners.append(owner[order])
+        sizes.append(n)
+    distinct, first, counts = np.unique(shingles[0], return_index=True, return_counts=True)
+    lo, hi = np.searchsorted(shingles[1], distinct, "left"), np.searchsorted(shingles[1], distinct, "right")
+    shared = hi > lo
+    first, counts, lo, hi = first[shared], counts[shared], lo[shared], hi[shared]
+    common = np.zeros(len(sizes[0]) * len(sizes[1]), np.int64)
+    work = np.cumsum(counts * (hi - lo))
+    for part in np.split(np.arange(len(first)), np.searchsorted(work, np.arange(1 << 22, int(work[-1]) if len(work) else 0, 1 << 22))):
+        if len(part):
+            # each place of a shared shingle in x, repeated for each of its places in y
+            left = np.repeat(first[part], counts[part]) + _ramp(counts[part])
+            width = np.repeat(hi[part] - lo[part], counts[part])
+            i = np.repeat(owners[0][left], width)
+            j = owners[1][np.repeat(np.repeat(lo[part], counts[part]), width) + _ramp(width)]
+            common += np.bincount(i * len(sizes[1]) + j, minlength=len(common))
+    common = common.reshape(len(sizes[0]), -1)
+    ok = 100 * common >= percent * (sizes[0][:, None] + sizes[1][None] - common)
+    rx, ry = x.field("root").to_numpy(), y.field("root").to_numpy()
+    ok &= rx[:, None] != ry[None]
+    ids = (x.field("node").to_numpy(), y.field("node").to_numpy())
+    parent: dict[int, int] = {}
+
+    def find(k: int) -> int:
+        while parent.setdefault(k, k) != k:
+            parent[k] = k = parent[parent[k]]
+        return k
+
+    out = []
+    for i, j in zip(*np.nonzero(ok), strict=True):
+        p, q = find(int(rx[i])), find(int(ry[j]))
+        if p != q:
+            parent[p] = q
+            out.append((int(ids[0][i]), int(ids[1][j])))
+    return out
+
+
+def _ramp(counts: np.ndarray) -> np.ndarray:
+    """0 .. n-1 for each n."""
+    return np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts)
+
+
 def _near(percent: int) -> "F.Column":
     """Sizes allow the link, and at least 6 deviations below the expected number of bits of the sketches agree."""
     j = percent / 100
