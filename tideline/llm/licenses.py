@@ -211,6 +211,13 @@ class Scanner:
 _scanner: list[Scanner] = []
 
 
+def scanner() -> Scanner:
+    """One for each worker process."""
+    if not _scanner:
+        _scanner.append(Scanner())
+    return _scanner[0]
+
+
 def license_scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score and detections.
 
@@ -220,10 +227,8 @@ def license_scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     kinds = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.float64(), pa.list_(pa.string())]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if not _scanner:
-            _scanner.append(Scanner())
         for batch in batches:
-            rows = [_scanner[0].scan(t) for t in batch.column("text").to_pylist()]
+            rows = [scanner().scan(t) for t in batch.column("text").to_pylist()]
             cols = [pa.array(list(x), k) for x, k in zip(zip(*rows, strict=True), kinds, strict=True)] if rows else [pa.array([], k) for k in kinds]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *cols], names=names)
 

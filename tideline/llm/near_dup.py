@@ -9,7 +9,8 @@ Candidates are star-shaped: each bucket links its members to one centre, so pair
 can miss a link between two leaves; therefore buckets whose members have not come together in one component after the
 stars get a second star with another centre, and what is still apart is compared exactly: in buckets of a few members
 pair by pair, where set sizes and 1-bit sketches rule out nearly all pairs before any is made, and in larger buckets
-block by block, where only a forest of links leaves a task. All candidates are confirmed on full sets. Components are found with alternating large and small stars.
+block by block, where only a forest of links leaves a task. All candidates are confirmed on full sets. Components are
+found with alternating large and small stars.
 
 Null and empty texts have an empty set, are linked with nothing, and keep their own id. Ties go to the smallest id.
 Extra columns are ignored. Ids are expected to be unique; equal ids would share a row's fate.
@@ -52,10 +53,13 @@ class WordHashes(dict):
         return h
 
 
-def shingle_sets(words: WordHashes, texts: list[str | None]) -> list[np.ndarray]:
+_words = WordHashes()
+
+
+def shingle_sets(texts: list[str | None]) -> list[np.ndarray]:
     """Sorted distinct 64-bit shingle hashes of each text."""
     split = [(t or "").encode().translate(LOWER).split() for t in texts]
-    hashes = np.array([words[w] for own in split for w in own], np.uint64)
+    hashes = np.array([_words[w] for own in split for w in own], np.uint64)
     sums = np.zeros(max(0, len(hashes) - WIDTH + 1), np.uint64)
     for k in range(WIDTH):
         sums += mix(hashes[k : k + len(sums)] + _PLACES[k]) * _PLACES[k]
@@ -116,15 +120,12 @@ def sketch(values: np.ndarray) -> np.ndarray:
     return np.packbits((mix(values) >> np.uint64(63)).astype(np.uint8)).view(np.uint64)
 
 
-_words = WordHashes()
-
-
 def describe(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, node (hash of the set, null if empty), keys (bucket of each band), bits (sketch)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 1 << 20):
-            sets = shingle_sets(_words, batch.column("text").to_pylist())
+            sets = shingle_sets(batch.column("text").to_pylist())
             nodes = [xxhash.xxh64_intdigest(s.tobytes()) if len(s) else None for s in sets]
             values = [signature(s) if len(s) else None for s in sets]
             signed = pa.array(np.array([x or 0 for x in nodes], np.uint64).view(np.int64), mask=np.array([x is None for x in nodes], bool))
@@ -140,7 +141,7 @@ def full_sets(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 1 << 20):
-            sets = [s.view(np.int64) for s in shingle_sets(_words, batch.column("text").to_pylist())]
+            sets = [s.view(np.int64) for s in shingle_sets(batch.column("text").to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.list_(pa.int64()))], names=["node", "shingles"])
 
     return docs.select("node", "text").mapInArrow(run, "node long, shingles array<long>")

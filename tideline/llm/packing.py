@@ -26,11 +26,12 @@ from pyspark.sql import functions as F
 
 from tideline.llm.common import slices
 
-MOST_WORDS = 250_000
+MOST_WORDS, MOST_RUNS = 500_000, 400_000
 
 
 #: Letters of Latin-1 in lower case, and what stands between them; both kinds of runs are tokenized apart.
 RUNS = re.compile("[a-zªµºß-öø-ÿ]+|[^a-zªµºß-öø-ÿ \n]+")
+LETTERS = re.compile("[a-zß-öø-ÿ]+")
 BEYOND = re.compile("[^\x00-\xff]|'|<\\|")
 
 
@@ -50,18 +51,40 @@ class WordIds(dict):
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.runs: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        suffix = self.tokenizer.model.end_of_word_suffix
+        self.closing = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.closing[[i for token, i in vocabulary.items() if suffix and token.endswith(suffix)]] = True
 
     def learn(self, parts: set[str]) -> None:
         """Tokenize parts that are not known yet."""
-        if len(self.runs) > MOST_WORDS:
+        if len(self.runs) > MOST_RUNS:
             self.runs.clear()
         cut = {p: [p] if BEYOND.search(p) else RUNS.findall(p.lower()) for p in parts}
-        new = list({r for own in cut.values() for r in own if r not in self.runs})
-        for r, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
+        new = {r for own in cut.values() for r in own}.difference(self.runs)
+        words = [r for r in new if LETTERS.fullmatch(r)]
+        for k in range(0, len(words), 500):
+            # a word of letters only has one token that ends a word, its last
+            own = words[k : k + 500]
+            ids = np.array(self.encode([" ".join(own)])[0].ids, self.kind)
+            ends = np.flatnonzero(self.closing[ids]) + 1
+            if len(ends) != len(own):
+                new.update(own)
+                continue
+            flat, at = ids.tobytes(), 0
+            for r, end in zip(own, (ends * self.kind.itemsize).tolist(), strict=True):
+                self.runs[r] = flat[at:end]
+                at = end
+            new.difference_update(own)
+        rest = list(new)
+        for r, e in zip(rest, self.encode(rest), strict=True):
             self.runs[r] = array(self.code, e.ids).tobytes()
         for p, own in cut.items():
             self[p] = b"".join([self.runs[r] for r in own])
 
+    def encode(self, texts: list[str]) -> list:
+        return self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+
     @property
     def code(self) -> str:
         return "H" if self.kind.itemsize == 2 else "I"
@@ -169,6 +192,13 @@ def pack_group(lengths: list[int], capacity: int) -> list[list[tuple[int, int, i
 _loaded: dict[str, WordIds] = {}
 
 
+def load(path: str) -> WordIds:
+    """The words of a tokenizer file, kept for all tasks of a worker process."""
+    if path not in _loaded:
+        _loaded[path] = WordIds(path)
+    return _loaded[path]
+
+
 def pack(docs: DataFrame, *, path: str, end_id: int = 2, capacity: int = 4096, group_tokens: int = 1 << 22, seed: int = 17, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = True) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, and ids if with_ids.
 
@@ -179,7 +209,7 @@ def pack(docs: DataFrame, *, path: str, end_id: int = 2, capacity: int = 4096, g
     kinds = [pa.int64()] * 7 + [pa.list_(pa.int32())] * with_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = _loaded.get(path) or _loaded.setdefault(path, WordIds(path))
+        words = load(path)
         sequence = TaskContext.get().partitionId() << 36
         ids: list[np.ndarray] = []
         owners: list[int] = []
