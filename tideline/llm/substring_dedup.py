@@ -25,10 +25,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.common import materialize, slices
+from tideline.llm.common import slices
 
 GRAM = 20
 #: Bytes of text that are hashed at once, and anchors that are reduced at once, in a task.
@@ -128,8 +128,9 @@ def _grouped(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 RUN = "doc_id long, first int, last int"
 
 
-#: What is shuffled for each anchor; the context's hash has 48 bits, in two parts, as it is compared inside a gram only.
-KINDS = (("gram", np.uint64), ("context", np.uint32), ("context2", np.uint16), ("doc", np.int64), ("first", np.int32), ("length", np.uint8))
+#: What is shuffled for each anchor: the gram's hash in two parts (40 bits beside the digit), and hashes of the context,
+#: of its left and of its right half, which are compared inside a gram only and so may be short.
+KINDS = (("gram", np.uint32), ("gram2", np.uint8), ("context", np.uint32), ("left", np.uint16), ("right", np.uint16), ("doc", np.int64), ("first", np.int32), ("length", np.uint8))
 
 
 def _digits(digits: int, width: int):
@@ -138,17 +139,18 @@ def _digits(digits: int, width: int):
     Rows with digit -1 are runs that a smaller document of the same task has too.
     """
     reach = width - GRAM
+    half = reach // 2
 
     def reduce(parts: list[list[np.ndarray]]) -> pa.RecordBatch:
-        gram, context, doc, first, last = (np.concatenate(x) for x in zip(*parts, strict=True))
+        gram, context, left, right, doc, first, last = (np.concatenate(x) for x in zip(*parts, strict=True))
         order, starts = _grouped(gram, context, doc)
         lost = np.zeros(len(doc), bool)
         own = doc[order]
         lost[order] = own > np.repeat(own[starts], np.diff(np.append(starts, len(own))))
-        digit = np.where(lost, -1, (gram >> _U(24)).astype(np.int64) % digits)
+        digit = np.where(lost, -1, (gram & _U(0xFFFFFF)).astype(np.int64) % digits)
         by = np.argsort(digit, kind="stable")  # stays in order of documents, which compresses well
         edges = np.flatnonzero(np.diff(digit[by], prepend=-2))
-        rows, columns = [], (gram, context >> _U(32), context >> _U(16), doc, first, last - first)
+        rows, columns = [], (gram >> _U(32), gram >> _U(24), context >> _U(32), left >> _U(48), right >> _U(48), doc, first, last - first)
         for a, b in zip(edges, np.append(edges[1:], len(by)), strict=True):
             rows.append((int(digit[by[a]]), *(x[by[a:b]].astype(kind).tobytes() for x, (_, kind) in zip(columns, KINDS, strict=True))))
         kinds = [pa.int64()] + [pa.binary()] * len(KINDS)
@@ -167,7 +169,10 @@ def _digits(digits: int, width: int):
             # what the run's windows reach: how far each side goes is part of the context
             context = prefix.hashes(a, b) ^ mix(((p - a) * 64 + (b - p)).astype(np.uint64) * _U(_BASE))
             doc = batch.column("doc_id").to_numpy(zero_copy_only=False)[owner]
-            parts.append([prefix.hashes(p, p + GRAM), context, doc, lo - begin, hi - begin])
+            # every window holds the half context on one side at least
+            left = prefix.hashes(np.maximum(begin, p - half), p + GRAM)
+            right = prefix.hashes(p, np.minimum(ends[owner], p + GRAM + half))
+            parts.append([prefix.hashes(p, p + GRAM), context, left, right, doc, lo - begin, hi - begin])
             held += len(p)
             if held >= HELD:
                 yield reduce(parts)
@@ -178,16 +183,16 @@ def _digits(digits: int, width: int):
     return run
 
 
-def _by_digit(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[np.ndarray]]]:
+def _by_digit(batches: Iterator[pa.RecordBatch], kinds: tuple = KINDS) -> Iterator[tuple[int, list[np.ndarray]]]:
     """The anchors of one digit after another; rows come sorted by digit. Rows of digit -1 come one by one."""
 
     def arrays() -> list[np.ndarray]:
-        return [np.frombuffer(b"".join(x), kind) for x, (_, kind) in zip(zip(*parts, strict=True), KINDS, strict=True)]
+        return [np.frombuffer(b"".join(x), kind) for x, (_, kind) in zip(zip(*parts, strict=True), kinds, strict=True)]
 
     now, parts = None, []
     for batch in batches:
         for i in range(batch.num_rows):
-            digit, *row = (batch.column(c)[i].as_py() for c in ("digit", *(n for n, _ in KINDS)))
+            digit, *row = (batch.column(c)[i].as_py() for c in ("digit", *(n for n, _ in kinds)))
             if parts and (digit != now or digit < 0):
                 yield now, arrays()
                 parts = []
@@ -199,20 +204,27 @@ def _by_digit(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[np.
 
 def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Step 2: inside each digit, runs of classes whose smallest document is another one; ask = 1 leads to step 3."""
-    for digit, (gram, high, low, doc, first, length) in _by_digit(batches):
+    for digit, (high, low, context, left, right, doc, first, length) in _by_digit(batches):
         ask = np.zeros(len(doc), bool)
         lost = np.ones(len(doc), bool)
         if digit >= 0:
+            gram = (high.astype(np.uint64) << _U(8)) | low
             order = np.argsort(gram, kind="stable")
             order = order[_repeated(gram[order])]  # grams that stand alone are done
-            context = (high.astype(np.uint64) << _U(16)) | low
+            context = (context.astype(np.uint64) << _U(32)) | (left.astype(np.uint64) << _U(16)) | right
             again, starts = _grouped(gram[order], context[order], doc[order])
             order = order[again]
             sizes = np.diff(np.append(starts, len(order)))
             own = doc[order]
             lost[:] = False
             lost[order] = own > np.repeat(own[starts], sizes)
-            ask[order] = np.repeat(_repeated(gram[order][starts]), sizes)  # grams of more than one class
+            heads = order[starts]
+            near = np.zeros(len(heads), bool)  # classes that share a half context with another class of their gram
+            for side in (left, right):
+                key = (gram[heads] << _U(16)) | side[heads]
+                by = np.argsort(key, kind="stable")
+                near[by] |= _repeated(key[by])
+            ask[order] = np.repeat(near, sizes)
             ask &= ~lost
         out = lost | ask
         first = first[out]
@@ -228,8 +240,8 @@ def _repeated(x: np.ndarray) -> np.ndarray:
     return out
 
 
-def _windows(width: int):
-    """Step 3: the hash of every window of the runs that are asked for."""
+def _windows(width: int, digits: int):
+    """Step 3: the hash of every window of the runs that are asked for, as one row for each digit."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for data, ends, batch in _buffers(batches):
@@ -239,14 +251,31 @@ def _windows(width: int):
             for k, (doc, runs) in enumerate(zip(batch.column("doc_id").to_pylist(), batch.column("runs").to_pylist(), strict=True)):
                 own = np.unique(np.concatenate([np.arange(r["first"], r["last"] + 1) for r in runs]))
                 docs.append(np.full(len(own), doc, np.int64))
-                starts.append(own + begins[k])
-            doc, s = np.concatenate(docs), np.concatenate(starts)
-            base = begins[np.searchsorted(ends, s, side="right")]
-            yield pa.RecordBatch.from_arrays([pa.array(prefix.hashes(s, s + width).view(np.int64)), pa.array(doc), pa.array((s - base).astype(np.int32))], names=["window", "doc_id", "first"])
+                starts.append(own)
+            doc, start = np.concatenate(docs), np.concatenate(starts)
+            at = start + np.repeat(begins[:-1], [len(x) for x in docs])
+            window = prefix.hashes(at, at + width)
+            digit = (window % _U(digits)).astype(np.int64)
+            by = np.argsort(digit, kind="stable")
+            edges = np.flatnonzero(np.diff(digit[by], prepend=-1))
+            rows = [(int(digit[by[a]]), window[by[a:b]].tobytes(), doc[by[a:b]].tobytes(), start[by[a:b]].astype(np.int32).tobytes()) for a, b in zip(edges, np.append(edges[1:], len(by)), strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(list(x), k) for x, k in zip(zip(*rows, strict=True), (pa.int64(), *[pa.binary()] * 3), strict=True)], names=["digit", "window", "doc", "first"])
 
     return run
 
 
+def _late(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Windows that a smaller document has too, joined to runs."""
+    for _, (window, doc, first) in _by_digit(batches, (("window", np.uint64), ("doc", np.int64), ("first", np.int32))):
+        order, starts = _grouped(window, doc)
+        own = doc[order]
+        late = np.sort(order[own > np.repeat(own[starts], np.diff(np.append(starts, len(own))))])
+        doc, first = doc[late], first[late]
+        if len(doc):
+            new = np.flatnonzero(np.concatenate(([True], (doc[1:] != doc[:-1]) | (first[1:] != first[:-1] + 1))))
+            yield pa.RecordBatch.from_arrays([pa.array(doc[new]), pa.array(first[new]), pa.array(first[np.append(new[1:], len(first)) - 1])], names=["doc_id", "first", "last"])
+
+
 def _apply(width: int):
     """Remaining bytes of each text: runs of window starts become byte spans, which are merged and cut."""
 
@@ -284,13 +313,15 @@ def remove_repeats(docs: DataFrame, *, width: int = 50, digit_bytes: int = 16 <<
     dealt = base.mapInArrow(_digits(digits, width), "digit long, " + ", ".join(f"{n} binary" for n, _ in KINDS))
     # runs that are lost already need no digit and are spread by themselves
     spread = F.when(F.col("digit") < 0, F.xxhash64("doc", "first")).otherwise(F.col("digit"))
-    found = materialize(dealt.withColumn("to", spread).repartition("to").sortWithinPartitions("digit").mapInArrow(_classes, f"{RUN}, ask byte"))
+    # read twice below, from one shuffle
+    found = dealt.withColumn("to", spread).repartition("to").sortWithinPartitions("digit").mapInArrow(_classes, f"{RUN}, ask byte")
 
     # both joins compare ids null-safely, so that Spark shuffles the texts once and reads that shuffle twice
     runs = F.collect_list(F.struct("first", "last")).alias("runs")
     asked = found.where("ask = 1").groupBy(F.col("doc_id").alias("id")).agg(runs)
-    windows = base.join(asked, base["doc_id"].eqNullSafe(asked["id"])).select("doc_id", "text", "runs").mapInArrow(_windows(width), "window long, doc_id long, first int")
-    late = windows.withColumn("least", F.min("doc_id").over(Window.partitionBy("window"))).where("doc_id > least").select("doc_id", "first", F.col("first").alias("last"))
+    windows = base.join(asked, base["doc_id"].eqNullSafe(asked["id"])).select("doc_id", "text", "runs")
+    windows = windows.mapInArrow(_windows(width, digits), "digit long, window binary, doc binary, first binary")
+    late = windows.repartition("digit").sortWithinPartitions("digit").mapInArrow(_late, RUN)
     lost = found.where("ask = 0").select("doc_id", "first", "last").union(late).groupBy(F.col("doc_id").alias("id")).agg(runs)
     return (
         base.join(lost, base["doc_id"].eqNullSafe(lost["id"]), "left")
