@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import decontamination, licenses, near_dup, packing, quality, substring_dedup, token_counts, topk, unit_dedup
+from tideline.llm import decontamination, fixity, licenses, near_dup, packing, quality, substring_dedup, token_counts, topk, unit_dedup
 from tideline.llm.common import read_table
 
 
@@ -20,6 +20,19 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"), path=public_tokenizers.path("word_bpe_49k.json"), with_ids=False)
 
 
+def op3_fixity_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every record with its place and whether an audit against a decayed copy of the archive finds it.
+
+    The copy is derived from the pages: records of ids = 5 mod 101 have a byte changed, those = 7 mod 211 are lost.
+    """
+    held = fixity.archive(read_table(spark, sf_dir, "pages"))
+    index = held.select("record_id", "file", "offset", "length")
+    flipped = F.encode(F.concat(F.decode("content", "utf-8"), F.lit("!")), "utf-8")
+    copy = held.where(F.col("record_id") % 211 != 7).select("record_id", F.when(F.col("record_id") % 101 == 5, flipped).otherwise(F.col("content")).alias("content"))
+    found = fixity.audit(index, held.select("record_id", "content"), copy)
+    return index.join(found.select("record_id", "status"), "record_id", "left").select("record_id", "file", "offset", "length", F.coalesce("status", F.lit("same")).alias("status"))
+
+
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read_table(spark, sf_dir, "documents").select("doc_id", "text"), read_table(spark, sf_dir, "labels")
     model = quality.train(docs, quality.graded(labels), levels=3)
@@ -53,7 +66,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_near_duplicates, op2_packing, op4_quality_classifier, op5_license_scan, op6_suffix_dedup, op7_line_dedup, op8_top_k, op9_decontamination, op10_token_counts)}
+    return {f.__name__: f for f in (op1_near_duplicates, op2_packing, op3_fixity_audit, op4_quality_classifier, op5_license_scan, op6_suffix_dedup, op7_line_dedup, op8_top_k, op9_decontamination, op10_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -117,3 +130,11 @@ s AS (SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.
       FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
 r AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank, vec_id, score FROM s)
 SELECT query_id, rank::INT AS rank, vec_id, score FROM r WHERE rank <= 5"""
+
+SQL["op3_fixity_audit"] = """
+WITH r AS (SELECT page_id AS record_id, page_id // 4096 AS file,
+  strlen('WARC/1.1' || chr(13) || chr(10) || 'WARC-Type: response' || chr(13) || chr(10) || 'WARC-Record-ID: <urn:page:' || page_id || '>' || chr(13) || chr(10) || 'WARC-Target-URI: ' || coalesce(url, '')
+         || chr(13) || chr(10) || 'Content-Type: text/html; charset=utf-8' || chr(13) || chr(10) || 'Content-Length: ' || strlen(coalesce(html, '')) || chr(13) || chr(10) || chr(13) || chr(10)
+         || coalesce(html, '') || chr(13) || chr(10) || chr(13) || chr(10)) AS length FROM pages)
+SELECT record_id, file, coalesce(sum(length) OVER (PARTITION BY file ORDER BY record_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS "offset", length,
+  CASE WHEN record_id % 211 = 7 THEN 'missing_second' WHEN record_id % 101 = 5 THEN 'changed' ELSE 'same' END AS status FROM r"""
