@@ -7,8 +7,7 @@ smallest hash of each bin is its signature and empty bins borrow from a bin that
 
 Candidates are star-shaped: each bucket links its members to one centre, so pairs stay linear in the members. A star
 can miss a link between two leaves; therefore buckets whose members have not come together in one component after the
-stars get a second star with another centre, and what is still apart is compared exactly: in buckets of a few members
-pair by pair, where set sizes and 1-bit sketches rule out nearly all pairs before any is made, and in larger buckets
+stars are compared exactly: in buckets of a few members pair by pair, where set sizes and 1-bit sketches rule out nearly all pairs before any is made, and in larger buckets
 block by block, where only a forest of links leaves a task. All candidates are confirmed on full sets. Components are
 found with alternating large and small stars.
 
@@ -172,21 +171,20 @@ def components(edges: DataFrame) -> DataFrame:
     """Connected components of edges (a, b): node, root (its smallest node), by alternating large and small stars."""
     now = materialize(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct())
     while True:
+        # settled: every node hangs on one root, and no root hangs on another node
+        ends = now.select(F.col("a").alias("node"), F.lit(1).alias("hangs"), F.lit(0).alias("holds")).union(now.select("b", F.lit(0), F.lit(1)))
+        loose = ends.groupBy("node").agg(F.sum("hangs").alias("n"), F.max("holds").alias("holds")).where("n + holds > 1")
+        if not loose.limit(1).count():
+            return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
         both = now.union(now.select("b", "a"))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = large.where("a <> b").distinct()
-        small_least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(small_least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).union(small_least.select("a", F.col("m").alias("b")))
-        new = materialize(small.where("a <> b").distinct())
-        # settled: every node hangs on one root and no root hangs on another node
-        loose = new.groupBy("a").agg(F.count("*").alias("n")).where("n > 1").limit(1).count()
-        if not loose and not new.select(F.col("b").alias("a")).distinct().join(new.select("a").distinct(), "a", "left_semi").limit(1).count():
-            return new.select(F.col("a").alias("node"), F.col("b").alias("root"))
-        now = new
-
-
-def star(members: DataFrame, seed: int) -> DataFrame:
+        lowest = large.groupBy("a").agg(F.min("b").alias("m"))
+        small = large.join(lowest, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).union(lowest.select("a", F.col("m").alias("b")))
+        now = materialize(small.where("a <> b").distinct())
+
+
+def star(members: DataFrame, seed: int = 0) -> DataFrame:
     """members (key, node): each with the centre of its bucket and the bucket's size; buckets of one are left out."""
     w = Window.partitionBy("key")
     centre = F.min(F.struct(F.xxhash64("node", "key", F.lit(seed)).alias("h"), "node")).over(w)["node"]
@@ -199,11 +197,11 @@ def near_duplicates(docs: DataFrame, *, percent: int = 75, id_col: str = "doc_id
     told = materialize(describe(base))
     nodes = told.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("first_id"))
     one = told.join(nodes.select(F.col("first_id").alias("doc_id")), "doc_id", "left_semi").where("node is not null")
+    sizes = materialize(one.select("node", F.col("doc_id").alias("first_id"), "n_shingles", "bits"))
     members = materialize(star(one.select("node", F.explode("keys").alias("key")), 0).select("key", "node", "centre"))
     # full sets of the nodes that share a bucket with another, made once
-    busy = members.select("node").distinct().join(nodes, "node").select("node", F.col("first_id").alias("doc_id"))
+    busy = members.select("node").distinct().join(sizes, "node").select("node", F.col("first_id").alias("doc_id"))
     sets = materialize(full_sets(base.join(busy, "doc_id").select("node", "text")))
-    sizes = one.select("node", "n_shingles", "bits")
 
     def close(pairs: DataFrame) -> DataFrame:
         """Pairs whose set sizes and sketches do not rule the link out."""
@@ -222,12 +220,7 @@ def near_duplicates(docs: DataFrame, *, percent: int = 75, id_col: str = "doc_id
         mixed = labelled.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x < y").select("key")
         return labelled.join(mixed, "key", "left_semi")
 
-    plain = members.select("key", "node")
-    left = materialize(apart(plain))
-    again = star(left.select("key", "node"), 1).where("node <> centre").select(*ordered("node", "centre")).distinct()
-    links.append(materialize(confirm(close(again), sets, percent)))
-    roots = components(reduce(DataFrame.union, links))
-    left = materialize(apart(left.select("key", "node")).withColumn("members", F.count("*").over(Window.partitionBy("key"))).join(sizes, "node"))
+    left = materialize(apart(members.select("key", "node")).withColumn("members", F.count("*").over(Window.partitionBy("key"))).join(sizes.drop("first_id"), "node"))
     columns = ("node", "root", "n_shingles", "bits")
     p, q = (left.where(F.col("members") <= FEW).select("key", *(F.col(c).alias(f"{c}_{x}") for c in columns)) for x in "ab")
     p, q = p.withColumnsRenamed({"node_a": "a", "n_shingles_a": "na"}), q.withColumnsRenamed({"node_b": "b", "n_shingles_b": "nb"})
@@ -236,7 +229,7 @@ def near_duplicates(docs: DataFrame, *, percent: int = 75, id_col: str = "doc_id
     links.append(materialize(_by_blocks(left.where(F.col("members") > FEW), sets, percent)))
     roots = components(reduce(DataFrame.union, links))
 
-    known = nodes.join(roots, "node", "left").select("node", "first_id", F.coalesce("root", "node").alias("root"))
+    known = sizes.join(roots, "node", "left").select("node", "first_id", F.coalesce("root", "node").alias("root"))
     least = known.groupBy("root").agg(F.min("first_id").alias("component_id"))
     labels = known.join(least, "root").select("node", "component_id")
     return told.join(labels, "node", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce(F.col("component_id") == F.col("doc_id"), F.lit(True)).alias("kept"))
