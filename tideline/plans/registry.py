@@ -7,7 +7,7 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES = ("panel",)
+MODULES: tuple[str, ...] = ("panel", "joining")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
