@@ -16,8 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 WIDTH = 5
-#: Hash values of test items that may be broadcast (16 bytes each); beyond that the search is a shuffle join.
-MOST_BROADCAST = 1_000_000
+#: Shingles of test items that may go into the plan as a constant (8 bytes each); beyond that the search shuffles.
+MOST_CONSTANT = 50_000
 
 
 def word_hashes(text: str) -> Column:
@@ -25,20 +25,23 @@ def word_hashes(text: str) -> Column:
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
-def shingle(words: str, at: Column) -> Column:
-    """Hash of the five words from 0-based `at` on."""
-    return F.xxhash64(*(F.get(F.col(words), at + k) for k in range(WIDTH)))
+def shingles(text: str) -> Column:
+    """Hashes of all runs of five words of a text, as often as they occur.
 
+    The words are bound to a lambda variable, so that a predicate that Catalyst moves down does not make them anew for
+    each shingle.
+    """
 
-def starts(words: str) -> Column:
-    """0-based places of all shingles; empty if there are none."""
-    n = F.size(words)
-    return F.when(n >= WIDTH, F.sequence(F.lit(0), n - WIDTH)).otherwise(F.array().cast("array<int>"))
+    def of(w: Column) -> Column:
+        places = F.when(F.size(w) >= WIDTH, F.sequence(F.lit(0), F.size(w) - WIDTH)).otherwise(F.array().cast("array<int>"))
+        return F.transform(places, lambda i: F.xxhash64(*(F.get(w, i + k) for k in range(WIDTH))))
+
+    return F.get(F.transform(F.array(word_hashes(text)), of), F.lit(0))
 
 
 def item_signatures(items: DataFrame, percent: int) -> DataFrame:
     """item_id, n (distinct shingles), shingles, part (size partition), value (one row for each value kept)."""
-    sets = items.select("item_id", word_hashes("text").alias("w")).select("item_id", F.array_sort(F.array_distinct(F.transform(starts("w"), lambda i: shingle("w", i)))).alias("shingles")).where(F.size("shingles") > 0)
+    sets = items.select("item_id", F.array_sort(F.array_distinct(shingles("text"))).alias("shingles")).where(F.size("shingles") > 0)
     sets = sets.select("item_id", "shingles", F.size("shingles").alias("n"), F.floor(F.log2(F.size("shingles"))).cast("int").alias("part"))
     largest = F.pow(F.lit(2.0), F.col("part") + 1).cast("int") - 1
     keep = F.floor(largest * (100 - percent) / 100).cast("int") + 1
@@ -48,18 +51,22 @@ def item_signatures(items: DataFrame, percent: int) -> DataFrame:
 def leaks(docs: DataFrame, items: DataFrame, *, percent: int = 75, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """One row per (doc_id, item_id) found: n_shared and n_item, distinct shingles of the item in the document and in all."""
     signatures = item_signatures(items.select(F.col(item_id_col).alias("item_id"), F.col(item_text_col).alias("text")), percent)
-    hashed = docs.select(F.col(id_col).alias("doc_id"), word_hashes(text_col).alias("w"))
+    hashed = docs.select(F.col(id_col).alias("doc_id"), shingles(text_col).alias("own"))
     by_value = signatures.select("value", "item_id", "n", "shingles")
-    n_doc = F.size("w") - WIDTH + 1
-    shared = F.size(F.array_intersect(F.transform(starts("w"), lambda i: shingle("w", i)), F.col("shingles")))
-    enough = 100 * F.col("n_shared") >= percent * F.col("n")
-    placed = hashed.where(F.size("w") >= WIDTH).select("doc_id", "w", F.explode(starts("w")).alias("i")).select("doc_id", "w", shingle("w", F.col("i")).alias("value"))
-    if signatures.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST:
-        found = placed.join(F.broadcast(by_value), "value").where(100 * n_doc >= percent * F.col("n"))
-        rows = found.select("doc_id", "item_id", "n", shared.alias("n_shared"))
+    every = signatures.select(F.explode("shingles").alias("x")).distinct().limit(MOST_CONSTANT + 1).collect()
+    if len(every) <= MOST_CONSTANT:
+        values = signatures.select(F.col("value").alias("x")).distinct().collect()
+        constant = lambda rows: F.array(*[F.lit(r["x"]) for r in rows]).cast("array<bigint>")
+        # what a document shares with any item stays in its row, so nothing is exploded before a signature is found
+        known = hashed.select("doc_id", F.size("own").alias("n_doc"), F.array_intersect("own", constant(every)).alias("own"))
+        met = known.withColumn("met", F.array_intersect("own", constant(values))).where(F.size("met") > 0)
+        found = met.select("doc_id", "n_doc", "own", F.explode("met").alias("value")).join(by_value, "value")
     else:
-        # the words stay behind: only values are shuffled, and candidates fetch their documents again
-        pairs = placed.select("doc_id", "value").join(by_value.select("value", "item_id"), "value").select("doc_id", "item_id").distinct()
+        # values alone are shuffled, and candidates fetch their documents again
+        pairs = hashed.select("doc_id", F.explode("own").alias("value")).join(by_value.select("value", "item_id"), "value").select("doc_id", "item_id").distinct()
         sets = signatures.select("item_id", "n", "shingles").dropDuplicates(["item_id"])
-        rows = pairs.join(hashed, "doc_id").join(sets, "item_id").select("doc_id", "item_id", "n", shared.alias("n_shared"))
+        found = pairs.join(hashed.withColumn("n_doc", F.size("own")), "doc_id").join(sets, "item_id")
+    shared = F.size(F.array_intersect("own", "shingles")).alias("n_shared")
+    rows = found.where(100 * F.col("n_doc") >= percent * F.col("n")).select("doc_id", "item_id", "n", shared)
+    enough = 100 * F.col("n_shared") >= percent * F.col("n")
     return rows.where(enough).groupBy("doc_id", "item_id").agg(F.max("n_shared").cast("long").alias("n_shared"), F.max("n").cast("long").alias("n_item"))

@@ -9,8 +9,8 @@ The sort goes digit by digit, most significant first, and a group leaves it as s
   1. by the first GRAM bytes from the anchor on (the exchange is by this digit);
   2. by the bytes before and behind that the run's windows can reach: equal ones share all their windows, so all but the
      smallest document lose the run at once;
-  3. for what differs there, the smallest document of each such class gives the hash of every window of the run, and
-     equal hashes are exactly the repeated windows.
+  3. for what differs there but agrees in half of it, the smallest document of each such class sends the bytes of the
+     run, and equal hashes of the windows inside are exactly the repeated windows.
 Anchors and classes are reduced to their smallest document inside each task before anything is shuffled, so a passage
 that fills a third of all documents is shuffled once a task.
 
@@ -203,7 +203,7 @@ def _by_digit(batches: Iterator[pa.RecordBatch], kinds: tuple = KINDS) -> Iterat
 
 
 def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Step 2: inside each digit, runs of classes whose smallest document is another one; ask = 1 leads to step 3."""
+    """Step 2: inside each digit, runs of classes whose smallest document is another one (gram -1), and those that step 3 asks for."""
     for digit, (high, low, context, left, right, doc, first, length) in _by_digit(batches):
         ask = np.zeros(len(doc), bool)
         lost = np.ones(len(doc), bool)
@@ -228,7 +228,8 @@ def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ask &= ~lost
         out = lost | ask
         first = first[out]
-        yield pa.RecordBatch.from_arrays([pa.array(doc[out]), pa.array(first), pa.array(first + length[out].astype(np.int32)), pa.array(ask[out].astype(np.int8))], names=["doc_id", "first", "last", "ask"])
+        named = np.where(ask, (high.astype(np.int64) << 8) | low, -1)[out]
+        yield pa.RecordBatch.from_arrays([pa.array(doc[out]), pa.array(first), pa.array(first + length[out].astype(np.int32)), pa.array(named)], names=["doc_id", "first", "last", "gram"])
 
 
 def _repeated(x: np.ndarray) -> np.ndarray:
@@ -240,40 +241,60 @@ def _repeated(x: np.ndarray) -> np.ndarray:
     return out
 
 
-def _windows(width: int, digits: int):
-    """Step 3: the hash of every window of the runs that are asked for, as one row for each digit."""
+#: What step 3 shuffles for each run that is asked for: its gram, place and number of windows, and the bytes they cover.
+ASKED = (("gram", np.int64), ("doc", np.int64), ("first", np.int32), ("count", np.uint8), ("data", np.uint8))
+
+
+def _ramp(counts: np.ndarray) -> np.ndarray:
+    """0 .. n-1 for each n."""
+    return np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts)
+
+
+def _spans(width: int, digits: int):
+    """The bytes of the runs that are asked for, as one row for each digit of their grams."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for data, ends, batch in _buffers(batches):
-            prefix = Prefix(data)
-            begins = np.concatenate(([0], ends))
-            docs, starts = [], []
-            for k, (doc, runs) in enumerate(zip(batch.column("doc_id").to_pylist(), batch.column("runs").to_pylist(), strict=True)):
-                own = np.unique(np.concatenate([np.arange(r["first"], r["last"] + 1) for r in runs]))
-                docs.append(np.full(len(own), doc, np.int64))
-                starts.append(own)
-            doc, start = np.concatenate(docs), np.concatenate(starts)
-            at = start + np.repeat(begins[:-1], [len(x) for x in docs])
-            window = prefix.hashes(at, at + width)
-            digit = (window % _U(digits)).astype(np.int64)
-            by = np.argsort(digit, kind="stable")
-            edges = np.flatnonzero(np.diff(digit[by], prepend=-1))
-            rows = [(int(digit[by[a]]), window[by[a:b]].tobytes(), doc[by[a:b]].tobytes(), start[by[a:b]].astype(np.int32).tobytes()) for a, b in zip(edges, np.append(edges[1:], len(by)), strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(list(x), k) for x, k in zip(zip(*rows, strict=True), (pa.int64(), *[pa.binary()] * 3), strict=True)], names=["digit", "window", "doc", "first"])
+            runs = batch.column("runs")
+            each = np.diff(runs.offsets.to_numpy())
+            values = runs.flatten()
+            gram, first, last = (values.field(c).to_numpy() for c in ("gram", "first", "last"))
+            begin = np.repeat(np.concatenate(([0], ends[:-1])), each)
+            doc = np.repeat(batch.column("doc_id").to_numpy(zero_copy_only=False), each)
+            by = np.argsort(gram % digits, kind="stable")
+            gram, first, begin, doc, count = gram[by], first[by], begin[by], doc[by], (last - first + 1)[by]
+            covered = count + width - 1
+            flat = data[np.repeat(begin + first, covered) + _ramp(covered)]
+            edges = np.flatnonzero(np.diff(gram % digits, prepend=-1))
+            at = np.concatenate(([0], np.cumsum(covered)))
+            rows = []
+            for a, b in zip(edges, np.append(edges[1:], len(gram)), strict=True):
+                columns = (gram[a:b], doc[a:b], first[a:b], count[a:b], flat[at[a] : at[b]])
+                rows.append((int(gram[a] % digits), *(x.astype(kind).tobytes() for x, (_, kind) in zip(columns, ASKED, strict=True))))
+            yield pa.RecordBatch.from_arrays([pa.array(list(x), k) for x, k in zip(zip(*rows, strict=True), (pa.int64(), *[pa.binary()] * len(ASKED)), strict=True)], names=["digit", *(n for n, _ in ASKED)])
 
     return run
 
 
-def _late(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Windows that a smaller document has too, joined to runs."""
-    for _, (window, doc, first) in _by_digit(batches, (("window", np.uint64), ("doc", np.int64), ("first", np.int32))):
-        order, starts = _grouped(window, doc)
-        own = doc[order]
-        late = np.sort(order[own > np.repeat(own[starts], np.diff(np.append(starts, len(own))))])
-        doc, first = doc[late], first[late]
-        if len(doc):
-            new = np.flatnonzero(np.concatenate(([True], (doc[1:] != doc[:-1]) | (first[1:] != first[:-1] + 1))))
-            yield pa.RecordBatch.from_arrays([pa.array(doc[new]), pa.array(first[new]), pa.array(first[np.append(new[1:], len(first)) - 1])], names=["doc_id", "first", "last"])
+def _late(width: int):
+    """Step 3: windows that a smaller document has too, joined to runs."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, (_gram, doc, first, count, data) in _by_digit(batches, ASKED):
+            count = count.astype(np.int64)
+            covered = count + width - 1
+            at = np.repeat(np.cumsum(covered) - covered, count) + _ramp(count)
+            window = Prefix(data).hashes(at, at + width)
+            doc, first = np.repeat(doc, count), np.repeat(first, count) + _ramp(count).astype(np.int32)
+            order, starts = _grouped(window, doc)
+            own = doc[order]
+            late = np.sort(order[own > np.repeat(own[starts], np.diff(np.append(starts, len(own))))])
+            doc, first = doc[late], first[late]
+            if len(doc):
+                new = np.flatnonzero(np.concatenate(([True], (doc[1:] != doc[:-1]) | (first[1:] != first[:-1] + 1))))
+                yield pa.RecordBatch.from_arrays([pa.array(doc[new]), pa.array(first[new]), pa.array(first[np.append(new[1:], len(first)) - 1])], names=["doc_id", "first", "last"])
+
+    return run
 
 
 def _apply(width: int):
@@ -314,15 +335,15 @@ def remove_repeats(docs: DataFrame, *, width: int = 50, digit_bytes: int = 16 <<
     # runs that are lost already need no digit and are spread by themselves
     spread = F.when(F.col("digit") < 0, F.xxhash64("doc", "first")).otherwise(F.col("digit"))
     # read twice below, from one shuffle
-    found = dealt.withColumn("to", spread).repartition("to").sortWithinPartitions("digit").mapInArrow(_classes, f"{RUN}, ask byte")
+    found = dealt.withColumn("to", spread).repartition("to").sortWithinPartitions("digit").mapInArrow(_classes, f"{RUN}, gram long")
 
     # both joins compare ids null-safely, so that Spark shuffles the texts once and reads that shuffle twice
+    asked = found.where("gram >= 0").groupBy(F.col("doc_id").alias("id")).agg(F.collect_list(F.struct("gram", "first", "last")).alias("runs"))
+    spans = base.join(asked, base["doc_id"].eqNullSafe(asked["id"])).select("doc_id", "text", "runs")
+    spans = spans.mapInArrow(_spans(width, digits), "digit long, " + ", ".join(f"{n} binary" for n, _ in ASKED))
+    late = spans.repartition("digit").sortWithinPartitions("digit").mapInArrow(_late(width), RUN)
     runs = F.collect_list(F.struct("first", "last")).alias("runs")
-    asked = found.where("ask = 1").groupBy(F.col("doc_id").alias("id")).agg(runs)
-    windows = base.join(asked, base["doc_id"].eqNullSafe(asked["id"])).select("doc_id", "text", "runs")
-    windows = windows.mapInArrow(_windows(width, digits), "digit long, window binary, doc binary, first binary")
-    late = windows.repartition("digit").sortWithinPartitions("digit").mapInArrow(_late, RUN)
-    lost = found.where("ask = 0").select("doc_id", "first", "last").union(late).groupBy(F.col("doc_id").alias("id")).agg(runs)
+    lost = found.where("gram < 0").select("doc_id", "first", "last").union(late).groupBy(F.col("doc_id").alias("id")).agg(runs)
     return (
         base.join(lost, base["doc_id"].eqNullSafe(lost["id"]), "left")
         .select("doc_id", "text", F.coalesce("runs", F.array().cast("array<struct<first:int,last:int>>")).alias("runs"))
