@@ -7,7 +7,7 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES: tuple[str, ...] = ("panel", "joining", "checks", "pointintime")
+MODULES: tuple[str, ...] = ("panel", "joining", "checks", "pointintime", "streams")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
