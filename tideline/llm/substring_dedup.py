@@ -21,6 +21,7 @@ count as one document and windows that they share are not removed. Extra columns
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,7 +33,7 @@ from tideline.llm.common import slices
 
 GRAM = 20
 #: Bytes of text that are hashed at once, and anchors that are reduced at once, in a task.
-SLICE, HELD = 1 << 20, 1_200_000
+SLICE, HELD = 1 << 20, 600_000
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -125,7 +126,9 @@ def _grouped(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, np.flatnonzero(new)
 
 
-RUN = "doc_id long, first int, last int"
+def _run(first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """First and last window start of a run in one long."""
+    return (first.astype(np.int64) << 31) | last.astype(np.int64)
 
 
 #: What is shuffled for each anchor: the gram's hash in two parts (40 bits beside the digit), and hashes of the context,
@@ -133,6 +136,19 @@ RUN = "doc_id long, first int, last int"
 KINDS = (("gram", np.uint32), ("gram2", np.uint8), ("context", np.uint32), ("left", np.uint16), ("right", np.uint16), ("doc", np.int64), ("first", np.int32), ("length", np.uint8))
 
 
+def _pack(name: str, x: np.ndarray, kind: type) -> bytes:
+    """Bytes of a column; documents and places as differences, texts deflated, so that shuffles compress well."""
+    x = x.astype(kind)
+    if name in ("doc", "first"):
+        x = np.diff(x, prepend=x.dtype.type(0))
+    return zlib.compress(x.tobytes(), 1) if name == "data" else x.tobytes()
+
+
+def _unpack(name: str, packed: bytes, kind: type) -> np.ndarray:
+    x = np.frombuffer(zlib.decompress(packed) if name == "data" else packed, kind)
+    return np.cumsum(x, dtype=kind) if name in ("doc", "first") else x
+
+
 def _digits(digits: int, width: int):
     """Step 1: anchors of documents, reduced to the smallest document of each class, as one row for each digit.
 
@@ -152,7 +168,7 @@ def _digits(digits: int, width: int):
         edges = np.flatnonzero(np.diff(digit[by], prepend=-2))
         rows, columns = [], (gram >> _U(32), gram >> _U(24), context >> _U(32), left >> _U(48), right >> _U(48), doc, first, last - first)
         for a, b in zip(edges, np.append(edges[1:], len(by)), strict=True):
-            rows.append((int(digit[by[a]]), *(x[by[a:b]].astype(kind).tobytes() for x, (_, kind) in zip(columns, KINDS, strict=True))))
+            rows.append((int(digit[by[a]]), *(_pack(name, x[by[a:b]], kind) for x, (name, kind) in zip(columns, KINDS, strict=True))))
         kinds = [pa.int64()] + [pa.binary()] * len(KINDS)
         return pa.RecordBatch.from_arrays([pa.array(list(x), k) for x, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["digit", *(n for n, _ in KINDS)])
 
@@ -187,7 +203,7 @@ def _by_digit(batches: Iterator[pa.RecordBatch], kinds: tuple = KINDS) -> Iterat
     """The anchors of one digit after another; rows come sorted by digit. Rows of digit -1 come one by one."""
 
     def arrays() -> list[np.ndarray]:
-        return [np.frombuffer(b"".join(x), kind) for x, (_, kind) in zip(zip(*parts, strict=True), kinds, strict=True)]
+        return [np.concatenate([_unpack(name, y, kind) for y in x]) for x, (name, kind) in zip(zip(*parts, strict=True), kinds, strict=True)]
 
     now, parts = None, []
     for batch in batches:
@@ -203,7 +219,7 @@ def _by_digit(batches: Iterator[pa.RecordBatch], kinds: tuple = KINDS) -> Iterat
 
 
 def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Step 2: inside each digit, runs of classes whose smallest document is another one (gram -1), and those that step 3 asks for."""
+    """Step 2: inside each digit, runs of classes whose smallest document is another one, and those that step 3 asks for."""
     for digit, (high, low, context, left, right, doc, first, length) in _by_digit(batches):
         ask = np.zeros(len(doc), bool)
         lost = np.ones(len(doc), bool)
@@ -228,8 +244,10 @@ def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ask &= ~lost
         out = lost | ask
         first = first[out]
-        named = np.where(ask, (high.astype(np.int64) << 8) | low, -1)[out]
-        yield pa.RecordBatch.from_arrays([pa.array(doc[out]), pa.array(first), pa.array(first + length[out].astype(np.int32)), pa.array(named)], names=["doc_id", "first", "last", "gram"])
+        first, length = first.astype(np.int64), length[out].astype(np.int64)
+        # one long for each run; the low bits of the gram tell step 3's digit
+        asked = ((high[out].astype(np.int64) & 0xFFFFFF) << 37) | (length << 32) | first
+        yield pa.RecordBatch.from_arrays([pa.array(doc[out]), pa.array(np.where(ask[out], asked, _run(first, first + length))), pa.array(ask[out])], names=["doc_id", "run", "asked"])
 
 
 def _repeated(x: np.ndarray) -> np.ndarray:
@@ -242,7 +260,7 @@ def _repeated(x: np.ndarray) -> np.ndarray:
 
 
 #: What step 3 shuffles for each run that is asked for: its gram, place and number of windows, and the bytes they cover.
-ASKED = (("gram", np.int64), ("doc", np.int64), ("first", np.int32), ("count", np.uint8), ("data", np.uint8))
+ASKED = (("gram", np.uint32), ("doc", np.int64), ("first", np.int32), ("count", np.uint8), ("data", np.uint8))
 
 
 def _ramp(counts: np.ndarray) -> np.ndarray:
@@ -257,12 +275,12 @@ def _spans(width: int, digits: int):
         for data, ends, batch in _buffers(batches):
             runs = batch.column("runs")
             each = np.diff(runs.offsets.to_numpy())
-            values = runs.flatten()
-            gram, first, last = (values.field(c).to_numpy() for c in ("gram", "first", "last"))
+            values = runs.flatten().to_numpy()
+            gram, length, first = values >> 37, (values >> 32) & 31, values & 0xFFFFFFFF
             begin = np.repeat(np.concatenate(([0], ends[:-1])), each)
             doc = np.repeat(batch.column("doc_id").to_numpy(zero_copy_only=False), each)
             by = np.argsort(gram % digits, kind="stable")
-            gram, first, begin, doc, count = gram[by], first[by], begin[by], doc[by], (last - first + 1)[by]
+            gram, first, begin, doc, count = gram[by], first[by], begin[by], doc[by], (length + 1)[by]
             covered = count + width - 1
             flat = data[np.repeat(begin + first, covered) + _ramp(covered)]
             edges = np.flatnonzero(np.diff(gram % digits, prepend=-1))
@@ -270,7 +288,7 @@ def _spans(width: int, digits: int):
             rows = []
             for a, b in zip(edges, np.append(edges[1:], len(gram)), strict=True):
                 columns = (gram[a:b], doc[a:b], first[a:b], count[a:b], flat[at[a] : at[b]])
-                rows.append((int(gram[a] % digits), *(x.astype(kind).tobytes() for x, (_, kind) in zip(columns, ASKED, strict=True))))
+                rows.append((int(gram[a] % digits), *(_pack(name, x, kind) for x, (name, kind) in zip(columns, ASKED, strict=True))))
             yield pa.RecordBatch.from_arrays([pa.array(list(x), k) for x, k in zip(zip(*rows, strict=True), (pa.int64(), *[pa.binary()] * len(ASKED)), strict=True)], names=["digit", *(n for n, _ in ASKED)])
 
     return run
@@ -292,7 +310,7 @@ def _late(width: int):
             doc, first = doc[late], first[late]
             if len(doc):
                 new = np.flatnonzero(np.concatenate(([True], (doc[1:] != doc[:-1]) | (first[1:] != first[:-1] + 1))))
-                yield pa.RecordBatch.from_arrays([pa.array(doc[new]), pa.array(first[new]), pa.array(first[np.append(new[1:], len(first)) - 1])], names=["doc_id", "first", "last"])
+                yield pa.RecordBatch.from_arrays([pa.array(doc[new]), pa.array(_run(first[new], first[np.append(new[1:], len(first)) - 1]))], names=["doc_id", "run"])
 
     return run
 
@@ -305,8 +323,8 @@ def _apply(width: int):
             rows = []
             for text, runs in zip(batch.column("text").to_pylist(), batch.column("runs").to_pylist(), strict=True):
                 data, spans, kept, at = text.encode(), [], [], 0
-                for r in sorted(runs, key=lambda r: r["first"]):
-                    a, b = r["first"], r["last"] + width
+                for r in sorted(runs):
+                    a, b = r >> 31, (r & 0x7FFFFFFF) + width
                     if spans and a <= spans[-1][1]:
                         spans[-1][1] = max(b, spans[-1][1])
                     else:
@@ -335,17 +353,17 @@ def remove_repeats(docs: DataFrame, *, width: int = 50, digit_bytes: int = 16 <<
     # runs that are lost already need no digit and are spread by themselves
     spread = F.when(F.col("digit") < 0, F.xxhash64("doc", "first")).otherwise(F.col("digit"))
     # read twice below, from one shuffle
-    found = dealt.withColumn("to", spread).repartition("to").sortWithinPartitions("digit").mapInArrow(_classes, f"{RUN}, gram long")
+    found = dealt.withColumn("to", spread).repartition("to").sortWithinPartitions("digit").mapInArrow(_classes, "doc_id long, run long, asked boolean")
 
     # both joins compare ids null-safely, so that Spark shuffles the texts once and reads that shuffle twice
-    asked = found.where("gram >= 0").groupBy(F.col("doc_id").alias("id")).agg(F.collect_list(F.struct("gram", "first", "last")).alias("runs"))
+    runs = F.collect_list("run").alias("runs")
+    asked = found.where("asked").groupBy(F.col("doc_id").alias("id")).agg(runs)
     spans = base.join(asked, base["doc_id"].eqNullSafe(asked["id"])).select("doc_id", "text", "runs")
     spans = spans.mapInArrow(_spans(width, digits), "digit long, " + ", ".join(f"{n} binary" for n, _ in ASKED))
-    late = spans.repartition("digit").sortWithinPartitions("digit").mapInArrow(_late(width), RUN)
-    runs = F.collect_list(F.struct("first", "last")).alias("runs")
-    lost = found.where("gram < 0").select("doc_id", "first", "last").union(late).groupBy(F.col("doc_id").alias("id")).agg(runs)
+    late = spans.repartition("digit").sortWithinPartitions("digit").mapInArrow(_late(width), "doc_id long, run long")
+    lost = found.where("not asked").select("doc_id", "run").union(late).groupBy(F.col("doc_id").alias("id")).agg(runs)
     return (
         base.join(lost, base["doc_id"].eqNullSafe(lost["id"]), "left")
-        .select("doc_id", "text", F.coalesce("runs", F.array().cast("array<struct<first:int,last:int>>")).alias("runs"))
+        .select("doc_id", "text", F.coalesce("runs", F.array().cast("array<bigint>")).alias("runs"))
         .mapInArrow(_apply(width), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary, spans array<struct<start:long,end:long>>")
     )
