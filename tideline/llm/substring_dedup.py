@@ -33,7 +33,7 @@ from tideline.llm.common import slices
 
 GRAM = 20
 #: Bytes of text that are hashed at once, and anchors that are reduced at once, in a task.
-SLICE, HELD = 1 << 20, 600_000
+SLICE, HELD = 1 << 20, 400_000
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -319,7 +319,7 @@ def _apply(width: int):
     """Remaining bytes of each text: runs of window starts become byte spans, which are merged and cut."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, "text", 4 * SLICE):
             rows = []
             for text, runs in zip(batch.column("text").to_pylist(), batch.column("runs").to_pylist(), strict=True):
                 data, spans, kept, at = text.encode(), [], [], 0
@@ -341,7 +341,7 @@ def _apply(width: int):
     return run
 
 
-def remove_repeats(docs: DataFrame, *, width: int = 50, digit_bytes: int = 16 << 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def remove_repeats(docs: DataFrame, *, width: int = 50, digit_bytes: int = 6 << 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (bytes), spans of removed bytes.
 
     digit_bytes: bytes of text for each digit of the first pass, which bounds the memory of a task.
