@@ -202,6 +202,25 @@ def test_unit_dedup_keeps_the_first_and_all_columns(spark, odd):
     assert unit_dedup.remove_repeated_units(odd).count() == len(ODD)
 
 
+def test_unit_dedup_removes_repeated_lines_whole(spark):
+    line = "The first sentence has many words. Short end."
+    rows = [(1, f"Own.\n{line}\n\n"), (2, f"{line.upper()}\n\nOther short end. Stays here."), (3, f"x {line}\n--\n--\nOwn!"), (4, f"{line}\n{line}"), (5, "Short end. Another line with it.\nOWN")]
+    out = {r["doc_id"]: (r["kept_text"], r["n_units"], [tuple(s) for s in r["spans"]]) for r in unit_dedup.remove_repeated_units(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
+    assert out[1] == (rows[0][1], 4, [])
+    assert out[2] == ("\nOther short end. Stays here.", 5, [(0, 35), (35, 46)])
+    assert out[3] == (f"x {line}\n--\n--\n", 5, [(54, 58)])
+    assert out[4] == ("", 4, [(0, 35), (35, 46), (46, 81), (81, 91)])
+    assert out[5] == ("Short end. Another line with it.\n", 3, [(33, 36)])
+
+
+def test_pipeline_leaves_no_part_of_a_repeated_line(spark):
+    import corpus_pipeline
+
+    line = "The first sentence has many words. Short end."
+    docs = spark.createDataFrame([(i, f"own{i}\n{line}\n" if i != 2 else line, "en", "s", 0) for i in (1, 2, 3)], "doc_id long, text string, lang string, source string, n_chars long")
+    assert {r["doc_id"]: (r["text"], r["n_chars"]) for r in corpus_pipeline.unit_stage(spark, docs, SF).collect()} == {1: (f"own1\n{line}\n", 0), 3: ("own3\n", 5)}
+
+
 def test_decontamination_on_both_paths(spark, odd, monkeypatch):
     item = "the quick brown fox jumps over the lazy dog again and again today"
     docs = spark.createDataFrame([(1, "noise " * 3000 + item.upper() + " tail"), (2, "noise " * 50), (3, None), (4, item[:30])], "doc_id long, text string").withColumn("value", F.lit(1))

@@ -47,12 +47,20 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(read_table(spark, sf_dir, "documents")).drop("kept", "spans")
 
 
-def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = unit_dedup.remove_repeated_units(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+def _units_removed(out: DataFrame) -> DataFrame:
     removed = F.array_join(F.transform("spans", lambda s: F.concat_ws("-", s["start"].cast("string"), s["end"].cast("string"))), ",")
     return out.select("doc_id", F.col("kept_text").alias("text"), "n_units", F.size("spans").cast("long").alias("n_removed"), removed.alias("removed"))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sentences only, as its SQL has it; op7_whole_line_dedup also removes the short ones of repeated lines."""
+    return _units_removed(unit_dedup.remove_repeated_units(read_table(spark, sf_dir, "documents").select("doc_id", "text"), whole_lines=False))
+
+
+def op7_whole_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _units_removed(unit_dedup.remove_repeated_units(read_table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
 def op8_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
@@ -66,7 +74,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_near_duplicates, op2_packing, op3_fixity_audit, op4_quality_classifier, op5_license_scan, op6_suffix_dedup, op7_line_dedup, op8_top_k, op9_decontamination, op10_token_counts)}
+    return {f.__name__: f for f in (op1_near_duplicates, op2_packing, op3_fixity_audit, op4_quality_classifier, op5_license_scan, op6_suffix_dedup, op7_line_dedup, op7_whole_line_dedup, op8_top_k, op9_decontamination, op10_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -123,6 +131,20 @@ a AS (SELECT doc_id, string_agg(unit, '' ORDER BY k) FILTER (WHERE NOT lost) AS
 SELECT u.doc_id, CASE WHEN text IS NULL THEN NULL ELSE coalesce(kept, '') END AS text, len(us)::BIGINT AS n_units, coalesce(n_removed, 0) AS n_removed, coalesce(removed, '') AS removed
 FROM u LEFT JOIN a USING (doc_id)"""
 
+SQL["op7_whole_line_dedup"] = r"""
+WITH u AS (SELECT doc_id, text, list_filter(string_split(regexp_replace(replace(coalesce(text, ''), chr(10), chr(10) || chr(1)), '([.!?] )', '\1' || chr(1), 'g'), chr(1)), lambda x: x <> '') AS us FROM documents),
+e AS (SELECT doc_id, unnest(us) AS unit, unnest(range(1, len(us) + 1)) AS k FROM u),
+o AS (SELECT doc_id, k, unit, coalesce(sum(length(unit)) OVER (PARTITION BY doc_id ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start,
+             coalesce(count(*) FILTER (WHERE ends_with(unit, chr(10))) OVER (PARTITION BY doc_id ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS line,
+             regexp_extract_all(lower(unit), '[\p{L}\p{N}_]+') AS w FROM e),
+l AS (SELECT doc_id, line, words <> '' AND row_number() OVER (PARTITION BY words ORDER BY doc_id, line) > 1 AS gone
+      FROM (SELECT doc_id, line, coalesce(string_agg(array_to_string(w, ' '), ' ' ORDER BY k) FILTER (WHERE len(w) > 0), '') AS words FROM o GROUP BY doc_id, line)),
+r AS (SELECT doc_id, k, unit, start, gone OR (len(w) >= 5 AND row_number() OVER (PARTITION BY array_to_string(w, ' ') ORDER BY doc_id, k) > 1) AS lost FROM o JOIN l USING (doc_id, line)),
+a AS (SELECT doc_id, string_agg(unit, '' ORDER BY k) FILTER (WHERE NOT lost) AS kept, count(*) FILTER (WHERE lost) AS n_removed,
+             string_agg(start || '-' || (start + length(unit)), ',' ORDER BY k) FILTER (WHERE lost) AS removed FROM r GROUP BY doc_id)
+SELECT u.doc_id, CASE WHEN text IS NULL THEN NULL ELSE coalesce(kept, '') END AS text, len(us)::BIGINT AS n_units, coalesce(n_removed, 0) AS n_removed, coalesce(removed, '') AS removed
+FROM u LEFT JOIN a USING (doc_id)"""
+
 SQL["op8_top_k"] = """
 WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS e FROM embeddings
            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
