@@ -161,6 +161,16 @@ def ag26_coverage(spark: SparkSession, sf: str) -> DataFrame:
     return quality.coverage(grid, y, ["symbol", "m"])
 
 
+@query(f"""WITH {TRADES}, y AS (SELECT DISTINCT symbol, date_trunc('month', d)::DATE AS m FROM trades), g AS (SELECT s_suppkey AS symbol, m FROM supplier, (SELECT DISTINCT m FROM y))
+SELECT symbol, m, 'missing' AS state FROM g ANTI JOIN y USING (symbol, m) UNION ALL SELECT symbol, m, 'orphan' FROM y ANTI JOIN g USING (symbol, m)""")
+def ag26_full_coverage(spark: SparkSession, sf: str) -> DataFrame:
+    """Every supplier is expected in every month of the table."""
+    y = trades(spark, sf).select("symbol", F.to_date(F.date_trunc("month", "d")).alias("m")).distinct()
+    months = y.select("m").distinct()  # a calendar's months
+    grid = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("symbol")).crossJoin(F.broadcast(months))
+    return quality.coverage(grid, y, ["symbol", "m"])
+
+
 @query(f"""WITH {TRADES}, t AS (SELECT DISTINCT symbol, d FROM trades WHERE flag = 'R'), p AS (SELECT DISTINCT symbol, d FROM trades WHERE volume > 25), n AS (SELECT count(*) FILTER (WHERE t.symbol IS NOT NULL AND p.symbol IS NOT NULL) AS tp, count(*) FILTER (WHERE t.symbol IS NULL) AS fp, count(*) FILTER (WHERE p.symbol IS NULL) AS fn FROM t FULL JOIN p ON t.symbol = p.symbol AND t.d = p.d)
 SELECT tp, fp, fn, round(tp / (tp + fp), 6) AS precision, round(tp / (tp + fn), 6) AS recall, round(tp / (tp + fp + fn), 6) AS jaccard FROM n""")
 def ag31_set_agreement(spark: SparkSession, sf: str) -> DataFrame:

@@ -72,6 +72,18 @@ def jn06_carry_snapshots(spark: SparkSession, sf: str) -> DataFrame:
     return days.where("snapshot_matched IS NOT NULL").select("d", F.col("snapshot_matched").alias("snapshot")).join(snap, "snapshot").select("d", "snapshot", "symbol")
 
 
+@query(f"""WITH {TRADES}, snap AS (SELECT DISTINCT date_trunc('month', d)::DATE AS s, symbol FROM trades WHERE flag = 'R'), days AS (SELECT DISTINCT d FROM trades), dates AS (SELECT DISTINCT s FROM snap),
+m AS (SELECT d, max(s) AS s FROM days JOIN dates ON s <= d GROUP BY d) SELECT d, snap.s AS snapshot, symbol FROM m JOIN snap USING (s)""")
+def jn06_carry_all_snapshots(spark: SparkSession, sf: str) -> DataFrame:
+    """Each open day gets all members of the latest snapshot at or before it."""
+    t = trades(spark, sf)
+    snap = t.where("flag = 'R'").select(F.to_date(F.date_trunc("month", "d")).alias("snapshot"), "symbol").distinct()
+    one = F.lit(1).alias("g")
+    days = joins.as_of(t.select("d").distinct().select(one, "d"), snap.select("snapshot").distinct().select(one, "snapshot"), ["g"], "d", "snapshot", [])
+    days = days.where("snapshot_matched IS NOT NULL").select("d", F.col("snapshot_matched").alias("snapshot"))  # a calendar's days
+    return snap.join(F.broadcast(days), "snapshot").select("d", "snapshot", "symbol")
+
+
 @query(f"""WITH {DAILY}, f AS (SELECT symbol, d, 1 + symbol / 100.0 + year(d) / 10000.0 AS factor FROM daily WHERE dayofmonth(d) = 1)
 SELECT p.symbol, p.d, coalesce(f.factor, 1.0)::DOUBLE AS factor FROM daily p ASOF LEFT JOIN f ON p.symbol = f.symbol AND p.d >= f.d""")
 def jn07_step_factor(spark: SparkSession, sf: str) -> DataFrame:

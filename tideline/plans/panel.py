@@ -239,3 +239,12 @@ SELECT y, sum(v) FILTER (WHERE symbol = 1) AS s1, sum(v) FILTER (WHERE symbol =
 def wn35_pivot(spark: SparkSession, sf: str) -> DataFrame:
     m = daily(spark, sf).where("symbol <= 3").groupBy(F.to_date(F.date_trunc("year", "d")).alias("y")).pivot("symbol", [1, 2, 3]).agg(F.sum("volume"))
     return m.withColumnsRenamed({str(k): f"s{k}" for k in (1, 2, 3)})
+
+
+@query(f"""WITH {DAILY}, f AS (SELECT symbol, d, 1 + (n_trades % 7) / 10.0 AS factor FROM daily), l AS (SELECT symbol, arg_max(factor, d) AS latest FROM f GROUP BY 1)
+SELECT symbol, d, close * (factor / latest) AS close_adj FROM daily JOIN f USING (symbol, d) JOIN l USING (symbol)""")
+def wn35_adjusted_panel(spark: SparkSession, sf: str) -> DataFrame:
+    """Every symbol and day, in long form: a wide one would have a column for each symbol."""
+    p = daily(spark, sf)
+    f = p.select("symbol", "d", (1 + (F.col("n_trades") % 7) / F.lit(10.0)).alias("factor"))
+    return bars.adjust(p, f, "symbol", "d", ["close"]).select("symbol", "d", "close_adj")
