@@ -17,7 +17,7 @@ def _table(spark, name):
     return spark.read.parquet(f"{SF}/{name}.parquet")
 
 
-@pytest.mark.parametrize("name", ["wn35_adjusted_panel", "jn06_carry_all_snapshots", "ag26_full_coverage", "pt19_ledger_as_of"])
+@pytest.mark.parametrize("name", ["wn35_adjusted_panel", "jn06_carry_all_snapshots", "ag26_full_coverage", "pt19_ledger_as_of", "jn03_as_of_label_by_order", "jn04_interval_member_by_order"])
 def test_whole_query_equals_sql(spark, name):
     same(spark, SF, QUERIES[name], SQL[name])
 
@@ -44,3 +44,16 @@ def test_ledger_read_has_all_customers(spark):
     want = {r[0] for r in _table(spark, "orders").where("date_trunc('quarter', o_orderdate) >= '1998-01-01' AND to_date(o_orderdate) < '1998-12-31'").select("o_orderkey").collect()}
     assert {i for (i,) in _rows(spark, "pt19_ledger_as_of", "id")} == want
     assert max(s for (s,) in _rows(spark, "pt19_ledger_as_of", "symbol")) >= 300
+
+
+def test_panels_hold_all_customers_of_the_orders(spark, tmp_path):
+    """Customers are moved beyond 1600, where the old panel ends."""
+    for name in ("orders", "lineitem"):
+        df = _table(spark, name)
+        (df.withColumn("o_custkey", df["o_custkey"] + 5000) if name == "orders" else df).write.parquet(f"{tmp_path}/{name}.parquet")
+    orders = {r["o_orderkey"]: r["o_custkey"] + 5000 for r in _table(spark, "orders").collect()}
+    want = {(orders[r[0]], r[1]) for r in _table(spark, "lineitem").selectExpr("l_orderkey", "to_date(l_shipdate)").collect()}
+    member = QUERIES["jn04_interval_member_by_order"](spark, str(tmp_path)).collect()
+    assert {(r["customer"], r["d"]) for r in member} == want and any(r["status"] for r in member)
+    label = QUERIES["jn03_as_of_label_by_order"](spark, str(tmp_path)).collect()
+    assert {r["customer"] for r in label} == {c for c, _ in want} and any(r["status"] for r in label)

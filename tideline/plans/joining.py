@@ -52,6 +52,28 @@ def jn04_interval_member(spark: SparkSession, sf: str) -> DataFrame:
     return joins.interval_member(_panel(spark, sf), spans, "customer", "d", "start_date", "end_date", ["status"])
 
 
+_ORDER_PANEL = "panel AS (SELECT DISTINCT o_custkey AS customer, l_shipdate::DATE AS d FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"
+
+
+def _order_panel(spark: SparkSession, sf: str) -> DataFrame:
+    """Shipping days of each customer, by way of the orders."""
+    o = table(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("customer"))
+    return table(spark, sf, "lineitem").select("l_orderkey", F.to_date("l_shipdate").alias("d")).join(o, "l_orderkey").select("customer", "d").distinct()
+
+
+@query(f"""WITH {_CHANGES}, {_ORDER_PANEL}, j AS (SELECT p.customer, p.d, c.status, c.stop_date FROM panel p ASOF LEFT JOIN changes c ON p.customer = c.customer AND p.d >= c.start_date)
+SELECT customer, d, status FROM j WHERE (stop_date IS NULL OR d <= stop_date) AND customer IN (SELECT customer FROM changes)""")
+def jn03_as_of_label_by_order(spark: SparkSession, sf: str) -> DataFrame:
+    return joins.as_of_label(_order_panel(spark, sf), changes(spark, sf), "customer", "d", "start_date", "stop_date", "status")
+
+
+@query(f"""WITH {_CHANGES}, {_ORDER_PANEL}, s AS (SELECT customer, start_date, (start_date + 90)::DATE AS e, status FROM changes)
+SELECT p.customer, p.d, arg_max(status, start_date) AS status FROM panel p LEFT JOIN s ON p.customer = s.customer AND p.d BETWEEN start_date AND e GROUP BY 1, 2""")
+def jn04_interval_member_by_order(spark: SparkSession, sf: str) -> DataFrame:
+    spans = changes(spark, sf).withColumn("end_date", F.date_add("start_date", 90))
+    return joins.interval_member(_order_panel(spark, sf), spans, "customer", "d", "start_date", "end_date", ["status"])
+
+
 @query(f"""WITH {_CHANGES}, cal AS (SELECT DISTINCT l_shipdate::DATE AS d FROM lineitem WHERE dayofweek(l_shipdate) BETWEEN 1 AND 5)
 SELECT customer, cal.d, arg_max(status, start_date) AS status FROM changes JOIN cal ON cal.d BETWEEN start_date AND start_date + 10 GROUP BY 1, 2""")
 def jn05_expand_intervals(spark: SparkSession, sf: str) -> DataFrame:
