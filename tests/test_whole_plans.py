@@ -57,3 +57,27 @@ def test_panels_hold_all_customers_of_the_orders(spark, tmp_path):
     assert {(r["customer"], r["d"]) for r in member} == want and any(r["status"] for r in member)
     label = QUERIES["jn03_as_of_label_by_order"](spark, str(tmp_path)).collect()
     assert {r["customer"] for r in label} == {c for c, _ in want} and any(r["status"] for r in label)
+
+
+def test_fingerprint_tells_altered_contents_but_not_order(spark, tmp_path):
+    import pyspark.sql.functions as F
+
+    def of(name, df):
+        df.write.parquet(f"{tmp_path}/{name}/events.parquet")
+        return {tuple(r) for r in QUERIES["ag40_content_fingerprint"](spark, f"{tmp_path}/{name}").collect()}
+
+    events = _table(spark, "events")
+    first = events.agg(F.min("event_id")).first()[0]
+    one, base = F.col("event_id") == first, of("base", events)
+    assert len(base) == events.select("event_type").distinct().count() and all(None not in r for r in base)
+    assert of("order", events.repartition(7).orderBy(F.desc("event_id"))) == base
+    for c, other in {"value": F.col("value") + 1, "props": F.lit("{}"), "user_id": F.col("user_id") + 1, "ts": F.expr("ts + INTERVAL 1 SECOND")}.items():
+        got = of(c, events.withColumn(c, F.when(one, other).otherwise(F.col(c))))
+        assert len(got - base) == 1 and {r[:2] for r in got} == {r[:2] for r in base}
+
+
+def test_fingerprint_tells_the_place_of_a_null(spark):
+    from tideline.operators import quality
+
+    got = [quality.fingerprint(spark.createDataFrame([(1, *r)], "g int, a long, b long"), ["a", "b"], ["g"]).first()["hash_xor"] for r in ((5, None), (None, 5))]
+    assert got[0] != got[1]

@@ -55,8 +55,8 @@ def rank_correlation(df: DataFrame, a: str, b: str, by: list[str], least: int =
 
 
 def fingerprint(df: DataFrame, columns: list[str], by: list[str]) -> DataFrame:
-    """Order-independent content fingerprint: rows, sum and xor of row hashes."""
-    h = F.xxhash64(*columns)
+    """Order-independent content fingerprint: rows, sum and xor of row hashes. A null counts with its place."""
+    h = F.xxhash64(*[x for c in columns for x in (F.col(c), F.col(c).isNull())])
     return df.groupBy(*by).agg(F.count("*").alias("n_rows"), F.sum(h.cast("decimal(38,0)")).cast("string").alias("hash_sum"), F.bit_xor(h).alias("hash_xor"))
 
 

@@ -218,6 +218,12 @@ def ag40_fingerprint(spark: SparkSession, sf: str) -> DataFrame:
     return quality.fingerprint(table(spark, sf, "events"), ["event_id", "ts", "value"], ["event_type"]).select("event_type", "n_rows")
 
 
+@query()
+def ag40_content_fingerprint(spark: SparkSession, sf: str) -> DataFrame:
+    """All columns of the events; no SQL, as Spark's row hash has no DuckDB twin."""
+    return quality.fingerprint(table(spark, sf, "events"), ["event_id", "ts", "user_id", "value", "props"], ["event_type"])
+
+
 @query("SELECT page_id, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title, regexp_extract(html, '<html lang=\"([a-z]+)\"', 1) AS lang, len(regexp_extract_all(html, '<a href=\"([^\"]*)\"', 1)) AS n_links FROM pages")
 def io19_html_fields(spark: SparkSession, sf: str) -> DataFrame:
     h = F.col("html")
