@@ -126,6 +126,40 @@ def test_license_scan_base_and_suppression(spark, odd):
     assert len(licenses.rules()) > 300
 
 
+def _sample(tree, rnd):
+    """A random text that a parsed regex matches."""
+    out = b""
+    for op, arg in tree:
+        op = str(op)
+        if op == "LITERAL":
+            out += bytes([arg])
+        elif op == "IN":
+            kind, x = rnd.choice(arg)
+            out += bytes([x]) if str(kind) == "LITERAL" else b"%d" % rnd.randrange(10)
+        elif op == "MAX_REPEAT":
+            low, high, inner = arg
+            out += b"".join(_sample(inner, rnd) for _ in range(rnd.randint(low, min(int(high), low + 2))))
+        elif op == "SUBPATTERN":
+            out += _sample(arg[-1], rnd)
+        elif op == "BRANCH":
+            out += _sample(rnd.choice(arg[1]), rnd)
+        else:
+            assert op == "ASSERT", op
+    return out
+
+
+def test_license_prefilter_changes_no_result():
+    rnd = random.Random(8)
+    for r in licenses.rules():
+        tree = re._parser.parse(r.regex.pattern)
+        for _ in range(60):
+            text = _sample(tree, rnd) + b" "
+            assert r.regex.match(text), (r.name, text)
+            assert r.keyword in text and licenses.GATE.search(text), (r.name, text)
+    n, *_, score, found = licenses.Scanner().scan("This work is governed by the GPL v3 license.")
+    assert (n, score, [x.split(":", 1)[1] for x in found]) == (9, 0.9, ["gpl-3:under"])
+
+
 def _components(texts, percent=75):
     low = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
     sets = {}

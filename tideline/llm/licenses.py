@@ -156,7 +156,7 @@ def rules() -> list[Rule]:
     for line in NAMES.strip().split("\n"):
         label, names, keyword = (x.strip() for x in line.split(" | "))
         for form, frame, priority, confidence in FORMS:
-            need = keyword if len(keyword) > 2 else "spdx" if form == "tag" else "under" if form in ("grant", "under") else "licen"
+            need = keyword if len(keyword) > 2 else "spdx" if form == "tag" else "under" if form == "grant" else "licen"
             out.append(Rule(f"{label}:{form}", label, need.encode(), priority, confidence, re.compile(f" (?:{frame.format(names)})(?= )".encode())))
     for line in OTHERS.strip().split("\n"):
         name, label, keyword, priority, confidence, regex = (x.strip() for x in line.split(" | "))
