@@ -39,9 +39,9 @@ def unit_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no test item."""
-    leaks = decontamination.leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select("doc_id").distinct()
-    return docs.join(leaks, "doc_id", "left_anti").select(*COLUMNS)
+    """Documents that hold no test item; documents without an id share one fate, as those of equal ids do."""
+    leaks = decontamination.leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(F.col("doc_id").alias("leak_id")).distinct()
+    return docs.join(leaks, docs["doc_id"].eqNullSafe(leaks["leak_id"]), "left_anti").select(*COLUMNS)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,7 +51,7 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 STAGES = [("quality", quality_stage), ("near_dup", near_dup_stage), ("unit_dedup", unit_stage), ("decontamination", decontamination_stage), ("packing", packing_stage)]
 
-#: The classifier and the tokenizer are beyond SQL; the stages are tested against brute force.
+#: The classifier and the tokenizer are beyond SQL; near_dup, unit_dedup, decontamination and packing are tested against brute force.
 ORACLE_SQL = None
 
 

@@ -311,3 +311,66 @@ def test_pipeline(spark):
         assert out.columns == docs.columns, name
         assert stage(spark, docs.limit(0), SF).count() == 0, name
     assert corpus_pipeline.run(spark, SF).count() > 0
+
+
+def _units_kept(texts):
+    """Texts without repeated lines and repeated sentences of five words or more, by a plain scan."""
+    words = lambda x: tuple(re.findall(r"\w+", x.lower()))
+    lines_seen, units_seen, out = set(), set(), {}
+    for k in sorted(texts):
+        kept = ""
+        for line in re.findall(r"[^\n]*\n|[^\n]+", texts[k] or ""):
+            again = bool(words(line)) and words(line) in lines_seen
+            lines_seen.add(words(line))
+            for unit in re.split(r"(?<=[.!?] )", line):
+                own = words(unit)
+                if not again and not (len(own) >= 5 and own in units_seen):
+                    kept += unit
+                units_seen.add(own)
+        out[k] = texts[k] if texts[k] is None else kept
+    return out
+
+
+def _leaking(texts, items):
+    def sets(x):
+        w = [v for v in re.split(r"[\x20\x09-\x0D]+", (x or "").lower()) if v]
+        return {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
+
+    tests = [s for s in map(sets, items) if s]
+    return {k for k, x in texts.items() for own in [sets(x)] if any(100 * len(own & t) >= 75 * len(t) for t in tests)}
+
+
+def test_pipeline_stages_equal_brute_force(spark):
+    import corpus_pipeline
+
+    stages = dict(corpus_pipeline.STAGES)
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    items = [r["text"] for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    run = lambda name, df: {r["doc_id"]: r["text"] for r in stages[name](spark, df, SF).select("doc_id", "text").collect()}
+    texts = _texts(spark)
+    alone = run("near_dup", docs)
+    assert alone == {k: texts[k] for k, (_, _, kept) in _components(texts).items() if kept} and len(alone) < len(texts)
+    whole = _units_kept(texts)
+    units = run("unit_dedup", docs)
+    assert units == {k: x for k, x in whole.items() if x == texts[k] or x.strip(" ")} and units != texts
+    leaking = _leaking(texts, items)
+    clean = run("decontamination", docs)
+    assert clean == {k: x for k, x in texts.items() if k not in leaking} and leaking
+    # in a row, as the pipeline has them
+    good = run("quality", docs)
+    assert all(texts[k] == x for k, x in good.items()) and 0 < len(good) < len(texts)
+    left = {k: good[k] for k, (_, _, kept) in _components(good).items() if kept}
+    left = {k: x for k, x in _units_kept(left).items() if x == left[k] or (x or "").strip(" ")}
+    gone = _leaking(left, items)
+    left = {k: x for k, x in left.items() if k not in gone}
+    _check_packing(corpus_pipeline.run(spark, SF).collect(), left)
+
+
+def test_decontamination_drops_leaks_without_an_id(spark, monkeypatch):
+    import corpus_pipeline
+
+    item = next(r["text"] for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect() if len(r["text"].split()) >= 20)
+    docs = spark.createDataFrame([(None, item, "en", "s", 1), (1, item, "en", "s", 1), (2, "clean", "en", "s", 1)], "doc_id long, text string, lang string, source string, n_chars long")
+    for most in (50_000, 0):
+        monkeypatch.setattr(decontamination, "MOST_CONSTANT", most)
+        assert [r["doc_id"] for r in corpus_pipeline.decontamination_stage(spark, docs, SF).collect()] == [2]

@@ -65,7 +65,8 @@ def leaks(docs: DataFrame, items: DataFrame, *, percent: int = 75, id_col: str =
         # values alone are shuffled, and candidates fetch their documents again
         pairs = hashed.select("doc_id", F.explode("own").alias("value")).join(by_value.select("value", "item_id"), "value").select("doc_id", "item_id").distinct()
         sets = signatures.select("item_id", "n", "shingles").dropDuplicates(["item_id"])
-        found = pairs.join(hashed.withColumn("n_doc", F.size("own")), "doc_id").join(sets, "item_id")
+        again = hashed.select(F.col("doc_id").alias("own_id"), "own", F.size("own").alias("n_doc"))
+        found = pairs.join(again, F.col("doc_id").eqNullSafe(F.col("own_id"))).join(sets, "item_id")
     shared = F.size(F.array_intersect("own", "shingles")).alias("n_shared")
     rows = found.where(100 * F.col("n_doc") >= percent * F.col("n")).select("doc_id", "item_id", "n", shared)
     enough = 100 * F.col("n_shared") >= percent * F.col("n")
