@@ -26,17 +26,28 @@ from pyspark.sql import functions as F
 
 from tideline.llm.common import slices
 
-MOST_WORDS, MOST_RUNS = 500_000, 400_000
+MOST_RUNS = 600_000
 
+#: Letters of Latin-1, and those in lower case.
+_LETTERS, _LOWER = "A-Za-zªµºÀ-ÖØ-öø-ÿ", "a-zªµºß-öø-ÿ"
+#: Runs of letters and of what stands between them, in a lower-cased text of Latin-1.
+RUNS = re.compile(f"[{_LOWER}]+|[^{_LOWER} \n]+")
+#: The same in any text; a part between spaces that is not plain stays whole.
+MIXED = re.compile(f"[^ \n]*(?:[^\x00-\xff]|'|<\\|)[^ \n]*|[{_LETTERS}]+|[^{_LETTERS} \n]+")
+WORD = re.compile("[a-zß-öø-ÿ]+")
 
-#: Letters of Latin-1 in lower case, and what stands between them; both kinds of runs are tokenized apart.
-RUNS = re.compile("[a-zªµºß-öø-ÿ]+|[^a-zªµºß-öø-ÿ \n]+")
-LETTERS = re.compile("[a-zß-öø-ÿ]+")
-BEYOND = re.compile("[^\x00-\xff]|'|<\\|")
+
+def plain(text: str) -> bool:
+    """All Latin-1, without apostrophes and special strings."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return "'" not in text and "<|" not in text
 
 
 class WordIds(dict):
-    """Ids, as bytes, of the parts of texts between spaces and line feeds.
+    """Ids, as bytes, of runs of letters or of other characters, and of parts between spaces.
 
     The tokenizer lower-cases, drops white space and splits letters from other characters, so a text may be cut at
     spaces, and a part that is all Latin-1 without apostrophes (contractions) or "<|" (special strings) also between
@@ -50,56 +61,43 @@ class WordIds(dict):
 
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.runs: dict[str, bytes] = {}
+        self.code = "H" if self.kind.itemsize == 2 else "I"
         vocabulary = self.tokenizer.get_vocab()
         suffix = self.tokenizer.model.end_of_word_suffix
         self.closing = np.zeros(max(vocabulary.values()) + 1, bool)
         self.closing[[i for token, i in vocabulary.items() if suffix and token.endswith(suffix)]] = True
 
-    def learn(self, parts: set[str]) -> None:
-        """Tokenize parts that are not known yet."""
-        if len(self.runs) > MOST_RUNS:
-            self.runs.clear()
-        cut = {p: [p] if BEYOND.search(p) else RUNS.findall(p.lower()) for p in parts}
-        new = {r for own in cut.values() for r in own}.difference(self.runs)
-        words = [r for r in new if LETTERS.fullmatch(r)]
+    def learn(self, new: set[str]) -> None:
+        """Tokenize runs that are not known yet."""
+        words = list(filter(WORD.fullmatch, new))
+        rest = list(new.difference(words))
         for k in range(0, len(words), 500):
             # a word of letters only has one token that ends a word, its last
             own = words[k : k + 500]
             ids = np.array(self.encode([" ".join(own)])[0].ids, self.kind)
             ends = np.flatnonzero(self.closing[ids]) + 1
             if len(ends) != len(own):
-                new.update(own)
+                rest += own
                 continue
-            flat, at = ids.tobytes(), 0
-            for r, end in zip(own, (ends * self.kind.itemsize).tolist(), strict=True):
-                self.runs[r] = flat[at:end]
-                at = end
-            new.difference_update(own)
-        rest = list(new)
+            flat, stops = ids.tobytes(), (ends * self.kind.itemsize).tolist()
+            self.update(zip(own, map(flat.__getitem__, map(slice, [0, *stops], stops)), strict=True))
         for r, e in zip(rest, self.encode(rest), strict=True):
-            self.runs[r] = array(self.code, e.ids).tobytes()
-        for p, own in cut.items():
-            self[p] = b"".join([self.runs[r] for r in own])
+            self[r] = array(self.code, e.ids).tobytes()
 
     def encode(self, texts: list[str]) -> list:
         return self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
 
-    @property
-    def code(self) -> str:
-        return "H" if self.kind.itemsize == 2 else "I"
-
     def ids(self, texts: list[str], end_id: int) -> list[np.ndarray]:
         """The ids of each text and end_id."""
-        parts = [t.replace("\n", " ").split(" ") for t in texts]
-        new = set().union(*parts).difference(self)
+        runs = [RUNS.findall(t.lower()) if plain(t) else MIXED.findall(t) for t in texts]
+        new = set().union(*runs).difference(self)
         if new:
-            if len(self) > MOST_WORDS:
+            if len(self) > MOST_RUNS:
                 self.clear()
-                new = set().union(*parts)
+                new = set().union(*runs)
             self.learn(new)
         end = array(self.code, [end_id]).tobytes()
-        return [np.frombuffer(b"".join(map(self.__getitem__, own)) + end, self.kind) for own in parts]
+        return [np.frombuffer(b"".join(map(self.__getitem__, own)) + end, self.kind) for own in runs]
 
 
 class Tournament:
