@@ -200,6 +200,33 @@ def test_near_duplicates_equal_brute_force(spark, odd):
     assert got == _components(texts)
 
 
+def test_near_duplicates_of_repeated_rows_and_rows_without_ids(spark):
+    rnd = random.Random(12)
+    one, two = (" ".join(f"{c}{rnd.randrange(10**6)}" for _ in range(40)) for c in "xy")
+    rows = [(1, one), (1, one), (None, one), (5, two), (5, one + " tail"), (None, "alone in the world of texts"), (None, "alone in the world of texts"), (None, None), (7, ""), (7, "")]
+    for n in (1, 4):
+        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(n).withColumn("at", F.lit("x")).withColumn("ids", F.lit(1))
+        got = collections.Counter((r["doc_id"], r["n_shingles"], r["component_id"], r["kept"]) for r in near_dup.near_duplicates(df).collect())
+        want = [(1, 36, 1, True), (1, 36, 1, True), (None, 36, 1, False), (5, 36, 5, True), (5, 37, 1, False), (None, 2, None, True), (None, 2, None, True), (None, 0, None, True), (7, 0, 7, True), (7, 0, 7, True)]
+        assert got == collections.Counter(want)
+    assert near_dup.near_duplicates(df.limit(0)).count() == 0
+
+
+def test_sketch_limit_rejects_no_link():
+    """Sets at the smallest similarity allowed stay below the limit of differing bits at every size."""
+    rnd = np.random.default_rng(5)
+    for n in (70, 150, 300, 1200):
+        full = near_dup.BINS * (1 - np.exp(-n / near_dup.BINS))
+        lent = (near_dup.BINS - full) / full
+        independent = near_dup.BINS**2 / (full * (1 + 3 * lent + lent**2))
+        most = near_dup.BINS * 0.125 + 6 * near_dup.BINS * (0.875 * 0.125 / independent) ** 0.5
+        for _ in range(300):
+            shared = int(np.ceil(n * 0.75 * 2 / 1.75))
+            x = rnd.integers(0, 1 << 63, 2 * n - shared, dtype=np.uint64) * np.uint64(2)
+            a, b = near_dup.sketches(near_dup.signatures([np.sort(x[:n]), np.sort(x[n - shared :])]))
+            assert np.bitwise_count(a ^ b).sum() <= most
+
+
 def test_forest_finds_the_links_between_blocks():
     import pyarrow as pa
 
@@ -280,6 +307,42 @@ def test_top_k_with_ties_and_bad_vectors(spark):
     assert topk.top_k(df.limit(0), F.col("vec_id") % 50 == 0).count() == 0
 
 
+def test_top_k_prunes_and_stays_exact():
+    rnd = np.random.default_rng(3)
+    n, d = 6000, 32
+    v = np.floor(256 * rnd.normal(size=(n, d)) * rnd.lognormal(0, 0.6, size=(n, 1)) * np.exp(-np.arange(d) / 6))
+    ids, q = np.arange(n), np.arange(n) % 50 == 0
+    turn = np.linalg.eigh(v.T @ v)[1][:, ::-1]
+    order = np.argsort(-np.sqrt((v * v).sum(1)), kind="stable")
+    owner, _, scores, scored = topk.find(ids[q], v[q], np.full(q.sum(), -np.inf), ids[order], v[order], turn, 5)
+    every = v[q] @ v.T
+    every[np.arange(q.sum()), ids[q]] = -np.inf
+    assert {i: sorted(scores[owner == i]) for i in ids[q]} == {i: sorted(np.sort(x)[-5:]) for i, x in zip(ids[q], every, strict=True)}
+    assert scored < 0.05 * q.sum() * n
+    # with the thresholds of a round before, later blocks of short vectors are not scored at all
+    least = np.array([scores[owner == i].min() for i in ids[q]])
+    assert topk.find(ids[q], v[q], least, ids[order[3000:]], v[order[3000:]], turn, 5)[3] < 0.001 * q.sum() * n
+
+
+def test_top_k_in_rounds_of_blocks(spark):
+    rnd = np.random.default_rng(6)
+    rows = [(i, [float(x) for x in rnd.normal(size=8) * np.exp(rnd.normal())]) for i in range(900)] + [(50, [0.0] * 8), (100, None)]
+    rows.append(rows[0])
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("block", F.lit(1)).withColumn("length", F.lit("x")).withColumn("score", F.lit(0))
+    v = [(i, np.floor(256 * np.array(x))) for i, x in rows if x]
+    asked = collections.defaultdict(set)
+    for i, x in v:
+        if i % 50 == 0:
+            asked[i].add(tuple(x))
+    want = []
+    for q, vectors in asked.items():
+        best = sorted((-int(np.array(x) @ y), i) for x in vectors for i, y in v if i != q)[:5]
+        want += [(q, k + 1, i, -s) for k, (s, i) in enumerate(best)]
+    for most in (40, 10_000):
+        got = topk.top_k(df, F.col("vec_id") % 50 == 0, block_rows=most, query_rows=7, growth=3).collect()
+        assert sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in got) == sorted(want)
+
+
 def test_fixity_finds_every_kind_of_damage(spark):
     pages = spark.createDataFrame([(i, f"http://h/{i}", None if i == 3 else "x" * i) for i in range(300)], "page_id long, url string, html string")
     held = fixity.archive(pages, records_per_file=64)
