@@ -20,12 +20,26 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def materialize(df: DataFrame) -> DataFrame:
     """Cut lineage with a reliable checkpoint in the folder that the cluster names.
 
-    A temporary folder is used only where spark.checkpoint.dir is unset (tests).
+    What no plan refers to any more is collected on the driver, so that Spark's cleaner deletes its shuffle files and
+    checkpoints now and not at the driver's next collection: many small steps would else fill the disks.
     """
-    sc = df.sparkSession.sparkContext
+    shared_folder(df.sparkSession)
+    out = df.checkpoint(eager=True)
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return out
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """spark.checkpoint.dir; where it is unset a temporary folder, in local mode only, as other machines do not see it."""
+    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tideline-"))
-    return df.checkpoint(eager=True)
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder:
+            if not sc.master.startswith("local[") and sc.master != "local":
+                raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
+            folder = tempfile.mkdtemp(prefix="tideline-")
+        sc.setCheckpointDir(folder)
+    return sc.getCheckpointDir()
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int) -> Iterator[pa.RecordBatch]:

@@ -264,11 +264,10 @@ def components(edges: DataFrame) -> DataFrame:
         ends = materialize(ends)
         if not ends.where("n + holds > 1").limit(1).count():
             return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
-        # a centre hands its smallest neighbour to all that hang on it
+        # a centre hands its smallest neighbour to all that hang on it, and these join their smallest ones together
         centres = ends.where("holds = 1").select(F.col("node").alias("b"), "m")
-        large = _spread(now, centres, ["b"], "a").select("a", F.col("m").alias("b")).distinct()
-        lowest = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(lowest, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).union(lowest.select("a", F.col("m").alias("b")))
+        large = _spread(now, centres, ["b"], "a").select("a", F.col("m").alias("b"))
+        small = large.withColumn("m", F.min("b").over(Window.partitionBy("a"))).select(F.explode(F.array("a", "b")).alias("a"), F.col("m").alias("b"))
         now = materialize(small.where("a <> b").distinct())
 
 
@@ -294,12 +293,14 @@ def near_duplicates(docs: DataFrame, *, percent: int = 75, id_col: str = "doc_id
         """Full sets of nodes, made anew from one text of each."""
         return materialize(full_sets(base.join(nodes.join(sizes.select("node", "at"), "node"), "at")))
 
-    stars = materialize(close(members.where("node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()))
-    sets = sets_of(stars.select(F.col("a").alias("node")).union(stars.select("b")).distinct())
-    links = [materialize(confirm(stars.groupBy("b").agg(F.min("a").alias("a")), sets, percent))]
-    roots = components(links[0])
-    links.append(materialize(confirm(_apart(stars, roots), sets, percent)))
-    roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(links[1]))
+    stars = close(members.where("node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct())
+    stars = materialize(stars.withColumn("m", F.min("a").over(Window.partitionBy("b"))))
+    sets = sets_of(stars.select(F.explode(F.array("a", "b")).alias("node")).distinct())
+    first = materialize(confirm(stars.where("a = m").select("a", "b"), sets, percent))
+    x, y = (first.select(F.col("b").alias(c), F.col("a").alias(f"hub_{c}")) for c in "ab")
+    apart = F.coalesce("hub_a", "a") != F.coalesce("hub_b", "b")
+    second = confirm(stars.where("a <> m").select("a", "b").join(x, "a", "left").join(y, "b", "left").where(apart).select("a", "b"), sets, percent)
+    roots = components(first.union(second))
 
     # buckets that still hold more than one component
     labelled = members.select("key", "node").join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
@@ -307,12 +308,13 @@ def near_duplicates(docs: DataFrame, *, percent: int = 75, id_col: str = "doc_id
     mixed = _spread(labelled, materialize(mixed), ["key"], "node").distinct()
     left = materialize(mixed.join(sizes.drop("first_id", "at"), "node"))
     counts = materialize(left.groupBy("key").agg(F.count("*").alias("members"), F.min("node").alias("centre")))
+    left = materialize(_spread(left, counts, ["key"], "node"))
     columns = ("node", "root", "n_shingles", *SKETCH)
-    p, q = (left.join(counts.where(F.col("members") <= FEW), "key").select("key", *(F.col(c).alias(f"{c}_{x}") for c in columns)) for x in "ab")
+    p, q = (left.where(F.col("members") <= FEW).select("key", *(F.col(c).alias(f"{c}_{x}") for c in columns)) for x in "ab")
     p, q = p.withColumnsRenamed({"node_a": "a", "n_shingles_a": "na"}), q.withColumnsRenamed({"node_b": "b", "n_shingles_b": "nb"})
     pairs = materialize(p.join(q, "key").where((F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b")) & _near(percent)).select("a", "b").distinct())
-    large = materialize(_spread(left, counts.where(F.col("members") > FEW), ["key"], "node"))
-    asked = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(large.select("node")).distinct()
+    large = left.where(F.col("members") > FEW)
+    asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).union(large.select("node")).distinct()
     sets = sets.union(sets_of(asked.join(sets.select("node"), "node", "left_anti")))
     links = [roots.select(F.col("node").alias("a"), F.col("root").alias("b")), confirm(pairs, sets, percent)]
     if not large.isEmpty():
@@ -329,13 +331,6 @@ def near_duplicates(docs: DataFrame, *, percent: int = 75, id_col: str = "doc_id
     return out.select("doc_id", "n_shingles", own.alias("component_id"), own.eqNullSafe(F.col("doc_id")).alias("kept"))
 
 
-def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
-    """Those pairs (a, b) whose ends are not of one component."""
-    x, y = (roots.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}")) for c in "ab")
-    named = pairs.join(x, "a", "left").join(y, "b", "left")
-    return named.where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
-
-
 #: Columns of the sketch.
 SKETCH = ("b0", "b1", "b2", "b3")
 #: Buckets of so many members are compared pair by pair; larger ones meet in blocks.
