@@ -59,7 +59,8 @@ def rotation(ints: DataFrame) -> np.ndarray:
             n = len(total)
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(n * n, dtype=np.int64)), pa.array(total.ravel())], names=["i", "x"])
 
-    cells = ints.select("v").mapInArrow(moments, "i long, x double").groupBy("i").agg(F.sum("x").alias("x")).orderBy("i").collect()
+    cells = ints.select("v").mapInArrow(moments, "i long, x double").groupBy("i").agg(F.sum("x").alias("x")).collect()
+    cells.sort(key=lambda c: c["i"])
     n = int(round(len(cells) ** 0.5))
     if not n:
         return np.zeros((0, 0))
@@ -68,7 +69,7 @@ def rotation(ints: DataFrame) -> np.ndarray:
 
 
 #: A block: its vectors in the order in which it was filled, as one flat list.
-BLOCK = "block long, ids array<long>, values array<double>, lengths array<double>, longest double"
+BLOCK = "block long, ids array<long>, values array<double>, longest double"
 
 
 def _blocks(rows: DataFrame, most: int) -> DataFrame:
@@ -82,7 +83,7 @@ def _blocks(rows: DataFrame, most: int) -> DataFrame:
             ids = np.concatenate([b.column("vec_id").to_numpy() for b in parts])
             values = np.concatenate([_matrix(b.column("v")) for b in parts]).astype(np.float64).ravel()
             lengths = np.concatenate([b.column("length").to_numpy() for b in parts])
-            return pa.RecordBatch.from_pydict({"block": [block], "ids": [ids], "values": [values], "lengths": [lengths], "longest": [lengths.max()]}, schema=ARROW_BLOCK)
+            return pa.RecordBatch.from_pydict({"block": [block], "ids": [ids], "values": [values], "longest": [lengths.max()]}, schema=ARROW_BLOCK)
 
         held = 0
         for batch in batches:
@@ -100,7 +101,7 @@ def _blocks(rows: DataFrame, most: int) -> DataFrame:
     return rows.mapInArrow(run, BLOCK)
 
 
-ARROW_BLOCK = pa.schema([("block", pa.int64()), ("ids", pa.list_(pa.int64())), ("values", pa.list_(pa.float64())), ("lengths", pa.list_(pa.float64())), ("longest", pa.float64())])
+ARROW_BLOCK = pa.schema([("block", pa.int64()), ("ids", pa.list_(pa.int64())), ("values", pa.list_(pa.float64())), ("longest", pa.float64())])
 
 
 def top_k(vectors: DataFrame, is_query: Column, *, k: int = 5, scale: int = 256, block_rows: int = 8192, query_rows: int = 2048, growth: int = 8, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -117,7 +118,7 @@ def top_k(vectors: DataFrame, is_query: Column, *, k: int = 5, scale: int = 256,
     count = lambda rows, most: max(1, -(-rows.count() // most))
     blocks = materialize(_blocks(measured.repartitionByRange(count(measured, block_rows), *order).sortWithinPartitions(*order), block_rows))
     queries = measured.where(is_query).dropDuplicates(["vec_id", "v"])
-    asked = materialize(_blocks(queries.repartition(count(queries, query_rows), F.xxhash64("vec_id", F.lit(1))), query_rows).select(F.col("block").alias("query_block"), F.col("ids").alias("query_ids"), F.col("values").alias("queries"), "lengths"))
+    asked = materialize(_blocks(queries.repartition(count(queries, query_rows), F.xxhash64("vec_id", F.lit(1))), query_rows).select(F.col("block").alias("query_block"), F.col("ids").alias("query_ids"), F.col("values").alias("queries")))
     # the order of blocks, not of rows: one short row for each block
     ranked = materialize(blocks.select("block", "longest", F.row_number().over(Window.orderBy(F.desc("longest"), "block")).alias("place")))
     total = ranked.count()
@@ -125,50 +126,52 @@ def top_k(vectors: DataFrame, is_query: Column, *, k: int = 5, scale: int = 256,
     while done < total:
         now = ranked.where((F.col("place") > done) & (F.col("place") <= done + size)).select("block", "longest")
         found = _round(blocks, now, asked, best, turn, k)
-        found = found if best is None else found.union(best.select("query_id", "vec_id", "score"))
+        found = found if best is None else found.union(best.drop("rank"))
         w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
         best = materialize(found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k))
         done, size = done + size, size * growth
     return best.select("query_id", "rank", "vec_id", "score") if best is not None else vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
 
 
+#: What a search returns for each candidate; length is the query's.
+FOUND = "query_block long, query_id long, length double, vec_id long, score long"
+
+
 def _round(blocks: DataFrame, now: DataFrame, asked: DataFrame, best: DataFrame | None, turn: np.ndarray, k: int) -> DataFrame:
     """Candidates for the best k of each query in the blocks `now`, given the best ones of the rounds before."""
     if best is None:
-        known = asked.withColumn("least", F.transform("query_ids", lambda x: F.lit(float("-inf")))).withColumn("need", F.lit(float("-inf")))
+        known = asked.withColumns({"least": F.array().cast("array<struct<id:long,t:long>>"), "need": F.lit(float("-inf"))})
     else:
+        t = F.col("score")
+        need = F.when(t <= 0, F.lit(float("-inf"))).when(F.col("length") == 0, F.lit(float("inf"))).otherwise(t / F.col("length"))
+        told = best.where(F.col("rank") == k).groupBy("query_block").agg(F.collect_list(F.struct(F.col("query_id").alias("id"), t.alias("t"))).alias("least"), F.min(need).alias("need"))
         # a query with fewer than k results has no threshold yet
-        least = best.where(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").cast("double").alias("t"))
-        each = asked.select("query_block", F.posexplode(F.arrays_zip("query_ids", "lengths")).alias("at", "x")).select("query_block", "at", F.col("x.query_ids").alias("id"), F.col("x.lengths").alias("length"))
-        each = each.join(least, "id", "left").select("query_block", "at", F.coalesce("t", F.lit(float("-inf"))).alias("t"), "length")
-        need = F.when(F.col("t") <= 0, F.lit(float("-inf"))).when(F.col("length") == 0, F.lit(float("inf"))).otherwise(F.col("t") / F.col("length"))
-        told = each.groupBy("query_block").agg(F.sort_array(F.collect_list(F.struct("at", "t")))["t"].alias("least"), F.min(need).alias("need"))
-        known = asked.join(told, "query_block")
-    known = materialize(known)
-    tags = known.select("query_block", "need")
-    last = tags.agg(F.sort_array(F.collect_set("query_block"))).first()[0]
-    pairs = now.withColumn("query_block", F.explode(F.array(*[F.lit(x) for x in last]).cast("array<bigint>"))).join(tags, "query_block")
-    pairs = materialize(pairs.where(F.col("longest") * (1 + 1e-9) >= F.col("need")).select("block", "query_block"))
+        known = asked.join(told, "query_block", "left")
+        known = known.withColumn("need", F.when(F.size("least") == F.size("query_ids"), F.col("need")).otherwise(F.lit(float("-inf"))))
+        known = materialize(known.withColumn("least", F.coalesce("least", F.array().cast("array<struct<id:long,t:long>>"))))
+    # one row for each pair of blocks that may hold a result; of the blocks only their bounds meet here
+    pairs = materialize(now.join(known.select("query_block", "need"), F.col("longest") * (1 + 1e-9) >= F.col("need")).select("block", "query_block"))
     left = blocks.join(pairs, "block").select("block", "query_block", "ids", "values")
     right = known.join(pairs, "query_block").select("block", "query_block", "query_ids", "queries", "least")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                q_ids, q, least, v_ids, v = (batch.column(c)[i].values.to_numpy() for c in ("query_ids", "queries", "least", "ids", "values"))
-                yield found_rows(*find(q_ids, q.reshape(len(q_ids), -1), least, v_ids, v.reshape(len(v_ids), -1), turn, k)[:3])
-
-    return left.join(right, ["block", "query_block"]).select("query_ids", "queries", "least", "ids", "values").mapInArrow(search, "query_id long, vec_id long, score long")
-
+                q_ids, q, v_ids, v = (batch.column(c)[i].values.to_numpy() for c in ("query_ids", "queries", "ids", "values"))
+                q, v = q.reshape(len(q_ids), -1), v.reshape(len(v_ids), -1)
+                at = {x["id"]: float(x["t"]) for x in batch.column("least")[i].as_py()}
+                owner, ids, scores, _ = find(q_ids, q, np.array([at.get(x, -np.inf) for x in q_ids.tolist()]), v_ids, v, turn, k)
+                block = np.full(len(owner), batch.column("query_block")[i].as_py(), np.int64)
+                columns = [pa.array(x) for x in (block, q_ids[owner], np.sqrt((q * q).sum(1))[owner], ids, scores)]
+                yield pa.RecordBatch.from_arrays(columns, names=["query_block", "query_id", "length", "vec_id", "score"])
 
-def found_rows(q_ids: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(q_ids), pa.array(ids), pa.array(scores)], names=["query_id", "vec_id", "score"])
+    return left.join(right, ["block", "query_block"]).select("query_block", "query_ids", "queries", "least", "ids", "values").mapInArrow(search, FOUND)
 
 
 def find(q_ids: np.ndarray, q: np.ndarray, least: np.ndarray, v_ids: np.ndarray, v: np.ndarray, turn: np.ndarray, k: int, step: int = 128) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
     """Best k of candidates v, longest first, for each query, of those that reach its threshold `least`.
 
-    Returns query ids, vector ids, scores, and how many pairs were scored. Vectors hold integers as floats.
+    Returns places of queries, vector ids, scores, and how many pairs were scored. Vectors hold integers as floats.
     """
     d = v.shape[1]
     top = (np.abs(q).max(initial=0) * np.abs(v).max(initial=0)) * d
@@ -229,4 +232,4 @@ def find(q_ids: np.ndarray, q: np.ndarray, least: np.ndarray, v_ids: np.ndarray,
         full = rows[count[rows] == k]
         least[full] = np.maximum(least[full], best_score[full, k - 1])
     used = np.arange(k)[None] < count[:, None]
-    return np.repeat(q_ids, count), best_id[used], best_score[used], scored
+    return np.repeat(np.arange(len(q)), count), best_id[used], best_score[used], scored
