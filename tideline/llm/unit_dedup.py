@@ -10,8 +10,9 @@ With `whole_lines=False` lines are not compared, so short sentences of repeated
 The digests of a task are reduced to their first occurrence before the exchange, so a line that stands in a third of all
 documents is shuffled once a task, and what is lost inside a task travels by its own place.
 
-Null and empty texts have no units and stay as they are. Documents should have ids of their own: units of equal ids are
-told apart by their place only. Extra columns are kept; an empty table gives none.
+Null and empty texts have no units and stay as they are, and so do documents without an id. Rows of one id and one text
+are one document: they lose the same units, and none to each other. Rows of one id and different texts are documents in
+order of a hash of their texts. Extra columns are kept; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -48,30 +49,30 @@ def _lines(pieces: list[str]) -> Iterator[tuple[int, int]]:
 
 def _occurrences(min_words: int, whole_lines: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first: dict[int, tuple[int, int, int, int]] = {}
-        lost: list[tuple[int, int, int, int]] = []
+        first: dict[int, tuple[int, int, int, int, int]] = {}
+        lost: list[tuple[int, int, int, int, int]] = []
 
         def reduced() -> pa.RecordBatch:
             rows = [(h, *x, False) for h, x in first.items()]
-            rows += [(xxhash.xxh64_intdigest(b"%d %d" % x[:2]), *x, True) for x in lost]
+            rows += [(xxhash.xxh64_intdigest(b"%d %d %d" % x[:3]), *x, True) for x in lost]
             first.clear()
             lost.clear()
-            h, doc, k, start, end, known = zip(*rows, strict=True)
+            h, doc, at, k, start, end, known = zip(*rows, strict=True)
             signed = pa.array([x - (1 << 64) if x >> 63 else x for x in h], pa.int64())
-            return pa.RecordBatch.from_arrays([signed, pa.array(doc, pa.int64()), pa.array(k, pa.int32()), pa.array(start, pa.int32()), pa.array(end, pa.int32()), pa.array(known, pa.bool_())], names=["digest", "doc_id", "k", "start", "end", "known"])
+            return pa.RecordBatch.from_arrays([signed, pa.array(doc, pa.int64()), pa.array(at, pa.int64()), pa.array(k, pa.int32()), pa.array(start, pa.int32()), pa.array(end, pa.int32()), pa.array(known, pa.bool_())], names=["digest", "doc_id", "at", "k", "start", "end", "known"])
 
-        def add(h: int, own: tuple[int, int, int, int]) -> None:
+        def add(h: int, own: tuple[int, int, int, int, int]) -> None:
             other = first.get(h)
             if other is None:
                 first[h] = own
             elif own < other:
                 first[h] = own
                 lost.append(other)
-            else:
+            elif own != other:
                 lost.append(own)
 
         for batch in slices(batches, "text", 1 << 20):
-            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
+            for doc, row, text in zip(batch.column("doc_id").to_pylist(), batch.column("at").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 if doc is None:
                     continue
                 pieces, at = units(text or ""), 0
@@ -81,10 +82,10 @@ def _occurrences(min_words: int, whole_lines: bool):
                         words = WORDS.findall(pieces[k].lower())
                         line_words += words
                         if len(words) >= min_words:
-                            add(xxhash.xxh64_intdigest(" ".join(words)), (doc, k, at, at + len(pieces[k])))
+                            add(xxhash.xxh64_intdigest(" ".join(words)), (doc, row, k, at, at + len(pieces[k])))
                         at += len(pieces[k])
                     if whole_lines and line_words:
-                        add(xxhash.xxh64_intdigest(" ".join(line_words), 1), (doc, begin, line_at, at))
+                        add(xxhash.xxh64_intdigest(" ".join(line_words), 1), (doc, row, begin, line_at, at))
             if len(first) + len(lost) >= HELD:
                 yield reduced()
         if first:
@@ -126,13 +127,13 @@ def remove_repeated_units(docs: DataFrame, *, min_words: int = 5, whole_lines: b
 
     A column of docs with one of these names is replaced. Documents without an id keep their text.
     """
-    base = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    seen = base.mapInArrow(_occurrences(min_words, whole_lines), "digest long, doc_id long, k int, start int, end int, known boolean")
-    place = F.struct("doc_id", "k")
+    base = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("at"))
+    seen = base.mapInArrow(_occurrences(min_words, whole_lines), "digest long, doc_id long, at long, k int, start int, end int, known boolean")
+    place = F.struct("doc_id", "at", "k")
     lost = seen.withColumn("least", F.min(place).over(Window.partitionBy("digest"))).where(F.col("known") | (place > F.col("least")))
-    spans = lost.groupBy(F.col("doc_id").alias("_id")).agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans"))
-    rest = [c for c in docs.columns if c not in ("kept_text", "n_units", "spans", "_id")]
-    joined = docs.select(*rest).join(spans, docs[id_col] == spans["_id"], "left").drop("_id")
+    spans = lost.groupBy(F.col("doc_id").alias("_id"), F.col("at").alias("_at")).agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans"))
+    rest = [c for c in docs.columns if c not in ("kept_text", "n_units", "spans", "_id", "_at")]
+    joined = docs.select(*rest).join(spans, (F.col(id_col) == F.col("_id")) & (F.xxhash64(text_col) == F.col("_at")), "left").drop("_id", "_at")
     joined = joined.withColumn("spans", F.coalesce("spans", F.array().cast("array<struct<start:int,end:int>>")))
     if text_col != "text":
         joined = joined.withColumn("text", F.col(text_col))
