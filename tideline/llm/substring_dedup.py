@@ -14,8 +14,10 @@ The sort goes digit by digit, most significant first, and a group leaves it as s
 Anchors and classes are reduced to their smallest document inside each task before anything is shuffled, so a passage
 that fills a third of all documents is shuffled once a task.
 
-Hashes have 64 bits. Null is an empty text; texts shorter than a window lose nothing. Ids should be unique: equal ids
-count as one document and windows that they share are not removed. Extra columns are ignored.
+Hashes have 64 bits. Null is an empty text; texts shorter than a window lose nothing. Rows that share an id are not
+earlier than each other, so windows that only they share stay; `copy`, a hash of the text where ids repeat with different
+texts and else 0, tells such rows apart. Rows without an id are in no order: they lose nothing and take nothing. Each row
+gives a row; extra columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -133,7 +135,7 @@ def _run(first: np.ndarray, last: np.ndarray) -> np.ndarray:
 
 #: What is shuffled for each anchor: the gram's hash in two parts (40 bits beside the digit), and hashes of the context,
 #: of its left and of its right half, which are compared inside a gram only and so may be short.
-KINDS = (("gram", np.uint32), ("gram2", np.uint8), ("context", np.uint32), ("left", np.uint16), ("right", np.uint16), ("doc", np.int64), ("first", np.int32), ("length", np.uint8))
+KINDS = (("gram", np.uint32), ("gram2", np.uint8), ("context", np.uint32), ("left", np.uint16), ("right", np.uint16), ("doc", np.int64), ("copy", np.int64), ("first", np.int32), ("length", np.uint8))
 
 
 def _pack(name: str, x: np.ndarray, kind: type) -> bytes:
@@ -158,7 +160,7 @@ def _digits(digits: int, width: int):
     half = reach // 2
 
     def reduce(parts: list[list[np.ndarray]]) -> pa.RecordBatch:
-        gram, context, left, right, doc, first, last = (np.concatenate(x) for x in zip(*parts, strict=True))
+        gram, context, left, right, doc, copy, first, last = (np.concatenate(x) for x in zip(*parts, strict=True))
         order, starts = _grouped(gram, context, doc)
         lost = np.zeros(len(doc), bool)
         own = doc[order]
@@ -166,7 +168,7 @@ def _digits(digits: int, width: int):
         digit = np.where(lost, -1, (gram & _U(0xFFFFFF)).astype(np.int64) % digits)
         by = np.argsort(digit, kind="stable")  # stays in order of documents, which compresses well
         edges = np.flatnonzero(np.diff(digit[by], prepend=-2))
-        rows, columns = [], (gram >> _U(32), gram >> _U(24), context >> _U(32), left >> _U(48), right >> _U(48), doc, first, last - first)
+        rows, columns = [], (gram >> _U(32), gram >> _U(24), context >> _U(32), left >> _U(48), right >> _U(48), doc, copy, first, last - first)
         for a, b in zip(edges, np.append(edges[1:], len(by)), strict=True):
             rows.append((int(digit[by[a]]), *(_pack(name, x[by[a:b]], kind) for x, (name, kind) in zip(columns, KINDS, strict=True))))
         kinds = [pa.int64()] + [pa.binary()] * len(KINDS)
@@ -184,11 +186,11 @@ def _digits(digits: int, width: int):
             a, b = np.maximum(begin, p - reach), np.minimum(ends[owner], p + width)
             # what the run's windows reach: how far each side goes is part of the context
             context = prefix.hashes(a, b) ^ mix(((p - a) * 64 + (b - p)).astype(np.uint64) * _U(_BASE))
-            doc = batch.column("doc_id").to_numpy(zero_copy_only=False)[owner]
+            doc, copy = batch.column("doc_id").to_numpy()[owner], batch.column("copy").to_numpy()[owner]
             # every window holds the half context on one side at least
             left = prefix.hashes(np.maximum(begin, p - half), p + GRAM)
             right = prefix.hashes(p, np.minimum(ends[owner], p + GRAM + half))
-            parts.append([prefix.hashes(p, p + GRAM), context, left, right, doc, lo - begin, hi - begin])
+            parts.append([prefix.hashes(p, p + GRAM), context, left, right, doc, copy, lo - begin, hi - begin])
             held += len(p)
             if held >= HELD:
                 yield reduce(parts)
@@ -220,7 +222,7 @@ def _by_digit(batches: Iterator[pa.RecordBatch], kinds: tuple = KINDS) -> Iterat
 
 def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Step 2: inside each digit, runs of classes whose smallest document is another one, and those that step 3 asks for."""
-    for digit, (high, low, context, left, right, doc, first, length) in _by_digit(batches):
+    for digit, (high, low, context, left, right, doc, copy, first, length) in _by_digit(batches):
         ask = np.zeros(len(doc), bool)
         lost = np.ones(len(doc), bool)
         if digit >= 0:
@@ -247,7 +249,7 @@ def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first, length = first.astype(np.int64), length[out].astype(np.int64)
         # one long for each run; the low bits of the gram tell step 3's digit
         asked = ((high[out].astype(np.int64) & 0xFFFFFF) << 37) | (length << 32) | first
-        yield pa.RecordBatch.from_arrays([pa.array(doc[out]), pa.array(np.where(ask[out], asked, _run(first, first + length))), pa.array(ask[out])], names=["doc_id", "run", "asked"])
+        yield pa.RecordBatch.from_arrays([pa.array(doc[out]), pa.array(copy[out]), pa.array(np.where(ask[out], asked, _run(first, first + length))), pa.array(ask[out])], names=["doc_id", "copy", "run", "asked"])
 
 
 def _repeated(x: np.ndarray) -> np.ndarray:
@@ -260,7 +262,7 @@ def _repeated(x: np.ndarray) -> np.ndarray:
 
 
 #: What step 3 shuffles for each run that is asked for: its gram, place and number of windows, and the bytes they cover.
-ASKED = (("gram", np.uint32), ("doc", np.int64), ("first", np.int32), ("count", np.uint8), ("data", np.uint8))
+ASKED = (("gram", np.uint32), ("doc", np.int64), ("copy", np.int64), ("first", np.int32), ("count", np.uint8), ("data", np.uint8))
 
 
 def _ramp(counts: np.ndarray) -> np.ndarray:
@@ -278,16 +280,16 @@ def _spans(width: int, digits: int):
             values = runs.flatten().to_numpy()
             gram, length, first = values >> 37, (values >> 32) & 31, values & 0xFFFFFFFF
             begin = np.repeat(np.concatenate(([0], ends[:-1])), each)
-            doc = np.repeat(batch.column("doc_id").to_numpy(zero_copy_only=False), each)
+            doc, copy = (np.repeat(batch.column(c).to_numpy(), each) for c in ("doc_id", "copy"))
             by = np.argsort(gram % digits, kind="stable")
-            gram, first, begin, doc, count = gram[by], first[by], begin[by], doc[by], (length + 1)[by]
+            gram, first, begin, doc, copy, count = gram[by], first[by], begin[by], doc[by], copy[by], (length + 1)[by]
             covered = count + width - 1
             flat = data[np.repeat(begin + first, covered) + _ramp(covered)]
             edges = np.flatnonzero(np.diff(gram % digits, prepend=-1))
             at = np.concatenate(([0], np.cumsum(covered)))
             rows = []
             for a, b in zip(edges, np.append(edges[1:], len(gram)), strict=True):
-                columns = (gram[a:b], doc[a:b], first[a:b], count[a:b], flat[at[a] : at[b]])
+                columns = (gram[a:b], doc[a:b], copy[a:b], first[a:b], count[a:b], flat[at[a] : at[b]])
                 rows.append((int(gram[a] % digits), *(_pack(name, x, kind) for x, (name, kind) in zip(columns, ASKED, strict=True))))
             yield pa.RecordBatch.from_arrays([pa.array(list(x), k) for x, k in zip(zip(*rows, strict=True), (pa.int64(), *[pa.binary()] * len(ASKED)), strict=True)], names=["digit", *(n for n, _ in ASKED)])
 
@@ -298,19 +300,19 @@ def _late(width: int):
     """Step 3: windows that a smaller document has too, joined to runs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, (_gram, doc, first, count, data) in _by_digit(batches, ASKED):
+        for _, (_gram, doc, copy, first, count, data) in _by_digit(batches, ASKED):
             count = count.astype(np.int64)
             covered = count + width - 1
             at = np.repeat(np.cumsum(covered) - covered, count) + _ramp(count)
             window = Prefix(data).hashes(at, at + width)
-            doc, first = np.repeat(doc, count), np.repeat(first, count) + _ramp(count).astype(np.int32)
+            doc, copy, first = np.repeat(doc, count), np.repeat(copy, count), np.repeat(first, count) + _ramp(count).astype(np.int32)
             order, starts = _grouped(window, doc)
             own = doc[order]
             late = np.sort(order[own > np.repeat(own[starts], np.diff(np.append(starts, len(own))))])
-            doc, first = doc[late], first[late]
+            doc, copy, first = doc[late], copy[late], first[late]
             if len(doc):
-                new = np.flatnonzero(np.concatenate(([True], (doc[1:] != doc[:-1]) | (first[1:] != first[:-1] + 1))))
-                yield pa.RecordBatch.from_arrays([pa.array(doc[new]), pa.array(_run(first[new], first[np.append(new[1:], len(first)) - 1]))], names=["doc_id", "run"])
+                new = np.flatnonzero(np.concatenate(([True], (doc[1:] != doc[:-1]) | (copy[1:] != copy[:-1]) | (first[1:] != first[:-1] + 1))))
+                yield pa.RecordBatch.from_arrays([pa.array(doc[new]), pa.array(copy[new]), pa.array(_run(first[new], first[np.append(new[1:], len(first)) - 1]))], names=["doc_id", "copy", "run"])
 
     return run
 
@@ -323,7 +325,7 @@ def _apply(width: int):
             rows = []
             for text, runs in zip(batch.column("text").to_pylist(), batch.column("runs").to_pylist(), strict=True):
                 data, spans, kept, at = text.encode(), [], [], 0
-                for r in sorted(runs):
+                for r in sorted(set(runs)):
                     a, b = r >> 31, (r & 0x7FFFFFFF) + width
                     if spans and a <= spans[-1][1]:
                         spans[-1][1] = max(b, spans[-1][1])
@@ -346,24 +348,30 @@ def remove_repeats(docs: DataFrame, *, width: int = 50, digit_bytes: int = 6 <<
 
     digit_bytes: bytes of text for each digit of the first pass, which bounds the memory of a task.
     """
+    if not GRAM < width <= GRAM + 31:
+        raise ValueError(f"width must be from {GRAM + 1} to {GRAM + 31}: a run's windows and what they reach are counted in five and six bits")
     base = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    at = F.xxhash64("text")
+    several = base.where("doc_id is not null").select("doc_id", at.alias("at")).groupBy("doc_id").agg(F.min("at").alias("x"), F.max("at").alias("y")).where("x < y")
+    base = base.withColumn("copy", at if several.limit(1).count() else F.lit(0).cast("long"))
     total = base.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     digits = max(16, -(-int(total) // digit_bytes))
-    dealt = base.mapInArrow(_digits(digits, width), "digit long, " + ", ".join(f"{n} binary" for n, _ in KINDS))
+    dealt = base.where("doc_id is not null").mapInArrow(_digits(digits, width), "digit long, " + ", ".join(f"{n} binary" for n, _ in KINDS))
     # runs that are lost already need no digit and are spread by themselves
     spread = F.when(F.col("digit") < 0, F.xxhash64("doc", "first")).otherwise(F.col("digit"))
     # read twice below, from one shuffle
-    found = dealt.withColumn("to", spread).repartition("to").sortWithinPartitions("digit").mapInArrow(_classes, "doc_id long, run long, asked boolean")
+    found = dealt.withColumn("to", spread).repartition("to").sortWithinPartitions("digit").mapInArrow(_classes, "doc_id long, copy long, run long, asked boolean")
 
-    # both joins compare ids null-safely, so that Spark shuffles the texts once and reads that shuffle twice
-    runs = F.collect_list("run").alias("runs")
-    asked = found.where("asked").groupBy(F.col("doc_id").alias("id")).agg(runs)
-    spans = base.join(asked, base["doc_id"].eqNullSafe(asked["id"])).select("doc_id", "text", "runs")
+    # both joins compare alike, so that Spark shuffles the texts once and reads that shuffle twice
+    def of(rows: DataFrame, how: str) -> DataFrame:
+        by_row = rows.groupBy(F.col("doc_id").alias("id"), F.col("copy").alias("other")).agg(F.collect_list("run").alias("runs"))
+        return base.join(by_row, base["doc_id"].eqNullSafe(by_row["id"]) & (base["copy"] == by_row["other"]), how)
+
+    spans = of(found.where("asked"), "inner").select("doc_id", "copy", "text", "runs")
     spans = spans.mapInArrow(_spans(width, digits), "digit long, " + ", ".join(f"{n} binary" for n, _ in ASKED))
-    late = spans.repartition("digit").sortWithinPartitions("digit").mapInArrow(_late(width), "doc_id long, run long")
-    lost = found.where("not asked").select("doc_id", "run").union(late).groupBy(F.col("doc_id").alias("id")).agg(runs)
+    late = spans.repartition("digit").sortWithinPartitions("digit").mapInArrow(_late(width), "doc_id long, copy long, run long")
     return (
-        base.join(lost, base["doc_id"].eqNullSafe(lost["id"]), "left")
+        of(found.where("not asked").select("doc_id", "copy", "run").union(late), "left")
         .select("doc_id", "text", F.coalesce("runs", F.array().cast("array<bigint>")).alias("runs"))
         .mapInArrow(_apply(width), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary, spans array<struct<start:long,end:long>>")
     )
