@@ -6,16 +6,20 @@ the prefix that can still grow into a piece and on the last pieces at the positi
 (suffix, last pieces, relative counts) triple is a state; a transition carries the change of the token count (it may be
 negative, as a later character can join pieces). States are made when they are first reached and kept.
 
-White space (the word mark) resets the automaton, so a chunk of text maps any entry state to one exit state: the chunk
-map is (head still to be read from the entry state, count of the middle, tail that names the exit state). Chunk maps
-compose associatively; long texts are cut into chunks that Spark spreads, and the maps of a text are composed in a
-balanced tree as in a parallel prefix scan.
-
-Null and empty texts have no tokens. Repeated rows each give a row; extra columns are ignored.
+Long texts are cut into chunks that Spark spreads. A chunk map takes each state in which the text before may end to the
+state in which the chunk ends and to the change of the count. Which states those are is found by starting the machine at
+each of the last characters before the chunk: a state depends on what went before through a short suffix only, so nearly
+always all starts end in one state, and a text of one repeated character in as many as it has phases. Paths that meet go
+on as one. Maps compose associatively, level by level as in a parallel prefix scan; a text needs no white space for it. An
+entry state that a map lacks is walked for the whole text in its place, so the count is exact for every text.
+
+Null and empty texts have no tokens; an empty table gives no rows. Each row gives a row, repeated rows too; extra columns
+are ignored.
 """
 
 from __future__ import annotations
 
+import pickle
 import re
 from collections.abc import Iterator
 
@@ -23,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tideline.llm.common import materialize
+
 MARK = "▁"
 UNITS = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 #: States and words that are kept in a worker; beyond that they are made anew.
@@ -94,6 +100,21 @@ class Transducer:
         self.edges[at][c] = out = (to, delta)
         return out
 
+    def walk(self, state: tuple, text: str) -> tuple[tuple, int]:
+        """The state after `text` from a state, and the change of the count."""
+        if len(self.states) > MOST_STATES:
+            self.reset()
+        at = self.ids.get(state)
+        if at is None:
+            at = self.ids[state] = len(self.states)
+            self.states.append(state)
+            self.edges.append({})
+        total, edges = 0, self.edges
+        for c in text:
+            at, delta = edges[at].get(c) or self.step(at, c)
+            total += delta
+        return self.states[at], total
+
     def count(self, word: str) -> int:
         """Sum of the counts along the path of one word."""
         if len(self.states) > MOST_STATES:
@@ -130,29 +151,33 @@ def whole_count(words: Words, text: str) -> int:
     return sum(map(words.__getitem__, text[1:].replace("\n", MARK + "\n").split(MARK)))
 
 
-def chunk_map(words: Words, text: str) -> tuple[str, int, str | None]:
-    """(head, count, tail) of a marked chunk; tail None: no reset inside, the chunk is all head."""
-    starts = [m.start() for m in re.finditer(f"(?<=[^{MARK}]){MARK}", text)]
-    if not starts:
-        return text, 0, None
-    return text[: starts[0]], whole_count(words, text[starts[0] : starts[-1]]), text[starts[-1] :]
+#: A chunk map: entry state -> (exit state, change of the count).
+ChunkMap = dict[tuple, tuple[tuple, int]]
+#: Characters before a chunk from which the machine is started to find the entry states.
+LEAD = 48
+
 
+def chunk_map(machine: Transducer, lead: str, text: str) -> ChunkMap:
+    """The map of a marked chunk that the marked characters `lead` precede (none: the chunk begins the text)."""
+    entries = {machine.walk(machine.START, lead[k:])[0] for k in range(len(lead))} or {machine.START}
+    paths = {e: (e, 0) for e in entries}
+    for at in range(0, len(text), LEAD):
+        # paths that have met walk on as one
+        walked = {e: machine.walk(e, text[at : at + LEAD]) for e in {now for now, _ in paths.values()}}
+        paths = {e: (walked[now][0], n + walked[now][1]) for e, (now, n) in paths.items()}
+    return paths
 
-def compose(words: Words, a: tuple, b: tuple) -> tuple:
-    """The map of chunk a followed by chunk b."""
-    if a[2] is None:
-        return a[0] + b[0], b[1], b[2]
-    if b[2] is None:
-        return a[0], a[1], a[2] + b[0]
-    return a[0], a[1] + whole_count(words, a[2] + b[0]) + b[1], b[2]
 
+def compose(a: ChunkMap, b: ChunkMap) -> ChunkMap:
+    """The map of chunk a followed by chunk b, for the entries of a whose exits b knows."""
+    return {e: (b[x][0], n + b[x][1]) for e, (x, n) in a.items() if x in b}
 
-def scan(words: Words, maps: list[tuple]) -> int:
-    """Compose the maps of a text pairwise, level by level, and close the ends."""
+
+def scan(maps: list[ChunkMap]) -> int | None:
+    """Compose the maps of a text pairwise, level by level; None if a map lacks the entry that occurs."""
     while len(maps) > 1:
-        maps = [compose(words, *maps[i : i + 2]) if i + 1 < len(maps) else maps[i] for i in range(0, len(maps), 2)]
-    head, n, tail = maps[0]
-    return whole_count(words, head) + n + (whole_count(words, tail) if tail else 0)
+        maps = [compose(*maps[i : i + 2]) if i + 1 < len(maps) else maps[i] for i in range(0, len(maps), 2)]
+    return maps[0].get(Transducer.START, (None, None))[1]
 
 
 _compiled: dict[str, Words] = {}
@@ -189,30 +214,41 @@ def token_counts(docs: DataFrame, *, path: str, id_col: str = "doc_id", text_col
             )
 
     def maps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = load(path)
+        machine = load(path).machine
         for batch in batches:
-            found = [chunk_map(words, (MARK if k == 0 else "") + t.replace(" ", MARK)) for k, t in zip(batch.column("k").to_pylist(), batch.column("text").to_pylist(), strict=True)]
-            sizes = pa.array([len(t.encode()) for t in batch.column("text").to_pylist()], pa.int64())
-            cols = [batch.column("row"), batch.column("doc_id"), batch.column("k"), sizes] + [pa.array(list(x), kind) for x, kind in zip(zip(*found, strict=True), (pa.string(), pa.int64(), pa.string()), strict=True)]
-            yield pa.RecordBatch.from_arrays(cols, names=["row", "doc_id", "k", "size", "head", "n", "tail"])
+            found, sizes = [], []
+            for k, t in zip(batch.column("k").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                lead = LEAD if k else 0
+                marked = (MARK if k == 0 else "") + t.replace(" ", MARK)
+                found.append(pickle.dumps(chunk_map(machine, marked[:lead], marked[lead:])))
+                sizes.append(len(t[lead:].encode()))
+            cols = [*(batch.column(c) for c in ("doc_id", "at", "copies", "k")), pa.array(sizes, pa.int64()), pa.array(found, pa.binary())]
+            yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "at", "copies", "k", "size", "map"])
 
     def scans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = load(path)
         for batch in batches:
-            n = [scan(words, [(m["head"], m["n"], m["tail"]) for m in row]) for row in batch.column("maps").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_bytes"), pa.array(n, pa.int64()), pa.array([x > limit for x in n], pa.bool_())], names=["doc_id", "n_bytes", "n_tokens", "over_limit"])
+            n = [scan([pickle.loads(m["map"]) for m in row]) for row in batch.column("maps").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "at", "copies", "n_bytes")), pa.array(n, pa.int64())], names=["doc_id", "at", "copies", "n_bytes", "n_tokens"])
 
     length = F.length("text")
-    # equal rows of a long text stay apart by a row number of their own
-    long = (
-        base.where(length > chunk_chars)
-        .withColumn("row", F.monotonically_increasing_id())
-        .withColumn("k", F.explode(F.sequence(F.lit(0), F.ceil(length / chunk_chars).cast("int") - 1)))
-        .select("row", "doc_id", "k", F.substring(F.col("text"), F.col("k") * chunk_chars + 1, F.lit(chunk_chars)).alias("text"))
-        .repartition("row", "k")
-        .mapInArrow(maps, "row long, doc_id long, k int, size long, head string, n long, tail string")
-        .groupBy("row", "doc_id")
-        .agg(F.sum("size").alias("n_bytes"), F.sort_array(F.collect_list(F.struct("k", "head", "n", "tail"))).alias("maps"))
-        .mapInArrow(scans, out)
+    long = base.where(length > chunk_chars).withColumn("at", F.xxhash64("text"))
+    # equal rows have one map; a chunk brings the characters before it
+    begin = F.col("k") * chunk_chars + 1 - F.when(F.col("k") > 0, LEAD).otherwise(0)
+    size = chunk_chars + F.when(F.col("k") > 0, LEAD).otherwise(0)
+    chunks = (
+        long.withColumn("k", F.explode(F.sequence(F.lit(0), F.ceil(length / chunk_chars).cast("int") - 1)))
+        .select("doc_id", "at", "k", F.substring(F.col("text"), begin, size).alias("text"))
+        .groupBy("doc_id", "at", "k", "text")
+        .agg(F.count("*").alias("copies"))
+        .mapInArrow(maps, "doc_id long, at long, copies long, k int, size long, map binary")
+        .groupBy("doc_id", "at", "copies")
+        .agg(F.sum("size").alias("n_bytes"), F.sort_array(F.collect_list(F.struct("k", "map"))).alias("maps"))
+        .mapInArrow(scans, "doc_id long, at long, copies long, n_bytes long, n_tokens long")
     )
-    return base.where(length <= chunk_chars).mapInArrow(short, out).unionByName(long)
+    found = materialize(chunks)
+    composed = found.where("n_tokens is not null").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    composed = composed.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
+    # texts whose maps lacked an entry are walked whole
+    open_ = found.where("n_tokens is null").select(F.col("doc_id").alias("_id"), F.col("at").alias("_at"))
+    walked = long.join(open_, long["doc_id"].eqNullSafe(open_["_id"]) & (long["at"] == open_["_at"]), "left_semi").select("doc_id", "text").mapInArrow(short, out)
+    return base.where(length <= chunk_chars).mapInArrow(short, out).unionByName(composed).unionByName(walked)
