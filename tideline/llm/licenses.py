@@ -5,8 +5,9 @@ rules run over the words joined by single spaces. A rule runs only if its keywor
 word intervals; they are taken by priority, then length, then place, and one that lies inside an interval already
 taken is suppressed. Base phrases are counted at all their places and their labels are never suppressed.
 
-Null and empty texts have no words: counts 0, first_word and last_word null, labels "", score 0. Each row gives a row;
-extra columns are ignored. Texts are scanned whole.
+Null and empty texts have no words: counts 0, first_word and last_word null, labels "", score 0. Each row gives a row,
+repeated rows too; an empty table gives none; extra columns are ignored. Texts are scanned whole, in time that grows with
+their length and the number of detections.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -137,6 +139,106 @@ proprietary | proprietary | all rights reserved | 5 | 0.5 | all rights reserved
 cc-by-nc | cc-by-nc | cc by nc | 3 | 0.8 | (?:licensed under )?cc by nc
 cc-by-sa | cc-by-sa | cc by sa | 3 | 0.8 | (?:licensed under )?cc by sa
 cc-by | cc-by | cc by | 4 | 0.7 | (?:licensed under )?cc by
+mit-notice | mit | above copyright notice and this permission notice | 1 | 0.95 | the above copyright notice and this permission notice(?: including the next paragraph)? shall be included in all copies or substantial portions of the software
+mit-grant | mit | use copy modify merge publish | 1 | 0.95 | (?:including without limitation )?the rights to use copy modify merge publish distribute sublicense and or sell copies
+mit-short | mit | mit licen | 4 | 0.7 | mit licen[cs]ed?
+x11-names | x11 | x consortium | 2 | 0.9 | except as contained in this notice the name of the x consortium shall not be used in advertising
+hpnd-text | hpnd | permission to use copy modify and distribute | 1 | 0.9 | permission to use copy modify and distribute this software and its documentation for any purpose(?: and)?(?: without fee)? is hereby granted(?: without fee)?
+isc-short | isc | permission to use copy modify and or distribute | 1 | 0.9 | permission to use copy modify and or distribute this software
+0bsd-text | 0bsd | distribute this software for any purpose with or without fee | 2 | 0.8 | distribute this software for any purpose with or without fee is hereby granted
+bsd-names | bsd-3-clause | endorse or promote products | 1 | 0.95 | neither the names? of (?:\S+ ){1,12}?may be used to endorse or promote products derived from this software
+bsd-ads | bsd-4-clause | all advertising materials mentioning features | 1 | 0.95 | all advertising materials mentioning features or use of this software must display
+bsd-source | bsd | redistributions of source code must retain | 2 | 0.9 | redistributions of source code must retain the above copyright notice
+bsd-binary | bsd | redistributions in binary form must reproduce | 2 | 0.9 | redistributions in binary form must reproduce the above copyright notice
+bsd-style | bsd | bsd style licen | 3 | 0.8 | (?:a )?bsd style licen[cs]e
+bsd-patent | bsd-2-clause-patent | perpetual worldwide non exclusive no charge royalty free irrevocable | 2 | 0.8 | perpetual worldwide non exclusive no charge royalty free irrevocable(?: except for failure to satisfy the conditions of this licen[cs]e)? patent licen[cs]e
+apache-text | apache-2 | you may not use this file except in compliance | 0 | 1.0 | you may not use this file except in compliance with the licen[cs]e(?: you may obtain a copy of the licen[cs]e at)?
+apache-asis | apache-2 | distributed under the license is distributed on an as is | 1 | 0.95 | unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis
+apache-terms | apache-2 | terms and conditions for use reproduction and distribution | 1 | 0.95 | terms and conditions for use reproduction and distribution
+apache-notice | apache-2 | attribution notices contained within such notice file | 2 | 0.8 | attribution notices contained within such notice file
+apache-asf | apache-2 | licensed to the apache software foundation | 0 | 1.0 | licensed to the apache software foundation asf under one or more contributor license agreements
+apache-1-name | apache-1.1 | product includes software developed by the apache | 1 | 0.9 | this product includes software developed by the apache software foundation
+gpl-or-later-2 | gpl-2-or-later | either version 2 of the license | 0 | 1.0 | either version 2 of the license or at your option any later version
+gpl-or-later-3 | gpl-3-or-later | either version 3 of the license | 0 | 1.0 | either version 3 of the license or at your option any later version
+gpl-hope | gpl | hope that it will be useful | 1 | 0.9 | distributed in the hope that it will be useful but without any warranty
+gpl-received | gpl | received a copy of the gnu general public license | 1 | 0.95 | you should have received a copy of the gnu general public license along with
+lgpl-received | lgpl | received a copy of the gnu lesser general public license | 1 | 0.95 | you should have received a copy of the gnu lesser general public license along with
+lgpl-old-received | lgpl-2 | received a copy of the gnu library general public license | 1 | 0.95 | you should have received a copy of the gnu library general public license along with
+agpl-received | agpl | received a copy of the gnu affero general public license | 1 | 0.95 | you should have received a copy of the gnu affero general public license along with
+agpl-network | agpl-3 | remote network interaction | 2 | 0.85 | remote network interaction use with the gnu general public license
+gpl-preamble | gpl | free copyleft license for software | 1 | 0.95 | the gnu general public license is a free copyleft license for software and other kinds of works
+gpl-2-preamble | gpl-2 | licenses for most software are designed to take away | 1 | 0.95 | the licenses for most software are designed to take away your freedom to share and change it
+gpl-classpath | gpl-2-classpath | permission to link this library with independent modules | 1 | 0.95 | (?:give you|grants?) permission to link this library with independent modules
+gcc-exception | gpl-3-gcc-exception | gcc runtime library exception | 1 | 0.95 | gcc runtime library exception(?: version \d \d)?
+gfdl-text | gfdl | no invariant sections | 1 | 0.9 | with no invariant sections(?: with)? no front cover texts and(?: with)? no back cover texts
+mpl-text | mpl-2 | source code form is subject to the terms of the mozilla public license | 0 | 1.0 | this source code form is subject to the terms of the mozilla public license v 2 0
+mpl-1-text | mpl-1.1 | contents of this file are subject to the mozilla public license | 0 | 1.0 | the contents of this file are subject to the mozilla public license version 1 1
+mpl-incompatible | mpl-2-no-copyleft | incompatible with secondary licenses | 0 | 1.0 | this source code form is incompatible with secondary licenses
+epl-text | epl | accompanying materials are made available under the terms of the eclipse | 1 | 0.95 | (?:this program and the )?accompanying materials are made available under the terms of the eclipse public license(?: v \d \d| \d \d)?
+epl-url | epl | eclipse org legal | 1 | 0.95 | (?:https? )?(?:www )?eclipse org legal epl v\d\d?(?: html)?
+edl-url | edl-1 | eclipse org org documents edl | 1 | 0.95 | (?:https? )?(?:www )?eclipse org org documents edl v10(?: php| html)?
+cddl-text | cddl-1 | subject to the terms of the common development and distribution license | 0 | 1.0 | the contents of this file are subject to the terms of the common development and distribution license
+cddl-url | cddl-1 | opensource org licenses cddl | 1 | 0.95 | (?:https? )?opensource org licenses cddl(?: 1 0)?
+zlib-asis | zlib | held liable for any damages arising from the use of this software | 1 | 0.9 | in no event will the authors be held liable for any damages arising from the use of this software
+zlib-origin | zlib | origin of this software must not be misrepresented | 1 | 0.95 | the origin of this software must not be misrepresented you must not claim that you wrote the original software
+boost-text | boost-1 | obtaining a copy of the software and accompanying documentation covered by this license | 0 | 1.0 | permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license
+boost-url | boost-1 | boost org license | 1 | 0.95 | (?:https? )?(?:www )?boost org license 1 0 txt
+unlicense-anyone | unlicense | anyone is free to copy modify publish | 1 | 0.95 | anyone is free to copy modify publish use compile sell or distribute this software
+unlicense-url | unlicense | unlicense org | 1 | 0.95 | (?:https? )?unlicense org
+wtfpl-text | wtfpl | everyone is permitted to copy and distribute verbatim or modified | 1 | 0.95 | everyone is permitted to copy and distribute verbatim or modified copies of this license document
+beerware-text | beerware | buy me a beer | 1 | 0.95 | if we meet some day and you think this stuff is worth it you can buy me a beer in return
+artistic-text | artistic-1 | semblance of artistic control | 1 | 0.95 | copyright holder maintains some semblance of artistic control over the development of the package
+perl-terms | perl | same terms as perl | 1 | 0.9 | (?:you can redistribute it and or modify it )?under the same terms as perl itself
+ruby-terms | ruby | same terms as ruby | 1 | 0.9 | under the same terms as ruby(?: itself)?
+python-text | python-2 | python software foundation psf and the individual or organization | 0 | 1.0 | this license agreement is between the python software foundation psf and the individual or organization
+php-text | php-3 | product includes php software | 1 | 0.9 | this product includes php software freely available from
+openssl-text | openssl | openssl project for use in the openssl toolkit | 1 | 0.95 | developed by the openssl project for use in the openssl toolkit
+ssleay-text | ssleay | cryptographic software written by eric young | 1 | 0.95 | this product includes cryptographic software written by eric young
+postgresql-text | postgresql | university of california be liable to any party | 1 | 0.9 | in no event shall the university of california be liable to any party
+ncsa-text | ncsa | deal with the software without restriction | 1 | 0.9 | to deal with the software without restriction including without limitation the rights
+ofl-text | ofl-1.1 | reserved font name | 1 | 0.9 | (?:with )?reserved font name
+ofl-url | ofl-1.1 | scripts sil org ofl | 1 | 0.95 | (?:https? )?scripts sil org ofl
+eupl-text | eupl | eupl | 2 | 0.85 | (?:licensed under|under the terms of) the eupl
+eupl-url | eupl | joinup ec europa eu | 1 | 0.9 | (?:https? )?joinup ec europa eu(?: \S+){0,6} eupl
+osl-text | osl-3 | open software license version 3 | 0 | 1.0 | licensed under the open software license version 3 0
+afl-text | afl-3 | academic free license version 3 | 0 | 1.0 | licensed under the academic free license version 3 0
+ms-pl-text | ms-pl | accept this license if you do not accept | 2 | 0.8 | if you use the software you accept this license if you do not accept the license do not use the software
+sspl-service | sspl-1 | making the program available to third parties as a service | 1 | 0.95 | making the program available to third parties as a service
+busl-change | busl-1.1 | change date | 2 | 0.85 | change date (?:\S+ ){1,8}?change license
+busl-grant | busl-1.1 | additional use grant | 2 | 0.85 | additional use grant
+commons-clause-text | commons-clause | right to sell the software | 1 | 0.9 | does not grant to you the right to sell the software
+elastic-limits | elastic-2 | hosted or managed service | 1 | 0.9 | you may not provide the software to third parties as a hosted or managed service
+json-good | json | shall be used for good not evil | 0 | 1.0 | the software shall be used for good not evil
+hippocratic | hippocratic | hippocratic license | 2 | 0.9 | (?:the )?hippocratic license(?: version)?(?: \d(?: \d)?)?
+blueoak | blueoak-1 | blue oak model license | 2 | 0.95 | (?:the )?blue oak model license(?: 1 0 0)?
+mulan | mulan-psl | mulan psl | 2 | 0.95 | mulan psl ?v\d|mulan permissive software license(?: version)? \d mulan psl
+unicode | unicode | unicode data files | 2 | 0.9 | unicode data files and software
+ijg | ijg | independent jpeg group | 2 | 0.9 | based in part on the work of the independent jpeg group
+freetype | ftl | freetype | 2 | 0.9 | portions of this software are copyright (?:\S+ ){0,3}the freetype (?:project|team)(?: freetype team)?|the freetype team
+llama-community | llama-community | community license | 1 | 0.95 | (?:the )?(?:meta )?(?:llama \d (?:\d )?community|llama community) license(?: agreement)?|llama community license
+openrail | openrail | responsible ai license | 1 | 0.9 | (?:creative ml )?open ?rail(?: [mspd])?(?: plus plus)? responsible ai license|responsible ai license
+odc-by | odc-by-1 | open data commons attribution | 1 | 0.95 | open data commons attribution license(?: v ?1 0)?
+odbl-text | odbl-1 | made available under the open database license | 0 | 1.0 | made available under the open database license
+pddl-text | pddl-1 | open data commons public domain | 1 | 0.95 | open data commons public domain dedication(?: and)? licen[cs]e
+cdla | cdla | community data license agreement | 1 | 0.95 | community data license agreement (?:permissive|sharing)(?: version)? \d \d
+cc-legal | cc | creative commons corporation is not a law firm | 1 | 0.9 | creative commons corporation is not a law firm
+cc-licensed | cc | licensed under a creative commons | 1 | 0.85 | (?:this work )?is licensed under a creative commons
+cc-by-text | cc-by | licensed under a creative commons attribution | 0 | 0.95 | is licensed under a creative commons attribution (?:\d \d )?(?:international |unported |generic )?licen[cs]e
+cc-by-sa-text | cc-by-sa | licensed under a creative commons attribution share | 0 | 0.95 | is licensed under a creative commons attribution share ?alike(?: \d \d)?
+cc-by-nc-text | cc-by-nc | licensed under a creative commons attribution non | 0 | 0.95 | is licensed under a creative commons attribution non ?commercial (?:\d \d|licen[cs]e)
+cc-by-nc-nd | cc-by-nc-nd | cc by nc nd | 2 | 0.85 | (?:licensed under )?cc by nc nd
+cc-by-nc-sa | cc-by-nc-sa | cc by nc sa | 2 | 0.85 | (?:licensed under )?cc by nc sa
+cc-by-nd | cc-by-nd | cc by nd | 2 | 0.85 | (?:licensed under )?cc by nd
+cc0-waiver | cc0-1 | waived all copyright and related | 0 | 1.0 | (?:has|have) waived all copyright and related or neighboring rights
+cc0-dedicated | cc0-1 | dedicated the work to the public domain | 0 | 1.0 | dedicated the work to the public domain by waiving
+pd-mark | public-domain | free of known copyright restrictions | 1 | 0.9 | free of known copyright restrictions
+pd-government | public-domain | work of the united states government | 2 | 0.8 | work of the united states government(?: and is)?(?: not subject to copyright)?
+dual | dual | dual licensed under | 2 | 0.8 | dual licensed under
+proprietary-confidential | proprietary | proprietary and confidential | 3 | 0.7 | (?:is )?proprietary and confidential
+proprietary-copying | proprietary | unauthorized copying of this file | 2 | 0.8 | unauthorized copying of this file via any medium is strictly prohibited
+proprietary-permission | proprietary | without the prior written permission | 4 | 0.5 | without the prior written permission of
+non-commercial | non-commercial | non commercial | 4 | 0.5 | for (?:personal and |personal or )?non commercial (?:use|purposes) only
+research-only | research-only | research purposes only | 4 | 0.5 | (?:for )?(?:academic |non commercial )?research purposes only
 """
 
 
@@ -164,8 +266,35 @@ def rules() -> list[Rule]:
     return sorted(out, key=lambda r: (r.priority, r.name))
 
 
-#: A text without any of these has no keyword of any rule.
-GATE = re.compile("|".join(("licen", "spdx", "cc by", "under", "public domain", "redistribut", "permission", " org ", "all rights reserved", "unencumbered")).encode())
+#: A text without any of these has no keyword of any rule: words that every keyword or match holds one of.
+GATE = re.compile(
+    "|".join(
+        ("licen", "spdx", "cc by", "under", "public domain", "redistribut", "permi", " org ", "rights reserved", "unencumbered", "copy", "use grant", "software", "advertising", "endorse", "bsd style", "irrevocable", "reproduction", "notice file", "hope that", "network interaction")
+        + ("gcc", "invariant", "secondary", "materials", "anyone is free", "buy me a beer", "artistic control", "same terms", "php", "toolkit", "eric young", "california", "font name", "eupl", "joinup", "as a service", "managed service", "change date", "good not evil", "mulan", "unicode data")
+        + ("jpeg group", "freetype", "open data commons", "creative commons", "united states government", "dual", "proprietary", "unauthorized", "written", "non commercial", "research purposes", "psf", "eclipse", "sil org", "x consortium")
+    ).encode()
+)
+
+
+class Covered:
+    """Intervals taken so far, asked whether one of them holds another; a tree of largest ends over starts."""
+
+    def __init__(self, starts: list[int]):
+        self.place = {a: i for i, a in enumerate(sorted(set(starts)), 1)}
+        self.ends = [0] * (len(self.place) + 1)
+
+    def add(self, a: int, b: int) -> None:
+        i = self.place[a]
+        while i < len(self.ends):
+            self.ends[i] = max(self.ends[i], b)
+            i += i & -i
+
+    def holds(self, a: int, b: int) -> bool:
+        i, end = self.place[a], 0
+        while i:
+            end = max(end, self.ends[i])
+            i -= i & -i
+        return end >= b
 
 
 class Scanner:
@@ -175,35 +304,39 @@ class Scanner:
             self.by_keyword.setdefault(r.keyword, []).append(r)
         self.base = [(b" " + p.encode() + b" ", label) for p, label in BASE.items()]
 
-    def detections(self, joined: bytes) -> list[tuple[int, int, Rule]]:
-        """Detections that stay, as (first word, word after the last, rule)."""
+    def detections(self, joined: bytes, spaces: np.ndarray) -> list[tuple[int, int, Rule]]:
+        """Detections that stay, as (first word, word after the last, rule). spaces: places of blanks; word i is behind the i-th."""
         if not GATE.search(joined):
             return []
         found = []
         for keyword, own in self.by_keyword.items():
             if keyword in joined:
                 for r in own:
-                    for m in r.regex.finditer(joined):
-                        first = joined.count(b" ", 0, m.start() + 1) - 1
-                        found.append((first, first + m[0].count(b" "), r))
+                    spans = [m.span() for m in r.regex.finditer(joined)]
+                    if spans:
+                        places = np.searchsorted(spaces, np.array(spans))
+                        found += [(a, b, r) for a, b in places.tolist()]
         found.sort(key=lambda x: (x[2].priority, x[0] - x[1], x[0], x[2].name))
-        kept: list[tuple[int, int, Rule]] = []
+        taken, kept = Covered([a for a, _, _ in found]), []
         for a, b, r in found:
-            if not any(c <= a and b <= d for c, d, _ in kept):
+            if not taken.holds(a, b):
+                taken.add(a, b)
                 kept.append((a, b, r))
         return sorted(kept, key=lambda x: x[:2])
 
     def scan(self, text: str | None) -> tuple:
         words = (text or "").encode().translate(_TABLE).split()
         joined = b" " + b" ".join(words) + b" "
-        places, labels = [], set()
+        spaces = np.flatnonzero(np.frombuffer(joined, np.uint8) == 32)
+        starts, labels = [], set()
         for phrase, label in self.base:
             at = joined.find(phrase)
             while at >= 0:
-                places.append(joined.count(b" ", 0, at + 1) - 1)
+                starts.append(at)
                 labels.add(label)
                 at = joined.find(phrase, at + 1)
-        kept = self.detections(joined)
+        places = np.searchsorted(spaces, starts).tolist() if starts else []
+        kept = self.detections(joined, spaces)
         score = max([r.confidence for *_, r in kept] + [0.9] * bool(places), default=0.0)
         return len(words), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(labels)), ",".join(sorted(labels | {r.label for *_, r in kept})), score, [f"{a}-{b}:{r.name}" for a, b, r in kept]
 
