@@ -4,11 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Rows that are summed up at once in search of a bar's end.
+STEP = 256
+
+
 def ohlcv(trades: DataFrame, keys: list[str | Column], order: list[str], price: str = "price", volume: str = "volume") -> DataFrame:
     """One bar per key: first and last price in `order`, extremes, volume, amount and number of trades.
 
@@ -51,14 +56,21 @@ def activity_bars(trades: DataFrame, symbol: str, order: list[str], threshold: f
         now, held, bar = None, 0.0, 0
         for frame in frames:
             amount = (frame["volume"] if kind == "volume" else frame["price"] * frame["volume"]).to_numpy(float)
-            symbols, bars = frame["symbol"].to_numpy(), []
-            for s, x in zip(symbols, amount, strict=True):
-                if s != now:
-                    now, held, bar = s, 0.0, 0
-                bars.append(bar)
-                held += x
-                if held >= threshold:
-                    held, bar = 0.0, bar + 1
+            symbols = frame["symbol"].to_numpy()
+            bars = np.zeros(len(frame), np.int64)
+            edges = np.flatnonzero(np.concatenate(([True], symbols[1:] != symbols[:-1])))
+            for a, z in zip(edges.tolist(), [*edges[1:].tolist(), len(frame)], strict=True):
+                if symbols[a] != now:
+                    now, held, bar = symbols[a], 0.0, 0
+                # a bar ends where its sum reaches the threshold; one search finds each end
+                while a < z:
+                    sums = np.cumsum(np.concatenate(([held], amount[a : min(z, a + STEP)])))[1:]
+                    n = int(np.searchsorted(sums, threshold)) + 1
+                    bars[a : a + min(n, len(sums))] = bar
+                    if n <= len(sums):
+                        held, bar, a = 0.0, bar + 1, a + n
+                    else:
+                        held, a = float(sums[-1]), a + len(sums)
             yield frame.assign(bar=bars)
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in dealt.schema) + ", bar long"

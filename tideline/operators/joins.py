@@ -33,20 +33,21 @@ def as_of_label(panel: DataFrame, changes: DataFrame, symbol: str, date: str, st
 def interval_member(df: DataFrame, intervals: DataFrame, key: str, date: str, start: str, end: str, columns: list[str]) -> DataFrame:
     """The interval of the key that holds the date; of several the one that starts last; null if none."""
     spans = intervals.select(F.col(key).alias("_key"), F.col(start).alias("_start"), F.col(end).alias("_end"), *[F.col(c).alias(f"_{c}") for c in columns])
-    row = df.withColumn("_id", F.monotonically_increasing_id())
     inside = (F.col(key) == F.col("_key")) & (F.col(date) >= F.col("_start")) & (F.col("_end").isNull() | (F.col(date) <= F.col("_end")))
-    best = F.max_by(F.struct(*[F.col(f"_{c}").alias(c) for c in columns]), F.col("_start")).alias("_best")
-    hits = row.select("_id", key, date).join(spans, inside).groupBy("_id").agg(best)
-    return row.join(hits, "_id", "left").select(*df.columns, *[F.col(f"_best.{c}").alias(c) for c in columns])
+    found = F.struct(*[F.col(f"_{c}").alias(c) for c in columns])
+    # of each key and date once; of intervals that start together the one with the largest columns
+    hits = df.select(key, date).distinct().join(spans, inside).groupBy(key, date).agg(F.max_by(found, F.struct("_start", found)).alias("_best"))
+    return df.join(hits, [key, date], "left").select(*df.columns, *[F.col(f"_best.{c}").alias(c) for c in columns])
 
 
 def next_session(dates: DataFrame, calendar: DataFrame, date: str, session: str, strict: bool = True) -> DataFrame:
     """Adds next_session: the first open day after the date (at or after it if not strict); null beyond the calendar."""
-    days = calendar.select(F.col(session).alias("_day")).distinct()
-    span = days.withColumn("_before", F.lag("_day").over(Window.orderBy("_day")))  # one row a session
-    low = F.col("_before").isNull() | (F.col(date) >= F.col("_before") if strict else F.col(date) > F.col("_before"))
-    high = F.col(date) < F.col("_day") if strict else F.col(date) <= F.col("_day")
-    return dates.join(F.broadcast(span), low & high, "left").withColumnRenamed("_day", "next_session").drop("_before")
+    days = calendar.select(F.col(session).alias("_at")).distinct().select("_at", F.col("_at").alias("_day"), F.lit(0 if strict else 1).alias("_side"))
+    asked = dates.select(F.col(date).alias("_at")).where("_at IS NOT NULL").distinct().select("_at", F.lit(None).cast("date").alias("_day"), F.lit(1 if strict else 0).alias("_side"))
+    # one row for each date or session; a session of the same day stands before a strict date and behind another
+    ahead = Window.orderBy("_at", "_side").rowsBetween(1, Window.unboundedFollowing)
+    coming = days.unionByName(asked).withColumn("next_session", F.first("_day", ignorenulls=True).over(ahead)).where("_day IS NULL").select(F.col("_at").alias(date), "next_session")
+    return dates.join(coming, date, "left").select(*dates.columns, "next_session")
 
 
 def overlay(df: DataFrame, extra: DataFrame, keys: list[str], order: list[Column], columns: list[str]) -> DataFrame:

@@ -73,14 +73,17 @@ def replacement_state(disclosures: DataFrame, holdings: DataFrame, fund: str, st
     """Totals per stock over the holdings that are in force, whenever one of them enters or leaves.
 
     A fund's disclosure replaces its holdings before; of several on one day the latest period holds. disclosures: fund,
-    known, period, list_id. holdings: list_id, stock, value. Rows with zero funds mark a stock that nobody holds any more.
+    known, period, list_id. holdings: list_id, stock, value. Rows with zero funds mark a stock that nobody holds any more. A list holds a stock once.
     """
     w = Window.partitionBy(fund, known).orderBy(F.desc(period), F.desc("list_id"))
     ranked = disclosures.withColumn("_n", F.row_number().over(w))
     last = ranked.where("_n = 1").withColumn("_until", F.lead(known).over(Window.partitionBy(fund).orderBy(known)))
     held = last.join(holdings, "list_id").select(fund, stock, F.col(known).alias("_from"), "_until", value)
     superseded = ranked.where("_n > 1").join(holdings, "list_id").select(stock, F.col(known).alias(known))
-    moments = held.select(stock, F.col("_from").alias(known)).union(held.where("_until IS NOT NULL").select(stock, "_until")).union(superseded).distinct()
-    inside = (F.col("m." + known) >= F.col("h._from")) & (F.col("h._until").isNull() | (F.col("m." + known) < F.col("h._until")))
-    joined = moments.alias("m").join(held.alias("h"), (F.col("m." + stock) == F.col("h." + stock)) & inside, "left")
-    return joined.groupBy(F.col("m." + stock).alias(stock), F.col("m." + known).alias(known)).agg(F.countDistinct("h." + fund).alias("n_funds"), F.coalesce(F.sum("h." + value), F.lit(0.0)).alias("total"))
+    # what enters and leaves, summed up in order of time: no list is looked up again
+    enter = held.select(stock, F.col("_from").alias(known), F.lit(1).alias("_n"), F.col(value).alias("_v"))
+    leave = held.where("_until IS NOT NULL").select(stock, "_until", F.lit(-1), -F.col(value))
+    steps = enter.union(leave).union(superseded.select(stock, known, F.lit(0), F.lit(0.0))).groupBy(stock, known).agg(F.sum("_n").alias("_n"), F.sum("_v").alias("_v"))
+    so_far = Window.partitionBy(stock).orderBy(known)
+    out = steps.select(stock, known, F.sum("_n").over(so_far).alias("n_funds"), F.sum("_v").over(so_far).alias("_total"))
+    return out.select(stock, known, "n_funds", F.when(F.col("n_funds") == 0, 0.0).otherwise(F.col("_total")).alias("total"))

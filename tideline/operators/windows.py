@@ -115,13 +115,15 @@ def liquidity_universe(panel: DataFrame, calendar: DataFrame, *, symbol: str, da
 
     Each symbol is put on the whole calendar between its first and last day, so gaps count as missing days.
     """
+    days = calendar.select(date).distinct().withColumn("_k", F.row_number().over(Window.orderBy(date)))  # one row a day
+    ends = days.groupBy(F.date_trunc(period, date)).agg(F.max(F.struct("_k", date)).alias("_e")).select("_e.*")
+    # each day with the period ends that look back on it
+    seen = F.explode(F.filter(F.col("_ends"), lambda e: (e["_k"] > F.col("_k")) & (e["_k"] <= F.col("_k") + lookback))).alias("_e")
+    near = days.join(F.broadcast(ends.agg(F.collect_list(F.struct("_k", date)).alias("_ends")))).select(F.col(date).alias("_day"), seen).select("_day", F.col(f"_e.{date}").alias(date))
     span = panel.groupBy(symbol).agg(F.min(date).alias("_from"), F.max(date).alias("_to"))
-    grid = span.join(F.broadcast(calendar.select(date)), F.col(date).between(F.col("_from"), F.col("_to"))).select(symbol, date)
-    dense = grid.join(panel.select(symbol, date, metric), [symbol, date], "left")
-    w = Window.partitionBy(symbol).orderBy(date).rowsBetween(-lookback, -1)
-    liq = F.when(F.count(metric).over(w) >= need, F.expr(f"percentile({metric}, 0.5)").over(w))
-    days = calendar.groupBy(F.date_trunc(period, date)).agg(F.max(date).alias(date)).select(date)
-    picked = dense.withColumn("liq_metric", liq).join(F.broadcast(days), date).where(F.col("liq_metric") >= least)
+    values = panel.select(symbol, F.col(date).alias("_day"), metric).where(F.col(metric).isNotNull()).join(F.broadcast(near), "_day")
+    liq = values.groupBy(symbol, date).agg(F.count("*").alias("_n"), F.percentile(metric, F.lit(0.5)).alias("liq_metric")).where((F.col("_n") >= need) & (F.col("liq_metric") >= least))
+    picked = liq.join(span, symbol).where(F.col(date).between(F.col("_from"), F.col("_to")))
     cut = F.expr(f"percentile(liq_metric, {quantile})").over(Window.partitionBy(date))
     return picked.withColumn("_cut", cut).where("liq_metric >= _cut").select(date, symbol, "liq_metric")
 

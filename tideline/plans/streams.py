@@ -54,5 +54,51 @@ def ss06_sessions(spark: SparkSession, sf: str) -> DataFrame:
 
 @query()
 def ss07_channel_sequences(spark: SparkSession, sf: str) -> DataFrame:
-    """Arrival order is the stream's own, so there is no SQL twin; tested against a fixed order."""
-    return flows.drain(flows.channel_sequences(_events(spark, sf), "event_type", "event_id"), "update")
+    """Arrival order is the stream's own, so there is no SQL twin; tests hold it against a fixed order over several batches."""
+    return flows.newest(flows.drain(flows.channel_sequences(_events(spark, sf), "event_type", "event_id"), "update"), ["event_type"])
+
+
+_SNAPSHOTS = "snaps AS (SELECT user_id, date_trunc('hour', ts) AS minute, value, ts AS archived_at, event_id FROM events)"
+
+
+@query(f"WITH {_SNAPSHOTS} SELECT user_id, minute, arg_max(value, (archived_at, event_id)) AS value FROM snaps GROUP BY 1, 2")
+def ss03_archive(spark: SparkSession, sf: str) -> DataFrame:
+    """Archived again, the later correction wins, in whatever order batches come; the second batch holds the older rows."""
+    e = _events(spark, sf).select("user_id", F.date_trunc("hour", "ts").alias("minute"), "value", F.struct("ts", "event_id").alias("archived_at"), "event_id")
+    keys = ["user_id", "minute"]
+
+    def write(rows: DataFrame, out: str) -> None:
+        flows.upsert_folder(rows.where("event_id % 2 = 1"), out, keys, "archived_at")
+        flows.upsert_folder(rows.where("event_id % 2 = 0"), out, keys, "archived_at")
+
+    out = flows.drain(e, "append", write)
+    last = out.agg(F.max("version").alias("version"))  # one row
+    return out.join(F.broadcast(last), "version").select("user_id", F.col("minute").cast("timestamp_ntz").alias("minute"), "value")
+
+
+@query("SELECT user_id, ts::DATE AS day, count(*) AS n, max(strftime(ts, '%H:%M')) >= '14:30' AS complete FROM events WHERE dayofweek(ts) BETWEEN 1 AND 5 AND (strftime(ts, '%H:%M') BETWEEN '09:30' AND '11:30' OR strftime(ts, '%H:%M') BETWEEN '13:00' AND '15:00') GROUP BY 1, 2")
+def ss04_session_gate(spark: SparkSession, sf: str) -> DataFrame:
+    """Only events inside the sessions are taken; a day is complete with a row of its last half hour."""
+    e = _events(spark, sf).where(flows.in_session(F.col("ts"), [("09:30", "11:30"), ("13:00", "15:00")]))
+    days = e.groupBy("user_id", F.to_date("ts").alias("day")).agg(F.count("*").alias("n"), F.max(F.date_format("ts", "HH:mm")).alias("last"))
+    return flows.drain(days, "complete").select("user_id", "day", "n", (F.col("last") >= "14:30").alias("complete"))
+
+
+@query("WITH k AS (SELECT *, ts + INTERVAL 1 DAY * (event_id % 3) AS known FROM events) SELECT user_id, event_type, arg_max(value, (known, event_id)) AS value, count(*) AS n_versions FROM k WHERE known <= (SELECT max(ts) FROM events) GROUP BY 1, 2")
+def ss09_late_facts(spark: SparkSession, sf: str) -> DataFrame:
+    """Facts that become known late are appended, never overwritten; readers choose by the time at which they were known."""
+    e = _events(spark, sf).withColumn("known", F.col("ts") + F.make_dt_interval(days=(F.col("event_id") % 3).cast("int")))
+    ledger = flows.drain(e.select("event_id", "user_id", "event_type", "value", "known"), "append")
+    at = spark.read.parquet(f"{sf}/events.parquet").agg(F.max("ts").cast("timestamp").alias("at"))  # one row
+    seen = ledger.join(F.broadcast(at)).where(F.col("known") <= F.col("at"))
+    return seen.groupBy("user_id", "event_type").agg(F.max_by("value", F.struct("known", "event_id")).alias("value"), F.count("*").alias("n_versions"))
+
+
+@query("WITH n AS (SELECT event_id, user_id, ts::DATE AS d, CASE WHEN dayofmonth(ts) = 5 THEN value + 1 ELSE value END AS value FROM events WHERE dayofmonth(ts) <> 9) SELECT d, user_id, count(*) AS n, round(sum(value), 4) AS total FROM n GROUP BY 1, 2")
+def ss10_incremental_refresh(spark: SparkSession, sf: str) -> DataFrame:
+    """After a change, a removal and no change of days: only the changed ones are computed anew."""
+    e = spark.read.parquet(f"{sf}/events.parquet").select("event_id", "user_id", F.to_date("ts").alias("d"), "value")
+    old = e.where(F.dayofmonth("d") != 3)
+    new = e.where(F.dayofmonth("d") != 9).withColumn("value", F.when(F.dayofmonth("d") == 5, F.col("value") + 1).otherwise(F.col("value")))
+    build = lambda df: df.groupBy("d", "user_id").agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("total"))
+    return flows.recompute_changed(old, new, "d", build, build(old))

@@ -1 +1 @@
-"""tideline.sources"""
+"""Readers, layouts and sinks."""

@@ -5,16 +5,23 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from functools import reduce
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.types import LongType, StructField, StructType
 
 
 def work_folder(spark: SparkSession, name: str) -> str:
     """A new folder for checkpoints and output, in the one that the cluster names."""
-    top = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tideline-")
+    top = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not top:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
+        top = tempfile.mkdtemp(prefix="tideline-")
     return f"{top}/{name}-{uuid.uuid4().hex}"
 
 
@@ -31,10 +38,54 @@ def drain(df: DataFrame, mode: str, write: Callable[[DataFrame, str], None] | No
     out = f"{folder}/out"
 
     def batch(rows: DataFrame, number: int) -> None:
-        write(rows, out) if write else rows.write.mode("overwrite" if mode == "complete" else "append").parquet(out)
+        if write:
+            write(rows, out)
+        elif mode == "complete":
+            rows.write.mode("overwrite").parquet(out)
+        else:  # a batch that is tried again replaces what it wrote before
+            rows.write.mode("overwrite").parquet(f"{out}/batch={number}")
 
     df.writeStream.outputMode(mode).foreachBatch(batch).option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start().awaitTermination()
-    return spark.read.parquet(out)
+    return spark.read.parquet(out) if write or mode == "complete" else spark.read.schema(StructType([*df.schema, StructField("batch", LongType())])).parquet(out)
+
+
+def newest(written: DataFrame, keys: list[str]) -> DataFrame:
+    """The row of each key from the last batch that updated it."""
+    rest = [c for c in written.columns if c not in (*keys, "batch")]
+    return written.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch").alias("_r")).select(*keys, "_r.*")
+
+
+def upsert_folder(rows: DataFrame, out: str, keys: list[str], by: str) -> DataFrame:
+    """Merge a batch into a table: of each key the row with the largest `by` stays, so a late or repeated batch changes
+    nothing that is newer. The new version is written beside the old one and read from there."""
+    spark = rows.sparkSession
+    version = 0
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(out)
+    system = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
+    if system.exists(hadoop):
+        version = 1 + max(int(f.getPath().getName().split("=")[1]) for f in system.listStatus(hadoop) if f.getPath().getName().startswith("version=") and system.exists(spark._jvm.org.apache.hadoop.fs.Path(f.getPath(), "_SUCCESS")))
+        rows = spark.read.schema(rows.schema).parquet(f"{out}/version={version - 1}").unionByName(rows)
+    best = rows.groupBy(*keys).agg(F.max_by(F.struct(*rows.columns), by).alias("_r")).select("_r.*")
+    best.write.mode("overwrite").parquet(f"{out}/version={version}")
+    return spark.read.schema(best.schema).parquet(f"{out}/version={version}")
+
+
+def in_session(time: Column, windows: list[tuple[str, str]]) -> Column:
+    """Whether an event time lies on a weekday inside one of the windows (HH:mm to HH:mm, both inside)."""
+    clock = F.date_format(time, "HH:mm")
+    return F.dayofweek(time).between(2, 6) & reduce(lambda a, b: a | b, [clock.between(*w) for w in windows])
+
+
+def recompute_changed(old: DataFrame, new: DataFrame, date: str, build: Callable[[DataFrame], DataFrame], cached: DataFrame) -> DataFrame:
+    """A derived table after a change of its input: dates whose contents differ are built anew, removed ones go, the
+    others come from the cached table. build maps input rows to derived rows of the same date."""
+    print_ = lambda df, c: df.groupBy(date).agg(F.count("*").alias(f"{c}n"), F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)")).alias(f"{c}h"))
+    both = print_(old, "a").join(print_(new, "b"), date, "full_outer")
+    same = F.col("an").eqNullSafe(F.col("bn")) & F.col("ah").eqNullSafe(F.col("bh"))
+    changed = both.where(~same & F.col("bn").isNotNull()).select(date)
+    gone = both.where(~same).select(date)
+    kept = cached.join(gone, date, "left_anti")
+    return kept.unionByName(build(new.join(changed, date, "left_semi")))
 
 
 def ingest(stream: DataFrame, keys: list[str], time: str, late: str = "1 day") -> DataFrame:
@@ -65,12 +116,11 @@ def channel_sequences(stream: DataFrame, channel: str, sequence: str) -> DataFra
     def update(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         last, n, backwards, gaps = state.get if state.exists else (None, 0, 0, 0)
         for frame in frames:
-            for x in frame[sequence].dropna().astype("int64").tolist():
-                if last is not None:
-                    backwards += x < last
-                    gaps += x > last + 1
-                last, n = x, n + 1
-        state.update((last, n, int(backwards), int(gaps)))
+            x = frame[sequence].dropna().to_numpy("int64")
+            if len(x):
+                steps = np.diff(x if last is None else np.concatenate(([last], x)))
+                backwards, gaps, n, last = backwards + int((steps < 0).sum()), gaps + int((steps > 1).sum()), n + len(x), int(x[-1])
+        state.update((last, n, backwards, gaps))
         yield pd.DataFrame({channel: [key[0]], "n": [n], "n_backwards": [backwards], "n_gaps": [gaps]})
 
     return stream.groupBy(channel).applyInPandasWithState(update, f"{channel} string, n long, n_backwards long, n_gaps long", "last long, n long, backwards long, gaps long", "update", GroupStateTimeout.NoTimeout)
