@@ -63,8 +63,10 @@ def direction(text: Column, amount: Column) -> Column:
 
 SQL_FUNCTIONS = {
     "canonical_code(c STRING) RETURNS STRING": "CASE WHEN contains(c, '.') THEN concat(lpad(split(upper(trim(c)), '[.]', 2)[0], 6, '0'), '.', split(upper(trim(c)), '[.]', 2)[1]) ELSE upper(trim(c)) END",
-    "tolerant_date(c STRING) RETURNS DATE": "to_date(coalesce(try_to_timestamp(regexp_extract(c, '^([0-9]{8})([.]0)?$', 1), 'yyyyMMdd'), try_to_timestamp(substr(c, 1, 10), 'yyyy-MM-dd')))",
+    "tolerant_date(c STRING) RETURNS DATE": "to_date(coalesce(try_to_timestamp(regexp_extract(trim(c), '^([0-9]{8})([.]0)?$', 1), 'yyyyMMdd'), try_to_timestamp(regexp_extract(trim(c), '^([0-9]{4}-[0-9]{2}-[0-9]{2})', 1), 'yyyy-MM-dd')))",
     "clock_ms(c BIGINT) RETURNS BIGINT": "CASE WHEN c >= 0 AND c div 10000000 < 24 AND (c div 100000) % 100 < 60 AND (c div 1000) % 100 < 60 THEN (((c div 10000000) * 60 + (c div 100000) % 100) * 60 + (c div 1000) % 100) * 1000 + c % 1000 END",
+    "prefix_exchange(code STRING, mapping MAP<STRING, STRING>) RETURNS STRING": "element_at(mapping, array_max(transform(filter(map_keys(mapping), p -> startswith(code, p)), p -> struct(length(p) AS n, p AS p))).p)",
+    "session_minute(ms BIGINT) RETURNS BIGINT": "CASE WHEN ms BETWEEN 33300000 AND 34200000 THEN 570 WHEN ms > 34200000 AND ms < 41460000 THEN least(ceil(ms / 60000), 690) WHEN ms >= 46800000 AND ms < 54060000 THEN greatest(least(ceil(ms / 60000), 900), 781) END",
 }
 
 

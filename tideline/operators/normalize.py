@@ -172,3 +172,35 @@ def renamed_bars(df: DataFrame, names: dict[str, str], numbers: list[str], code:
     own = df.select(*[(F.col(a) if a in df.columns else F.lit(None).cast("string")).alias(n) for n, a in names.items()], *[c for c in df.columns if c not in names.values()])
     own = own.withColumns({c: plain_number(F.col(c).cast("string")) for c in numbers})
     return keep_one(own, [code, time], order).where(F.date_format(time, "HH:mm").between(first, last))
+
+
+def repair_bars(df: DataFrame) -> DataFrame:
+    """Bars without placeholder rows (all values null), with high and low widened to hold open and close, and whether one
+    of them was changed."""
+    some = F.coalesce("open", "high", "low", "close", "volume", "amount").isNotNull()
+    hi, lo = F.greatest("open", "high", "low", "close"), F.least("open", "high", "low", "close")
+    out = df.where(some).withColumns({"_hi": hi, "_lo": lo})
+    return out.withColumns({"repaired": ~F.col("_hi").eqNullSafe(F.col("high")) | ~F.col("_lo").eqNullSafe(F.col("low")), "high": F.col("_hi"), "low": F.col("_lo")}).drop("_hi", "_lo")
+
+
+def limit_flags(close: Column, up: Column, down: Column) -> tuple[Column, Column]:
+    """Whether a close reaches its upper or its lower limit; false where one of them is unknown."""
+    return F.coalesce(close >= up, F.lit(False)), F.coalesce(close <= down, F.lit(False))
+
+
+def suspended(daily: DataFrame, listed: DataFrame, keys: list[str]) -> DataFrame:
+    """Adds is_suspended: in the list of suspensions, or without volume or amount (an unknown one counts as none)."""
+    out = daily.join(listed.select(*keys).distinct().withColumn("_off", F.lit(True)), keys, "left")
+    none = (F.coalesce("volume", F.lit(0)) <= 0) | (F.coalesce("amount", F.lit(0)) <= 0)
+    return out.withColumn("is_suspended", F.coalesce("_off", F.lit(False)) | none).drop("_off")
+
+
+def tick_triage(df: DataFrame, price: str, volume: str, side: str, first_ms: str) -> DataFrame:
+    """Adds decision (keep, tag or exclude) and reason; the first rule that holds decides."""
+    p, v = F.col(price), F.col(volume)
+    rules = [
+        ("exclude", "no_volume", v.isNull() | (v <= 0)), ("exclude", "no_time", F.col(first_ms).isNull()), ("exclude", "negative_price", p < 0),
+        ("tag", "zero_price", p == 0), ("tag", "no_price", p.isNull()), ("tag", "unknown_side", ~F.coalesce(F.col(side).isin("B", "S"), F.lit(False))),
+    ]
+    pick = lambda i, rest: reduce(lambda out, r: F.when(r[2], r[i]).otherwise(out), reversed(rules), F.lit(rest))
+    return df.withColumns({"decision": pick(0, "keep"), "reason": pick(1, "ok")})

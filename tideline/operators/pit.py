@@ -87,3 +87,19 @@ def replacement_state(disclosures: DataFrame, holdings: DataFrame, fund: str, st
     so_far = Window.partitionBy(stock).orderBy(known)
     out = steps.select(stock, known, F.sum("_n").over(so_far).alias("n_funds"), F.sum("_v").over(so_far).alias("_total"))
     return out.select(stock, known, "n_funds", F.when(F.col("n_funds") == 0, 0.0).otherwise(F.col("_total")).alias("total"))
+
+
+def context_audit(observations: DataFrame, expected: DataFrame, at: Column, *, series: str, period: str, known: list[str], order: list[str], max_age: int) -> DataFrame:
+    """Per expected series what a read as of a moment gives: the newest period, its age in days, whether it is missing or
+    stale, and how many of its periods are reconstructed or have their revisions covered."""
+    seen = latest_vintage(observations, [series, period], at, known, order)
+    out = seen.groupBy(series).agg(F.max(period).alias("last_period"), F.count("*").alias("n_periods"), F.count_if("reconstructed").alias("n_reconstructed"), F.count_if("revision_covered").alias("n_covered"))
+    out = expected.select(series).distinct().join(out, series, "left").withColumn("age", F.datediff(at, "last_period"))
+    out = out.withColumns({c: F.coalesce(c, F.lit(0)) for c in ("n_periods", "n_reconstructed", "n_covered")})
+    return out.withColumn("state", F.when(F.col("last_period").isNull(), "missing").when(F.col("age") > max_age, "stale").otherwise("fresh"))
+
+
+def asset_lags(assets: DataFrame, asset: str, as_of: str, target: str, allowed: str) -> DataFrame:
+    """Per asset the lag in days behind its target date and whether it is stale; an asset without either date is not."""
+    lag = F.datediff(target, as_of)
+    return assets.select(asset, as_of, target, lag.alias("lag_days"), F.coalesce(lag > F.col(allowed), F.lit(False)).alias("stale"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -108,3 +110,24 @@ def opening_ledger(orders: DataFrame, requests: DataFrame) -> DataFrame:
     out = orders.join(used, "order_id", "full_outer")
     left = F.greatest(F.coalesce("volume", F.lit(0)) - F.coalesce("requested", F.lit(0)), F.lit(0))
     return out.select("order_id", "side", "price", left.alias("left"), F.coalesce("n_overdrawn", F.lit(0)).alias("n_overdrawn"), F.coalesce("unknown", F.lit(False)).alias("unknown"))
+
+
+def day_counters(bars: DataFrame, by: list[str], keys: list[str], symbol: str, time: str, day: Column, minutes: Column, grid: tuple[tuple[int, int], ...]) -> DataFrame:
+    """The counters that accept or reject a partition of bars, in one pass: rows, symbols, duplicate keys, nulls, values
+    that are not finite, broken bounds, negatives, malformed codes, wrong dates, bars off the session, first and last time."""
+    price = [F.col(c) for c in ("open", "high", "low", "close")]
+    every = [*price, F.col("volume")]
+    outside = ~reduce(lambda a, b: a | b, [minutes.between(*g) for g in grid])
+    flags = {
+        "n_null": reduce(lambda a, b: a | b, [c.isNull() for c in every]),
+        "n_not_finite": reduce(lambda a, b: a | b, [F.isnan(c) | (F.abs(c) == float("inf")) for c in every]),
+        "n_bounds": (F.col("high") < F.greatest(*price)) | (F.col("low") > F.least(*price)),
+        "n_negative": reduce(lambda a, b: a | b, [c < 0 for c in every]),
+        "n_bad_code": ~F.col(symbol).cast("string").rlike("^[0-9]+$"),
+        "n_wrong_date": F.to_date(time) != day,
+        "n_off_session": outside,
+    }
+    each = bars.groupBy(*by, *[k for k in keys if k not in by]).agg(F.count("*").alias("_n"), F.min(time).alias("_a"), F.max(time).alias("_z"), *[F.count_if(F.coalesce(c, F.lit(False))).alias(n) for n, c in flags.items()])
+    return each.groupBy(*by).agg(
+        F.sum("_n").alias("n_rows"), F.countDistinct(symbol).alias("n_symbols"), F.sum(F.col("_n") - 1).alias("n_duplicates"), *[F.sum(n).alias(n) for n in flags], F.min("_a").alias("first_time"), F.max("_z").alias("last_time")
+    )

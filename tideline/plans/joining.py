@@ -216,7 +216,7 @@ def jn23_latest_rows(spark: SparkSession, sf: str) -> DataFrame:
     line = table(spark, sf, "lineitem")
     last = line.groupBy("l_suppkey").agg(F.max("l_shipdate").alias("l_shipdate"))
     s = table(spark, sf, "supplier").withColumnRenamed("s_suppkey", "l_suppkey")
-    return line.join(last, ["l_suppkey", "l_shipdate"]).join(F.broadcast(s), "l_suppkey").select("s_name", F.to_date("l_shipdate").alias("d"), "l_quantity")
+    return line.join(last, ["l_suppkey", "l_shipdate"]).join(s, "l_suppkey").select("s_name", F.to_date("l_shipdate").alias("d"), "l_quantity")
 
 
 @query(f"""WITH {TRADES}, x AS (SELECT symbol, d, sum(volume) AS v FROM trades WHERE flag = 'R' GROUP BY 1, 2), y AS (SELECT symbol, d, sum(volume) AS v FROM trades WHERE flag = 'A' GROUP BY 1, 2), z AS (SELECT symbol, d, sum(volume) AS v FROM trades GROUP BY 1, 2),

@@ -33,7 +33,7 @@ def ag04_event_totals(spark: SparkSession, sf: str) -> DataFrame:
 SELECT period, stock, sum(amount) AS total, sum(CASE WHEN institution THEN amount END) AS institutional, count(DISTINCT CASE WHEN institution THEN holder END) AS n_institutions, (last_day(period + INTERVAL 2 MONTH) - period)::INT AS days FROM j GROUP BY period, stock""")
 def ag05_holder_concentration(spark: SparkSession, sf: str) -> DataFrame:
     s = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), (F.col("s_nationkey") % 2 == 0).alias("inst"))
-    j = table(spark, sf, "lineitem").join(F.broadcast(s), "l_suppkey").withColumn("period", F.to_date(F.date_trunc("quarter", "l_shipdate")))
+    j = table(spark, sf, "lineitem").join(s, "l_suppkey").withColumn("period", F.to_date(F.date_trunc("quarter", "l_shipdate")))
     own = F.when(F.col("inst"), F.col("l_quantity"))
     out = j.groupBy("period", F.col("l_partkey").alias("stock")).agg(F.sum("l_quantity").alias("total"), F.sum(own).alias("institutional"), F.countDistinct(F.when(F.col("inst"), F.col("l_suppkey"))).alias("n_institutions"))
     return out.withColumn("days", F.datediff(F.last_day(F.add_months("period", 2)), "period"))

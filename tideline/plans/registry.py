@@ -7,7 +7,7 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES: tuple[str, ...] = ("panel", "joining", "checks", "pointintime", "streams", "more", "sourcing", "normalizing", "gating", "disclosed", "featuring")
+MODULES: tuple[str, ...] = ("panel", "joining", "checks", "pointintime", "streams", "more", "sourcing", "normalizing", "gating", "disclosed", "featuring", "completing")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
