@@ -1,11 +1,15 @@
 """A corpus from documents to packed sequences: quality, near duplicates, repeated units, leaked test items, packing.
 
 Each stage maps (spark, docs, sf_dir) to a DataFrame. It is written as Parquet and read again as the docs of the next.
+
+All stages take null, empty and very long texts, repeated rows, rows without an id and empty tables. A text that is null
+or empty is no test item and no copy; the classifier scores it 0, and without labels keeps everything. Rows that share an
+id are judged one by one by the classifier and by their place in a group of copies, but a leaking text makes all rows of
+its id go. A row without an id stays if it is no copy of a row that has one. Extra columns of the input are left behind.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 import public_tokenizers
@@ -13,24 +17,28 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.llm import decontamination, near_dup, packing, quality, unit_dedup
+from tideline.llm.common import shared_folder
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the ordinal classifier takes for good; the labels of the table train it."""
+    """Documents that the ordinal classifier takes for good; the labels of the table train it. An empty table gives none."""
     model = quality.train(docs, quality.graded(spark.read.parquet(f"{sf_dir}/labels.parquet")), levels=3)
     return quality.score(docs, model, at_least=2).where("accepted").select(*COLUMNS)
 
 
 def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates."""
+    """One document of each group of near duplicates: the one of the smallest id; of repeated rows of that id all."""
     kept = near_dup.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("kept_id"))
     return docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi").select(*COLUMNS)
 
 
 def unit_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without units that an earlier document has; documents of which nothing is left go."""
+    """Texts without units that an earlier document has; documents of which nothing is left go, others keep their order.
+
+    A text without a repeated unit stays as it is, null and empty ones too; n_chars follows a text that changed.
+    """
     out = unit_dedup.remove_repeated_units(docs)
     changed = F.size("spans") > 0
     out = out.where(~changed | (F.trim("kept_text") != ""))
@@ -45,7 +53,7 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of token sequences, with their ids."""
+    """Pieces of token sequences, with their ids; an empty table gives none, an empty text its end id."""
     return packing.pack(docs, path=public_tokenizers.path("word_bpe_49k.json"))
 
 
@@ -57,7 +65,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages, on the documents of sf_dir; what is between them goes to the folder that the cluster names."""
-    top = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tideline-")
+    top = shared_folder(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         path = f"{top}/pipeline-{uuid.uuid4().hex}/{name}"
