@@ -451,6 +451,18 @@ def test_fixity_finds_every_kind_of_damage(spark):
     assert fixity.audit(index, first, first).count() == 0
 
 
+def test_fixity_of_repeated_records_and_empty_tables(spark):
+    pages = spark.createDataFrame([(i % 40, "u", f"body {i}") for i in range(60)] + [(None, "u", "x")], "page_id long, url string, html string").withColumn("digest", F.lit(1)).withColumn("offset", F.lit("x"))
+    held = fixity.archive(pages, records_per_file=16)
+    index, first = held.select("record_id", "file", "offset", "length"), held.select("record_id", "content").withColumn("digest", F.lit(0)).withColumn("other", F.lit(0))
+    assert held.count() == 60 and fixity.audit(index, first, first.repartition(5)).count() == 0
+    second = first.where(~F.decode("content", "utf-8").contains("body 45"))  # one of two records of id 5
+    assert [(r["record_id"], r["status"]) for r in fixity.audit(index, first, second).collect()] == [(5, "changed")] * 2
+    assert {r["status"] for r in fixity.audit(index, first, second.limit(0)).collect()} == {"missing_second"}
+    assert {r["status"] for r in fixity.audit(index.limit(0), first, second).collect()} == {"extra_first", "extra_second"}
+    assert fixity.archive(pages.limit(0)).count() == 0
+
+
 def test_quality_on_held_out_labels(spark, odd):
     sf = "/root/testdata/sf0.1"
     docs, labels = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text"), quality.graded(spark.read.parquet(f"{sf}/labels.parquet"))
