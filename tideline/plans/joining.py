@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.operators import joins, windows
+from tideline.operators import features, joins, sets, windows
 from tideline.plans.tables import DAILY, TRADES, daily, rounded, table, trades
 
 QUERIES, SQL = {}, {}
@@ -119,9 +119,8 @@ p AS (SELECT y.* FROM y, b WHERE d BETWEEN lo AND hi AND symbol IN (SELECT symbo
 def jn08_events_on_panel(spark: SparkSession, sf: str) -> DataFrame:
     t = trades(spark, sf)
     e = t.where("flag = 'R' AND volume > 40").groupBy("symbol", "d").agg(F.count("*").alias("n"))
-    span = e.agg(F.min("d").alias("lo"), F.max("d").alias("hi"))
-    p = t.groupBy("symbol", "d").agg(F.sum("volume").alias("volume")).join(e.select("symbol").distinct(), "symbol", "left_semi").join(F.broadcast(span), F.col("d").between(F.col("lo"), F.col("hi"))).drop("lo", "hi")
-    return e.join(p, ["symbol", "d"], "full_outer").select("symbol", "d", F.coalesce("n", F.lit(0)).alias("n_events"), "volume")
+    p = t.groupBy("symbol", "d").agg(F.sum("volume").alias("volume"))
+    return features.on_panel(e, p, "symbol", "d").select("symbol", "d", F.coalesce("n", F.lit(0)).alias("n_events"), "volume")
 
 
 @query(f"""WITH {TRADES}, a AS (SELECT symbol, d, sum(volume) AS bought FROM trades WHERE flag = 'A' GROUP BY 1, 2), r AS (SELECT symbol, d, sum(volume) AS returned FROM trades WHERE flag = 'R' GROUP BY 1, 2), n AS (SELECT symbol, d, count(*) AS normal FROM trades WHERE flag = 'N' GROUP BY 1, 2)
@@ -178,14 +177,13 @@ def jn14_source_comparison(spark: SparkSession, sf: str) -> DataFrame:
 @query("""SELECT count(*) AS n_lines, count(*) FILTER (WHERE o_orderkey IS NULL) AS n_missing, count(DISTINCT l_orderkey) FILTER (WHERE o_orderkey IS NULL) AS n_missing_ids FROM (SELECT l_orderkey + CASE WHEN l_linenumber = 7 THEN 5 ELSE 0 END AS l_orderkey FROM lineitem) l LEFT JOIN orders ON l_orderkey = o_orderkey""")
 def jn16_referential(spark: SparkSession, sf: str) -> DataFrame:
     lines = table(spark, sf, "lineitem").select((F.col("l_orderkey") + F.when(F.col("l_linenumber") == 7, 5).otherwise(0)).alias("o_orderkey"))
-    orders = table(spark, sf, "orders").select("o_orderkey").distinct().withColumn("known", F.lit(True))
-    return lines.join(orders, "o_orderkey", "left").agg(F.count("*").alias("n_lines"), F.count_if(F.col("known").isNull()).alias("n_missing"), F.countDistinct(F.when(F.col("known").isNull(), F.col("o_orderkey"))).alias("n_missing_ids"))
+    return sets.referential(lines, table(spark, sf, "orders"), "o_orderkey")
 
 
 @query("SELECT c_custkey, n_name, r_name FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey")
 def jn18_dimension(spark: SparkSession, sf: str) -> DataFrame:
-    n = table(spark, sf, "nation").join(F.broadcast(table(spark, sf, "region")), F.col("n_regionkey") == F.col("r_regionkey"))
-    return table(spark, sf, "customer").join(F.broadcast(n), F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", "n_name", "r_name")
+    n = sets.dimension(table(spark, sf, "nation").withColumnRenamed("n_regionkey", "r_regionkey"), table(spark, sf, "region"), "r_regionkey")
+    return sets.dimension(table(spark, sf, "customer").withColumnRenamed("c_nationkey", "n_nationkey"), n.select("n_nationkey", "n_name", "r_name"), "n_nationkey").select("c_custkey", "n_name", "r_name")
 
 
 @query("""WITH m AS (SELECT l_shipdate::DATE AS d, l_suppkey AS symbol, p_brand AS theme, l_quantity AS q FROM lineitem JOIN part ON l_partkey = p_partkey), t AS (SELECT d, theme, sum(q) AS strength FROM m GROUP BY 1, 2)
@@ -213,10 +211,8 @@ def jn22_next_session(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("SELECT s_name, l.l_shipdate::DATE AS d, l.l_quantity FROM lineitem l JOIN supplier ON s_suppkey = l_suppkey WHERE l_shipdate = (SELECT max(l_shipdate) FROM lineitem x WHERE x.l_suppkey = l.l_suppkey)")
 def jn23_latest_rows(spark: SparkSession, sf: str) -> DataFrame:
-    line = table(spark, sf, "lineitem")
-    last = line.groupBy("l_suppkey").agg(F.max("l_shipdate").alias("l_shipdate"))
-    s = table(spark, sf, "supplier").withColumnRenamed("s_suppkey", "l_suppkey")
-    return line.join(last, ["l_suppkey", "l_shipdate"]).join(s, "l_suppkey").select("s_name", F.to_date("l_shipdate").alias("d"), "l_quantity")
+    last = sets.latest_rows(table(spark, sf, "lineitem"), "l_suppkey", "l_shipdate")
+    return last.join(table(spark, sf, "supplier").withColumnRenamed("s_suppkey", "l_suppkey"), "l_suppkey").select("s_name", F.to_date("l_shipdate").alias("d"), "l_quantity")
 
 
 @query(f"""WITH {TRADES}, x AS (SELECT symbol, d, sum(volume) AS v FROM trades WHERE flag = 'R' GROUP BY 1, 2), y AS (SELECT symbol, d, sum(volume) AS v FROM trades WHERE flag = 'A' GROUP BY 1, 2), z AS (SELECT symbol, d, sum(volume) AS v FROM trades GROUP BY 1, 2),
@@ -229,20 +225,18 @@ def jn26_precedence(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("SELECT p_brand, count(DISTINCT p_type) AS n_types, min(p_type) AS first_type FROM part GROUP BY 1 HAVING count(DISTINCT p_type) > 1")
 def jn27_mapping_conflicts(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "part").groupBy("p_brand").agg(F.countDistinct("p_type").alias("n_types"), F.min("p_type").alias("first_type")).where("n_types > 1")
+    return sets.mapping_conflicts(table(spark, sf, "part"), "p_brand", "p_type", "n_types", "first_type")
 
 
 @query("SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_extendedprice DESC NULLS LAST, l_quantity DESC, l_partkey, l_linenumber) AS n FROM lineitem) WHERE n <= 2")
 def tk01_top_holdings(spark: SparkSession, sf: str) -> DataFrame:
-    w = Window.partitionBy("l_orderkey").orderBy(F.desc_nulls_last("l_extendedprice"), F.desc("l_quantity"), "l_partkey", "l_linenumber")
-    return table(spark, sf, "lineitem").withColumn("n", F.row_number().over(w)).where("n <= 2").select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
+    order = [F.desc_nulls_last("l_extendedprice"), F.desc("l_quantity"), "l_partkey", "l_linenumber"]
+    return sets.top_rows(table(spark, sf, "lineitem"), ["l_orderkey"], order, 2).select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
 
 
 @query(f"WITH {TRADES}, t AS (SELECT symbol, sum(volume) AS v FROM trades GROUP BY 1 ORDER BY v DESC, symbol LIMIT 10) SELECT symbol, d, sum(volume) AS v FROM trades SEMI JOIN t USING (symbol) GROUP BY 1, 2")
 def tk02_top_groups(spark: SparkSession, sf: str) -> DataFrame:
-    t = trades(spark, sf)
-    top = t.groupBy("symbol").agg(F.sum("volume").alias("v")).orderBy(F.desc("v"), "symbol").limit(10)
-    return t.join(F.broadcast(top.select("symbol")), "symbol", "left_semi").groupBy("symbol", "d").agg(F.sum("volume").alias("v"))
+    return sets.top_groups(trades(spark, sf), "symbol", F.sum("volume"), 10).groupBy("symbol", "d").agg(F.sum("volume").alias("v"))
 
 
 @query(f"WITH {_TWO} SELECT symbol, d, abs(a.v - b.v / 100) AS diff FROM a JOIN b USING (symbol, d) ORDER BY diff DESC, symbol, d LIMIT 5")
@@ -253,14 +247,12 @@ def tk03_worst_differences(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"WITH {_TWO} SELECT symbol, d FROM (SELECT symbol, d FROM a INTERSECT SELECT symbol, d FROM b)")
 def st02_shared_keys(spark: SparkSession, sf: str) -> DataFrame:
-    a, b = _two(spark, sf)
-    return a.select("symbol", "d").intersect(b.select("symbol", "d"))
+    return sets.shared_keys(*_two(spark, sf), ["symbol", "d"])
 
 
 @query(f"WITH {_TWO} SELECT (SELECT count(*) FROM (SELECT symbol, d FROM a EXCEPT ALL SELECT symbol, d FROM b)) AS only_a, (SELECT count(*) FROM (SELECT symbol, d FROM b EXCEPT ALL SELECT symbol, d FROM a)) AS only_b")
 def st03_row_set_equality(spark: SparkSession, sf: str) -> DataFrame:
-    a, b = (x.select("symbol", "d") for x in _two(spark, sf))
-    return a.exceptAll(b).agg(F.count("*").alias("only_a")).crossJoin(b.exceptAll(a).agg(F.count("*").alias("only_b")))
+    return sets.row_set_difference(*_two(spark, sf), ["symbol", "d"])
 
 
 @query(f"""WITH {TRADES}, o AS (SELECT d, sum(volume) AS f FROM trades WHERE dayofmonth(d) <> 7 GROUP BY d), n AS (SELECT d, sum(CASE WHEN dayofmonth(d) = 5 THEN volume + 1 ELSE volume END) AS f FROM trades WHERE dayofmonth(d) <> 9 GROUP BY d)
@@ -268,18 +260,14 @@ SELECT coalesce(o.d, n.d) AS d, CASE WHEN o.f IS NULL THEN 'added' WHEN n.f IS N
 def st04_partition_delta(spark: SparkSession, sf: str) -> DataFrame:
     """Dates whose content fingerprints differ between two versions of a table."""
     t = trades(spark, sf)
-    mark = lambda df, c: df.groupBy("d").agg(F.sum(F.xxhash64("symbol", "k", "volume").cast("decimal(38,0)")).alias(c))
-    old = mark(t.where(F.dayofmonth("d") != 7), "old")
-    new = mark(t.where(F.dayofmonth("d") != 9).withColumn("volume", F.when(F.dayofmonth("d") == 5, F.col("volume") + 1).otherwise(F.col("volume"))), "new")
-    state = F.when(F.col("old").isNull(), "added").when(F.col("new").isNull(), "removed").when(F.col("old") != F.col("new"), "changed").otherwise("reused")
-    return old.join(new, "d", "full_outer").select("d", state.alias("state"))
+    new = t.where(F.dayofmonth("d") != 9).withColumn("volume", F.when(F.dayofmonth("d") == 5, F.col("volume") + 1).otherwise(F.col("volume")))
+    return sets.partition_delta(t.where(F.dayofmonth("d") != 7), new, "d", ["symbol", "k", "volume"])
 
 
 @query(f"""WITH {TRADES}, o AS (SELECT symbol, d, sum(volume) * 2 AS v FROM trades WHERE dayofmonth(d) = 3 GROUP BY 1, 2) SELECT symbol, d, sum(volume) AS v FROM trades WHERE d NOT IN (SELECT d FROM o) GROUP BY 1, 2 UNION ALL SELECT * FROM o""")
 def st05_date_overlay(spark: SparkSession, sf: str) -> DataFrame:
     v = trades(spark, sf).groupBy("symbol", "d").agg(F.sum("volume").alias("v"))
-    new = v.where(F.dayofmonth("d") == 3).withColumn("v", F.col("v") * 2)
-    return v.join(F.broadcast(new.select("d").distinct()), "d", "left_anti").select("symbol", "d", "v").unionByName(new)
+    return sets.replace_dates(v, v.where(F.dayofmonth("d") == 3).withColumn("v", F.col("v") * 2), "d")
 
 
 @query("""SELECT DISTINCT d, what FROM (SELECT o_orderdate::DATE AS d, o_orderstatus AS what FROM orders UNION ALL SELECT l_shipdate::DATE, l_linestatus FROM lineitem)""")

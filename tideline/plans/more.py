@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.operators import quality, windows
+from tideline.operators import events, gates, quality, sets, windows
 from tideline.plans.tables import DAILY, TICKS, TRADES, daily, rounded, table, ticks, trades
 from tideline.streaming.flows import work_folder
 
@@ -32,18 +32,15 @@ def ag04_event_totals(spark: SparkSession, sf: str) -> DataFrame:
 @query("""WITH j AS (SELECT date_trunc('quarter', l_shipdate)::DATE AS period, l_partkey AS stock, l_suppkey AS holder, s_nationkey % 2 = 0 AS institution, l_quantity AS amount FROM lineitem JOIN supplier ON s_suppkey = l_suppkey)
 SELECT period, stock, sum(amount) AS total, sum(CASE WHEN institution THEN amount END) AS institutional, count(DISTINCT CASE WHEN institution THEN holder END) AS n_institutions, (last_day(period + INTERVAL 2 MONTH) - period)::INT AS days FROM j GROUP BY period, stock""")
 def ag05_holder_concentration(spark: SparkSession, sf: str) -> DataFrame:
-    s = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), (F.col("s_nationkey") % 2 == 0).alias("inst"))
-    j = table(spark, sf, "lineitem").join(s, "l_suppkey").withColumn("period", F.to_date(F.date_trunc("quarter", "l_shipdate")))
-    own = F.when(F.col("inst"), F.col("l_quantity"))
-    out = j.groupBy("period", F.col("l_partkey").alias("stock")).agg(F.sum("l_quantity").alias("total"), F.sum(own).alias("institutional"), F.countDistinct(F.when(F.col("inst"), F.col("l_suppkey"))).alias("n_institutions"))
+    s = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
+    j = table(spark, sf, "lineitem").join(s, "l_suppkey").select(F.to_date(F.date_trunc("quarter", "l_shipdate")).alias("period"), F.col("l_partkey").alias("stock"), "l_quantity", "l_suppkey", "s_nationkey")
+    out = events.holder_concentration(j, ["period", "stock"], "l_quantity", "l_suppkey", F.col("s_nationkey") % 2 == 0)
     return out.withColumn("days", F.datediff(F.last_day(F.add_months("period", 2)), "period"))
 
 
 @query(f"""WITH {DAILY}, r AS (SELECT *, rank() OVER (PARTITION BY d ORDER BY amount DESC, symbol) AS k, count(*) OVER (PARTITION BY d) AS n FROM daily) SELECT symbol, d, n AS n_listed, CASE WHEN n > 1 THEN 1 - (k - 1) / (n - 1) END AS rank_pct FROM r""")
 def ag08_hot_list(spark: SparkSession, sf: str) -> DataFrame:
-    w = Window.partitionBy("d")
-    r = daily(spark, sf).select("symbol", "d", F.rank().over(w.orderBy(F.desc("amount"), "symbol")).alias("k"), F.count("*").over(w).alias("n_listed"))
-    return r.select("symbol", "d", "n_listed", F.when(F.col("n_listed") > 1, 1 - (F.col("k") - 1) / (F.col("n_listed") - 1)).alias("rank_pct"))
+    return events.hot_list(daily(spark, sf), "symbol", "d", "amount")
 
 
 @query("SELECT l_shipdate::DATE AS d, l_suppkey AS symbol, count(*) AS n_events, count(*) FILTER (WHERE contains(p_type, 'BRASS') OR contains(p_type, 'STEEL')) AS n_metal, max(p_size) AS largest FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY 1, 2")
@@ -56,21 +53,18 @@ def ag10_event_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"""WITH {TRADES}, m AS (SELECT symbol, strftime(d, '%Y%m') AS month, count(*) AS n FROM trades WHERE flag = 'R' GROUP BY 1, 2) SELECT t.symbol, t.d, coalesce(m.n, 0) AS n_month FROM (SELECT DISTINCT symbol, d FROM trades) t LEFT JOIN m ON m.symbol = t.symbol AND m.month = strftime(t.d, '%Y%m')""")
 def ag11_monthly_counts(spark: SparkSession, sf: str) -> DataFrame:
-    t = trades(spark, sf).withColumn("month", F.date_format("d", "yyyyMM"))
-    m = t.where("flag = 'R'").groupBy("symbol", "month").agg(F.count("*").alias("n"))
-    return t.select("symbol", "d", "month").distinct().join(m, ["symbol", "month"], "left").select("symbol", "d", F.coalesce("n", F.lit(0)).alias("n_month"))
+    t = trades(spark, sf)
+    return events.monthly_on_days(t, t.where("flag = 'R'"), "symbol", "d", "n_month")
 
 
 @query(f"""WITH {TICKS}, b AS (SELECT symbol, ts::DATE AS day, date_part('hour', ts) AS h, count(*) AS n FROM ticks GROUP BY 1, 2, 3) SELECT symbol, day, count(*) AS n_hours, count(*) = 24 AS complete FROM b GROUP BY 1, 2""")
 def ag24_grid_completeness(spark: SparkSession, sf: str) -> DataFrame:
-    return ticks(spark, sf).groupBy("symbol", F.to_date("ts").alias("day")).agg(F.countDistinct(F.hour("ts")).alias("n_hours")).withColumn("complete", F.col("n_hours") == 24)
+    return events.grid_hours(ticks(spark, sf), "symbol", "ts", 24)
 
 
 @query(f"""WITH {TRADES}, f AS (SELECT d, bool_or(flag = 'R') AS a, bool_or(flag = 'A' AND volume > 30) AS b FROM trades GROUP BY d) SELECT CASE WHEN a AND b THEN 'both' WHEN a THEN 'deal' WHEN b THEN 'annual' ELSE 'none' END AS tier, count(*) AS n_days, min(d) AS first_day FROM f GROUP BY 1""")
 def ag27_coverage_tiers(spark: SparkSession, sf: str) -> DataFrame:
-    f = trades(spark, sf).groupBy("d").agg(F.bool_or(F.col("flag") == "R").alias("a"), F.bool_or((F.col("flag") == "A") & (F.col("volume") > 30)).alias("b"))
-    tier = F.when(F.col("a") & F.col("b"), "both").when(F.col("a"), "deal").when(F.col("b"), "annual").otherwise("none")
-    return f.groupBy(tier.alias("tier")).agg(F.count("*").alias("n_days"), F.min("d").alias("first_day"))
+    return events.tiers(trades(spark, sf), "d", F.col("flag") == "R", (F.col("flag") == "A") & (F.col("volume") > 30), ("deal", "annual"))
 
 
 @query(f"""WITH {DAILY} SELECT year(d) AS y, count(*) AS n_rows, count(*) FILTER (WHERE amount / volume > high * 1.0000001 OR amount / volume < low * 0.9999999) AS n_vwap, count(*) FILTER (WHERE amount > 150000) AS n_notional, count(*) FILTER (WHERE volume > 0 AND amount <= 0) AS n_mismatch FROM daily GROUP BY 1""")
@@ -95,11 +89,7 @@ def wn16_rolling_counts(spark: SparkSession, sf: str) -> DataFrame:
 SELECT e.event_id, e.event_type, l.minute, skipped FROM events e JOIN l ON date_trunc('hour', e.ts) = l.minute, s""")
 def wn26_latest_complete(spark: SparkSession, sf: str) -> DataFrame:
     """The newest hour in which all five kinds were seen, and how many newer ones were skipped."""
-    e = table(spark, sf, "events").withColumn("minute", F.date_trunc("hour", "ts"))
-    m = e.groupBy("minute").agg(F.countDistinct("event_type").alias("n"))
-    best = m.agg(F.max(F.when(F.col("n") >= 5, F.col("minute"))).alias("best"), F.array_agg("minute").alias("all"))  # one value an hour
-    best = best.select(F.col("best").alias("minute"), F.size(F.filter("all", lambda x: x > F.col("best"))).cast("long").alias("skipped"))
-    return e.join(F.broadcast(best), "minute").select("event_id", "event_type", "minute", "skipped")
+    return events.latest_complete(table(spark, sf, "events"), "ts", "hour", "event_type", 5).select("event_id", "event_type", "minute", "skipped")
 
 
 @query("""WITH s AS (SELECT user_id, event_id, (value * 10)::INT % 12 + 1 AS rank FROM events), k AS (SELECT user_id, unnest(range(1, max(rank) + 1)) AS rank FROM s GROUP BY user_id)
@@ -107,22 +97,19 @@ SELECT user_id, count(*) AS n_missing, min(rank)::INT AS first_missing FROM k AN
 def wn27_rank_gaps(spark: SparkSession, sf: str) -> DataFrame:
     """Ranks up to a snapshot's largest that nobody holds."""
     s = table(spark, sf, "events").select("user_id", (F.rint(F.col("value") * 10).cast("int") % 12 + 1).alias("rank"))
-    k = s.groupBy("user_id").agg(F.max("rank").alias("top")).select("user_id", F.explode(F.sequence(F.lit(1), "top")).alias("rank"))
-    return k.join(s.distinct(), ["user_id", "rank"], "left_anti").groupBy("user_id").agg(F.count("*").alias("n_missing"), F.min("rank").alias("first_missing"))
+    return events.rank_gaps(s, "user_id", "rank")
 
 
 @query("SELECT user_id, count(*) FILTER (WHERE s < 0) AS n_backwards FROM (SELECT user_id, value - lag(value) OVER (PARTITION BY user_id ORDER BY event_id) AS s FROM events) GROUP BY 1")
 def wn29_backwards(spark: SparkSession, sf: str) -> DataFrame:
-    step = F.col("value") - F.lag("value").over(Window.partitionBy("user_id").orderBy("event_id"))
-    return table(spark, sf, "events").select("user_id", step.alias("s")).groupBy("user_id").agg(F.count_if(F.col("s") < 0).alias("n_backwards"))
+    return events.backwards(table(spark, sf, "events"), "user_id", "event_id", "value")
 
 
 @query(f"WITH {DAILY}, s AS (SELECT d, symbol, greatest(close / open - 1, 0) * 100 + ln(1 + volume) AS score FROM daily), r AS (SELECT *, row_number() OVER (PARTITION BY d ORDER BY score DESC, symbol) AS n FROM s) SELECT d, symbol, n::INT AS place, round(score, 6) AS score FROM r WHERE n <= 10")
 def tk06_score_ranking(spark: SparkSession, sf: str) -> DataFrame:
     """PR-31, PR-32 and TK-06."""
     score = F.greatest(F.col("close") / F.col("open") - 1, F.lit(0.0)) * 100 + F.ln(1 + F.col("volume"))
-    r = daily(spark, sf).select("d", "symbol", score.alias("score")).withColumn("place", F.row_number().over(Window.partitionBy("d").orderBy(F.desc("score"), "symbol")))
-    return rounded(r.where("place <= 10"), "score")
+    return rounded(sets.top_rows(daily(spark, sf).select("d", "symbol", score.alias("score")), ["d"], [F.desc("score"), "symbol"], 10, "place"), "score")
 
 
 @query(f"WITH {DAILY} SELECT count(*) AS n_rows, count(*) FILTER (WHERE high < low) AS n_bounds, count(*) FILTER (WHERE close <= 0 AND volume > 0) AS n_price, count(*) - count(DISTINCT (symbol, d)) AS n_duplicates, count(DISTINCT symbol) AS n_symbols FROM daily")
@@ -132,8 +119,8 @@ def ql01_panel_checks(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"WITH {DAILY}, i AS (SELECT DISTINCT symbol, d FROM trades WHERE flag = 'R' AND volume > 45) SELECT symbol, d, close FROM daily ANTI JOIN i USING (symbol, d)")
 def ql08_exclusion_guard(spark: SparkSession, sf: str) -> DataFrame:
-    bad = trades(spark, sf).where("flag = 'R' AND volume > 45").select("symbol", "d").distinct()
-    return daily(spark, sf).join(bad, ["symbol", "d"], "left_anti").select("symbol", "d", "close")
+    bad = trades(spark, sf).where("flag = 'R' AND volume > 45").select("symbol", "d")
+    return gates.exclude_days(daily(spark, sf), bad, ["symbol", "d"])[0].select("symbol", "d", "close")
 
 
 @query("WITH c AS (SELECT DISTINCT l_shipdate::DATE AS d FROM lineitem WHERE l_suppkey <> 3), b AS (SELECT min(d) AS a, max(d) AS z FROM c), g AS (SELECT unnest(generate_series(a, z, INTERVAL 1 DAY))::DATE AS d FROM b) SELECT d FROM g ANTI JOIN c USING (d)")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tideline.operators import bars, windows
+from tideline.operators import bars, events, windows
 from tideline.plans.tables import DAILY, TICKS, TRADES, daily, rounded, table, ticks, trades
 
 QUERIES, SQL = {}, {}
@@ -128,8 +128,7 @@ def wn11_flow_ratios(spark: SparkSession, sf: str) -> DataFrame:
 @query(f"""WITH {DAILY}, r AS (SELECT symbol, d, rank() OVER (PARTITION BY d ORDER BY volume DESC, symbol) AS rank FROM daily)
 SELECT symbol, d, rank::INT AS rank, (lag(rank) OVER (PARTITION BY symbol ORDER BY d) - rank)::INT AS rank_gain FROM r""")
 def wn13_rank_change(spark: SparkSession, sf: str) -> DataFrame:
-    r = daily(spark, sf).select("symbol", "d", F.rank().over(Window.partitionBy("d").orderBy(F.desc("volume"), "symbol")).alias("rank"))
-    return r.withColumn("rank_gain", F.lag("rank").over(Window.partitionBy("symbol").orderBy("d")) - F.col("rank"))
+    return events.rank_gain(daily(spark, sf), "symbol", "d", "volume")
 
 
 @query(f"""WITH {DAILY}, n AS (SELECT symbol, d, volume, row_number() OVER (PARTITION BY symbol ORDER BY d) AS n FROM daily)
@@ -141,11 +140,7 @@ def wn15_rows_since(spark: SparkSession, sf: str) -> DataFrame:
 @query(f"""WITH {DAILY}, days AS (SELECT d, row_number() OVER (ORDER BY d) AS i FROM (SELECT DISTINCT d FROM daily)), j AS (SELECT symbol, d, i, volume FROM daily JOIN days USING (d))
 SELECT symbol, d, coalesce(i - max(CASE WHEN volume >= 45 THEN i END) OVER (PARTITION BY symbol ORDER BY d), 999) AS sessions_since FROM j""")
 def wn14_sessions_since(spark: SparkSession, sf: str) -> DataFrame:
-    p = daily(spark, sf)
-    days = p.select("d").distinct().withColumn("i", F.row_number().over(Window.orderBy("d")))  # one row a date
-    w = Window.partitionBy("symbol").orderBy("d")
-    j = p.join(F.broadcast(days), "d")
-    return j.select("symbol", "d", F.coalesce(F.col("i") - F.max(F.when(F.col("volume") >= 45, F.col("i"))).over(w), F.lit(999)).cast("long").alias("sessions_since"))
+    return events.sessions_since(daily(spark, sf), F.col("volume") >= 45, "symbol", "d", "sessions_since").select("symbol", "d", "sessions_since")
 
 
 @query(f"""WITH {DAILY} SELECT symbol, d, close - lag(close) OVER w AS change, close / lag(close) OVER w - 1 AS ret, min(d) OVER w AS first_day, (d - min(d) OVER w)::INT AS listed_days FROM daily WINDOW w AS (PARTITION BY symbol ORDER BY d)""")
@@ -208,13 +203,13 @@ def wn32_change_since(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"WITH {DAILY} SELECT symbol, d, volume / sum(volume) OVER (PARTITION BY d) AS weight FROM daily")
 def wn33_weights(spark: SparkSession, sf: str) -> DataFrame:
-    return daily(spark, sf).select("symbol", "d", (F.col("volume") / F.sum("volume").over(Window.partitionBy("d"))).alias("weight"))
+    return daily(spark, sf).select("symbol", "d", events.weights("volume", "d").alias("weight"))
 
 
 @query("""SELECT l_suppkey AS symbol, l_orderkey, l_linenumber, l_partkey, round(exp(sum(ln(1 - l_discount)) OVER (PARTITION BY l_suppkey ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey ROWS UNBOUNDED PRECEDING)), 6) AS factor FROM lineitem""")
 def wn34_cumulative_factor(spark: SparkSession, sf: str) -> DataFrame:
-    w = Window.partitionBy("l_suppkey").orderBy("l_shipdate", "l_orderkey", "l_linenumber", "l_partkey").rowsBetween(Window.unboundedPreceding, 0)
-    return table(spark, sf, "lineitem").select(F.col("l_suppkey").alias("symbol"), "l_orderkey", "l_linenumber", "l_partkey", F.round(F.exp(F.sum(F.ln(1 - F.col("l_discount"))).over(w)), 6).alias("factor"))
+    factor = events.cumulative_factor(1 - F.col("l_discount"), ["l_suppkey"], ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey"])
+    return table(spark, sf, "lineitem").select(F.col("l_suppkey").alias("symbol"), "l_orderkey", "l_linenumber", "l_partkey", F.round(factor, 6).alias("factor"))
 
 
 @query(f"WITH {DAILY} SELECT symbol, d, close, n_trades FROM (SELECT *, row_number() OVER (PARTITION BY symbol, date_trunc('quarter', d) ORDER BY d DESC) AS n FROM daily) WHERE n = 1")
