@@ -34,10 +34,17 @@ def profile(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def summary(df: DataFrame, value: str, by: list[str], points: list[float]) -> DataFrame:
     """Count, smallest, mean, largest and exact linear percentiles of the finite values."""
+    if not by:
+        return summary(df.withColumn("_all", F.lit(0)), value, ["_all"], points).drop("_all")
     x = F.when(~F.isnan(value) & (F.abs(value) != float("inf")), F.col(value))
-    q = F.percentile(x, F.array(*[F.lit(p) for p in points]))
-    out = df.groupBy(*by).agg(F.count(x).alias("n"), F.min(x).alias("smallest"), F.avg(x).alias("mean"), F.max(x).alias("largest"), q.alias("_q"))
-    return out.select(*by, "n", "smallest", "mean", "largest", *[F.col("_q")[i].alias(f"p{round(p * 100)}") for i, p in enumerate(points)])
+    rows = df.select(*by, x.alias("_x")).where("_x IS NOT NULL")
+    # places in a sorted group, which spills; no group's values are held in memory
+    placed = rows.withColumns({"_i": F.row_number().over(Window.partitionBy(*by).orderBy("_x")) - 1, "_n": F.count("*").over(Window.partitionBy(*by))})
+    at = {p: F.lit(p) * (F.col("_n") - 1) for p in points}
+    picks = [F.max(F.when(F.col("_i") == edge(at[p]), F.col("_x"))).alias(f"_{name}{i}") for i, p in enumerate(points) for name, edge in (("a", F.floor), ("z", F.ceil))]
+    out = placed.groupBy(*by).agg(F.count("*").alias("n"), F.min("_x").alias("smallest"), F.avg("_x").alias("mean"), F.max("_x").alias("largest"), F.max("_n").alias("_n"), *picks)
+    between = [(F.col(f"_a{i}") + (F.col(f"_z{i}") - F.col(f"_a{i}")) * (at[p] - F.floor(at[p]))).alias(f"p{round(p * 100)}") for i, p in enumerate(points)]
+    return df.select(*by).distinct().join(out, by, "left").select(*by, F.coalesce("n", F.lit(0)).alias("n"), "smallest", "mean", "largest", *between)
 
 
 def errors(df: DataFrame, a: str, b: str, by: list[str]) -> DataFrame:

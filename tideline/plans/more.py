@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tideline.operators import events, gates, quality, sets, windows
 from tideline.plans.tables import DAILY, TICKS, TRADES, daily, rounded, table, ticks, trades
+from tideline.sources.layouts import dealt
 from tideline.streaming.flows import work_folder
 
 QUERIES, SQL = {}, {}
@@ -134,7 +135,7 @@ def io08_partitioned_write(spark: SparkSession, sf: str) -> DataFrame:
     """IO-02, IO-03, IO-08: written by year, read back with pruned partitions."""
     out = work_folder(spark, "trades")
     t = trades(spark, sf).withColumn("trade_year", F.date_format("d", "yyyy"))
-    t.repartition("trade_year").write.partitionBy("trade_year").parquet(out)
+    dealt(t, "trade_year", ["symbol"]).write.partitionBy("trade_year").parquet(out)
     back = spark.read.parquet(out).withColumn("trade_year", F.col("trade_year").cast("string")).where(F.col("trade_year").between("1996", "1998"))
     return back.groupBy("symbol", "trade_year").agg(F.sum("volume").alias("volume"), F.count("*").alias("n"))
 

@@ -10,6 +10,15 @@ from pyspark.sql import functions as F
 from tideline.functions.scalar import canonical_code, tolerant_date
 from tideline.operators.windows import keep_one
 
+#: Files into which the rows of one partition are dealt at most, so that none waits for a single task.
+FILES = 64
+
+
+def dealt(df: DataFrame, partition: str, by: list[str] | None = None, files: int = FILES) -> DataFrame:
+    """Rows of each partition together in at most so many tasks, by the columns given or else by all."""
+    spread = F.pmod(F.xxhash64(*(by or [c for c in df.columns if c != partition])), F.lit(files))
+    return df.repartition(partition, spread)
+
 
 def canonical(df: DataFrame, types: dict[str, str], required: list[str]) -> DataFrame:
     """Columns cast to their canonical types, and `rejected`: the first required column that is null afterwards."""
@@ -34,7 +43,7 @@ def stage_by_validity(df: DataFrame, keep: Column, date: str, out: str, form: st
     """Write rows to a partition of their date in a form, rows that are not kept to `_audit`; returns the staged table."""
     to = F.when(keep, F.date_format(date, form)).otherwise("_audit")
     staged = df.withColumn("stage", F.coalesce(to, F.lit("_audit")))
-    staged.repartition("stage").write.partitionBy("stage").parquet(out)
+    dealt(staged, "stage").write.partitionBy("stage").parquet(out)
     return df.sparkSession.read.schema(staged.schema).parquet(out)
 
 
@@ -46,7 +55,7 @@ def standard_layer(df: DataFrame, out: str, *, date: str, symbol: str, order: li
     one = keep_one(keyed.where(~bad), ["symbol", "trade_date"], order)
     if freq:
         one = keep_one(one.withColumn("_period", F.date_trunc(freq, "trade_date")), ["symbol", "_period"], [F.desc("trade_date")]).drop("_period")
-    one.withColumn("trade_year", F.year("trade_date")).repartition("trade_year").write.partitionBy("trade_year").parquet(out)
+    dealt(one.withColumn("trade_year", F.year("trade_date")), "trade_year", ["symbol"]).write.partitionBy("trade_year").parquet(out)
     kept = df.sparkSession.read.schema(one.withColumn("trade_year", F.year("trade_date")).schema).parquet(out)
     counts = keyed.groupBy("symbol", "trade_date").agg(F.count("*").alias("_n"), F.max(bad).alias("_bad"))
     totals = counts.agg(F.sum("_n").alias("n_read"), F.coalesce(F.sum(F.when(F.col("_bad"), F.col("_n"))), F.lit(0)).alias("n_bad_keys"), F.coalesce(F.sum(F.when(~F.col("_bad"), F.col("_n") - 1)), F.lit(0)).alias("n_duplicates"))
@@ -54,12 +63,12 @@ def standard_layer(df: DataFrame, out: str, *, date: str, symbol: str, order: li
 
 
 def by_symbol(df: DataFrame, out: str, *, symbol: str, date: str, order: list[Column], buckets: int = 64) -> DataFrame:
-    """A table laid out by date rewritten in buckets of symbols: one row a key, each bucket sorted by symbol and date.
+    """A table laid out by date rewritten in buckets of symbols: one row a key, each file of a bucket sorted by symbol and date.
 
     Buckets in place of one folder a symbol keep the number of files bounded; a reader of one symbol adds its bucket.
     """
     one = keep_one(df, [symbol, date], order).withColumn("bucket", F.pmod(F.crc32(F.col(symbol).cast("string")), F.lit(buckets)).cast("int"))
-    one.repartition(buckets, "bucket").sortWithinPartitions("bucket", symbol, date).write.partitionBy("bucket").parquet(out)
+    dealt(one, "bucket", [symbol, date], 4).sortWithinPartitions("bucket", symbol, date).write.partitionBy("bucket").parquet(out)
     return df.sparkSession.read.schema(one.schema).parquet(out)
 
 
