@@ -4,8 +4,9 @@ Each stage maps (spark, docs, sf_dir) to a DataFrame. It is written as Parquet a
 
 All stages take null, empty and very long texts, repeated rows, rows without an id and empty tables. A text that is null
 or empty is no test item and no copy; the classifier scores it 0, and without labels keeps everything. Rows that share an
-id are judged one by one by the classifier and by their place in a group of copies, but a leaking text makes all rows of
-its id go. A row without an id stays if it is no copy of a row that has one. Extra columns of the input are left behind.
+id are judged one by one by the classifier and share one fate in the stages that look for copies and test items: of them
+all stay, if one of them is the one that its group keeps, and all go, if one of them leaks. So do rows without an id.
+Extra columns of the input are left behind.
 """
 
 from __future__ import annotations
