@@ -579,3 +579,25 @@ def test_decontamination_drops_leaks_without_an_id(spark):
     item = next(r["text"] for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect() if len(r["text"].split()) >= 20)
     docs = spark.createDataFrame([(None, item, "en", "s", 1), (1, item, "en", "s", 1), (2, "clean", "en", "s", 1)], "doc_id long, text string, lang string, source string, n_chars long")
     assert [r["doc_id"] for r in corpus_pipeline.decontamination_stage(spark, docs, SF).collect()] == [2]
+
+
+def test_stages_take_odd_rows(spark):
+    """Null, empty and long texts, repeated rows, rows without an id, and columns whose names clash with inner ones."""
+    import corpus_pipeline
+
+    stages = dict(corpus_pipeline.STAGES)
+    rows = [(i, t) for i, t in enumerate(ODD)] + [(3, ODD[3]), (5, ODD[5]), (None, "no id at all but some words here"), (None, None), (9, "another text of the same id as an older one")]
+    docs = spark.createDataFrame([(i, t, None, "s", None) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    docs = docs.withColumns({c: F.lit("x") for c in ("node", "at", "row", "spans", "kept", "copy", "item", "digest")})
+    out = {name: collections.Counter((r["doc_id"], r["text"]) for r in stage(spark, docs, SF).collect()) for name, stage in stages.items() if name not in ("quality", "packing")}
+    every = collections.Counter(rows)
+    assert out["decontamination"] == every
+    # 6 repeats 5; both rows of 5 stay
+    assert out["near_dup"] == every - collections.Counter([(6, ODD[6])])
+    # 6 repeats 5, and the second line and all after it repeat the first of the last text
+    gone = collections.Counter([(6, ODD[6]), (9, ODD[9])])
+    assert out["unit_dedup"] == every - gone + collections.Counter([(9, "A, b!\n")])
+    good = stages["quality"](spark, docs, SF)
+    assert good.columns == list(corpus_pipeline.COLUMNS) and good.count() <= len(rows)
+    packed = stages["packing"](spark, docs, SF).collect()
+    assert collections.Counter(r["doc_id"] for r in packed if r["start"] == 0) == collections.Counter(i for i, _ in rows)
