@@ -12,7 +12,8 @@ reach the driver, at most one for each of 2^bits hash values. Every row is score
 
 Null and empty texts have no features: their score is 0. Labels that are null, repeated or of unknown documents are
 left out (of repeated ones one is used). Without labels all weights are zero, and thresholds rise from -1, so
-everything is kept. Extra columns stay; columns named like the results are replaced.
+everything is kept. Repeated rows each give a row, an empty table none. Extra columns stay; columns named like the results
+are replaced.
 """
 
 from __future__ import annotations
