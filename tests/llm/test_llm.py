@@ -53,13 +53,13 @@ def test_token_counts_equal_the_library(spark, odd):
 def test_chunk_maps_compose_in_any_cut():
     import sentencepiece
 
-    model, machine, rnd = sentencepiece.SentencePieceProcessor(model_file=PIECES), token_counts.load(PIECES).machine, random.Random(5)
+    model, words, rnd = sentencepiece.SentencePieceProcessor(model_file=PIECES), token_counts.load(PIECES), random.Random(5)
     lead, lacking = token_counts.LEAD, 0
     for i in range(400):
         # with white space, without any, of few characters and of one
         text = "".join(rnd.choices(("abeth on\n▁  ,.éß日'<", "theringatonds", "的一是不了人我在有他这中大来上国", "aab", "-")[i % 5], k=rnd.randint(1, 500)))
         marked, cut = token_counts.MARK + text.replace(" ", token_counts.MARK), rnd.randint(60, 120)
-        maps = [token_counts.chunk_map(machine, marked[max(0, k - lead) : k], marked[k : k + cut]) for k in range(0, len(marked), cut)]
+        maps = [token_counts.chunk_map(words, marked[max(0, k - lead) : k], marked[k : k + cut]) for k in range(0, len(marked), cut)]
         found = token_counts.scan(maps)
         assert found in (None, len(model.encode(text)))
         lacking += found is None

@@ -31,6 +31,7 @@ from tideline.llm.common import materialize
 
 MARK = "▁"
 UNITS = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
+RESET = re.compile(f"(?<=[^{MARK}]){MARK}")
 #: States and words that are kept in a worker; beyond that they are made anew.
 MOST_STATES, MOST_WORDS = 400_000, 1_000_000
 
@@ -157,17 +158,39 @@ ChunkMap = dict[tuple, tuple[tuple, int]]
 LEAD = 48
 
 
-def chunk_map(machine: Transducer, lead: str, text: str) -> ChunkMap:
+def chunk_map(words: Words, lead: str, text: str) -> ChunkMap:
     """The map of a marked chunk that the marked characters `lead` precede (none: the chunk begins the text)."""
+    machine = words.machine
     entries = {machine.walk(machine.START, lead[k:])[0] for k in range(len(lead))} or {machine.START}
-    paths = {e: (e, 0) for e in entries}
-    for at in range(0, len(text), LEAD):
+    paths, at = {e: (e, 0) for e in entries}, 0
+    while at < len(text):
+        now = {state for state, _ in paths.values()}
+        marks = _resets(text, at) if len(now) == 1 else None
+        if marks:  # one path, and words ahead: these are counted as words, the rest is walked
+            first, last = marks
+            state, n = machine.walk(*now, text[at:first])
+            end, more = machine.walk(machine.START, text[last:])
+            n += whole_count(words, text[first:last]) + more
+            return {e: (end, before + n) for e, (_, before) in paths.items()}
         # paths that have met walk on as one
-        walked = {e: machine.walk(e, text[at : at + LEAD]) for e in {now for now, _ in paths.values()}}
-        paths = {e: (walked[now][0], n + walked[now][1]) for e, (now, n) in paths.items()}
+        walked = {state: machine.walk(state, text[at : at + LEAD]) for state in now}
+        paths = {e: (walked[state][0], n + walked[state][1]) for e, (state, n) in paths.items()}
+        at += LEAD
     return paths
 
 
+def _resets(text: str, at: int) -> tuple[int, int] | None:
+    """The first and the last place behind `at` where a word mark follows another character: there the machine begins
+    anew. None if there are no two."""
+    found = RESET.search(text, at + 1)
+    if not found:
+        return None
+    last = text.rfind(MARK)
+    while last > found.start() and text[last - 1] == MARK:
+        last -= 1
+    return (found.start(), last) if last > found.start() else None
+
+
 def compose(a: ChunkMap, b: ChunkMap) -> ChunkMap:
     """The map of chunk a followed by chunk b, for the entries of a whose exits b knows."""
     return {e: (b[x][0], n + b[x][1]) for e, (x, n) in a.items() if x in b}
@@ -214,13 +237,13 @@ def token_counts(docs: DataFrame, *, path: str, id_col: str = "doc_id", text_col
             )
 
     def maps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        machine = load(path).machine
+        words = load(path)
         for batch in batches:
             found, sizes = [], []
             for k, t in zip(batch.column("k").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 lead = LEAD if k else 0
                 marked = (MARK if k == 0 else "") + t.replace(" ", MARK)
-                found.append(pickle.dumps(chunk_map(machine, marked[:lead], marked[lead:])))
+                found.append(pickle.dumps(chunk_map(words, marked[:lead], marked[lead:])))
                 sizes.append(len(t[lead:].encode()))
             cols = [*(batch.column(c) for c in ("doc_id", "at", "copies", "k")), pa.array(sizes, pa.int64()), pa.array(found, pa.binary())]
             yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "at", "copies", "k", "size", "map"])
