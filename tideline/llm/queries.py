@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import zlib
+from collections.abc import Callable, Iterator
 
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import decontamination, fixity, licenses, near_dup, packing, quality, substring_dedup, token_counts, topk, unit_dedup
-from tideline.llm.common import read_table
+from tideline.llm import bpe, decontamination, fixity, licenses, near_dup, packing, periodic_runs, quality, spelling, substring_dedup, token_counts, topk, unit_dedup
+from tideline.llm.common import materialize, read_table
 
 
 def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,8 +75,54 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(read_table(spark, sf_dir, "documents"), path=public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op11_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    ids = bpe.encode(read_table(spark, sf_dir, "documents"), path=path).withColumn("ids_sha256", F.sha2("ids", 256))
+    return bpe.decode(ids, path=path).select("doc_id", "n_tokens", "ids_sha256", F.sha2("text", 256).alias("decoded_sha256"))
+
+
+def looped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A tenth of the texts by their id, from some word on as a loop of some of their own words; others as they are."""
+    for batch in batches:
+        texts = batch.column("text").to_pylist()
+        for k, i in enumerate(batch.column("doc_id").to_pylist()):
+            h = 1 if i is None else zlib.crc32(str(i).encode())
+            words = (texts[k] or "").encode().split() if h % 10 == 0 else []
+            if words:
+                g, n = h // 10, len(words)
+                a = g % n
+                p = 1 + (n - a) // (3 + g % 8)
+                texts[k] = b" ".join([*words[:a], *(words[a + (i - a) % p] for i in range(a, n))]).decode()
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.string())], names=["doc_id", "text"])
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents, of which a tenth are given loops by a rule on their id, with their runs and what is left of them."""
+    docs = read_table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long"), "text")
+    found = periodic_runs.periodic_runs(docs.mapInArrow(looped, "doc_id long, text string"), shortest=12)
+    longest = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("less"), r["start"].alias("start"), r["period"].alias("period"))))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), F.concat(r["period"].cast("string"), F.lit("\n"))))
+    out = found.withColumns({"longest": longest, "length": -F.col("longest.less")})
+    return out.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("longest.start").alias("start"), "length", F.col("longest.period").alias("period"),
+        F.expr("1000 * length div longest.period").alias("exponent_milli"), F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("kept_text", 256).alias("collapsed_sha256"),
+    )
+
+
+def misspelt(doc_id: int | None, run: bytes) -> bytes:
+    """One in 199 runs of a text loses a code point, by a rule on the text's id and the run."""
+    h = zlib.crc32(b"%s:%s" % (b"" if doc_id is None else b"%d" % doc_id, run if run.isascii() else run.decode("latin-1").encode()))
+    k = h % len(run)
+    return run if h % 199 else run[:k] + run[k + 1 :]
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = spelling.word_counts(read_table(spark, sf_dir, "documents"), misspelt, shortest=6)
+    return spelling.variant_groups(materialize(counts.where("n >= 5"))).select("word", "n", "n_near", "form", "form_n", "root")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_near_duplicates, op2_packing, op3_fixity_audit, op4_quality_classifier, op5_license_scan, op6_suffix_dedup, op7_line_dedup, op7_whole_line_dedup, op8_top_k, op9_decontamination, op10_token_counts)}
+    return {f.__name__: f for f in (op1_near_duplicates, op2_packing, op3_fixity_audit, op4_quality_classifier, op5_license_scan, op6_suffix_dedup, op7_line_dedup, op7_whole_line_dedup, op8_top_k, op9_decontamination, op10_token_counts, op11_bpe_codec, op12_periodic_runs, op13_spelling_variants)}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -160,3 +208,41 @@ WITH r AS (SELECT page_id AS record_id, page_id // 4096 AS file,
          || coalesce(html, '') || chr(13) || chr(10) || chr(13) || chr(10)) AS length FROM pages)
 SELECT record_id, file, coalesce(sum(length) OVER (PARTITION BY file ORDER BY record_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS "offset", length,
   CASE WHEN record_id % 211 = 7 THEN 'missing_second' WHEN record_id % 101 = 5 THEN 'changed' ELSE 'same' END AS status FROM r"""
+
+#: The unsigned crc32 of a string, bit by bit.
+CRC = """list_reduce([4294967295::BIGINT] || flatten(list_transform(range(0, octet_length(encode({x}))), lambda i: list_transform(range(0, 8), lambda k:
+  ((('0x' || substr(hex(encode({x})), 2 * i::INT + 1, 2))::BIGINT >> k) & 1)))), lambda c, b: xor(c >> 1, 3988292384 * (xor(c, b) & 1)))"""
+
+# Runs as stretches of equal windows of six words at one distance, which is independent of suffix classes.
+SQL["op12_periodic_runs"] = """
+WITH w0 AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+h0 AS (SELECT doc_id, w, len(w) AS n, xor(CRC, 4294967295) AS h FROM w0),
+g0 AS (SELECT *, (h // 10) % greatest(n, 1) AS a, 1 + (n - (h // 10) % greatest(n, 1)) // (3 + (h // 10) % 8) AS p FROM h0),
+words AS (SELECT doc_id, n, i, CASE WHEN h % 10 = 0 AND i >= a THEN w[a + (i - a) % p + 1] ELSE w[i + 1] END AS x FROM (SELECT *, unnest(range(0, n)) AS i FROM g0)),
+six AS (SELECT doc_id, i, list(x) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 5 FOLLOWING) AS s FROM words),
+named AS (SELECT doc_id, i, array_to_string(s, ' ') AS s FROM six WHERE len(s) = 6),
+pairs AS (SELECT a.doc_id, a.i, b.i - a.i AS q FROM named a JOIN named b ON a.doc_id = b.doc_id AND a.s = b.s AND a.i < b.i),
+stretches AS (SELECT doc_id, q, min(i) AS s, count(*) + 5 AS l FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS k FROM pairs) GROUP BY doc_id, q, k),
+runs AS (SELECT doc_id, s, l + q AS length, min(q) AS q FROM stretches WHERE l >= q AND l + q >= 12 GROUP BY doc_id, s, l + q),
+best AS (SELECT doc_id, s, length, q FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY length DESC, s, q) AS k FROM runs) WHERE k = 1),
+digest AS (SELECT doc_id, count(*) AS n_runs, string_agg(s || ',' || length || ',' || q || chr(10), '' ORDER BY s, q) AS t FROM runs GROUP BY doc_id),
+lost AS (SELECT DISTINCT doc_id, unnest(range(s + q, s + length)) AS i FROM runs),
+kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY i) AS t FROM words ANTI JOIN lost USING (doc_id, i) GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_runs, 0) AS n_runs, s AS start, length, q AS period, 1000 * length // q AS exponent_milli,
+  sha256(coalesce(g.t, '')) AS runs_sha256, sha256(coalesce(k.t, '')) AS collapsed_sha256
+FROM documents d LEFT JOIN digest g USING (doc_id) LEFT JOIN best b USING (doc_id) LEFT JOIN kept k USING (doc_id)""".replace("CRC", CRC.format(x="doc_id::VARCHAR"))
+
+# Near words by what is left of them without one code point.
+SQL["op13_spelling_variants"] = """
+WITH RECURSIVE r AS (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\\x{C0}-\\x{FF}]+')) AS run FROM documents),
+c AS (SELECT run, n, xor(CRC, 4294967295) AS h FROM (SELECT run, count(*) AS n, doc_id || ':' || run AS z FROM r WHERE length(run) >= 6 GROUP BY doc_id, run)),
+v AS (SELECT word, sum(n)::BIGINT AS n FROM (SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word, n FROM c)
+      WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+del AS (SELECT word, k, substr(word, 1, k::INT - 1) || substr(word, k::INT + 1) AS rest FROM (SELECT word, unnest(range(1, length(word) + 1)) AS k FROM v)),
+near AS (SELECT DISTINCT a.word, b.word AS other FROM del a JOIN del b ON a.k = b.k AND a.rest = b.rest AND a.word <> b.word
+         UNION SELECT d.word, v.word FROM del d JOIN v ON d.rest = v.word UNION SELECT v.word, d.word FROM del d JOIN v ON d.rest = v.word),
+best AS (SELECT *, row_number() OVER (PARTITION BY word ORDER BY other_n DESC, encode(other)) AS k, count(*) OVER (PARTITION BY word) AS n_near
+         FROM (SELECT near.word, other, v.n AS other_n FROM near JOIN v ON near.other = v.word)),
+f AS (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 5 * v.n THEN other END AS form, CASE WHEN other_n >= 5 * v.n THEN other_n END AS form_n FROM v LEFT JOIN best ON v.word = best.word AND k = 1),
+path(word, far) AS (SELECT word, word FROM f UNION ALL SELECT p.word, f.form FROM path p JOIN f ON p.far = f.word WHERE f.form IS NOT NULL)
+SELECT f.word, n, n_near, form, form_n, p.far AS root FROM f JOIN path p ON f.word = p.word WHERE p.far NOT IN (SELECT word FROM f WHERE form IS NOT NULL)""".replace("CRC", CRC.format(x="z"))
