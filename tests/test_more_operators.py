@@ -20,7 +20,8 @@ def one(df):
 
 
 def test_market_symbols_and_boards(spark):
-    want = {" 600000.xshg": "600000.SH", "1.sz": "000001.SZ", "688001": "688001.SH", "1": "000001.SZ", "430001": "430001", "920001.bj": "920001.BJ", "AAPL": "AAPL", "": ""}
+    want = {" 600000.xshg": "600000.SH", "1.sz": "000001.SZ", "688001": "688001.SH", "1": "000001.SZ", "430001": "430001", "920001.bj": "920001.BJ", "1.bj": "1.BJ", "AAPL": "AAPL", "": ""}
+    want |= {"510300": "510300.SH", "900901": "900901.SH", "689009": "689009.SH", "200012": "200012.SZ", "301001": "301001.SZ", "159915": "159915", "159915.xshe": "159915.SZ", "7": "000007.SZ", "1234567": "1234567"}
     df = spark.createDataFrame([(k, v) for k, v in want.items()] + [(None, "")], "raw string, want string")
     assert all(r["got"] == r["want"] for r in df.withColumn("got", normalize.market_symbol(F.col("raw"), "a_share")).collect())
     boards = {"688001.SH": "STAR", "300001.sz": "CHINEXT", "920001.BJ": "BSE", "600000.SH": "MAIN"}
@@ -37,8 +38,9 @@ def test_aliases_need_a_required_column(spark):
 
 def test_join_keys_are_repaired(spark):
     key, changed = normalize.repair_join_key(F.col("c"))
-    got = spark.createDataFrame([("12345!1.sh",), (" 600000.SH",), (None,)], "c string").select(key.alias("k"), changed.alias("r")).collect()
-    assert [tuple(r) for r in got] == [("123451.SH", True), ("600000.SH", False), ("", False)]
+    rows = [("123456!1.sh",), (" 600000.SH",), (None,), ("12345!1.SH",), ("1234567!1.SH",), ("123456!2.SH",), ("123456!1.BJ",)]
+    got = spark.createDataFrame(rows, "c string").select(key.alias("k"), changed.alias("r")).collect()
+    assert [tuple(r) for r in got] == [("1234561.SH", True), ("600000.SH", False), ("", False), ("12345!1.SH", False), ("1234567!1.SH", False), ("123456!2.SH", False), ("123456!1.BJ", False)]
 
 
 def test_minute_flags(spark):
@@ -48,10 +50,12 @@ def test_minute_flags(spark):
         ("good", "A", at(9, 30), 1.0, 1.0, 1.0, 1.0, 5.0, 5.0), ("empty", "A", at(9, 31), None, None, None, None, None, float("nan")), ("noon", "A", at(13, 0), 1.0, 1.0, 1.0, 1.0, 0.0, 0.0),
         ("off", "A", at(12, 0), 1.0, 1.0, 1.0, 1.0, 1.0, 1.0), ("second", "A", at(9, 32, 5), 1.0, 1.0, 1.0, 1.0, 1.0, 1.0), ("nobody", None, at(9, 33), 1.0, 1.0, 1.0, 1.0, 1.0, 1.0),
         ("inf", "A", at(9, 34), 1.0, float("inf"), 1.0, 1.0, 1.0, 1.0), ("neg", "A", at(9, 35), 1.0, 1.0, 1.0, 1.0, -1.0, 1.0), ("part", "A", at(9, 36), None, 1.0, 1.0, 1.0, 1.0, 1.0), ("untimed", "A", None, 1.0, 1.0, 1.0, 1.0, 1.0, 1.0),
+        ("free", "A", at(9, 37), 1.0, 1.0, 1.0, 1.0, 0.0, 1.0), ("unpaid", "A", at(9, 38), 1.0, 1.0, 1.0, 1.0, 1.0, 0.0),
     ]
     out = {r["n"]: r for r in normalize.minute_flags(spark.createDataFrame(rows, schema), 2024).collect()}
     flag = {"empty": "is_empty", "noon": "dropped_zero_flow", "off": "off_session", "second": "non_minute", "nobody": "invalid_ticker", "inf": "non_finite", "neg": "negative_flow", "part": "partial_null", "untimed": "invalid_timestamp"}
-    assert [n for n, r in out.items() if r["keep"]] == ["good"]
+    assert [n for n, r in out.items() if r["keep"]] == ["good", "free", "unpaid"]
+    assert [n for n, r in out.items() if r["zero_volume_nonzero_amount"]] == ["free"] and [n for n, r in out.items() if r["positive_volume_zero_amount"]] == ["unpaid"]
     assert all(out[n][f] for n, f in flag.items())
 
 
@@ -62,7 +66,7 @@ def test_bars_are_repaired_and_placeholders_dropped(spark):
 
 
 def test_persons_and_institutions(spark):
-    rows = [("王小明", "", False), ("某某投资", "", False), ("某某投资公司", "", True), ("Big Fund", None, True), ("x", "自然人", False), ("x", "机构", True), (None, None, False)]
+    rows = [("王小明", "", False), ("某某投资", "", False), ("某某投资公司", "", True), ("Big Fund", None, False), ("QFII 账户", "", True), ("国有资产管理委员会", "", True), ("养老金计划", "", True), ("Foo LLC", "", True), ("Foo Ltd", "", True), ("中央汇金", "", False), ("中央汇金公司", " ", True), ("x", "自然人", False), ("x", " 个人 ", False), ("x", "机构", True), (None, None, False)]
     df = spark.createDataFrame(rows, "n string, k string, want boolean").withColumn("got", normalize.is_institution(F.col("n"), F.col("k")))
     assert all(bool(r["got"]) == r["want"] for r in df.collect())
 
@@ -322,6 +326,20 @@ def test_only_changed_dates_are_computed_anew(spark):
     assert sorted(tuple(r) for r in out.collect()) == [(1, "cached"), (2, "fresh"), (4, "fresh")]
 
 
-def test_repaired_and_triaged_ticks(spark):
-    t = spark.createDataFrame([(1.0, 5, "B", 1), (0.0, 5, "B", 1), (1.0, None, "B", 1), (None, 5, "S", 1), (-1.0, 5, "S", 1), (1.0, 5, "?", 1), (1.0, 5, "B", None)], "p double, v int, s string, ms int")
-    assert [(r["decision"], r["reason"]) for r in normalize.tick_triage(t, "p", "v", "s", "ms").collect()] == [("keep", "ok"), ("tag", "zero_price"), ("exclude", "no_volume"), ("tag", "no_price"), ("exclude", "negative_price"), ("tag", "unknown_side"), ("exclude", "no_time")]
+def test_triage_of_orders_deals_and_snapshots(spark):
+    rows = [("A", 1, 7, 1.0), (None, 1, 7, 1.0), ("A", None, 7, 0.0), ("A", 1, 7, None), ("A", 1, None, 1.0), ("A", 1, None, 0.0), ("A", 1, 7, 0.0), ("A", 1, 7, -1.0)]
+    t = spark.createDataFrame(rows, "c string, t int, id int, p double")
+    got = lambda kind, i: [(r["decision"], r["reason"]) for r in normalize.tick_triage(t, kind, code="c", time="t", price="p", event_id=i).collect()]
+    lost = ("exclude", "missing_required_value")
+    assert got("deal", "id") == [("keep", ""), lost, lost, lost, ("exclude", "missing_event_id"), ("exclude", "missing_event_id"), ("tag", "special_price_or_event"), ("tag", "special_price_or_event")]
+    assert got("snapshot", None) == [("keep", ""), lost, lost, lost, ("keep", ""), *[("tag", "empty_snapshot_price")] * 3]
+    with pytest.raises(ValueError):
+        normalize.tick_triage(t, "deal", code="c", time="t", price="p")
+
+
+def test_directions_and_signed_values(spark):
+    rows = [("减持", 5.0, 2.0, None), ("增持", -5.0, 2.0, -7.0), ("sell then BUY", 1.0, None, None), (" Buy ", None, 2.0, 3.0), ("return", 4.0, 1.0, 1.0), (None, -4.0, 1.0, 1.0), (None, None, None, None), ("", 0.0, 1.0, None), (None, float("nan"), 1.0, 1.0)]
+    df = spark.createDataFrame(rows, "w string, x double, p double, a double")
+    out = df.select(*[c.alias(n) for n, c in scalar.signed_trade(F.col("w"), F.col("x"), F.col("p"), F.col("a")).items()]).collect()
+    assert [r["direction"] for r in out] == [-1, 1, -1, 1, 1, -1, 1, 1, 1]
+    assert [(r["signed_vol"], r["signed_amount"]) for r in out[:8]] == [(-5.0, -0.001), (5.0, 7.0), (-1.0, None), (None, 3.0), (4.0, 1.0), (-4.0, -1.0), (None, None), (0.0, 0.0)]

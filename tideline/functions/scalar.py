@@ -6,6 +6,11 @@ from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Words that tell the direction of a holder's trade.
+SELLING = ("减", "卖", "sell", "decrease")
+BUYING = ("增", "买", "buy", "increase")
+
+
 def canonical_code(c: Column) -> Column:
     """Trim, upper-case, and pad the code before the suffix to six digits."""
     t = F.upper(F.trim(c))
@@ -56,9 +61,16 @@ def session_minute(ms: Column, *, morning: tuple[int, int] = (570, 690), afterno
 
 
 def direction(text: Column, amount: Column) -> Column:
-    """+1 or -1 from words, else from the sign of the amount; 0 if neither tells."""
-    t = F.lower(text)
-    return F.when(t.rlike("buy|increase"), 1).when(t.rlike("sell|decrease|return"), -1).otherwise(F.coalesce(F.signum(amount), F.lit(0.0))).cast("int")
+    """-1 or +1 from words, those of selling first, else from the sign of the amount; +1 if neither tells."""
+    t = F.lower(F.coalesce(text, F.lit("")))
+    return F.when(t.rlike("|".join(SELLING)), -1).when(t.rlike("|".join(BUYING)), 1).when(amount < 0, -1).otherwise(1)
+
+
+def signed_trade(text: Column, volume: Column, price: Column, amount: Column) -> dict[str, Column]:
+    """Direction, signed volume and signed amount of a holder's trade. A missing amount is estimated from the volume and the
+    mean price, in units of ten thousand."""
+    side = direction(text, volume)
+    return {"direction": side, "signed_vol": F.abs(volume) * side, "signed_amount": F.coalesce(F.abs(amount), F.abs(volume) * price / 10000) * side}
 
 
 SQL_FUNCTIONS = {

@@ -10,13 +10,13 @@ from pyspark.sql import functions as F
 from tideline.operators.windows import keep_one
 
 #: Suffixes of codes and the exchange they mean; first digits of bare codes of two exchanges.
-SUFFIXES = {".XSHG": ".SH", ".SH": ".SH", ".XSHE": ".SZ", ".SZ": ".SZ", ".BJ": ".BJ"}
-PREFIXES = {".SH": ("600", "601", "603", "605", "688"), ".SZ": ("000", "001", "002", "003", "300", "301")}
+SUFFIXES = {".XSHG": ".SH", ".XSHE": ".SZ", ".SH": ".SH", ".SZ": ".SZ"}
+PREFIXES = {".SH": ("5", "6", "9"), ".SZ": ("0", "2", "3")}
 
 
 def market_symbol(c: Column, market: str) -> Column:
     """A code of the market `a_share` with its exchange, from a suffix of any spelling or from its first digits; a code
-    of another market only trimmed. Blank or null is empty."""
+    of another market only trimmed. Codes that no rule knows are upper-cased as they are. Blank or null is empty."""
     text = F.trim(F.coalesce(c.cast("string"), F.lit("")))
     if market != "a_share":
         return text
@@ -30,7 +30,7 @@ def market_symbol(c: Column, market: str) -> Column:
         out = F.when(hit, wide) if out is None else out.when(hit, wide)
     code = F.when(F.length(up) < 6, F.lpad(up, 6, "0")).otherwise(up)
     for exchange, prefixes in PREFIXES.items():
-        out = out.when(up.rlike("^[0-9]+$") & F.substring(code, 1, 3).isin(*prefixes), F.concat(code, F.lit(exchange)))
+        out = out.when(up.rlike("^[0-9]+$") & F.substring(code, 1, 1).isin(*prefixes), F.concat(code, F.lit(exchange)))
     return out.otherwise(up)
 
 
@@ -71,7 +71,8 @@ def scale_units(df: DataFrame, profile: dict[str, float]) -> DataFrame:
 
 
 def minute_flags(df: DataFrame, year: int, epoch: str = "epoch") -> DataFrame:
-    """Ten validity flags of annual minute bars (ticker, epoch seconds, open, high, low, close, volume, amount) and keep.
+    """Ten validity flags of annual minute bars (ticker, epoch seconds, open, high, low, close, volume, amount) and keep,
+    and two more that are only reported: volume without amount, and amount without volume.
 
     A row of nulls only is a placeholder; the other flags hold for other rows. 13:00 without any flow is dropped, as the
     afternoon begins behind it.
@@ -90,13 +91,14 @@ def minute_flags(df: DataFrame, year: int, epoch: str = "epoch") -> DataFrame:
         "is_empty": empty, "partial_null": partial, "non_finite": infinite, "invalid_ticker": ~empty & F.col("ticker").isNull(), "invalid_timestamp": ~empty & F.col(epoch).isNull(),
         "wrong_year": ~empty & (F.year(at) != year), "non_minute": ~empty & (F.col(epoch) % 60 != 0), "negative_flow": sound & ((v < 0) | (a < 0)), "dropped_zero_flow": still, "off_session": off,
     }
-    df = df.withColumns({k: F.coalesce(x, F.lit(False)) for k, x in flags.items()})
+    reported = {"zero_volume_nonzero_amount": sound & (v == 0) & (a > 0), "positive_volume_zero_amount": sound & (v > 0) & (a == 0)}
+    df = df.withColumns({k: F.coalesce(x, F.lit(False)) for k, x in (flags | reported).items()})
     return df.withColumn("keep", ~reduce(lambda x, y: x | y, [F.col(k) for k in flags]))
 
 
 #: Holder types of persons, and words that name institutions.
-PERSONS = ("自然人", "个人")
-INSTITUTIONS = ("公司", "集团", "基金", "银行", "保险", "证券", "信托", "投资", "资管", "社保", "合伙", "企业", "fund", "bank", "capital", "limited", "corp")
+PERSONS = ("个人", "自然人")
+INSTITUTIONS = ("公司", "集团", "有限", "银行", "基金", "保险", "证券", "信托", "资管", "资产", "投资", "社保", "汇金", "证金", "国有", "财政", "中央", "合伙", "计划", "qfii", "llc", "ltd", "limited", "inc")
 
 
 def is_institution(name: Column, kind: Column) -> Column:
@@ -138,9 +140,9 @@ def dated_code(df: DataFrame, code: str, date: str, switches: DataFrame) -> Data
 
 
 def repair_join_key(c: Column) -> tuple[Column, Column]:
-    """A code of the form 12345!1.SH without its mark, and whether it was repaired."""
+    """A code of the form 123456!1.SH without its mark, and whether it was repaired."""
     text = F.upper(F.trim(F.coalesce(c, F.lit(""))))
-    key = F.regexp_replace(text, r"^(\d{5,6})!1\.(SH|SZ)$", "$11.$2")
+    key = F.regexp_replace(text, r"^(\d{6})!1\.(SH|SZ)$", "$11.$2")
     return key, key != text
 
 
@@ -195,12 +197,16 @@ def suspended(daily: DataFrame, listed: DataFrame, keys: list[str]) -> DataFrame
     return out.withColumn("is_suspended", F.coalesce("_off", F.lit(False)) | none).drop("_off")
 
 
-def tick_triage(df: DataFrame, price: str, volume: str, side: str, first_ms: str) -> DataFrame:
-    """Adds decision (keep, tag or exclude) and reason; the first rule that holds decides."""
-    p, v = F.col(price), F.col(volume)
-    rules = [
-        ("exclude", "no_volume", v.isNull() | (v <= 0)), ("exclude", "no_time", F.col(first_ms).isNull()), ("exclude", "negative_price", p < 0),
-        ("tag", "zero_price", p == 0), ("tag", "no_price", p.isNull()), ("tag", "unknown_side", ~F.coalesce(F.col(side).isin("B", "S"), F.lit(False))),
-    ]
+def tick_triage(df: DataFrame, kind: str, *, code: str, time: str, price: str, event_id: str | None = None) -> DataFrame:
+    """Adds decision (keep, tag or exclude) and reason; the first rule that holds decides. kind: order, deal or snapshot;
+    a snapshot has no event id."""
+    if kind not in ("order", "deal", "snapshot") or (kind != "snapshot" and event_id is None):
+        raise ValueError("kind must be order, deal or snapshot, and orders and deals need an event id")
+    p = F.col(price)
+    rules = [("exclude", "missing_required_value", F.col(code).isNull() | F.col(time).isNull() | p.isNull())]
+    if kind == "snapshot":
+        rules.append(("tag", "empty_snapshot_price", p <= 0))
+    else:
+        rules += [("exclude", "missing_event_id", F.col(event_id).isNull()), ("tag", "special_price_or_event", p <= 0)]
     pick = lambda i, rest: reduce(lambda out, r: F.when(r[2], r[i]).otherwise(out), reversed(rules), F.lit(rest))
-    return df.withColumns({"decision": pick(0, "keep"), "reason": pick(1, "ok")})
+    return df.withColumns({"decision": pick(0, "keep"), "reason": pick(1, "")})

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tideline.functions import scalar
-from tideline.operators import quality
+from tideline.operators import normalize, quality
 from tideline.plans.tables import DAILY, TICKS, TRADES, daily, rounded, table, ticks, trades
 
 QUERIES, SQL = {}, {}
@@ -91,12 +91,13 @@ def pr21_direction(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "events").select("event_id", scalar.direction(text, F.col("value")).alias("side"))
 
 
-@query(f"""WITH {TICKS} SELECT symbol, CASE WHEN event_id % 97 = 0 THEN 'exclude' WHEN event_id % 13 = 0 THEN 'tag' ELSE 'keep' END AS decision, CASE WHEN event_id % 97 = 0 THEN 'no_volume' WHEN event_id % 13 = 0 THEN 'zero_price' ELSE 'ok' END AS reason, count(*) AS n FROM ticks GROUP BY 1, 2, 3""")
+@query(f"""WITH {TICKS}, r AS (SELECT symbol, CASE WHEN event_id % 97 = 0 THEN 'missing_required_value' WHEN event_id % 13 = 0 THEN 'special_price_or_event' ELSE '' END AS reason FROM ticks)
+SELECT symbol, CASE reason WHEN '' THEN 'keep' WHEN 'special_price_or_event' THEN 'tag' ELSE 'exclude' END AS decision, reason, count(*) AS n FROM r GROUP BY 1, 2, 3""")
 def pr24_tick_triage(spark: SparkSession, sf: str) -> DataFrame:
-    t = ticks(spark, sf).withColumn("price", F.when(F.col("event_id") % 13 == 0, 0.0).otherwise(F.col("price"))).withColumn("volume", F.when(F.col("event_id") % 97 != 0, F.col("volume")))
-    decision = F.when(F.col("volume").isNull(), "exclude").when(F.col("price") == 0, "tag").otherwise("keep")
-    reason = F.when(F.col("volume").isNull(), "no_volume").when(F.col("price") == 0, "zero_price").otherwise("ok")
-    return t.groupBy("symbol", decision.alias("decision"), reason.alias("reason")).agg(F.count("*").alias("n"))
+    """Decisions of deals by symbol."""
+    k = F.col("event_id")
+    t = ticks(spark, sf).withColumn("price", F.when(k % 97 == 0, None).when(k % 13 == 0, -F.col("price")).otherwise(F.col("price")))
+    return normalize.tick_triage(t, "deal", code="symbol", time="ts", price="price", event_id="event_id").groupBy("symbol", "decision", "reason").agg(F.count("*").alias("n"))
 
 
 @query(f"""WITH {_BROKEN} SELECT year(d) AS y, count(*) AS n_rows, count(*) FILTER (WHERE low IS NULL) AS n_null, count(*) FILTER (WHERE high < greatest(open, close)) AS n_high, count(*) FILTER (WHERE low > least(open, close)) AS n_low, count(*) FILTER (WHERE volume <= 0) AS n_volume FROM b GROUP BY 1""")
@@ -152,15 +153,6 @@ def ag20_gates(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(quality.gates(m, [("rate", "at_most", 0.9), ("rows", "at_least", 1000000.0)]), "actual")
 
 
-@query(f"""WITH {TRADES}, y AS (SELECT DISTINCT symbol, date_trunc('month', d)::DATE AS m FROM trades WHERE d < DATE '1997-01-01'), g AS (SELECT DISTINCT a.symbol, b.m FROM (SELECT DISTINCT symbol FROM y WHERE symbol <= 50) a, (SELECT DISTINCT m FROM y) b)
-SELECT symbol, m, 'missing' AS state FROM g ANTI JOIN y USING (symbol, m) UNION ALL SELECT symbol, m, 'orphan' FROM y ANTI JOIN g USING (symbol, m)""")
-def ag26_coverage(spark: SparkSession, sf: str) -> DataFrame:
-    y = trades(spark, sf).where("d < DATE '1997-01-01'").select("symbol", F.to_date(F.date_trunc("month", "d")).alias("m")).distinct()
-    months = y.agg(F.array_sort(F.collect_set("m")).alias("ms"))  # a calendar's months
-    grid = y.where("symbol <= 50").select("symbol").distinct().join(F.broadcast(months)).select("symbol", F.explode("ms").alias("m"))
-    return quality.coverage(grid, y, ["symbol", "m"])
-
-
 @query(f"""WITH {TRADES}, y AS (SELECT DISTINCT symbol, date_trunc('month', d)::DATE AS m FROM trades), g AS (SELECT s_suppkey AS symbol, m FROM supplier, (SELECT DISTINCT m FROM y))
 SELECT symbol, m, 'missing' AS state FROM g ANTI JOIN y USING (symbol, m) UNION ALL SELECT symbol, m, 'orphan' FROM y ANTI JOIN g USING (symbol, m)""")
 def ag26_full_coverage(spark: SparkSession, sf: str) -> DataFrame:

@@ -62,24 +62,41 @@ def pr16_suspensions(spark: SparkSession, sf: str) -> DataFrame:
     return normalize.suspended(x, listed, ["symbol", "d"]).select("symbol", "d", "is_suspended")
 
 
-@query("""WITH t AS (SELECT event_id, CASE WHEN event_type = 'click' AND value < 3 THEN 0.0 WHEN event_type = 'view' AND value > 15 THEN NULL WHEN event_type = 'error' AND value > 15 THEN -value ELSE value END AS p, (props->>'$.k')::BIGINT AS v, CASE event_type WHEN 'purchase' THEN 'S' WHEN 'error' THEN 'B' WHEN 'click' THEN 'B' ELSE '?' END AS side FROM events),
-r AS (SELECT *, CASE WHEN v IS NULL OR v <= 0 THEN 'no_volume' WHEN p < 0 THEN 'negative_price' WHEN p = 0 THEN 'zero_price' WHEN p IS NULL THEN 'no_price' WHEN side = '?' THEN 'unknown_side' ELSE 'ok' END AS reason FROM t)
-SELECT event_id, reason, CASE WHEN reason IN ('no_volume', 'negative_price') THEN 'exclude' WHEN reason = 'ok' THEN 'keep' ELSE 'tag' END AS decision FROM r""")
+@query("""WITH t AS (SELECT event_id, CASE event_type WHEN 'click' THEN 'deal' WHEN 'view' THEN 'snapshot' ELSE 'order' END AS kind, CASE WHEN value < 3 THEN 0.0 WHEN value > 20 THEN NULL WHEN value > 15 THEN -value ELSE value END AS p,
+  CASE WHEN user_id % 10 <> 3 THEN user_id END AS code, CASE WHEN user_id % 10 <> 4 THEN ts END AS t, CASE WHEN event_id % 9 <> 0 THEN event_id END AS id FROM events),
+r AS (SELECT *, CASE WHEN code IS NULL OR t IS NULL OR p IS NULL THEN 'missing_required_value' WHEN kind <> 'snapshot' AND id IS NULL THEN 'missing_event_id' WHEN p <= 0 AND kind = 'snapshot' THEN 'empty_snapshot_price' WHEN p <= 0 THEN 'special_price_or_event' ELSE '' END AS reason FROM t)
+SELECT event_id, reason, CASE WHEN reason IN ('missing_required_value', 'missing_event_id') THEN 'exclude' WHEN reason = '' THEN 'keep' ELSE 'tag' END AS decision FROM r""")
 def pr24_full_triage(spark: SparkSession, sf: str) -> DataFrame:
-    """All rules, on prices and sides that follow from the data."""
-    k, x = F.col("event_type"), F.col("value")
-    p = F.when((k == "click") & (x < 3), 0.0).when((k == "view") & (x > 15), None).when((k == "error") & (x > 15), -x).otherwise(x)
-    side = F.when(k == "purchase", "S").when(k.isin("error", "click"), "B").otherwise("?")
-    t = table(spark, sf, "events").select("event_id", p.alias("p"), F.get_json_object("props", "$.k").cast("long").alias("v"), side.alias("side"), F.lit(1).alias("ms"))
-    return normalize.tick_triage(t, "p", "v", "side", "ms").select("event_id", "reason", "decision")
+    """All rules of orders, deals and snapshots, on values that follow from the data."""
+    x, u = F.col("value"), F.col("user_id")
+    kind = F.when(F.col("event_type") == "click", "deal").when(F.col("event_type") == "view", "snapshot").otherwise("order")
+    p = F.when(x < 3, 0.0).when(x > 20, None).when(x > 15, -x).otherwise(x)
+    t = table(spark, sf, "events").select("event_id", kind.alias("kind"), p.alias("p"), F.when(u % 10 != 3, u).alias("code"), F.when(u % 10 != 4, F.col("ts")).alias("t"), F.when(F.col("event_id") % 9 != 0, F.col("event_id")).alias("id"))
+    each = [normalize.tick_triage(t.where(F.col("kind") == k), k, code="code", time="t", price="p", event_id=None if k == "snapshot" else "id") for k in ("order", "deal", "snapshot")]
+    return each[0].unionByName(each[1]).unionByName(each[2]).select("event_id", "reason", "decision")
+
+
+_HOLDER = """w AS (SELECT event_id, CASE event_type WHEN 'purchase' THEN ' Buy in' WHEN 'error' THEN 'SELL off, buy back' WHEN 'view' THEN CASE WHEN user_id % 2 = 0 THEN '减持' ELSE '增持' END END AS w,
+  CASE WHEN user_id % 11 <> 0 THEN value - 8 END AS x, value / 2 AS price, CASE WHEN user_id % 3 = 0 THEN 3 - value END AS amount FROM events),
+s AS (SELECT *, CASE WHEN regexp_matches(lower(coalesce(w, '')), '减|卖|sell|decrease') THEN -1 WHEN regexp_matches(lower(coalesce(w, '')), '增|买|buy|increase') THEN 1 WHEN x < 0 THEN -1 ELSE 1 END AS side FROM w)"""
+
 
+def _holder_trades(spark: SparkSession, sf: str) -> DataFrame:
+    k, u = F.col("event_type"), F.col("user_id")
+    text = F.when(k == "purchase", " Buy in").when(k == "error", "SELL off, buy back").when(k == "view", F.when(u % 2 == 0, "减持").otherwise("增持"))
+    return table(spark, sf, "events").select("event_id", text.alias("w"), F.when(u % 11 != 0, F.col("value") - 8).alias("x"), (F.col("value") / 2).alias("price"), F.when(u % 3 == 0, 3 - F.col("value")).alias("amount"))
 
-@query("""SELECT event_id, CASE WHEN lower(w) SIMILAR TO '.*(buy|increase).*' THEN 1 WHEN lower(w) SIMILAR TO '.*(sell|decrease|return).*' THEN -1 ELSE sign(x)::INT END AS side FROM (SELECT event_id, CASE event_type WHEN 'purchase' THEN 'Buy in' WHEN 'error' THEN 'SELL off' WHEN 'view' THEN 'Decrease' END AS w, value - 8 AS x FROM events)""")
+
+@query(f"WITH {_HOLDER} SELECT event_id, side FROM s")
 def pr21_direction_by_sign(spark: SparkSession, sf: str) -> DataFrame:
-    """Words of three kinds, and the sign where there is none."""
-    k = F.col("event_type")
-    text = F.when(k == "purchase", "Buy in").when(k == "error", "SELL off").when(k == "view", "Decrease")
-    return table(spark, sf, "events").select("event_id", scalar.direction(text, F.col("value") - 8).alias("side"))
+    """Words of selling before those of buying, in both languages, and the sign where there is none."""
+    return _holder_trades(spark, sf).select("event_id", scalar.direction(F.col("w"), F.col("x")).alias("side"))
+
+
+@query(f"WITH {_HOLDER} SELECT event_id, side AS direction, abs(x) * side AS signed_vol, coalesce(abs(amount), abs(x) * price / 10000) * side AS signed_amount FROM s")
+def pr21_signed_trades(spark: SparkSession, sf: str) -> DataFrame:
+    """Signed volume and amount; an unknown amount is estimated."""
+    return _holder_trades(spark, sf).select("event_id", *[c.alias(n) for n, c in scalar.signed_trade(F.col("w"), F.col("x"), F.col("price"), F.col("amount")).items()])
 
 
 @query("""WITH b AS (SELECT user_id AS symbol, ts, ts::DATE AS day, value AS open, CASE WHEN event_type = 'error' THEN value - 1 ELSE value + 1 END AS high, CASE WHEN event_type = 'view' AND value < 3 THEN NULL ELSE value - 2 END AS low, value AS close, CASE WHEN event_type = 'click' AND value > 20 THEN 'inf'::DOUBLE WHEN event_type = 'purchase' AND value < 2 THEN -1 ELSE 5 END AS volume, hour(ts) * 60 + minute(ts) AS m FROM events),

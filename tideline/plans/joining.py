@@ -39,19 +39,6 @@ def _panel(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "lineitem").select((F.col("l_orderkey") % 1600).alias("customer"), F.to_date("l_shipdate").alias("d")).distinct()
 
 
-@query(f"""WITH {_CHANGES}, {_PANEL}, j AS (SELECT p.customer, p.d, c.status, c.stop_date FROM panel p ASOF LEFT JOIN changes c ON p.customer = c.customer AND p.d >= c.start_date)
-SELECT customer, d, status FROM j WHERE (stop_date IS NULL OR d <= stop_date) AND customer IN (SELECT customer FROM changes)""")
-def jn03_as_of_label(spark: SparkSession, sf: str) -> DataFrame:
-    return joins.as_of_label(_panel(spark, sf), changes(spark, sf), "customer", "d", "start_date", "stop_date", "status")
-
-
-@query(f"""WITH {_CHANGES}, {_PANEL}, s AS (SELECT customer, start_date, (start_date + 90)::DATE AS e, status FROM changes)
-SELECT p.customer, p.d, arg_max(status, start_date) AS status FROM panel p LEFT JOIN s ON p.customer = s.customer AND p.d BETWEEN start_date AND e GROUP BY 1, 2""")
-def jn04_interval_member(spark: SparkSession, sf: str) -> DataFrame:
-    spans = changes(spark, sf).withColumn("end_date", F.date_add("start_date", 90))
-    return joins.interval_member(_panel(spark, sf), spans, "customer", "d", "start_date", "end_date", ["status"])
-
-
 _ORDER_PANEL = "panel AS (SELECT DISTINCT o_custkey AS customer, l_shipdate::DATE AS d FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"
 
 
@@ -74,26 +61,6 @@ def jn04_interval_member_by_order(spark: SparkSession, sf: str) -> DataFrame:
     return joins.interval_member(_order_panel(spark, sf), spans, "customer", "d", "start_date", "end_date", ["status"])
 
 
-@query(f"""WITH {_CHANGES}, cal AS (SELECT DISTINCT l_shipdate::DATE AS d FROM lineitem WHERE dayofweek(l_shipdate) BETWEEN 1 AND 5)
-SELECT customer, cal.d, arg_max(status, start_date) AS status FROM changes JOIN cal ON cal.d BETWEEN start_date AND start_date + 10 GROUP BY 1, 2""")
-def jn05_expand_intervals(spark: SparkSession, sf: str) -> DataFrame:
-    """Each interval against the open days of a calendar; one row per day, the latest start wins."""
-    cal = table(spark, sf, "lineitem").select(F.to_date("l_shipdate").alias("d")).distinct().where(F.dayofweek("d").between(2, 6))
-    days = changes(spark, sf).withColumn("d", F.explode(F.sequence("start_date", F.date_add("start_date", 10))))
-    return days.join(F.broadcast(cal), "d", "left_semi").groupBy("customer", "d").agg(F.max_by("status", "start_date").alias("status"))
-
-
-@query(f"""WITH {TRADES}, snap AS (SELECT DISTINCT date_trunc('month', d)::DATE AS s, symbol FROM trades WHERE flag = 'R' AND symbol <= 20), days AS (SELECT DISTINCT d FROM trades), dates AS (SELECT DISTINCT s FROM snap),
-m AS (SELECT d, max(s) AS s FROM days JOIN dates ON s <= d GROUP BY d) SELECT d, snap.s AS snapshot, symbol FROM m JOIN snap USING (s)""")
-def jn06_carry_snapshots(spark: SparkSession, sf: str) -> DataFrame:
-    """Each open day gets the members of the latest snapshot at or before it."""
-    t = trades(spark, sf)
-    snap = t.where("flag = 'R' AND symbol <= 20").select(F.to_date(F.date_trunc("month", "d")).alias("snapshot"), "symbol").distinct()
-    one = F.lit(1).alias("g")
-    days = joins.as_of(t.select("d").distinct().select(one, "d"), snap.select("snapshot").distinct().select(one, "snapshot"), ["g"], "d", "snapshot", [])
-    return days.where("snapshot_matched IS NOT NULL").select("d", F.col("snapshot_matched").alias("snapshot")).join(snap, "snapshot").select("d", "snapshot", "symbol")
-
-
 @query(f"""WITH {TRADES}, snap AS (SELECT DISTINCT date_trunc('month', d)::DATE AS s, symbol FROM trades WHERE flag = 'R'), days AS (SELECT DISTINCT d FROM trades), dates AS (SELECT DISTINCT s FROM snap),
 m AS (SELECT d, max(s) AS s FROM days JOIN dates ON s <= d GROUP BY d) SELECT d, snap.s AS snapshot, symbol FROM m JOIN snap USING (s)""")
 def jn06_carry_all_snapshots(spark: SparkSession, sf: str) -> DataFrame:

@@ -21,14 +21,17 @@ def query(sql: str | None = None):
     return add
 
 
-@query("""WITH c AS (SELECT p_partkey, CASE p_partkey % 5 WHEN 0 THEN ' ' || p_partkey || '.xshg' WHEN 1 THEN p_partkey || '.sz' WHEN 2 THEN (600000 + p_partkey % 9000)::VARCHAR WHEN 3 THEN p_partkey::VARCHAR ELSE 'hk' || p_partkey END AS raw FROM part), u AS (SELECT *, upper(trim(raw)) AS t FROM c)
-SELECT p_partkey, CASE WHEN t LIKE '%.XSHG' THEN lpad(replace(t, '.XSHG', ''), greatest(6, length(t) - 5)::INT, '0') || '.SH' WHEN t LIKE '%.SZ' THEN lpad(replace(t, '.SZ', ''), greatest(6, length(t) - 3)::INT, '0') || '.SZ'
- WHEN regexp_full_match(t, '[0-9]+') AND substr(lpad(t, greatest(6, length(t))::INT, '0'), 1, 3) IN ('600', '601', '603', '605', '688') THEN lpad(t, greatest(6, length(t))::INT, '0') || '.SH'
- WHEN regexp_full_match(t, '[0-9]+') AND substr(lpad(t, greatest(6, length(t))::INT, '0'), 1, 3) IN ('000', '001', '002', '003', '300', '301') THEN lpad(t, greatest(6, length(t))::INT, '0') || '.SZ' ELSE t END AS symbol FROM u""")
+@query("""WITH c AS (SELECT p_partkey, CASE p_partkey % 7 WHEN 0 THEN ' ' || p_partkey || '.xshg' WHEN 1 THEN p_partkey || '.sz' WHEN 2 THEN (100000 * (p_partkey % 10) + p_partkey % 9000)::VARCHAR WHEN 3 THEN p_partkey::VARCHAR
+  WHEN 4 THEN p_partkey || '.bj' WHEN 5 THEN 'x' || p_partkey || '.Sh ' ELSE 'hk' || p_partkey END AS raw FROM part), u AS (SELECT p_partkey, upper(trim(raw)) AS t FROM c),
+b AS (SELECT *, regexp_extract(t, '^(.*)[.](XSHG|XSHE|SH|SZ)$', 1) AS body, regexp_extract(t, '^(.*)[.](XSHG|XSHE|SH|SZ)$', 2) AS suffix FROM u)
+SELECT p_partkey, CASE WHEN suffix <> '' THEN repeat('0', greatest(0, 6 - length(body))) || body || CASE WHEN suffix IN ('XSHG', 'SH') THEN '.SH' ELSE '.SZ' END
+  WHEN NOT regexp_full_match(t, '[0-9]+') THEN t WHEN length(t) < 6 OR left(t, 1) IN ('0', '2', '3') THEN repeat('0', greatest(0, 6 - length(t))) || t || '.SZ' WHEN left(t, 1) IN ('5', '6', '9') THEN t || '.SH' ELSE t END AS symbol FROM b""")
 def pr02_market_symbol(spark: SparkSession, sf: str) -> DataFrame:
+    """Codes with suffixes of any spelling, and bare ones with every first digit."""
     k = F.col("p_partkey")
     text = k.cast("string")
-    raw = F.when(k % 5 == 0, F.concat(F.lit(" "), text, F.lit(".xshg"))).when(k % 5 == 1, F.concat(text, F.lit(".sz"))).when(k % 5 == 2, (600000 + k % 9000).cast("string")).when(k % 5 == 3, text).otherwise(F.concat(F.lit("hk"), text))
+    raw = F.when(k % 7 == 0, F.concat(F.lit(" "), text, F.lit(".xshg"))).when(k % 7 == 1, F.concat(text, F.lit(".sz"))).when(k % 7 == 2, (100000 * (k % 10) + k % 9000).cast("string")).when(k % 7 == 3, text)
+    raw = raw.when(k % 7 == 4, F.concat(text, F.lit(".bj"))).when(k % 7 == 5, F.concat(F.lit("x"), text, F.lit(".Sh "))).otherwise(F.concat(F.lit("hk"), text))
     return table(spark, sf, "part").select("p_partkey", normalize.market_symbol(raw, "a_share").alias("symbol"))
 
 
@@ -76,12 +79,13 @@ def pr12_unit_profile(spark: SparkSession, sf: str) -> DataFrame:
 
 
 _MINUTES = """bars AS (SELECT event_id, CASE WHEN user_id % 40 <> 0 THEN user_id END AS ticker, CASE WHEN event_id % 31 <> 0 THEN epoch(date_trunc('minute', ts))::BIGINT + CASE WHEN event_id % 29 = 0 THEN 7 ELSE 0 END END AS epoch,
- CASE WHEN event_id % 17 <> 0 THEN value END AS x, CASE WHEN event_id % 17 = 0 OR event_id % 13 = 0 THEN NULL WHEN event_id % 37 = 0 THEN 'inf'::DOUBLE ELSE value * 2 END AS volume, CASE WHEN event_id % 17 = 0 THEN NULL WHEN event_id % 11 = 0 THEN -value ELSE value END AS amount FROM events)"""
+ CASE WHEN event_id % 17 <> 0 THEN value END AS x, CASE WHEN event_id % 17 = 0 OR event_id % 13 = 0 THEN NULL WHEN event_id % 37 = 0 THEN 'inf'::DOUBLE WHEN event_id % 7 = 0 THEN 0 ELSE value * 2 END AS volume, CASE WHEN event_id % 17 = 0 THEN NULL WHEN event_id % 11 = 0 THEN -value WHEN event_id % 5 = 0 THEN 0 ELSE value END AS amount FROM events)"""
 
 
 @query(f"""WITH {_MINUTES}, s AS (SELECT *, x IS NULL AND volume IS NULL AND amount IS NULL AS e, make_timestamp(epoch * 1000000) AS t FROM bars), g AS (SELECT *, NOT e AND (x IS NULL OR volume IS NULL OR amount IS NULL) AS p, NOT e AND coalesce(isinf(volume), false) AS n, hour(t) * 100 + minute(t) AS c FROM s)
 SELECT event_id, e AS is_empty, p AS partial_null, n AS non_finite, NOT e AND ticker IS NULL AS invalid_ticker, NOT e AND epoch IS NULL AS invalid_timestamp, coalesce(NOT e AND year(t) <> 2024, false) AS wrong_year, coalesce(NOT e AND epoch % 60 <> 0, false) AS non_minute,
- coalesce(NOT e AND NOT p AND NOT n AND (volume < 0 OR amount < 0), false) AS negative_flow, coalesce(NOT e AND NOT (c BETWEEN 930 AND 1130 OR c BETWEEN 1301 AND 1500), false) AS off_session,
+ coalesce(NOT e AND NOT p AND NOT n AND (volume < 0 OR amount < 0), false) AS negative_flow, coalesce(NOT e AND NOT p AND NOT n AND volume = 0 AND amount > 0, false) AS zero_volume_nonzero_amount, coalesce(NOT e AND NOT p AND NOT n AND volume > 0 AND amount = 0, false) AS positive_volume_zero_amount,
+ coalesce(NOT e AND NOT (c BETWEEN 930 AND 1130 OR c BETWEEN 1301 AND 1500), false) AS off_session,
  NOT (e OR p OR n OR ticker IS NULL OR epoch IS NULL OR coalesce(year(t) <> 2024, false) OR coalesce(epoch % 60 <> 0, false) OR coalesce(volume < 0 OR amount < 0, false) OR coalesce(NOT (c BETWEEN 930 AND 1130 OR c BETWEEN 1301 AND 1500), false)) AS keep FROM g""")
 def pr14_minute_flags(spark: SparkSession, sf: str) -> DataFrame:
     """Events as minute bars with planted faults."""
@@ -89,17 +93,20 @@ def pr14_minute_flags(spark: SparkSession, sf: str) -> DataFrame:
     at = F.unix_timestamp(F.date_trunc("minute", "ts")) + F.when(i % 29 == 0, 7).otherwise(0)
     e = table(spark, sf, "events").select(
         "event_id", F.when(F.col("user_id") % 40 != 0, F.col("user_id")).alias("ticker"), F.when(i % 31 != 0, at).alias("epoch"), *[F.when(i % 17 != 0, x).alias(c) for c in ("open", "high", "low", "close")],
-        F.when((i % 17 == 0) | (i % 13 == 0), None).when(i % 37 == 0, float("inf")).otherwise(x * 2).alias("volume"), F.when(i % 17 == 0, None).when(i % 11 == 0, -x).otherwise(x).alias("amount"),
+        F.when((i % 17 == 0) | (i % 13 == 0), None).when(i % 37 == 0, float("inf")).when(i % 7 == 0, 0.0).otherwise(x * 2).alias("volume"), F.when(i % 17 == 0, None).when(i % 11 == 0, -x).when(i % 5 == 0, 0.0).otherwise(x).alias("amount"),
     )
-    return normalize.minute_flags(e, 2024).select("event_id", "is_empty", "partial_null", "non_finite", "invalid_ticker", "invalid_timestamp", "wrong_year", "non_minute", "negative_flow", "off_session", "keep")
+    return normalize.minute_flags(e, 2024).select("event_id", "is_empty", "partial_null", "non_finite", "invalid_ticker", "invalid_timestamp", "wrong_year", "non_minute", "negative_flow", "zero_volume_nonzero_amount", "positive_volume_zero_amount", "off_session", "keep")
 
 
-@query("""WITH h AS (SELECT c_custkey, CASE c_custkey % 6 WHEN 0 THEN '自然人' WHEN 1 THEN '机构' ELSE '' END AS kind, CASE c_custkey % 4 WHEN 0 THEN '王小明' WHEN 1 THEN c_mktsegment || ' Fund' WHEN 2 THEN '某某投资' ELSE c_name END AS name FROM customer)
-SELECT c_custkey, CASE WHEN kind = '自然人' THEN false WHEN kind <> '' THEN true WHEN length(name) <= 4 AND regexp_full_match(name, '[一-鿿]+') THEN false ELSE lower(name) LIKE '%fund%' END AS institution FROM h""")
+@query("""WITH h AS (SELECT c_custkey, CASE c_custkey % 7 WHEN 0 THEN '自然人' WHEN 1 THEN '机构' WHEN 2 THEN ' 个人' ELSE '' END AS kind,
+  CASE c_custkey % 10 WHEN 0 THEN '王小明' WHEN 1 THEN c_mktsegment || ' Fund' WHEN 2 THEN '某某投资' WHEN 3 THEN c_mktsegment || ' QFII' WHEN 4 THEN '国有资产管理委员会' WHEN 5 THEN '养老金计划' WHEN 6 THEN c_name || ' Ltd' WHEN 7 THEN '' WHEN 8 THEN '中央汇金' ELSE c_name END AS name FROM customer)
+SELECT c_custkey, CASE WHEN trim(kind) IN ('个人', '自然人') THEN false WHEN kind <> '' THEN true WHEN name = '' OR regexp_full_match(name, '[一-鿿]{1,4}') THEN false ELSE
+  regexp_matches(lower(name), '公司|集团|有限|银行|基金|保险|证券|信托|资管|资产|投资|社保|汇金|证金|国有|财政|中央|合伙|计划|qfii|llc|ltd|limited|inc') END AS institution FROM h""")
 def pr22_institutions(spark: SparkSession, sf: str) -> DataFrame:
     k = F.col("c_custkey")
-    kind = F.when(k % 6 == 0, "自然人").when(k % 6 == 1, "机构").otherwise("")
-    name = F.when(k % 4 == 0, "王小明").when(k % 4 == 1, F.concat("c_mktsegment", F.lit(" Fund"))).when(k % 4 == 2, "某某投资").otherwise(F.col("c_name"))
+    kind = F.when(k % 7 == 0, "自然人").when(k % 7 == 1, "机构").when(k % 7 == 2, " 个人").otherwise("")
+    name = F.when(k % 10 == 0, "王小明").when(k % 10 == 1, F.concat("c_mktsegment", F.lit(" Fund"))).when(k % 10 == 2, "某某投资").when(k % 10 == 3, F.concat("c_mktsegment", F.lit(" QFII")))
+    name = name.when(k % 10 == 4, "国有资产管理委员会").when(k % 10 == 5, "养老金计划").when(k % 10 == 6, F.concat("c_name", F.lit(" Ltd"))).when(k % 10 == 7, "").when(k % 10 == 8, "中央汇金").otherwise(F.col("c_name"))
     return table(spark, sf, "customer").select("c_custkey", normalize.is_institution(name, kind).alias("institution"))
 
 
@@ -133,10 +140,11 @@ def pr27_dated_code(spark: SparkSession, sf: str) -> DataFrame:
     return normalize.dated_code(lines, "l_suppkey", "d", s).select("l_orderkey", "l_linenumber", "active_code")
 
 
-@query("""SELECT c_custkey, CASE WHEN c_custkey % 7 = 0 THEN lpad(c_custkey::VARCHAR, 6, '0') || '1.SZ' ELSE lpad(c_custkey::VARCHAR, 6, '0') || '.SZ' END AS key, c_custkey % 7 = 0 AS repaired FROM customer""")
+@query("""SELECT c_custkey, CASE c_custkey % 7 WHEN 0 THEN lpad(c_custkey::VARCHAR, 6, '0') || '1.SZ' WHEN 1 THEN lpad(c_custkey::VARCHAR, 5, '0') || '!1.SH' WHEN 2 THEN lpad(c_custkey::VARCHAR, 6, '0') || '!2.SH' ELSE lpad(c_custkey::VARCHAR, 6, '0') || '.SZ' END AS key, c_custkey % 7 = 0 AS repaired FROM customer""")
 def pr28_join_key(spark: SparkSession, sf: str) -> DataFrame:
-    code = F.lpad(F.col("c_custkey").cast("string"), 6, "0")
-    raw = F.when(F.col("c_custkey") % 7 == 0, F.concat(code, F.lit("!1.sz"))).otherwise(F.concat(F.lit(" "), code, F.lit(".sz")))
+    """Only six digits and the mark !1 are repaired."""
+    k, code, short = F.col("c_custkey"), F.lpad(F.col("c_custkey").cast("string"), 6, "0"), F.lpad(F.col("c_custkey").cast("string"), 5, "0")
+    raw = F.when(k % 7 == 0, F.concat(code, F.lit("!1.sz"))).when(k % 7 == 1, F.concat(short, F.lit("!1.sh"))).when(k % 7 == 2, F.concat(code, F.lit("!2.sh"))).otherwise(F.concat(F.lit(" "), code, F.lit(".sz")))
     key, repaired = normalize.repair_join_key(raw)
     return table(spark, sf, "customer").select("c_custkey", key.alias("key"), repaired.alias("repaired"))
 

@@ -229,13 +229,6 @@ def jn02_adjusted_prices(spark: SparkSession, sf: str) -> DataFrame:
     return bars.adjust(p, f, "symbol", "d", ["open", "close"]).select("symbol", "d", "adjust_source", "close_adj", "open_adj")
 
 
-@query(f"""WITH {DAILY}, m AS (SELECT symbol, date_trunc('year', d)::DATE AS y, sum(volume) AS v FROM daily WHERE symbol <= 3 GROUP BY 1, 2)
-SELECT y, sum(v) FILTER (WHERE symbol = 1) AS s1, sum(v) FILTER (WHERE symbol = 2) AS s2, sum(v) FILTER (WHERE symbol = 3) AS s3 FROM m GROUP BY y""")
-def wn35_pivot(spark: SparkSession, sf: str) -> DataFrame:
-    m = daily(spark, sf).where("symbol <= 3").groupBy(F.to_date(F.date_trunc("year", "d")).alias("y")).pivot("symbol", [1, 2, 3]).agg(F.sum("volume"))
-    return m.withColumnsRenamed({str(k): f"s{k}" for k in (1, 2, 3)})
-
-
 @query(f"""WITH {DAILY}, f AS (SELECT symbol, d, 1 + (n_trades % 7) / 10.0 AS factor FROM daily), l AS (SELECT symbol, arg_max(factor, d) AS latest FROM f GROUP BY 1)
 SELECT symbol, d, close * (factor / latest) AS close_adj FROM daily JOIN f USING (symbol, d) JOIN l USING (symbol)""")
 def wn35_adjusted_panel(spark: SparkSession, sf: str) -> DataFrame:

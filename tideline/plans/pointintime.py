@@ -95,11 +95,6 @@ def pt32_staleness(spark: SparkSession, sf: str) -> DataFrame:
     return last.select("symbol", "last_known", (F.col("last_known") < F.lit("2000-12-01").cast("date")).alias("stale"), F.datediff(F.lit("2001-01-01").cast("date"), "last_known").cast("long").alias("lag_days"))
 
 
-@query(f"WITH {_FACTS} SELECT symbol, id, revenue, period FROM facts WHERE period >= DATE '1998-01-01' AND known <= DATE '1998-12-31' AND symbol < 300")
-def pt19_ledger_read(spark: SparkSession, sf: str) -> DataFrame:
-    return facts(spark, sf).where("period >= DATE '1998-01-01' AND known <= DATE '1998-12-31' AND symbol < 300").select("symbol", "id", "revenue", "period")
-
-
 @query(f"WITH {_FACTS} SELECT symbol, id, revenue, period FROM facts WHERE period >= DATE '1998-01-01' AND known <= DATE '1998-12-31'")
 def pt19_ledger_as_of(spark: SparkSession, sf: str) -> DataFrame:
     """All customers; the dates are those of the read."""
