@@ -1,6 +1,8 @@
 """Golden cases of sources, normalisation, gates, disclosures, features, audits and streams on small frames."""
 
 import datetime as dt
+import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,7 +10,7 @@ from pyspark.sql import functions as F
 from tideline.functions import scalar
 from tideline.operators import audits, disclosures, features, gates, joins, normalize, pit, quality, windows
 from tideline.sources import files, layouts, payloads
-from tideline.streaming import flows
+from tideline.streaming import flows, sequences
 
 
 def day(n, month=1, year=2024):
@@ -296,26 +298,85 @@ def test_sql_functions_equal_the_columns(spark):
     assert [r[0] for r in codes.select(F.expr("prefix_exchange(c, map('1', 'A', '11', 'B'))")).collect()] == ["B", "A", None]
 
 
+def _in_batches(spark, folder, batches, schema):
+    """A stream that reads one batch of rows after the other."""
+    for k, rows in enumerate(batches):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{folder}/{k}")
+        for p in os.listdir(f"{folder}/{k}"):
+            os.utime(f"{folder}/{k}/{p}", (1_700_000_000 + k * 100,) * 2)
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(folder)
+
+
 def test_channel_sequences_across_batches(spark, tmp_path):
-    for i, seqs in enumerate([[10, 12], [11, 11], [13]]):
-        spark.createDataFrame([("c", s) for s in seqs], "channel string, seq long").coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
-    import os
-
-    # files in the order of their writing, one a batch
-    parts = sorted((p for p in os.listdir(f"{tmp_path}/in") if p.endswith(".parquet")), key=lambda p: os.stat(f"{tmp_path}/in/{p}").st_mtime_ns)
-    for k, p in enumerate(parts):
-        os.utime(f"{tmp_path}/in/{p}", (1_700_000_000 + k * 100,) * 2)
-    stream = spark.readStream.schema("channel string, seq long").option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
-    written = flows.drain(flows.channel_sequences(stream, "channel", "seq"), "update")
-    assert written.count() == 3
-    assert one(flows.newest(written, ["channel"])) == {"channel": "c", "n": 5, "n_backwards": 1, "n_gaps": 2}
-
-
-def test_late_batches_do_not_overwrite_newer_rows(spark, tmp_path):
-    put = lambda rows: flows.upsert_folder(spark.createDataFrame(rows, "k int, v string, at int"), f"{tmp_path}/t", ["k"], "at")
-    put([(1, "new", 5), (2, "a", 1)])
-    put([(1, "old", 3), (2, "b", 2)])
-    assert sorted(tuple(r) for r in put([(2, "b", 2)]).collect()) == [(1, "new", 5), (2, "b", 2)]
+    rnd = random.Random(7)
+    rows = [(rnd.choice(["a", "b", None]), rnd.choice(["x", None]) if rnd.random() < 0.1 else str(rnd.choice([0, 5000, -9000]) + rnd.randint(0, 60)), k) for k in range(400)]
+    stream = _in_batches(spark, f"{tmp_path}/in", [rows[i : i + 100] for i in range(0, 400, 100)], "channel string, seq string, at long")
+    for cap in (10_000, 40):
+        written = flows.drain(sequences.sequence_quality(stream, "channel", "seq", "at", cap), "update", keyed_state=True)
+        assert written.select("batch").distinct().count() == 4
+        for r in flows.newest(written, ["channel"]).collect():
+            own = [s for c, s, _ in rows if (c or "__global__") == r["channel"]]
+            x = [int(s) for s in own if s and s != "x"]
+            steps, seen, duplicates, lost = [b - a for a, b in zip(x, x[1:])], set(), 0, False
+            for v in x:
+                duplicates, lost = duplicates + (v in seen), lost or (v not in seen and len(seen) >= cap)
+                if len(seen) < cap:
+                    seen.add(v)
+            want = (len(own), len(own) - len(x), duplicates, sum(s < 0 for s in steps), sum(s > 1 for s in steps), sum(s - 1 for s in steps if s > 1), len(seen), lost)
+            assert tuple(r[c] for c in ("n", "n_non_numeric", "n_duplicates", "n_backwards", "n_gaps", "gap_span", "tracked", "truncated")) == want
+            assert r["truncated"] == (cap == 40)
+
+
+def test_closed_windows_leave_the_state(spark, tmp_path):
+    at = lambda hour, minute=0: dt.datetime(2024, 1, 1 + hour // 24, hour % 24, minute)
+    batches = [[("a", at(h, 10), h, float(h)) for h in range(6 * k, 6 * k + 6)] for k in range(5)]
+    batches[1].append(("a", at(5, 5), 50, -5.0))  # late, inside the watermark of the batch before
+    batches[3].append(("a", at(2, 5), 51, -9.0))  # behind the watermark
+    stream = _in_batches(spark, f"{tmp_path}/in", batches, "k string, ts timestamp, i long, x double")
+    report = []
+    out = flows.drain(flows.window_bars(stream, "k", "ts", "i", "x", "1 hour", late="2 hours"), "append", report=report)
+    got = {r["start"].day * 24 + r["start"].hour - 24: (r["open"], r["high"], r["low"], r["close"], r["n"]) for r in out.collect()}
+    # the newest time is 29:10: windows that end by 27:10 are closed
+    assert got == {h: (float(h),) * 4 + (1,) for h in range(27) if h != 5} | {5: (-5.0, 5.0, -5.0, 5.0, 2)}
+    late, held = flows.late_and_held(report)
+    assert late == 1 and held <= 9
+
+
+def _files(folder):
+    return {os.path.join(d, f): os.stat(os.path.join(d, f)).st_mtime_ns for d, _, names in os.walk(folder) for f in names if f.endswith(".parquet")}
+
+
+def test_upserts_touch_only_their_partitions(spark, tmp_path):
+    out = f"{tmp_path}/t"
+    put = lambda rows: flows.upsert_partitions(spark.createDataFrame(rows, "k int, v string, at int, d int"), out, ["k", "d"], "at", "d")
+    read = lambda: sorted(tuple(r) for r in spark.read.schema("k int, v string, at int, d int").parquet(out).collect())
+    put([(1, "new", 5, 1), (2, "a", 1, 2), (3, "x", 1, 3)])
+    before = _files(out)
+    put([(1, "old", 3, 1), (2, "b", 2, 2), (4, "y", 1, 4)])
+    want = [(1, "new", 5, 1), (2, "b", 2, 2), (3, "x", 1, 3), (4, "y", 1, 4)]
+    assert read() == want
+    kept = {p: t for p, t in _files(out).items() if "d=3/" in p}
+    assert kept and kept.items() <= before.items()
+    put([(1, "old", 3, 1), (2, "b", 2, 2), (4, "y", 1, 4)])
+    assert read() == want
+
+
+def test_refresh_writes_changed_dates_only(spark, tmp_path):
+    out, built = f"{tmp_path}/t", []
+
+    def build(df):
+        built.append(sorted(r["d"] for r in df.select("d").distinct().collect()))
+        return df.groupBy("d").agg(F.sum("x").alias("x"))
+
+    put = lambda rows: flows.refresh_changed(spark.createDataFrame(rows, "d int, x double"), out, "d", build)
+    assert put([(1, 1.0), (2, 2.0), (3, 3.0), (3, 4.0)]) == {"built": 3, "removed": 0}
+    before = _files(f"{out}/table")
+    assert put([(3, 4.0), (1, 1.0), (2, 5.0), (3, 3.0), (4, 9.0)]) == {"built": 2, "removed": 0} and built[-1] == [2, 4]
+    kept = {p: t for p, t in _files(f"{out}/table").items() if "d=1/" in p or "d=3/" in p}
+    assert len(kept) == 2 and kept.items() <= before.items()
+    assert put([(1, 1.0), (2, 5.0), (4, 9.0)]) == {"built": 0, "removed": 1} and len(built) == 2
+    assert put([(1, 1.0), (2, 5.0), (4, 9.0)]) == {"built": 0, "removed": 0}
+    assert sorted(tuple(r) for r in spark.read.schema("x double, d int").parquet(f"{out}/table").select("d", "x").collect()) == [(1, 1.0), (2, 5.0), (4, 9.0)]
 
 
 def test_only_changed_dates_are_computed_anew(spark):

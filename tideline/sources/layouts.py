@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.functions.scalar import canonical_code, tolerant_date
@@ -20,6 +20,27 @@ def dealt(df: DataFrame, partition: str, by: list[str] | None = None, files: int
     return df.repartition(partition, spread)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
+def newest_version(spark: SparkSession, path: str) -> int | None:
+    """The largest N of complete folders version=N."""
+    if not exists(spark, path):
+        return None
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    names = [f.getPath().getName() for f in where.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(where)]
+    return max((int(n.split("=")[1]) for n in names if n.startswith("version=") and exists(spark, f"{path}/{n}/_SUCCESS")), default=None)
+
+
+def replace_partitions(df: DataFrame, path: str, partition: str, by: list[str] | None = None) -> None:
+    """Write the partitions that the rows belong to in place of those that are there; all others keep their files. Writing
+    the same rows again changes nothing. The old files are read to the end before they are replaced, so the rows may come
+    from the table itself."""
+    dealt(df, partition, by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+
+
 def canonical(df: DataFrame, types: dict[str, str], required: list[str]) -> DataFrame:
     """Columns cast to their canonical types, and `rejected`: the first required column that is null afterwards."""
     cast = df.select(*[F.col(c).try_cast(t).alias(c) for c, t in types.items()])
