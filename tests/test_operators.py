@@ -1,12 +1,14 @@
 """Golden cases on small frames, edge cases, and independence of partitioning."""
 
 import datetime as dt
+import random
+import statistics
 
 import pytest
 from pyspark.sql import functions as F
 
 from tideline.functions import scalar
-from tideline.operators import bars, joins, pit, quality, windows
+from tideline.operators import bars, joins, pit, quality, sweeps, windows
 
 
 def test_volume_bars_close_at_the_threshold_and_start_at_zero(spark):
@@ -85,3 +87,54 @@ def test_field_state_takes_the_last_value_that_is_there(spark):
     rows = [("A", 1, 1, 5.0, None), ("A", 2, 2, None, 7.0), ("A", 3, 3, None, None)]
     r = pit.field_state(spark.createDataFrame(rows, "k string, period int, id int, x double, y double"), "k", ["x", "y"], ["period", "id"]).first()
     assert (r["x"], r["x_id"], r["y"], r["y_id"]) == (5.0, 1, 7.0, 2)
+
+
+def _interval_case(spark, n, keys, seed, kind="date"):
+    rnd = random.Random(seed)
+    day = lambda: dt.date(2024, 1, 1) + dt.timedelta(rnd.randrange(60))
+    key = lambda: rnd.choice([*range(keys), None])
+    spans = [(key(), None if rnd.random() < 0.05 else (a := day()), None if rnd.random() < 0.1 else a + dt.timedelta(rnd.randrange(-2, 25)), rnd.choice("abc"), i % 3) for i in range(n)]
+    asked = [(key(), None if rnd.random() < 0.05 else day(), i) for i in range(2 * n)]
+    return asked, spans
+
+
+def test_interval_sweeps_equal_brute_force(spark):
+    for seed, (n, keys) in enumerate([(60, 2), (40, 6), (5, 1)]):
+        asked, spans = _interval_case(spark, n, keys, seed)
+        df, iv = spark.createDataFrame(asked, "k int, d date, i int"), spark.createDataFrame(spans, "k int, a date, z date, label string, n int")
+        holds = lambda k, d: [(a, (lab, m)) for s, a, z, lab, m in spans if k is not None and d and s == k and a and a <= d and (z is None or d <= z)]
+        want = {i: max(holds(k, d))[1] if holds(k, d) else (None, None) for k, d, i in asked}
+        got = joins.interval_member(df, iv, "k", "d", "a", "z", ["label", "n"]).collect()
+        assert len(got) == len(asked) and {r["i"]: (r["label"], r["n"]) for r in got} == want
+        inside = {(k, d) for k, d, i in asked if k is not None and d and any(s == k and (a is None or a <= d) and (z is None or d <= z) for s, a, z, *_ in spans)}
+        assert {tuple(r) for r in sweeps.covered(df, iv, "k", "d", "a", "z").collect()} == inside
+        for ahead in (False, True):
+            got = {(r["k"], r["d"]): r["e"] for r in sweeps.nearest(df, iv, "k", "d", "a", "e", ahead=ahead).collect()}
+            near = lambda k, d, ahead=ahead: [a for s, a, *_ in spans if k is not None and d and s == k and a and (a > d if ahead else a < d)]
+            assert got == {(k, d): (min if ahead else max)(near(k, d), default=None) for k, d, _ in asked}
+    assert joins.interval_member(df.limit(0), iv, "k", "d", "a", "z", ["label"]).count() == 0
+    assert {r["label"] for r in joins.interval_member(df, iv.limit(0), "k", "d", "a", "z", ["label"]).collect()} == {None}
+
+
+def test_intervals_of_one_key_are_swept_in_linear_time(spark):
+    """One key with 100,000 nested and overlapping intervals and as many times: pairs would be 10**10."""
+    n = 100_000
+    spans = spark.range(n).select(F.lit(1).alias("k"), F.col("id").alias("a"), F.when(F.col("id") % 1000 == 0, F.lit(2 * n)).otherwise(F.col("id") + F.col("id") % 7 - 1).alias("z"), F.col("id").alias("who"))
+    df = spark.range(n).select(F.lit(1).alias("k"), F.col("id").alias("t"))
+    out = {r["t"]: r["who"] for r in joins.interval_member(df, spans, "k", "t", "a", "z", ["who"]).collect()}
+    for t in range(0, n, 997):
+        own = [a for a in range(max(0, t - 6), t + 1) if a % 1000 == 0 or t <= a + a % 7 - 1] + [t - t % 1000]
+        assert out[t] == max(own)
+
+
+def test_rolling_median_equals_a_plain_one(spark):
+    rnd = random.Random(9)
+    rows = [(s, t, rnd.choice([None, float("nan"), 1.0, 2.5]) if rnd.random() < 0.1 else rnd.randint(0, 40) / 4) for s in range(3) for t in range(400)]
+    df = spark.createDataFrame(rows, "s int, t int, x double")
+    for size, need in ((1, 1), (4, 4), (60, 30), (250, 200)):
+        got = {(r["s"], r["t"]): r["m"] for r in windows.with_rolling_median(df, "x", "s", "t", size, need, "m").collect()}
+        for s in range(3):
+            own = [x if x is not None and x == x else None for k, _, x in rows if k == s]
+            for t in range(400):
+                frame = [x for x in own[max(0, t - size + 1) : t + 1] if x is not None]
+                assert got[s, t] == (statistics.median(frame) if len(frame) >= need else None)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tideline.functions.scalar import tolerant_date
 from tideline.operators.pit import newest_flagged
+from tideline.operators.sweeps import nearest
 from tideline.operators.windows import intervals, keep_one, safe_ratio
 
 #: Which report types an as-of selection takes; None takes all.
@@ -219,10 +220,9 @@ def released(obs: DataFrame, calendar: DataFrame, zone: str, days: int = 120, la
     at = F.to_utc_timestamp(F.date_add("publish_date", 1).cast("timestamp"), zone)
     cal = calendar.select("series", at.alias("_at")).distinct()
     keys = ["series", "period_end"]
-    end = F.col("o.period_end").cast("timestamp")
-    hit = (F.col("o.series") == F.col("c.series")) & (F.col("_at") > end) & (F.col("_at") <= end + F.make_dt_interval(days=F.lit(days)))
-    first = obs.select(*keys).distinct().alias("o").join(cal.alias("c"), hit)
-    first = first.groupBy("o.series", "o.period_end").agg(F.min("_at").alias("release_at"))
+    asked = obs.select(*keys).distinct().withColumn("_end", F.col("period_end").cast("timestamp"))
+    first = asked.join(nearest(asked, cal, "series", "_end", "_at", "_first", ahead=True), ["series", "_end"])
+    first = first.where(F.col("_first") <= F.col("_end") + F.make_dt_interval(days=F.lit(days))).select(*keys, F.col("_first").alias("release_at"))
     out = obs.join(first, keys, "left")
     late = F.col("retrieved_at") - F.col("release_at")
     return out.withColumn("observed", F.coalesce((F.col("retrieved_at") >= F.col("release_at")) & (late <= F.make_dt_interval(days=F.lit(lag))), F.lit(False)))
@@ -253,12 +253,12 @@ def expand_intervals(spans: DataFrame, calendar: DataFrame, symbol: str, start:
 def announcement_timing(history: DataFrame, events: DataFrame, symbol: str, date: str, within: int) -> DataFrame:
     """Whether the newest event of a symbol within so many days before a date, on it, or after it announced it: same_day
     before prior before later, else none; with the evidence's date."""
-    d = F.datediff(F.col("e." + date), F.col("h." + date))
-    hit = (F.col("h." + symbol) == F.col("e." + symbol)) & F.col("e." + date).between(F.date_sub(F.col("h." + date), within), F.date_add(F.col("h." + date), within))
-    j = history.select(symbol, date).distinct().alias("h").join(events.select(symbol, date).distinct().alias("e"), hit, "left")
-    out = j.groupBy(F.col("h." + symbol).alias(symbol), F.col("h." + date).alias(date)).agg(
-        F.max(F.when(d == 0, F.col("e." + date))).alias("_same"), F.max(F.when(d < 0, F.col("e." + date))).alias("_prior"), F.min(F.when(d > 0, F.col("e." + date))).alias("_later")
-    )
+    asked, e = history.select(symbol, date).distinct(), events.select(symbol, F.col(date).alias("_event")).distinct()
+    out = nearest(asked, e, symbol, date, "_event", "_prior", ahead=False).withColumn("_k", F.struct(symbol, date))
+    for more in (nearest(asked, e, symbol, date, "_event", "_later", ahead=True), e.select(symbol, F.col("_event").alias(date), F.col("_event").alias("_same"))):
+        # null-safe, as a row without a symbol or date has its row too
+        out = out.join(more.select(F.struct(symbol, date).alias("_m"), more.columns[-1]), F.col("_k").eqNullSafe(F.col("_m")), "left").drop("_m")
+    out = out.withColumns({"_prior": F.when(F.col("_prior") >= F.date_sub(date, within), F.col("_prior")), "_later": F.when(F.col("_later") <= F.date_add(date, within), F.col("_later"))})
     timing = F.when(F.col("_same").isNotNull(), "same_day").when(F.col("_prior").isNotNull(), "prior").when(F.col("_later").isNotNull(), "later").otherwise("none")
     return out.select(symbol, date, timing.alias("timing"), F.coalesce("_same", "_prior", "_later").alias("evidence"))
 

@@ -10,6 +10,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tideline.operators.sweeps import covered
+
 
 def check_table(df: DataFrame, checks: dict[str, tuple[str, Column]], by: list[str] | None = None) -> DataFrame:
     """All checks (name to severity and the condition of an offending row) in one scan."""
@@ -118,10 +120,8 @@ def explain_absence(missing: DataFrame, suspends: DataFrame, pauses: DataFrame,
     """Why a symbol did not trade: in a pause (symbol, start, end), suspended all day (symbol, date, kind S without R), or
     unexplained."""
     s = suspends.groupBy(symbol, date).agg((F.count_if(F.col("kind") == "S") > 0).alias("_s"), (F.count_if(F.col("kind") == "R") > 0).alias("_r")).where("_s AND NOT _r").select(symbol, date, F.lit(True).alias("_off"))
-    p = pauses.select(F.col(symbol).alias("_p"), "start", "end")
-    inside = (F.col(symbol) == F.col("_p")) & (F.col(date) >= F.col("start")) & (F.col("end").isNull() | (F.col(date) <= F.col("end")))
-    paused = missing.join(p, inside, "left_semi").withColumn("_paused", F.lit(True))
-    out = missing.join(paused.select(symbol, date, "_paused"), [symbol, date], "left").join(s, [symbol, date], "left")
+    paused = covered(missing, pauses.where("start IS NOT NULL"), symbol, date, "start", "end").withColumn("_paused", F.lit(True))
+    out = missing.join(paused, [symbol, date], "left").join(s, [symbol, date], "left")
     return out.withColumn("reason", F.when(F.col("_paused"), "paused").when(F.col("_off"), "suspended").otherwise("unexplained")).drop("_paused", "_off")
 
 

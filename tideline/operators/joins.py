@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tideline.operators.sweeps import latest_open
+
 
 def as_of(left: DataFrame, right: DataFrame, keys: list[str], left_time: str, right_time: str, columns: list[str]) -> DataFrame:
     """Each left row with the columns of the latest right row of its key at or before it (null if none).
@@ -31,13 +33,10 @@ def as_of_label(panel: DataFrame, changes: DataFrame, symbol: str, date: str, st
 
 
 def interval_member(df: DataFrame, intervals: DataFrame, key: str, date: str, start: str, end: str, columns: list[str]) -> DataFrame:
-    """The interval of the key that holds the date; of several the one that starts last; null if none."""
-    spans = intervals.select(F.col(key).alias("_key"), F.col(start).alias("_start"), F.col(end).alias("_end"), *[F.col(c).alias(f"_{c}") for c in columns])
-    inside = (F.col(key) == F.col("_key")) & (F.col(date) >= F.col("_start")) & (F.col("_end").isNull() | (F.col(date) <= F.col("_end")))
-    found = F.struct(*[F.col(f"_{c}").alias(c) for c in columns])
-    # of each key and date once; of intervals that start together the one with the largest columns
-    hits = df.select(key, date).distinct().join(spans, inside).groupBy(key, date).agg(F.max_by(found, F.struct("_start", found)).alias("_best"))
-    return df.join(hits, [key, date], "left").select(*df.columns, *[F.col(f"_best.{c}").alias(c) for c in columns])
+    """The interval of the key that holds the date; of several the one that starts last, of those that start together the
+    one with the largest columns; null if none."""
+    held = latest_open(df, intervals, key, date, start, end, columns).withColumnRenamed("held", "_held")
+    return df.join(held, [key, date], "left").select(*df.columns, *[F.col(f"_held.{c}").alias(c) for c in columns])
 
 
 def next_session(dates: DataFrame, calendar: DataFrame, date: str, session: str, strict: bool = True) -> DataFrame:

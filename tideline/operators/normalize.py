@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tideline.operators.sweeps import covered
 from tideline.operators.windows import keep_one
 
 #: Suffixes of codes and the exchange they mean; first digits of bare codes of two exchanges.
@@ -148,9 +149,7 @@ def repair_join_key(c: Column) -> tuple[Column, Column]:
 
 def within_spans(df: DataFrame, spans: DataFrame, key: str, date: str) -> DataFrame:
     """Rows of keys with a validity span (key, start, end; a null bound is open) that holds their date."""
-    s = spans.select(F.col(key).alias("_key"), F.col("start").alias("_start"), F.col("end").alias("_end"))
-    hit = (F.col(key) == F.col("_key")) & (F.col("_start").isNull() | (F.col(date) >= F.col("_start"))) & (F.col("_end").isNull() | (F.col(date) <= F.col("_end")))
-    return df.join(s, hit, "left_semi")
+    return df.join(covered(df, spans, key, date, "start", "end"), [key, date], "left_semi").select(*df.columns)
 
 
 def pick_columns(df: DataFrame, keys: list[str], wanted: list[str]) -> DataFrame:

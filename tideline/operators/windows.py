@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left, insort
+from collections import deque
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
@@ -49,15 +54,44 @@ def with_microstructure(panel: DataFrame, symbol: str = "symbol", date: str = "d
     beta = guarded(F.avg("_beta"), F.col("_beta"), w, size)
     base = base.withColumn("_b", beta)
     alpha = F.greatest((F.sqrt(2 * F.col("_b")) - F.sqrt("_b")) / k - F.sqrt(F.col("_gamma") / k), F.lit(0.0))
-    median = F.when(F.count("amount").over(w) >= size, F.expr("percentile(amount, 0.5)").over(w))
+    base = with_rolling_median(base, "amount", symbol, date, size, size, "_median")
     return base.withColumns(
         {
             "parkinson": parkinson("high", "low", w, size),
             "spread": F.when(F.col("_b").isNotNull() & F.col("_gamma").isNotNull(), 2 * (F.exp(alpha) - 1) / (1 + F.exp(alpha))),
             "amihud": guarded(F.avg("_illiq"), F.col("_illiq"), w, size),
-            "turnover_shock": safe_ratio(F.col("amount"), median) - 1,
+            "turnover_shock": safe_ratio(F.col("amount"), F.col("_median")) - 1,
         }
-    ).drop("_hl", "_illiq", "_high2", "_low2", "_before", "_beta", "_gamma", "_b")
+    ).drop("_hl", "_illiq", "_high2", "_low2", "_before", "_beta", "_gamma", "_b", "_median")
+
+
+def with_rolling_median(df: DataFrame, value: str, symbol: str, date: str, size: int, need: int, name: str) -> DataFrame:
+    """Adds the exact median of the last `size` rows of each symbol (null where fewer than `need` of them have a value; NaN
+    is none). The window is kept sorted and goes from batch to batch: a row costs one search out and one in, however long
+    the window is. Symbols are read as streams of batches, in the partitioning that the windows before have."""
+    schema = df.select("*", F.lit(0.0).alias(name)).schema
+    schema[name].nullable = True
+    kept = list(df.columns)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[float] = []
+        last: deque[float | None] = deque()
+        for batch in batches:
+            medians = []
+            for x in batch.column(value).cast(pa.float64()).to_pylist():
+                if len(last) == size and (old := last.popleft()) is not None:
+                    del held[bisect_left(held, old)]
+                x = None if x is None or x != x else x
+                last.append(x)
+                if x is not None:
+                    insort(held, x)
+                n = len(held)
+                medians.append((held[n // 2] + held[(n - 1) // 2]) / 2 if n and n >= need else None)
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(medians, pa.float64())], names=[*kept, name])
+
+    # numbering the rows sorts them; it costs nothing where a window of that order stands below
+    numbered = df.withColumn("_at", F.row_number().over(Window.partitionBy(symbol).orderBy(date)))
+    return numbered.groupBy(symbol).applyInArrow(run, schema)
 
 
 def rolling_zscore(x: str, w: WindowSpec, need: int = 2) -> Column:
