@@ -29,6 +29,7 @@ import re
 from array import array
 from collections import ChainMap
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -42,8 +43,8 @@ WORD = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|
 #: A space between two characters that are no white space.
 BOUND = re.compile(r"(?<=\S) (?=\S)")
 NEAR_SPACES = re.compile(r"\s\s")
-#: Chunks and words that a worker keeps, the characters of the longest that it keeps, and words that are encoded together.
-MOST_KEPT, LONGEST_KEPT, TOGETHER = 600_000, 32, 1 << 15
+#: Chunks and words after which a worker sets its table aside (it keeps two), the characters of the longest that it keeps, and words that are encoded together.
+MOST_KEPT, LONGEST_KEPT, TOGETHER = 150_000, 32, 1 << 15
 #: Arcs that a worker keeps as looked up.
 MOST_ARCS = 1_000_000
 #: Characters of a text that are encoded at a time, and bytes of texts in a batch.
@@ -100,8 +101,8 @@ class TokenAutomaton:
         return True
 
     def _trie(self, tokens: list[int]) -> None:
-        """Nodes for all beginnings of labels, each with the node of its longest suffix and the tokens that end there, longest first."""
-        self.children: list[list[tuple[int, int]]] = [[]]
+        """Tables over nodes for all beginnings of labels."""
+        children: list[list[tuple[int, int]]] = [[]]
         goto: dict[int, int] = {}
         by_node: dict[int, int] = {}
         for t in tokens:
@@ -109,38 +110,30 @@ class TokenAutomaton:
             for b in self.labels[t]:
                 to = goto.get(at << 8 | b)
                 if to is None:
-                    to = goto[at << 8 | b] = len(self.children)
-                    self.children[at].append((b, to))
-                    self.children.append([])
+                    to = goto[at << 8 | b] = len(children)
+                    children[at].append((b, to))
+                    children.append([])
                 at = to
             by_node[at] = t
-        self.fail = [0] * len(self.children)
-        self.ends: list[tuple[int, ...]] = [()] * len(self.children)
-        self.breadth_first = [0]
-        for at in self.breadth_first:
-            for b, to in self.children[at]:
-                if at:
-                    link = self.fail[at]
-                    while link and (link << 8 | b) not in goto:
-                        link = self.fail[link]
-                    self.fail[to] = goto.get(link << 8 | b, 0)
-                self.ends[to] = ((by_node[to],) if to in by_node else ()) + self.ends[self.fail[to]]
-                self.breadth_first.append(to)
-        self.tables()
-
-    def tables(self) -> None:
-        """The goto table with the links followed, and for each node the longest token that ends there, for each token the
-        longest one that ends it."""
-        self.step = np.zeros((len(self.fail), 256), np.int32)
-        for at in self.breadth_first:
-            if at:
-                self.step[at] = self.step[self.fail[at]]
-            for b, to in self.children[at]:
-                self.step[at, b] = to
-        self.longest = np.array([e[0] if e else -1 for e in self.ends], np.int32)
+        # step: the node after a byte, with the links to suffixes followed; longest: the longest token that ends at a node,
+        # shorter: the longest one that ends a token
+        self.step = np.zeros((len(children), 256), np.int32)
+        self.longest = np.full(len(children), -1, np.int32)
         self.shorter = np.full(len(self.labels), -1, np.int32)
-        for e in self.ends:
-            self.shorter[list(e[:-1])] = e[1:]
+        link = array("i", [0]) * len(children)
+        breadth_first = array("i", [0])
+        for at in breadth_first:
+            self.step[at] = self.step[link[at]]
+            for b, to in children[at]:
+                link[to] = self.step[at, b] if at else 0
+                ends = self.longest[link[to]]
+                if to in by_node:
+                    self.longest[to], self.shorter[by_node[to]] = by_node[to], ends
+                else:
+                    self.longest[to] = ends
+                breadth_first.append(to)
+            for b, to in children[at]:
+                self.step[at, b] = to
         self.sizes = np.array([len(x or b"") for x in self.labels], np.int32)
         #: Arcs that were looked up: sorted last * 2**32 + token, and whether there is one.
         self.pairs, self.open = np.zeros(0, np.int64), np.zeros(0, bool)
@@ -227,34 +220,53 @@ class TokenAutomaton:
         return np.array(out[::-1], "<u4").tobytes()
 
 
+class Labels:
+    """Labels of the arcs by id; a special token has its text."""
+
+    def __init__(self, path: str):
+        _, own, self.special = _read(path)
+        self.labels = [x or b"" for x in own]
+        for text, i in self.special.items():
+            self.labels[i] = text.encode()
+
+    def decode(self, ids: bytes) -> bytes:
+        """The labels of a path, one after the other; bytes that are no UTF-8 are replaced."""
+        return b"".join(map(self.labels.__getitem__, memoryview(ids).cast("I"))).decode("utf-8", "replace").encode()
+
+
+def _read(path: str) -> tuple[dict, list[bytes | None], dict[str, int]]:
+    """The file, the bytes of each id (None: no ordinary token), and the ids of special tokens."""
+    with open(path, encoding="utf-8") as f:
+        held = json.load(f)
+    if held["normalizer"] or held["pre_tokenizer"]["type"] != "ByteLevel" or held["pre_tokenizer"]["add_prefix_space"] or not held["pre_tokenizer"]["use_regex"]:
+        raise ValueError(f"{path} is no plain byte-level vocabulary")
+    to_byte = {c: b for b, c in enumerate(_byte_letters())}
+    vocab, special = held["model"]["vocab"], {x["content"]: x["id"] for x in held["added_tokens"]}
+    labels: list[bytes | None] = [None] * (1 + max([*vocab.values(), *special.values()]))
+    for text, i in vocab.items():
+        if text not in special:
+            labels[i] = bytes(to_byte[c] for c in text)
+    return held, labels, special
+
+
 class Codec:
     """The automaton of a byte-level BPE file of the tokenizers library, with the words it has met."""
 
     def __init__(self, path: str):
         import regex
 
-        with open(path, encoding="utf-8") as f:
-            held = json.load(f)
+        held, labels, self.special = _read(path)
         model = held["model"]
-        if held["normalizer"] or held["pre_tokenizer"]["type"] != "ByteLevel" or held["pre_tokenizer"]["add_prefix_space"] or not held["pre_tokenizer"]["use_regex"]:
-            raise ValueError(f"{path} is no plain byte-level vocabulary")
-        to_byte = {c: b for b, c in enumerate(_byte_letters())}
-        self.special = {x["content"]: x["id"] for x in held["added_tokens"]}
-        labels: list[bytes | None] = [None] * (1 + max([*model["vocab"].values(), *self.special.values()]))
-        for text, i in model["vocab"].items():
-            if text not in self.special:
-                labels[i] = bytes(to_byte[c] for c in text)
         vocab = model["vocab"]
         self.automaton = TokenAutomaton(labels, [(vocab[a], vocab[b], vocab[a + b]) for a, b in (m.split(" ") if isinstance(m, str) else m for m in model["merges"])])
-        #: Labels of the arcs; a special token has its text.
-        self.labels = [b"" if x is None else x for x in labels]
-        for text, i in self.special.items():
-            self.labels[i] = text.encode()
         self.word = regex.compile(WORD)
         self.cut = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
+        #: Words, and what stands between two bounds without the space in front (one that begins with a line feed has none):
+        #: those met lately, and those met before them.
         self.words: dict[str, bytes] = {}
-        #: What stands between two bounds, without the space in front; one that begins with a line feed has no space.
+        self.old_words: dict[str, bytes] = {}
         self.chunks: dict[str, bytes] = {}
+        self.old_chunks: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of texts as little-endian unsigned 32-bit integers."""
@@ -290,9 +302,9 @@ class Codec:
 
     def _encode_parts(self, held: list[tuple[int, str | int, bool]], out: list[list[bytes]]) -> None:
         if len(self.words) > MOST_KEPT:
-            self.words.clear()
+            self.words, self.old_words = {}, self.words
         if len(self.chunks) > MOST_KEPT:
-            self.chunks.clear()
+            self.chunks, self.old_chunks = {}, self.chunks
         cut: list[tuple[list[str], list[str]] | None] = []
         for _, text, spaced in held:
             if isinstance(text, int):
@@ -301,8 +313,8 @@ class Codec:
             # a line feed alone between two characters is a word; what follows it has no space in front
             pieces = BOUND.split(text) if NEAR_SPACES.search(text) else text.replace("\n", " \n").split(" ")
             cut.append(([], pieces) if spaced else (self.word.findall(pieces[0]), pieces[1:]))
-        split = {c: self._words_of(c) for c in set().union(*(x[1] for x in cut if x)).difference(self.chunks)}
-        wanted = set().union(*split.values(), *(x[0] for x in cut if x)).difference(self.words)
+        split = {c: self._words_of(c) for c in _absent(set().union(*(x[1] for x in cut if x)), self.chunks, self.old_chunks)}
+        wanted = _absent(set().union(*split.values(), *(x[0] for x in cut if x)), self.words, self.old_words)
         long = {w: self.automaton.encode_long(w.encode()) for w in wanted if len(w) > LONGEST_KEPT}
         short = [w for w in wanted if len(w) <= LONGEST_KEPT]
         for i in range(0, len(short), TOGETHER):
@@ -323,10 +335,13 @@ class Codec:
             return ["\n", chunk[1:]] if chunk[1:].isalpha() else self.word.findall(chunk)
         return self.word.findall(" " + chunk)
 
-    def decode(self, ids: bytes) -> bytes:
-        """Labels of the arcs of a path; bytes that are no UTF-8 are replaced."""
-        out = b"".join(map(self.labels.__getitem__, memoryview(ids).cast("I")))
-        return out.decode("utf-8", "replace").encode()
+
+def _absent(keys: set[str], kept: dict[str, bytes], old: dict[str, bytes]) -> set[str]:
+    """Keys that are in neither table; what only the old one has is kept anew."""
+    keys.difference_update(kept)
+    again = {k: old[k] for k in keys if k in old}
+    kept.update(again)
+    return keys.difference(again)
 
 
 def _byte_letters() -> list[str]:
@@ -336,14 +351,15 @@ def _byte_letters() -> list[str]:
     return [chr(b) if b in shown else chr(next(rest)) for b in range(256)]
 
 
-_codecs: dict[str, Codec] = {}
-
-
+@lru_cache(maxsize=2)
 def load(path: str) -> Codec:
     """The codec of a file, compiled once for each worker process."""
-    if path not in _codecs:
-        _codecs[path] = Codec(path)
-    return _codecs[path]
+    return Codec(path)
+
+
+@lru_cache(maxsize=2)
+def labels_of(path: str) -> Labels:
+    return Labels(path)
 
 
 def encode(docs: DataFrame, *, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -368,9 +384,9 @@ def decode(encoded: DataFrame, *, path: str, ids_col: str = "ids", into: str = "
     kept = [c for c in encoded.columns if c != ids_col]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = load(path)
+        own = labels_of(path)
         for batch in slices(batches, ids_col, BATCH):
-            texts = [None if x is None else codec.decode(x) for x in batch.column(ids_col).to_pylist()]
+            texts = [None if x is None else own.decode(x) for x in batch.column(ids_col).to_pylist()]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(texts, pa.binary()).cast(pa.string())], names=[*kept, into])
 
     schema = encoded.select(*kept).schema.add(into, "string")

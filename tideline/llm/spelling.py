@@ -117,77 +117,88 @@ def word_counts(docs: DataFrame, spell: Callable[[int | None, bytes], bytes] | N
     return base.mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+ENTRY = ("word", "n", "size", "front", "back", "below")
+
+
 def _entries(words: DataFrame) -> DataFrame:
-    """Each word for either length of the shorter one, with an open middle that is the whole of it."""
+    """Each word for either length of the shorter one, with an open middle that is the whole of it. front, back: characters
+    that a group shares; below: a pair of the group that shares this many at the front belongs elsewhere."""
     size = F.explode(F.array(F.length("word"), F.length("word") - 1)).alias("size")
-    return words.select("word", size).withColumns({"front": F.lit(0), "back": F.lit(0), "below": F.lit(1 << 30)})
+    return words.select("word", "n", size, F.lit(0).alias("front"), F.lit(0).alias("back"), F.lit(1 << 30).alias("below"))
 
 
 def _halved(entries: DataFrame) -> DataFrame:
-    """The two entries of each whose open middle is half as long. front, back: characters that a group shares; below: a
-    pair of the group that shares this many at the front belongs elsewhere."""
-    half = F.expr("(size - front - back) div 2")
+    """The two entries of each whose open middle is half as long."""
+    half = F.expr("cast((size - front - back) div 2 as int)")
     left = F.struct((F.col("front") + half).alias("front"), F.col("back"), F.col("below"))
     right = F.struct(F.col("front"), (F.col("size") - F.col("front") - half).alias("back"), F.least("below", F.col("front") + half).alias("below"))
-    return entries.withColumn("part", F.explode(F.array(left, right))).select("word", "size", "part.*")
-
-
-def _keyed(entries: DataFrame) -> DataFrame:
-    front = F.expr("substring(word, 1, front)")
-    return entries.withColumn("key", F.concat_ws("\t", F.col("size"), F.col("front"), F.col("back"), front, F.expr("right(word, back)")))
+    return entries.withColumn("part", F.explode(F.array(left, right))).select("word", "n", "size", "part.*")
 
 
 def near_words(words: DataFrame, *, most: int = 128) -> DataFrame:
-    """a string, b string: every pair of the table's distinct words that differ by one code point, once.
+    """a string, n_a long, b string, n_b long: every pair of the distinct words of (word string, n long) that differ by one
+    code point, once.
 
-    most: words of a group that are compared in one list; larger groups are split until they agree in all but one code
-    point, where at most one word for each character (and one more) is left.
+    most: words of a group that are compared in one list and held in memory; larger groups are passed on as they are read
+    and split until they agree in all but one code point, where at most one word for each character (and one more) is left.
     """
-    groups = _keyed(_halved(_entries(words)))
-    found = None
+    entries, found = _entries(words), None
     while True:
-        sized = groups.join(groups.groupBy("key").agg(F.count("*").alias("members")), "key").where("members > 1")
-        # a middle of one code point cannot be halved
-        large = (F.col("members") > most) & (F.col("size") - F.col("front") - F.col("back") > 1)
-        sized = materialize(sized.withColumn("large", large))
-        part = _compared(sized.where("not large"))
+        out = materialize(_compared(_halved(entries), most))
+        part = out.where("a IS NOT NULL").select("a", "n_a", "b", "n_b")
         found = part if found is None else found.unionByName(part)
-        rest = sized.where("large")
-        if rest.isEmpty():
+        entries = out.where("word IS NOT NULL").select(*ENTRY)
+        if entries.isEmpty():
             return found
-        groups = _keyed(_halved(rest.select("word", "size", "front", "back", "below")))
 
 
-def _compared(groups: DataFrame) -> DataFrame:
+def _compared(entries: DataFrame, most: int) -> DataFrame:
+    """The pairs of each group (a, n_a, b, n_b), and the entries of groups that are too large."""
+    types = [pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32()]
+    names = ["a", "n_a", "b", "n_b", *ENTRY]
+
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held, a, b = None, [], [], []
+        key, held, large, pairs, rest = None, [], False, [], []
 
         def finish() -> None:
-            size, front, back, below = held[0][1:]
-            middles = sorted((w[front : len(w) - back], w) for w, *_ in held)
-            inner = [m for m, _ in middles]
+            _, _, size, front, back, below = held[0]
+            middles = sorted((w[front : len(w) - back], w, n) for w, n, *_ in held)
+            inner = [m[0] for m in middles]
             for i, j in near_pairs(inner, size - front - back):
                 if below > front + len(commonprefix([inner[i], inner[j]])):
-                    a.append(middles[i][1])
-                    b.append(middles[j][1])
+                    pairs.append((*middles[i][1:], *middles[j][1:]))
+
+        def emit() -> pa.RecordBatch:
+            columns = [*zip(*pairs, strict=True)] if pairs else [()] * 4
+            others = [*zip(*rest, strict=True)] if rest else [()] * len(ENTRY)
+            columns = [[*c, *[None] * len(rest)] for c in columns] + [[*[None] * len(pairs), *c] for c in others]
+            pairs.clear()
+            rest.clear()
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
 
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("key", "word", "size", "front", "back", "below")]
+            columns = [batch.column(c).to_pylist() for c in ("key", *ENTRY)]
             for k, *row in zip(*columns, strict=True):
                 if k != key:
                     if len(held) > 1:
                         finish()
-                    key, held = k, []
+                    key, held, large = k, [], False
+                if large:
+                    rest.append(row)
+                    continue
                 held.append(row)
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.string()), pa.array(b, pa.string())], names=["a", "b"])
-            a.clear()
-            b.clear()
+                # a middle of one code point cannot be halved
+                if len(held) > most and row[2] - row[3] - row[4] > 1:
+                    rest.extend(held)
+                    held, large = [], True
+            yield emit()
         if len(held) > 1:
             finish()
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.string()), pa.array(b, pa.string())], names=["a", "b"])
+        yield emit()
 
-    dealt = groups.select("key", "word", "size", "front", "back", "below").repartition("key").sortWithinPartitions("key")
-    return dealt.mapInArrow(compare, "a string, b string")
+    key = F.concat_ws("\t", F.col("size"), F.col("front"), F.col("back"), F.expr("substring(word, 1, front)"), F.expr("right(word, back)"))
+    dealt = entries.withColumn("key", key).repartition("key").sortWithinPartitions("key")
+    return dealt.mapInArrow(compare, "a string, n_a long, b string, n_b long, word string, n long, size int, front int, back int, below int")
 
 
 def variant_groups(words: DataFrame, *, times: int = 5, most: int = 128) -> DataFrame:
@@ -200,13 +211,14 @@ def variant_groups(words: DataFrame, *, times: int = 5, most: int = 128) -> Data
     """
     if times < 2:
         raise ValueError("times must be 2 or more")
-    pairs = near_words(words.select("word"), most=most)
-    both = pairs.select(F.col("a").alias("word"), F.col("b").alias("other")).unionByName(pairs.select(F.col("b").alias("word"), F.col("a").alias("other")))
-    counted = both.join(words.select(F.col("word").alias("other"), F.col("n").alias("other_n")), "other")
+    pairs = near_words(words.select("word", "n"), most=most)
+    ends = F.array(F.struct(F.col("a").alias("word"), F.col("n_b").alias("other_n"), F.col("b").alias("other")), F.struct(F.col("b").alias("word"), F.col("n_a").alias("other_n"), F.col("a").alias("other")))
+    both = pairs.select(F.explode(ends).alias("e")).select("e.word", F.struct((-F.col("e.other_n")).alias("less"), F.col("e.other").alias("other")).alias("other"))
     # the largest count, and of those the smallest word
-    best = counted.groupBy("word").agg(F.count("*").alias("n_near"), F.max("other_n").alias("most_n"), F.min_by("other", F.struct(-F.col("other_n"), F.col("other"))).alias("best"))
-    out = words.join(best, "word", "left").withColumn("form", F.when(F.col("most_n") >= times * F.col("n"), F.col("best")))
-    out = materialize(out.select("word", "n", F.coalesce("n_near", F.lit(0)).alias("n_near"), "form", F.when(F.col("form").isNotNull(), F.col("most_n")).alias("form_n")))
+    best = both.groupBy("word").agg(F.count("*").alias("n_near"), F.min("other").alias("best"))
+    is_form = -F.col("best.less") >= times * F.col("n")
+    out = words.select("word", "n").join(best, "word", "left")
+    out = materialize(out.select("word", "n", F.coalesce("n_near", F.lit(0)).alias("n_near"), F.when(is_form, F.col("best.other")).alias("form"), F.when(is_form, -F.col("best.less")).alias("form_n")))
     links = out.where("form is not null").select("word", F.col("form").alias("root"))
     while True:
         ahead = links.select(F.col("word").alias("root"), F.col("root").alias("further"))
