@@ -44,7 +44,7 @@ WORD = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|
 BOUND = re.compile(r"(?<=\S) (?=\S)")
 NEAR_SPACES = re.compile(r"\s\s")
 #: Chunks and words after which a worker sets its table aside (it keeps two), the characters of the longest that it keeps, and words that are encoded together.
-MOST_KEPT, LONGEST_KEPT, TOGETHER = 150_000, 32, 1 << 15
+MOST_KEPT, LONGEST_KEPT, TOGETHER = 200_000, 32, 1 << 15
 #: Arcs that a worker keeps as looked up.
 MOST_ARCS = 1_000_000
 #: Characters of a text that are encoded at a time, and bytes of texts in a batch.
@@ -362,21 +362,28 @@ def labels_of(path: str) -> Labels:
     return Labels(path)
 
 
-def encode(docs: DataFrame, *, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode(docs: DataFrame, *, path: str, id_col: str = "doc_id", text_col: str = "text", decoded: str | None = None) -> DataFrame:
     """One row per document: doc_id long, n_tokens long, ids binary (little-endian unsigned 32-bit integers).
 
     path: a byte-level BPE file of the tokenizers library, readable on every executor. Special tokens in a text are one
-    id each, as in the library; none are added.
+    id each, as in the library; none are added. decoded: the name of one more column with the text that decoding the ids
+    gives, made in the same pass.
     """
+    if decoded in ("doc_id", "n_tokens", "ids"):
+        raise ValueError(f"there is a column {decoded} already")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = load(path)
+        codec, own = load(path), labels_of(path) if decoded else None
         for batch in slices(batches, "text", BATCH):
             ids = codec.encode(batch.column("text").to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())], names=["doc_id", "n_tokens", "ids"])
+            columns = [batch.column("doc_id"), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())]
+            if decoded:
+                columns.append(pa.array([own.decode(x) for x in ids], pa.binary()).cast(pa.string()))
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
+    names = ["doc_id", "n_tokens", "ids", *([decoded] if decoded else [])]
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    return base.mapInArrow(run, "doc_id long, n_tokens long, ids binary")
+    return base.mapInArrow(run, "doc_id long, n_tokens long, ids binary" + (f", `{decoded}` string" if decoded else ""))
 
 
 def decode(encoded: DataFrame, *, path: str, ids_col: str = "ids", into: str = "text") -> DataFrame:

@@ -54,11 +54,6 @@ def _units_removed(out: DataFrame) -> DataFrame:
     return out.select("doc_id", F.col("kept_text").alias("text"), "n_units", F.size("spans").cast("long").alias("n_removed"), removed.alias("removed"))
 
 
-def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sentences only, as its SQL has it; op7_whole_line_dedup also removes the short ones of repeated lines."""
-    return _units_removed(unit_dedup.remove_repeated_units(read_table(spark, sf_dir, "documents").select("doc_id", "text"), whole_lines=False))
-
-
 def op7_whole_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _units_removed(unit_dedup.remove_repeated_units(read_table(spark, sf_dir, "documents").select("doc_id", "text")))
 
@@ -76,9 +71,8 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op11_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = public_tokenizers.path("byte_bpe_50k.json")
-    ids = bpe.encode(read_table(spark, sf_dir, "documents"), path=path).withColumn("ids_sha256", F.sha2("ids", 256))
-    return bpe.decode(ids, path=path).select("doc_id", "n_tokens", "ids_sha256", F.sha2("text", 256).alias("decoded_sha256"))
+    out = bpe.encode(read_table(spark, sf_dir, "documents"), path=public_tokenizers.path("byte_bpe_50k.json"), decoded="decoded")
+    return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 def looped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,7 +116,7 @@ def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_near_duplicates, op2_packing, op3_fixity_audit, op4_quality_classifier, op5_license_scan, op6_suffix_dedup, op7_line_dedup, op7_whole_line_dedup, op8_top_k, op9_decontamination, op10_token_counts, op11_bpe_codec, op12_periodic_runs, op13_spelling_variants)}
+    return {f.__name__: f for f in (op1_near_duplicates, op2_packing, op3_fixity_audit, op4_quality_classifier, op5_license_scan, op6_suffix_dedup, op7_whole_line_dedup, op8_top_k, op9_decontamination, op10_token_counts, op11_bpe_codec, op12_periodic_runs, op13_spelling_variants)}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -168,17 +162,6 @@ spans AS (SELECT doc_id, count(*) AS n_removed, count(*) FILTER (WHERE before IS
 SELECT n.doc_id, n.n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept.h, ''))) AS kept_sha256
 FROM n LEFT JOIN kept USING (doc_id) LEFT JOIN spans USING (doc_id)"""
 
-SQL["op7_line_dedup"] = r"""
-WITH u AS (SELECT doc_id, text, list_filter(string_split(regexp_replace(replace(coalesce(text, ''), chr(10), chr(10) || chr(1)), '([.!?] )', '\1' || chr(1), 'g'), chr(1)), lambda x: x <> '') AS us FROM documents),
-e AS (SELECT doc_id, unnest(us) AS unit, unnest(range(1, len(us) + 1)) AS k FROM u),
-o AS (SELECT doc_id, k, unit, coalesce(sum(length(unit)) OVER (PARTITION BY doc_id ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start,
-             regexp_extract_all(lower(unit), '[\p{L}\p{N}_]+') AS w FROM e),
-r AS (SELECT doc_id, k, unit, start, len(w) >= 5 AND row_number() OVER (PARTITION BY array_to_string(w, ' ') ORDER BY doc_id, k) > 1 AS lost FROM o),
-a AS (SELECT doc_id, string_agg(unit, '' ORDER BY k) FILTER (WHERE NOT lost) AS kept, count(*) FILTER (WHERE lost) AS n_removed,
-             string_agg(start || '-' || (start + length(unit)), ',' ORDER BY k) FILTER (WHERE lost) AS removed FROM r GROUP BY doc_id)
-SELECT u.doc_id, CASE WHEN text IS NULL THEN NULL ELSE coalesce(kept, '') END AS text, len(us)::BIGINT AS n_units, coalesce(n_removed, 0) AS n_removed, coalesce(removed, '') AS removed
-FROM u LEFT JOIN a USING (doc_id)"""
-
 SQL["op7_whole_line_dedup"] = r"""
 WITH u AS (SELECT doc_id, text, list_filter(string_split(regexp_replace(replace(coalesce(text, ''), chr(10), chr(10) || chr(1)), '([.!?] )', '\1' || chr(1), 'g'), chr(1)), lambda x: x <> '') AS us FROM documents),
 e AS (SELECT doc_id, unnest(us) AS unit, unnest(range(1, len(us) + 1)) AS k FROM u),
