@@ -13,6 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
 
+#: Read by Spark whenever a checkpoint is made: whether its files go once nothing refers to them.
+CLEAN = "spark.cleaner.referenceTracking.cleanCheckpoints"
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -21,11 +25,16 @@ def materialize(df: DataFrame) -> DataFrame:
     """Cut lineage with a reliable checkpoint in the folder that the cluster names.
 
     What no plan refers to any more is collected on the driver, so that Spark's cleaner deletes its shuffle files and
-    checkpoints now and not at the driver's next collection: many small steps would else fill the disks.
+    checkpoints now and not at the driver's next collection: many small steps would else fill the disks. The cleaner
+    deletes checkpoints only if it is asked to, so that is set here unless the cluster has a setting of its own.
     """
     shared_folder(df.sparkSession)
+    sc = df.sparkSession.sparkContext
+    conf = sc._jsc.sc().conf()
+    if not conf.contains(CLEAN):
+        conf.set(CLEAN, "true")
     out = df.checkpoint(eager=True)
-    df.sparkSession.sparkContext._jvm.System.gc()
+    sc._jvm.System.gc()
     return out
 
 

@@ -354,7 +354,7 @@ def scanner() -> Scanner:
 def license_scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score and detections.
 
-    detections: array of "first-end:rule" word intervals after suppression. score: the largest confidence of what stays.
+    Ids are whole numbers, given as long. detections: array of "first-end:rule" word intervals after suppression. score: the largest confidence of what stays.
     """
     names = ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "detections"]
     kinds = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.float64(), pa.list_(pa.string())]
@@ -365,6 +365,6 @@ def license_scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
             cols = [pa.array(list(x), k) for x, k in zip(zip(*rows, strict=True), kinds, strict=True)] if rows else [pa.array([], k) for k in kinds]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *cols], names=names)
 
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
         scan, "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double, detections array<string>"
     )

@@ -201,7 +201,7 @@ def pack(docs: DataFrame, *, path: str, end_id: int = 2, capacity: int = 4096, g
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, and ids if with_ids.
 
     path: a tokenizers file whose normaliser and pre-tokenizer drop white space, readable on every executor.
-    capacity: a power of two. end_id closes each document. sequence_id: unique, ascending within a partition.
+    Ids are whole numbers, given as long. capacity: a power of two. end_id closes each document. sequence_id: unique, ascending within a partition.
     """
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"] + ["ids"] * with_ids
     kinds = [pa.int64()] * 7 + [pa.list_(pa.int32())] * with_ids
@@ -239,6 +239,6 @@ def pack(docs: DataFrame, *, path: str, end_id: int = 2, capacity: int = 4096, g
         if ids:
             yield from flush()
 
-    base = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     dealt = base.withColumn("at", F.xxhash64("doc_id", F.lit(seed))).repartition("at").sortWithinPartitions("at", "doc_id", "text")
     return dealt.mapInArrow(run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long" + ", ids array<int>" * with_ids)

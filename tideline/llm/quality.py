@@ -118,9 +118,9 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], grades: np.ndarray, levels: i
 
 def train(docs: DataFrame, grades: DataFrame, *, levels: int, sample_rows: int = 8000, id_col: str = "doc_id", text_col: str = "text") -> Model:
     """A model from grades (doc_id, grade 0 .. levels-1), fitted on a bounded sample inside one task."""
-    known = grades.where(F.col("grade").between(0, levels - 1) & F.col("doc_id").isNotNull())
+    known = grades.withColumn("doc_id", F.col("doc_id").cast("long")).where(F.col("grade").between(0, levels - 1) & F.col("doc_id").isNotNull())
     sample = known.groupBy("doc_id").agg(F.min("grade").cast("int").alias("grade")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(F.broadcast(sample), "doc_id")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).join(F.broadcast(sample), "doc_id")
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 1 << 20):
@@ -149,9 +149,10 @@ def train(docs: DataFrame, grades: DataFrame, *, levels: int, sample_rows: int =
 
 
 def score(docs: DataFrame, model: Model, *, at_least: int, least: float = 0.5, text_col: str = "text") -> DataFrame:
-    """docs with expected_grade, tail (P(grade >= at_least)) and accepted (tail >= least)."""
+    """docs with expected_grade, tail (P(grade >= at_least)) and accepted (tail >= least). A column of docs with one of
+    these names, in any case, is replaced."""
     names = ("expected_grade", "tail", "accepted")
-    base = docs.select(*[c for c in docs.columns if c not in names])
+    base = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in names])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, text_col, 4 << 20):

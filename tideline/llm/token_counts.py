@@ -219,11 +219,12 @@ def load(path: str) -> Words:
 
 def token_counts(docs: DataFrame, *, path: str, id_col: str = "doc_id", text_col: str = "text", limit: int = 4096, chunk_chars: int = 1 << 16) -> DataFrame:
     """One row per document: id, n_bytes, n_tokens, over_limit (n_tokens > limit), without special tokens.
+    Ids are whole numbers, given as long.
 
     path: a sentencepiece BPE model with byte fallback, identity normalisation and a word mark in front of each text,
     readable on every executor.
     """
-    base = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     out = "doc_id long, n_bytes long, n_tokens long, over_limit boolean"
 
     def short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

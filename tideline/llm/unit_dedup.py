@@ -24,6 +24,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from tideline.llm.common import slices
 
@@ -125,17 +126,16 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def remove_repeated_units(docs: DataFrame, *, min_words: int = 5, whole_lines: bool = True, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with three columns more: kept_text, n_units, spans (removed pieces: array of start and end in characters).
 
-    A column of docs with one of these names is replaced. Documents without an id keep their text.
+    A column of docs with one of these names, in any case, is replaced; all others stay. Ids are whole numbers. Documents
+    without an id keep their text.
     """
-    base = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("at"))
+    kept = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("kept_text", "n_units", "spans")]
+    packed = docs.select(F.struct(*kept).alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("at"))
+    base = packed.drop("row")
     seen = base.mapInArrow(_occurrences(min_words, whole_lines), "digest long, doc_id long, at long, k int, start int, end int, known boolean")
     place = F.struct("doc_id", "at", "k")
     lost = seen.withColumn("least", F.min(place).over(Window.partitionBy("digest"))).where(F.col("known") | (place > F.col("least")))
     spans = lost.groupBy(F.col("doc_id").alias("_id"), F.col("at").alias("_at")).agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans"))
-    rest = [c for c in docs.columns if c not in ("kept_text", "n_units", "spans", "_id", "_at")]
-    joined = docs.select(*rest).join(spans, (F.col(id_col) == F.col("_id")) & (F.xxhash64(text_col) == F.col("_at")), "left").drop("_id", "_at")
-    joined = joined.withColumn("spans", F.coalesce("spans", F.array().cast("array<struct<start:int,end:int>>")))
-    if text_col != "text":
-        joined = joined.withColumn("text", F.col(text_col))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in joined.schema) + ", kept_text string, n_units long"
-    return joined.mapInArrow(_cut, schema)
+    joined = packed.join(spans, (F.col("doc_id") == F.col("_id")) & (F.col("at") == F.col("_at")), "left")
+    joined = joined.select("row", "text", F.coalesce("spans", F.array().cast("array<struct<start:int,end:int>>")).alias("spans"))
+    return joined.mapInArrow(_cut, StructType([*joined.schema.fields, StructField("kept_text", StringType()), StructField("n_units", LongType())])).select("row.*", "kept_text", "n_units", "spans")
