@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -115,3 +115,28 @@ def change_since(curve: DataFrame, keys: list[str], time: str, value: str, minut
     """Change against the last point at least so many minutes ago."""
     w = Window.partitionBy(*keys).orderBy(F.unix_micros(F.col(time).cast("timestamp"))).rangeBetween(Window.unboundedPreceding, -minutes * 60_000_000)
     return curve.withColumn(f"change_{minutes}m", F.col(value) - F.last(value).over(w))
+
+
+def wide_panel(long: DataFrame, date: str, symbol: str, value: str, out: str, prefix: str = "s_", width: int = 400) -> list[str]:
+    """One column for each symbol and one row for each date, written in groups of `width` columns side by side, so that no
+    plan and no row grows with the number of symbols; returns the folders, in order. A value that is missing is null.
+
+    The symbols are found first and named in the plans: they are the columns of the result.
+    """
+    symbols = sorted(r[0] for r in long.select(symbol).distinct().where(F.col(symbol).isNotNull()).collect())
+    days, folders = long.select(date).distinct(), []
+    for k in range(0, len(symbols), width):
+        own = symbols[k : k + width]
+        part = long.where(F.col(symbol).isin(own)).groupBy(date).pivot(symbol, own).agg(F.first(value))
+        part = days.join(part.withColumnsRenamed({str(s): f"{prefix}{s}" for s in own}), date, "left")
+        part.write.mode("overwrite").parquet(f"{out}/columns={k // width:05d}")
+        folders.append(f"{out}/columns={k // width:05d}")
+    return folders
+
+
+def side_by_side(spark: SparkSession, folders: list[str], date: str) -> DataFrame:
+    """The groups of a wide panel as one table."""
+    out = spark.read.parquet(folders[0])
+    for folder in folders[1:]:
+        out = out.join(spark.read.parquet(folder), date)
+    return out

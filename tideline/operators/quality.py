@@ -69,6 +69,17 @@ def fingerprint(df: DataFrame, columns: list[str], by: list[str]) -> DataFrame:
     return df.groupBy(*by).agg(F.count("*").alias("n_rows"), F.sum(h.cast("decimal(38,0)")).cast("string").alias("hash_sum"), F.bit_xor(h).alias("hash_xor"))
 
 
+def content_digest(df: DataFrame, values: dict[str, Column], by: list[str]) -> DataFrame:
+    """Order-independent digest of a multiset of rows: rows, and `digest`, the sums of the eight 32-bit parts of the rows'
+    SHA-256, joined by dashes. values: texts by name, in which a row is written; each is taken with its length, a null as
+    a mark of its own. Any engine with SHA-256 can form it, and a changed, lost or repeated row changes it."""
+    row = F.concat(*[F.coalesce(F.concat(F.length(v).cast("string"), F.lit(":"), v), F.lit("~")) for v in values.values()])
+    h = F.sha2(row, 256)
+    parts = [F.conv(F.substring("_h", 8 * i + 1, 8), 16, 10).cast("decimal(38,0)") for i in range(8)]
+    out = df.select(*by, h.alias("_h")).groupBy(*by).agg(F.count("*").alias("n_rows"), *[F.sum(p).alias(f"_{i}") for i, p in enumerate(parts)])
+    return out.select(*by, "n_rows", F.concat_ws("-", *[F.col(f"_{i}").cast("string") for i in range(8)]).alias("digest"))
+
+
 def coverage(expected: DataFrame, present: DataFrame, keys: list[str]) -> DataFrame:
     """Keys that are missing or orphaned."""
     missing = expected.select(*keys).distinct().join(present.select(*keys).distinct(), keys, "left_anti").withColumn("state", F.lit("missing"))

@@ -210,6 +210,16 @@ def ag40_fingerprint(spark: SparkSession, sf: str) -> DataFrame:
     return quality.fingerprint(table(spark, sf, "events"), ["event_id", "ts", "value"], ["event_type"]).select("event_type", "n_rows")
 
 
+@query("""WITH r AS (SELECT event_type, value, sha256(length(event_id::VARCHAR) || ':' || event_id || coalesce(length(strftime(ts, '%Y-%m-%d %H:%M:%S.%f')) || ':' || strftime(ts, '%Y-%m-%d %H:%M:%S.%f'), '~') || coalesce(length(user_id::VARCHAR) || ':' || user_id, '~')
+  || coalesce(length(value::DECIMAL(18, 6)::VARCHAR) || ':' || value::DECIMAL(18, 6), '~') || coalesce(length(props::VARCHAR) || ':' || props, '~')) AS h FROM events),
+p AS (SELECT event_type, value, list_transform(range(0, 8), lambda i: ('0x' || substr(h, 8 * i::INT + 1, 8))::BIGINT) AS x FROM r)
+SELECT event_type, count(*) AS n_rows, concat_ws('-', sum(x[1]), sum(x[2]), sum(x[3]), sum(x[4]), sum(x[5]), sum(x[6]), sum(x[7]), sum(x[8])) AS digest FROM p GROUP BY 1""")
+def ag40_content_digest(spark: SparkSession, sf: str) -> DataFrame:
+    """All columns of the events, in a digest that DuckDB can form too."""
+    values = {"event_id": F.col("event_id").cast("string"), "ts": F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"), "user_id": F.col("user_id").cast("string"), "value": F.col("value").cast("decimal(18,6)").cast("string"), "props": F.col("props")}
+    return quality.content_digest(table(spark, sf, "events"), values, ["event_type"])
+
+
 @query()
 def ag40_content_fingerprint(spark: SparkSession, sf: str) -> DataFrame:
     """All columns of the events; no SQL, as Spark's row hash has no DuckDB twin."""

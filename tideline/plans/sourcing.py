@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.plans.tables import DAILY, TRADES, daily, rounded, table, trades
-from tideline.sources import files, layouts
+from tideline.sources import dated, files, labels, layouts
 from tideline.streaming.flows import work_folder
 
 QUERIES, SQL = {}, {}
@@ -143,3 +143,43 @@ def io21_export(spark: SparkSession, sf: str) -> DataFrame:
     e = table(spark, sf, "events").select("event_id", "event_type", "value")
     top = [r["event_type"] for r in e.groupBy("event_type").count().orderBy(F.desc("count"), "event_type").limit(2).collect()]
     return files.export_groups(e, "event_type", top, work_folder(spark, "export"), ["event_id"])
+
+
+@query("""SELECT event_id, user_id, value, CASE WHEN user_id % 3 = 2 AND event_id % 4 = 0 THEN ts::DATE + 1 ELSE ts::DATE END AS trade_date FROM events
+WHERE CASE WHEN user_id % 3 = 2 AND event_id % 4 = 0 THEN ts::DATE + 1 ELSE ts::DATE END BETWEEN DATE '2024-01-04' AND DATE '2024-01-20' AND NOT (user_id % 3 <> 2 AND ts::DATE NOT BETWEEN DATE '2024-01-04' AND DATE '2024-01-20')""")
+def io02_mixed_layout(spark: SparkSession, sf: str) -> DataFrame:
+    """One root with folders of dates, files with dated names and files that hold the date themselves, read for a range of dates."""
+    root = work_folder(spark, "mixed")
+    e = table(spark, sf, "events").select("event_id", "user_id", "value", F.to_date("ts").alias("trade_date"))
+    layouts.dealt(e.where("user_id % 3 = 0"), "trade_date", files=1).write.partitionBy("trade_date").parquet(f"{root}/data")
+    named = e.where("user_id % 3 = 1").withColumn("day", F.date_format("trade_date", "yyyyMMdd")).drop("trade_date")
+    layouts.dealt(named, "day", files=1).write.partitionBy("day").parquet(f"{root}_days")
+    dated.name_by_folder(spark, f"{root}_days", "day", f"{root}/days")
+    own = e.where("user_id % 3 = 2").withColumn("trade_date", F.date_format(F.date_add("trade_date", F.when(F.col("event_id") % 4 == 0, 1).otherwise(0)), "yyyyMMdd"))
+    own.write.parquet(f"{root}/own")
+    return dated.read_dated(spark, root, first="2024-01-04", last="2024-01-20").select("event_id", "user_id", "value", "trade_date")
+
+
+@query("SELECT p_partkey AS id, lpad(p_size::VARCHAR, 6, '0') AS code, CASE WHEN p_partkey % 2 = 0 THEN p_size::BIGINT END AS size, '型号' || p_brand AS brand, CASE WHEN p_partkey % 5 = 0 THEN '' ELSE p_size::VARCHAR END AS gaps FROM part")
+def io11_legacy_members(spark: SparkSession, sf: str) -> DataFrame:
+    """Two kinds of members in GB18030, whose headers differ in spelling, order and columns, as one typed table."""
+    out = work_folder(spark, "members")
+    p = table(spark, sf, "part").select("p_partkey", F.lpad(F.col("p_size").cast("string"), 6, "0").alias("code"), F.col("p_size").cast("string").alias("size"), F.concat(F.lit("型号"), "p_brand").alias("brand"), F.when(F.col("p_partkey") % 5 != 0, F.col("p_size").cast("string")).alias("gaps"))
+    bytes_of = lambda df: dated.recode(df, "GB18030", "latin-1").toDF(*[c.encode("GB18030").decode("latin-1") for c in df.columns])
+    writer = lambda df, name: bytes_of(df).write.option("header", True).option("encoding", "ISO-8859-1").csv(f"{out}/{name}")
+    writer(p.where("p_partkey % 2 = 0").select(F.col("p_partkey").alias("编号"), F.col("code").alias("代码"), "size", F.col("brand").alias("品牌"), "gaps"), "a")
+    writer(p.where("p_partkey % 2 = 1").select("gaps", F.col("brand").alias("Brand"), F.col("code").alias("Code"), F.col("p_partkey").alias("ID")), "b")
+    members = [r[0] for name in ("a", "b") for r in spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(f"{out}/{name}").where("length > 0").select("path").collect()]
+    aliases = {"编号": "id", "ID": "id", "代码": "code", "Code": "code", "品牌": "brand", "Brand": "brand"}
+    return dated.read_members(spark, members, aliases, ["id", "code", "brand"]).select("id", "code", "size", "brand", "gaps")
+
+
+@query("""WITH t AS (SELECT event_id AS origin, CASE WHEN user_id % 10 <> 3 THEN user_id END AS code, CASE WHEN event_id % 9 <> 0 THEN event_id % 50 END AS id, CASE WHEN value < 3 THEN 0.0 WHEN value > 20 THEN NULL ELSE value END AS price FROM events)
+SELECT origin, code, id, price, CASE WHEN price <= 0 THEN 'tag' ELSE 'keep' END AS decision, CASE WHEN price <= 0 THEN 'special_price_or_event' ELSE '' END AS reason FROM t WHERE code IS NOT NULL AND price IS NOT NULL AND id IS NOT NULL""")
+def pr25_labelled_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Raw files whose event ids repeat, with a sidecar of decisions by file and row."""
+    out, k = work_folder(spark, "ticks"), F.col("event_id")
+    raw = table(spark, sf, "events").select(k.alias("origin"), F.when(F.col("user_id") % 10 != 3, F.col("user_id")).alias("code"), F.col("ts"), F.when(k % 9 != 0, k % 50).alias("id"), F.when(F.col("value") < 3, 0.0).when(F.col("value") <= 20, F.col("value")).alias("price"))
+    raw.repartition(3, "origin").write.parquet(f"{out}/raw")
+    labels.write_labels(spark, f"{out}/raw", f"{out}/labels", "deal", code="code", time="ts", price="price", event_id="id")
+    return labels.read_labelled(spark, f"{out}/raw", f"{out}/labels").select("origin", "code", "id", "price", "decision", "reason")
