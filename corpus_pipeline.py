@@ -65,11 +65,19 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages, on the documents of sf_dir; what is between them goes to the folder that the cluster names."""
-    top = shared_folder(spark)
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages, on the documents of sf_dir; what is between them goes to the folder that the cluster names.
+
+    A stage's output is deleted once the next one has written its own; that of the last but one stays for the readers of
+    the result, below pipeline-..., until the caller deletes it.
+    """
+    top = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
-        path = f"{top}/pipeline-{uuid.uuid4().hex}/{name}"
+        path = f"{top}/{name}"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:
+            where = spark._jvm.org.apache.hadoop.fs.Path(before)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -46,8 +46,9 @@ def with_microstructure(panel: DataFrame, symbol: str = "symbol", date: str = "d
         {
             "_hl": F.pow(F.ln(F.col("high") / F.col("low")), 2),
             "_illiq": amihud("close", "amount", symbol, date, size),
-            "_high2": F.when(F.lag("high").over(by).isNotNull(), F.greatest("high", F.lag("high").over(by))),
-            "_low2": F.when(F.lag("low").over(by).isNotNull(), F.least("low", F.lag("low").over(by))),
+            # of two days, a missing value of one is skipped
+            "_high2": F.greatest("high", F.lag("high").over(by)),
+            "_low2": F.least("low", F.lag("low").over(by)),
             "_before": F.lag(F.pow(F.ln(F.col("high") / F.col("low")), 2)).over(by),
         }
     ).withColumns({"_beta": F.col("_hl") + F.col("_before"), "_gamma": F.pow(F.ln(F.col("_high2") / F.col("_low2")), 2)})
