@@ -275,3 +275,14 @@ def test_checkpoints_go_with_their_last_reader(spark, name):
         if left() <= before:
             break
     assert left() <= before
+
+
+def test_pipeline_leaves_only_what_its_result_reads(spark):
+    import corpus_pipeline
+
+    folder = common.shared_folder(spark).removeprefix("file:")
+    stages = lambda: sorted(n for d, names, _ in os.walk(folder) if os.path.basename(d).startswith("pipeline-") for n in names)
+    before = stages()
+    out = corpus_pipeline.run(spark, SF)
+    assert sorted([*before, corpus_pipeline.STAGES[-2][0]]) == stages()
+    assert out.count() > 0
