@@ -208,7 +208,7 @@ def test_license_prefilter_changes_no_result():
         for _ in range(60):
             text = _sample(tree, rnd) + b" "
             assert r.regex.match(text), (r.name, text)
-            assert r.keyword in text and licenses.GATE.search(text), (r.name, text)
+            assert r.keyword in text and (not r.also or any(x in text for x in r.also)), (r.name, text)
     n, *_, score, found = licenses.Scanner().scan("This work is governed by the GPL v3 license.")
     assert (n, score, [x.split(":", 1)[1] for x in found]) == (9, 0.9, ["gpl-3:under"])
 

@@ -16,6 +16,7 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -239,6 +240,100 @@ proprietary-copying | proprietary | unauthorized copying of this file | 2 | 0.8
 proprietary-permission | proprietary | without the prior written permission | 4 | 0.5 | without the prior written permission of
 non-commercial | non-commercial | non commercial | 4 | 0.5 | for (?:personal and |personal or )?non commercial (?:use|purposes) only
 research-only | research-only | research purposes only | 4 | 0.5 | (?:for )?(?:academic |non commercial )?research purposes only
+mit-0-text | mit-0 | to permit persons to whom the software is furnished to do so the software is provided | 2 | 0.7 | permission is hereby granted (?:\S+ ){1,60}?to permit persons to whom the software is furnished to do so the software is provided
+x11-advertising | x11 | shall not be used in advertising or otherwise to promote | 1 | 0.9 | shall not be used in advertising or otherwise to promote the sale use or other dealings in this software without prior written authorization
+x11-trademark | x11 | x window system is a trademark | 2 | 0.9 | x window system is a trademark of (?:the open group|x consortium inc)
+apache-1-acknowledgment | apache-1.1 | end user documentation included with the redistribution | 1 | 0.95 | the end user documentation included with the redistribution if any must include the following acknowledgment
+apache-1-names | apache-1.1 | must not be used to endorse or promote products derived from this software without prior written permission for written permission | 1 | 0.9 | must not be used to endorse or promote products derived from this software without prior written permission for written permission please contact
+bsd-freebsd-views | bsd-2-clause | interpreted as representing official policies | 1 | 0.95 | should not be interpreted as representing official policies either expressed or implied of
+bsd-disclaimer | bsd | in no event shall the copyright | 3 | 0.8 | in no event shall the copyright (?:holders?|owner) or contributors be liable for any direct indirect incidental special exemplary or consequential damages
+bsd-regents | bsd-4-clause | regents of the university of california | 3 | 0.7 | (?:copyright c )?(?:\d{4} )*the regents of the university of california
+libpng-order | libpng | png reference library | 1 | 0.95 | (?:the )?png reference library is supplied as is
+libpng-altered | libpng | must not be misrepresented as being the original | 2 | 0.85 | altered (?:source )?versions must be plainly marked as such and must not be misrepresented as being the original (?:source|software)
+zlib-express | zlib | provided as is without any express or implied warranty | 3 | 0.7 | this software is provided as is without any express or implied warranty
+isc-disclaim | isc | disclaims all warranties with regard to this software | 2 | 0.85 | disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness
+gpl-1-text | gpl-1 | either version 1 or at your option | 1 | 0.9 | either version 1 or at your option any later version
+gpl-2-only | gpl-2 | version 2 of the license only | 0 | 0.95 | (?:only )?version 2 of the license only
+gpl-2-address | gpl-2 | 51 franklin street | 2 | 0.8 | free software foundation inc 51 franklin street fifth floor boston
+gpl-old-address | gpl-2 | 59 temple place | 2 | 0.8 | free software foundation inc 59 temple place suite 330 boston
+gpl-3-install | gpl-3 | installation information | 2 | 0.7 | installation information for a user product
+gpl-3-tivo | gpl-3 | protecting users legal rights from anti circumvention law | 1 | 0.95 | protecting users legal rights from anti circumvention law
+gpl-3-received-url | gpl-3 | gnu org licenses | 3 | 0.6 | if not see (?:https? )?www gnu org licenses
+gpl-share | gpl | guarantee your freedom to share and change | 1 | 0.9 | intended to guarantee your freedom to share and change
+lgpl-2-preamble | lgpl-2 | library general public license applies to some specially designated | 1 | 0.95 | this license the library general public license applies to some specially designated free software foundation software
+lgpl-2.1-preamble | lgpl-2.1 | lesser general public license applies to some specially designated | 1 | 0.95 | this license the lesser general public license applies to some specially designated software packages
+lgpl-2.1-either | lgpl-2.1-or-later | either version 2 1 of the license | 0 | 1.0 | either version 2 1 of the license or at your option any later version
+lgpl-3-additional | lgpl-3 | supplemented by the additional permissions | 1 | 0.9 | incorporates the terms and conditions of version 3 of the gnu general public license supplemented by the additional permissions listed below
+lgpl-combined | lgpl | combined work | 3 | 0.7 | convey a combined work under terms of your choice
+agpl-cooperation | agpl-3 | cooperation with the community in the case of network server software | 1 | 0.95 | specifically designed to ensure cooperation with the community in the case of network server software
+agpl-offer | agpl-3 | interacting with it remotely through a computer network | 1 | 0.95 | prominently offer all users interacting with it remotely through a computer network
+gfdl-preamble | gfdl | functional and useful document free in the sense of freedom | 1 | 0.95 | functional and useful document free in the sense of freedom
+gfdl-copy | gfdl | permission is granted to copy distribute and or modify this document | 1 | 0.95 | permission is granted to copy distribute and or modify this document under the terms of the gnu free documentation license(?: version \d \d)?
+mpl-copyleft | mpl-2 | covered software is provided under this license on an as is basis | 1 | 0.95 | covered software is provided under this license on an as is basis without warranty of any kind
+mpl-1-alternatively | mpl-1.1 | alternatively the contents of this file may be used | 1 | 0.9 | alternatively the contents of this file may be used under the terms of either
+mpl-1-initial | mpl-1.1 | initial developer of the original code | 2 | 0.85 | the initial developer of the original code is
+mpl-obtain | mpl-2 | obtain one at | 3 | 0.7 | if a copy of the mpl was not distributed with this file you can obtain one at
+epl-1-agreement | epl-1 | eclipse public license agreement | 1 | 0.9 | accompanying program is provided under the terms of this eclipse public license agreement
+epl-2-secondary | epl-2 | satisfied gnu general public license | 1 | 0.9 | set forth in the eclipse public license v 2 0 are satisfied gnu general public license
+cpl-agreement | cpl-1 | terms of this common public license | 1 | 0.95 | accompanying program is provided under the terms of this common public license
+cddl-executable | cddl-1 | covered software that you distribute or otherwise make available in executable form | 1 | 0.95 | any covered software that you distribute or otherwise make available in executable form must also be made available in source code form
+ms-rl-file | ms-rl | for any file you distribute that contains code from the software | 1 | 0.95 | for any file you distribute that contains code from the software in source code or binary format you must provide
+ms-pl-grant | ms-pl | each contributor grants you a non exclusive worldwide royalty free copyright license to reproduce | 1 | 0.9 | each contributor grants you a non exclusive worldwide royalty free copyright license to reproduce its contribution
+artistic-2-standard | artistic-2 | artistic license is intended | 1 | 0.9 | this artistic license is intended to (?:\S+ ){1,20}?maintain some artistic control
+artistic-2-preserve | artistic-2 | package to remain available as open source and free software | 1 | 0.9 | support and development of the package to remain available as open source and free software
+artistic-1-reuse | artistic-1 | freely available means that no fee is charged for the item itself | 1 | 0.95 | freely available means that no fee is charged for the item itself
+python-summary | python-2 | prepare derivative works distribute and otherwise use python | 2 | 0.8 | to reproduce analyze test perform and or display publicly prepare derivative works distribute and otherwise use python
+php-name | php-3 | products derived from this software may not be called php | 1 | 0.95 | products derived from this software may not be called php nor may php appear in their name
+ruby-conditions | ruby | place your modifications in the public domain or otherwise make them freely available | 1 | 0.9 | place your modifications in the public domain or otherwise make them freely available
+ofl-goals | ofl-1.1 | goals of the open font license | 1 | 0.95 | the goals of the open font license ofl are to stimulate worldwide development
+ofl-sold | ofl-1.1 | font software nor any of its individual components | 1 | 0.95 | neither the font software nor any of its individual components in original or modified versions may be sold by itself
+postgresql-grant | postgresql | modify and distribute this software and its documentation for any purpose without fee and without a written agreement | 1 | 0.95 | modify and distribute this software and its documentation for any purpose without fee and without a written agreement is hereby granted
+ncsa-names | ncsa | nor the names of its contributors may be used to endorse or promote products derived from this software without specific | 2 | 0.85 | nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission
+eupl-notice | eupl | european union public licen | 1 | 0.9 | (?:licensed under|this) (?:the )?european union public licen[cs]e(?: the eupl)?
+osl-external | osl-3 | external deployment | 1 | 0.9 | the term external deployment means the use distribution or communication of the original work
+afl-attribution | afl-3 | retain in the source code of any derivative works | 2 | 0.85 | you must retain in the source code of any derivative works that you create all copyright patent or trademark notices
+ecl-patent | ecl-2 | any patent license granted herein with respect to | 1 | 0.95 | any patent license granted herein with respect to (?:contributions by )?an individual(?:s)? employed by organizations
+qpl-items | qpl-1 | separate from the software such as patches | 1 | 0.9 | in a form that is separate from the software such as patches|forms which are separate from the software such as patches
+vim-changes | vim | vim maintainer | 1 | 0.9 | (?:make them available to the|send it to the) vim maintainer
+vim-charity | vim | children in uganda | 2 | 0.8 | (?:help|helping) (?:needy |poor )?children in uganda
+curl-notice | curl | copyright c 1996 | 2 | 0.7 | copyright c 1996 (?:\d{4} )?daniel stenberg
+openssl-names | openssl | openssl toolkit and openssl project must not be used | 1 | 0.95 | the names openssl toolkit and openssl project must not be used to endorse or promote
+sleepycat-source | sleepycat | accompanying software that uses the db software | 1 | 0.95 | complete source code for the db software and any accompanying software that uses the db software
+cecill-principles | cecill-2 | cea cnrs | 1 | 0.9 | (?:agreement is|license as circulated by) (?:\S+ ){0,10}?cea cnrs (?:and )?inria|circulated by cea cnrs (?:and )?inria
+odbl-share | odbl-1 | database contents license | 2 | 0.8 | rights in individual contents of the database are licensed under the database contents license
+pddl-rightsholder | pddl-1 | rightsholder | 2 | 0.7 | the rightsholder (?:irrevocably )?(?:dedicates|places) (?:by dedicating )?the work to the public domain
+cc-deed-share | cc-by-sa | distribute your contributions under the same license as the original | 1 | 0.9 | you must distribute your contributions under the same license as the original
+cc-deed-nc | cc-by-nc | may not use the material for commercial purposes | 1 | 0.9 | you may not use the material for commercial purposes
+cc-deed-nd | cc-by-nd | may not distribute the modified material | 1 | 0.9 | if you remix transform or build upon the material you may not distribute the modified material
+cc-deed-by | cc-by | give appropriate credit provide a link to the license | 1 | 0.9 | you must give appropriate credit provide a link to the license and indicate if changes were made
+cc-url-sa | cc-by-sa | creativecommons org licenses by sa | 0 | 0.95 | (?:https? )?creativecommons org licenses by sa \d \d
+cc-url-nc | cc-by-nc | creativecommons org licenses by nc | 0 | 0.95 | (?:https? )?creativecommons org licenses by nc \d \d
+cc-url-nc-sa | cc-by-nc-sa | creativecommons org licenses by nc sa | 0 | 0.95 | (?:https? )?creativecommons org licenses by nc sa \d \d
+cc-url-nc-nd | cc-by-nc-nd | creativecommons org licenses by nc nd | 0 | 0.95 | (?:https? )?creativecommons org licenses by nc nd \d \d
+cc-url-nd | cc-by-nd | creativecommons org licenses by nd | 0 | 0.95 | (?:https? )?creativecommons org licenses by nd \d \d
+cc0-extent | cc0-1 | to the extent possible under law | 1 | 0.9 | to the extent possible under law (?:\S+ ){1,12}?has waived
+ogl-acknowledge | ogl-uk-3 | public sector information licensed under the open government licen | 0 | 0.95 | contains public sector information licensed under the open government licen[cs]e(?: v3 0)?
+elastic-circumvent | elastic-2 | license key functionality | 1 | 0.95 | you may not move change disable or circumvent the license key functionality
+sspl-section | sspl-1 | service source code | 1 | 0.9 | you must make the service source code available
+busl-non-production | busl-1.1 | make non production use of the licensed work | 1 | 0.95 | make non production use of the licensed work
+polyform | polyform | polyform | 1 | 0.95 | polyform (?:noncommercial|shield|small business|free trial|internal use|perimeter|strict) licen[cs]e(?: \d \d \d)?
+prosperity | prosperity | prosperity public license | 1 | 0.95 | (?:the )?prosperity public license(?: \d \d \d)?
+parity | parity | parity public license | 1 | 0.95 | (?:the )?parity public license(?: \d \d \d)?
+upl | upl-1 | universal permissive license | 1 | 0.95 | (?:the )?universal permissive license(?: upl)?(?: version)?(?: 1 0)?
+ecos | ecos-2 | ecos is distributed | 1 | 0.9 | ecos is distributed in the hope that it will be useful
+ipl | ipl-1 | ibm public license | 1 | 0.95 | (?:the )?ibm public license(?: version)?(?: 1 0)?
+lppl | lppl | latex project public license | 1 | 0.95 | (?:the )?latex project public license(?: (?:either )?version)?(?: 1 \d)?
+rpl | rpl | reciprocal public license | 1 | 0.95 | (?:the )?reciprocal public license(?: version)?(?: 1 [15])?
+spl | spl-1 | sun public license | 1 | 0.95 | (?:the )?sun public license(?: version)?(?: 1 0)?
+nposl | nposl-3 | non profit open software license | 0 | 0.95 | (?:the )?non profit open software license(?: version)?(?: 3 0)?
+w3c | w3c | w3c software notice | 1 | 0.95 | w3c software notice and (?:document )?licen[cs]e
+icu | icu | icu license | 1 | 0.9 | icu license icu 1 8 1 and later
+intel | intel | intel open source licen | 1 | 0.9 | intel open source licen[cs]e
+nasa | nasa-1.3 | nasa open source agreement | 1 | 0.95 | nasa open source agreement(?: version)?(?: 1 3)?
+watcom | watcom-1 | sybase open watcom public license | 1 | 0.95 | sybase open watcom public license(?: version)?(?: 1 0)?
+zpl | zpl | zope public license | 1 | 0.95 | (?:the )?zope public license(?: zpl)?(?: version)?(?: 2 [01])?
+gemma-terms | gemma | gemma terms of use | 1 | 0.9 | gemma terms of use
+falcon | falcon | falcon | 1 | 0.9 | falcon (?:180b )?tii license|falcon llm licen[cs]e
 """
 
 
@@ -247,6 +342,7 @@ class Rule:
     name: str
     label: str
     keyword: bytes
+    also: tuple[bytes, ...]
     priority: int
     confidence: float
     regex: re.Pattern
@@ -259,21 +355,35 @@ def rules() -> list[Rule]:
         label, names, keyword = (x.strip() for x in line.split(" | "))
         for form, frame, priority, confidence in FORMS:
             need = keyword if len(keyword) > 2 else "spdx" if form == "tag" else "under" if form == "grant" else "licen"
-            out.append(Rule(f"{label}:{form}", label, need.encode(), priority, confidence, re.compile(f" (?:{frame.format(names)})(?= )".encode())))
+            out.append(Rule(f"{label}:{form}", label, need.encode(), literals(names), priority, confidence, re.compile(f" (?:{frame.format(names)})(?= )".encode())))
     for line in OTHERS.strip().split("\n"):
         name, label, keyword, priority, confidence, regex = (x.strip() for x in line.split(" | "))
-        out.append(Rule(name, label, keyword.encode(), int(priority), float(confidence), re.compile(f" (?:{regex})(?= )".encode())))
+        out.append(Rule(name, label, keyword.encode(), (), int(priority), float(confidence), re.compile(f" (?:{regex})(?= )".encode())))
     return sorted(out, key=lambda r: (r.priority, r.name))
 
 
-#: A text without any of these has no keyword of any rule: words that every keyword or match holds one of.
-GATE = re.compile(
-    "|".join(
-        ("licen", "spdx", "cc by", "under", "public domain", "redistribut", "permi", " org ", "rights reserved", "unencumbered", "copy", "use grant", "software", "advertising", "endorse", "bsd style", "irrevocable", "reproduction", "notice file", "hope that", "network interaction")
-        + ("gcc", "invariant", "secondary", "materials", "anyone is free", "buy me a beer", "artistic control", "same terms", "php", "toolkit", "eric young", "california", "font name", "eupl", "joinup", "as a service", "managed service", "change date", "good not evil", "mulan", "unicode data")
-        + ("jpeg group", "freetype", "open data commons", "creative commons", "united states government", "dual", "proprietary", "unauthorized", "written", "non commercial", "research purposes", "psf", "eclipse", "sil org", "x consortium")
-    ).encode()
-)
+def literals(regex: str) -> tuple[bytes, ...]:
+    """What each alternative of a name begins with, up to the first character that does not stand for itself: every match
+    holds one of them. Empty if an alternative begins with no such character."""
+    out = []
+    for part in _alternatives(regex):
+        stem = re.match(r"[^\\.^$*+?{}\[\]|()]*", part)[0]
+        if part[len(stem) : len(stem) + 1] in ("?", "*", "{"):
+            stem = stem[:-1]  # may be missing
+        out.append(stem.strip().encode())
+    return tuple(out) if all(out) else ()
+
+
+def _alternatives(regex: str) -> list[str]:
+    """The parts of a regex between bars that stand in no bracket."""
+    parts, depth = [""], 0
+    for c in regex:
+        depth += (c in "([") - (c in ")]")
+        if c == "|" and not depth:
+            parts.append("")
+        else:
+            parts[-1] += c
+    return parts
 
 
 class Covered:
@@ -302,16 +412,20 @@ class Scanner:
         self.by_keyword: dict[bytes, list[Rule]] = {}
         for r in rules():
             self.by_keyword.setdefault(r.keyword, []).append(r)
+        # every keyword of the rules, found in one pass over a text
+        self.keywords = ahocorasick.Automaton()
+        for k in {*self.by_keyword, *(x for own in self.by_keyword.values() for r in own for x in r.also)}:
+            self.keywords.add_word(k.decode("latin-1"), k)
+        self.keywords.make_automaton()
         self.base = [(b" " + p.encode() + b" ", label) for p, label in BASE.items()]
 
     def detections(self, joined: bytes, spaces: np.ndarray) -> list[tuple[int, int, Rule]]:
         """Detections that stay, as (first word, word after the last, rule). spaces: places of blanks; word i is behind the i-th."""
-        if not GATE.search(joined):
-            return []
+        seen = {k for _, k in self.keywords.iter(joined.decode("latin-1"))}  # one character a byte
         found = []
-        for keyword, own in self.by_keyword.items():
-            if keyword in joined:
-                for r in own:
+        for keyword in seen:
+            for r in self.by_keyword.get(keyword, ()):
+                if not r.also or not seen.isdisjoint(r.also):
                     spans = [m.span() for m in r.regex.finditer(joined)]
                     if spans:
                         places = np.searchsorted(spaces, np.array(spans))
