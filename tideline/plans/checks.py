@@ -71,13 +71,13 @@ def _broken(spark: SparkSession, sf: str) -> DataFrame:
     return daily(spark, sf).select("symbol", "d", "open", F.when(day == 5, F.col("low")).otherwise(F.col("high")).alias("high"), F.when(day != 6, F.col("low")).alias("low"), "close", "volume")
 
 
-@query(f"WITH {_BROKEN} SELECT symbol, d, greatest(open, high, low, close) AS high, least(open, high, low, close) AS low, greatest(open, high, low, close) IS DISTINCT FROM high OR least(open, high, low, close) IS DISTINCT FROM low AS repaired FROM b")
+@query(f"""WITH {_BROKEN} SELECT symbol, d, greatest(open, high, low, close) AS high, least(open, high, low, close) AS low, greatest(open, high, low, close) IS DISTINCT FROM high OR least(open, high, low, close) IS DISTINCT FROM low AS repaired FROM b""")
 def pr13_repair_ohlc(spark: SparkSession, sf: str) -> DataFrame:
     hi, lo = F.greatest("open", "high", "low", "close"), F.least("open", "high", "low", "close")
     return _broken(spark, sf).select("symbol", "d", hi.alias("high"), lo.alias("low"), (~hi.eqNullSafe(F.col("high")) | ~lo.eqNullSafe(F.col("low"))).alias("repaired"))
 
 
-@query(f"WITH {DAILY} SELECT symbol, d, close >= 0.95 * high AND n_trades > 1 AS is_limit_up, coalesce(volume, 0) <= 10 AS is_suspended, coalesce(lag(close) OVER (PARTITION BY symbol ORDER BY d), close) AS pre_close FROM daily")
+@query(f"""WITH {DAILY} SELECT symbol, d, close >= 0.95 * high AND n_trades > 1 AS is_limit_up, coalesce(volume, 0) <= 10 AS is_suspended, coalesce(lag(close) OVER (PARTITION BY symbol ORDER BY d), close) AS pre_close FROM daily""")
 def pr15_daily_flags(spark: SparkSession, sf: str) -> DataFrame:
     """PR-15 to PR-17: limit and suspension flags, previous close filled from the close."""
     before = F.coalesce(F.lag("close").over(Window.partitionBy("symbol").orderBy("d")), F.col("close"))
@@ -85,7 +85,7 @@ def pr15_daily_flags(spark: SparkSession, sf: str) -> DataFrame:
     return daily(spark, sf).select("symbol", "d", limit.alias("is_limit_up"), (F.coalesce("volume", F.lit(0)) <= 10).alias("is_suspended"), before.alias("pre_close"))
 
 
-@query("SELECT event_id, CASE WHEN event_type IN ('purchase') THEN 1 WHEN event_type = 'error' THEN -1 ELSE 1 END AS side FROM (SELECT event_id, CASE WHEN event_type = 'error' THEN 'error' ELSE 'purchase' END AS event_type FROM events)")
+@query("""SELECT event_id, CASE WHEN event_type IN ('purchase') THEN 1 WHEN event_type = 'error' THEN -1 ELSE 1 END AS side FROM (SELECT event_id, CASE WHEN event_type = 'error' THEN 'error' ELSE 'purchase' END AS event_type FROM events)""")
 def pr21_direction(spark: SparkSession, sf: str) -> DataFrame:
     text = F.when(F.col("event_type") == "error", "SELL out").otherwise("other")
     return table(spark, sf, "events").select("event_id", scalar.direction(text, F.col("value")).alias("side"))
@@ -123,12 +123,13 @@ def ag21_profile(spark: SparkSession, sf: str) -> DataFrame:
     return quality.profile(table(spark, sf, "events"), ["user_id", "event_type"])
 
 
-@query("SELECT event_type, count(value) AS n, min(value) AS smallest, round(avg(value), 6) AS mean, max(value) AS largest, round(quantile_cont(value, 0.01), 6) AS p1, round(quantile_cont(value, 0.5), 6) AS p50, round(quantile_cont(value, 0.99), 6) AS p99 FROM events GROUP BY 1")
+@query("""SELECT event_type, count(value) AS n, min(value) AS smallest, round(avg(value), 6) AS mean, max(value) AS largest, round(quantile_cont(value, 0.01), 6) AS p1, round(quantile_cont(value, 0.5), 6) AS p50, round(quantile_cont(value, 0.99), 6) AS p99 FROM events GROUP BY 1""")
 def ag16_summary(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(quality.summary(table(spark, sf, "events"), "value", ["event_type"], [0.01, 0.5, 0.99]), "mean", "p1", "p50", "p99")
 
 
-@query("""WITH p AS (SELECT event_type, value AS a, value * (1 + (event_id % 7) / 1e4) AS b FROM events) SELECT event_type, count(*) AS n, round(avg((abs(a - b) = 0)::INT), 6) AS exact_rate, round(avg(abs(a - b)), 6) AS mean_abs, round(max(abs(a - b)), 6) AS max_abs,
+@query("""WITH p AS (SELECT event_type, value AS a, value * (1 + (event_id % 7) / 1e4) AS b FROM events)
+SELECT event_type, count(*) AS n, round(avg((abs(a - b) = 0)::INT), 6) AS exact_rate, round(avg(abs(a - b)), 6) AS mean_abs, round(max(abs(a - b)), 6) AS max_abs,
  round(avg(CASE WHEN b <> 0 THEN abs(a - b) / abs(b) END), 8) AS mean_rel, count(*) FILTER (WHERE b = 0) AS n_zero FROM p GROUP BY 1""")
 def ag17_errors(spark: SparkSession, sf: str) -> DataFrame:
     p = table(spark, sf, "events").select("event_type", F.col("value").alias("a"), (F.col("value") * (1 + (F.col("event_id") % 7) / F.lit(1e4))).alias("b"))
@@ -136,7 +137,8 @@ def ag17_errors(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("""WITH r AS (SELECT o_orderpriority, rank() OVER (PARTITION BY o_orderpriority ORDER BY o_totalprice) + (count(*) OVER (PARTITION BY o_orderpriority, o_totalprice) - 1) / 2 AS a,
- rank() OVER (PARTITION BY o_orderpriority ORDER BY o_custkey) + (count(*) OVER (PARTITION BY o_orderpriority, o_custkey) - 1) / 2 AS b FROM orders) SELECT o_orderpriority, count(*) AS n, round(corr(a, b), 6) AS rank_corr FROM r GROUP BY 1""")
+ rank() OVER (PARTITION BY o_orderpriority ORDER BY o_custkey) + (count(*) OVER (PARTITION BY o_orderpriority, o_custkey) - 1) / 2 AS b FROM orders)
+SELECT o_orderpriority, count(*) AS n, round(corr(a, b), 6) AS rank_corr FROM r GROUP BY 1""")
 def ag18_rank_correlation(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(quality.rank_correlation(table(spark, sf, "orders"), "o_totalprice", "o_custkey", ["o_orderpriority"]), "rank_corr")
 
@@ -147,7 +149,8 @@ def ag19_rollup(spark: SparkSession, sf: str) -> DataFrame:
     return t.rollup("y").agg(F.count("*").alias("n"), F.sum("l_quantity").alias("q"), F.round(F.sum(F.col("l_quantity") * F.col("l_discount")) / F.sum("l_quantity"), 6).alias("weighted"))
 
 
-@query("""WITH m AS (SELECT avg((l_discount > 0.05)::INT) AS rate, count(*)::DOUBLE AS rows FROM lineitem) SELECT 'rate' AS metric, 'at_most' AS op, 0.9 AS threshold, round(rate, 6) AS actual, rate <= 0.9 AS passed FROM m UNION ALL SELECT 'rows', 'at_least', 1000000.0, rows, rows >= 1000000 FROM m""")
+@query("""WITH m AS (SELECT avg((l_discount > 0.05)::INT) AS rate, count(*)::DOUBLE AS rows FROM lineitem)
+SELECT 'rate' AS metric, 'at_most' AS op, 0.9 AS threshold, round(rate, 6) AS actual, rate <= 0.9 AS passed FROM m UNION ALL SELECT 'rows', 'at_least', 1000000.0, rows, rows >= 1000000 FROM m""")
 def ag20_gates(spark: SparkSession, sf: str) -> DataFrame:
     m = table(spark, sf, "lineitem").agg(F.avg((F.col("l_discount") > 0.05).cast("double")).alias("rate"), F.count("*").alias("rows"))
     return rounded(quality.gates(m, [("rate", "at_most", 0.9), ("rows", "at_least", 1000000.0)]), "actual")
@@ -163,7 +166,10 @@ def ag26_full_coverage(spark: SparkSession, sf: str) -> DataFrame:
     return quality.coverage(grid, y, ["symbol", "m"])
 
 
-@query(f"""WITH {TRADES}, t AS (SELECT DISTINCT symbol, d FROM trades WHERE flag = 'R'), p AS (SELECT DISTINCT symbol, d FROM trades WHERE volume > 25), n AS (SELECT count(*) FILTER (WHERE t.symbol IS NOT NULL AND p.symbol IS NOT NULL) AS tp, count(*) FILTER (WHERE t.symbol IS NULL) AS fp, count(*) FILTER (WHERE p.symbol IS NULL) AS fn FROM t FULL JOIN p ON t.symbol = p.symbol AND t.d = p.d)
+@query(f"""WITH {TRADES},
+t AS (SELECT DISTINCT symbol, d FROM trades WHERE flag = 'R'),
+p AS (SELECT DISTINCT symbol, d FROM trades WHERE volume > 25),
+n AS (SELECT count(*) FILTER (WHERE t.symbol IS NOT NULL AND p.symbol IS NOT NULL) AS tp, count(*) FILTER (WHERE t.symbol IS NULL) AS fp, count(*) FILTER (WHERE p.symbol IS NULL) AS fn FROM t FULL JOIN p ON t.symbol = p.symbol AND t.d = p.d)
 SELECT tp, fp, fn, round(tp / (tp + fp), 6) AS precision, round(tp / (tp + fn), 6) AS recall, round(tp / (tp + fp + fn), 6) AS jaccard FROM n""")
 def ag31_set_agreement(spark: SparkSession, sf: str) -> DataFrame:
     t = trades(spark, sf)
@@ -175,14 +181,15 @@ def ag32_complete_days(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "events").groupBy("event_type", F.to_date("ts").alias("day")).agg(F.count("*").alias("n"), F.max("ts").alias("last_ts")).where(F.hour("last_ts") >= 23)
 
 
-@query(f"WITH {DAILY} SELECT symbol, min(d) AS first_day, max(d) AS last_day, count(*) AS n_days, max_by(n_trades, d) AS latest_trades, string_agg(DISTINCT year(d)::VARCHAR, ',' ORDER BY year(d)::VARCHAR) AS years FROM daily GROUP BY 1")
+@query(f"""WITH {DAILY} SELECT symbol, min(d) AS first_day, max(d) AS last_day, count(*) AS n_days, max_by(n_trades, d) AS latest_trades, string_agg(DISTINCT year(d)::VARCHAR, ',' ORDER BY year(d)::VARCHAR) AS years FROM daily GROUP BY 1""")
 def ag33_spans(spark: SparkSession, sf: str) -> DataFrame:
     """AG-33 and AG-34: spans, latest values and joined unique labels."""
     years = F.array_join(F.array_sort(F.collect_set(F.year("d").cast("string"))), ",")
     return daily(spark, sf).groupBy("symbol").agg(F.min("d").alias("first_day"), F.max("d").alias("last_day"), F.count("*").alias("n_days"), F.max_by("n_trades", "d").alias("latest_trades"), years.alias("years"))
 
 
-@query("""WITH q AS (SELECT l_orderkey AS order_id, CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS c, l_linenumber, l_partkey, l_quantity::BIGINT AS quantity FROM lineitem), r AS (SELECT *, sum(quantity) OVER (PARTITION BY order_id ORDER BY c, l_linenumber, l_partkey, quantity ROWS UNBOUNDED PRECEDING) AS so_far FROM q),
+@query("""WITH q AS (SELECT l_orderkey AS order_id, CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS c, l_linenumber, l_partkey, l_quantity::BIGINT AS quantity FROM lineitem),
+r AS (SELECT *, sum(quantity) OVER (PARTITION BY order_id ORDER BY c, l_linenumber, l_partkey, quantity ROWS UNBOUNDED PRECEDING) AS so_far FROM q),
 o AS (SELECT o_orderkey AS order_id, CASE WHEN o_custkey % 2 = 0 THEN 'B' ELSE 'S' END AS side, o_custkey % 100 AS price, (o_totalprice / 4000)::BIGINT AS volume FROM orders),
 u AS (SELECT order_id, sum(quantity) AS requested, count(*) FILTER (WHERE quantity > 0 AND so_far > greatest(volume, 0)) AS n_overdrawn, bool_or(volume IS NULL) AS unknown FROM r LEFT JOIN o USING (order_id) GROUP BY 1)
 SELECT order_id, side, price, greatest(coalesce(volume, 0) - coalesce(requested, 0), 0)::BIGINT AS "left", coalesce(n_overdrawn, 0) AS n_overdrawn, coalesce(unknown, false) AS unknown FROM o FULL JOIN u USING (order_id)""")
@@ -199,7 +206,9 @@ def wn28_sequence_quality(spark: SparkSession, sf: str) -> DataFrame:
     return quality.sequence_quality(s, "user_id", "seq", ["event_id"])
 
 
-@query(f"""WITH {_BROKEN}, c AS (SELECT symbol, d, CASE WHEN low IS NULL THEN 'null_low' WHEN high < greatest(open, close) THEN 'high_below' END AS "check" FROM b) SELECT symbol, d, "check" FROM (SELECT *, row_number() OVER (PARTITION BY "check" ORDER BY d, symbol) AS n FROM c WHERE "check" IS NOT NULL) WHERE n <= 20""")
+@query(f"""WITH {_BROKEN},
+c AS (SELECT symbol, d, CASE WHEN low IS NULL THEN 'null_low' WHEN high < greatest(open, close) THEN 'high_below' END AS "check" FROM b)
+SELECT symbol, d, "check" FROM (SELECT *, row_number() OVER (PARTITION BY "check" ORDER BY d, symbol) AS n FROM c WHERE "check" IS NOT NULL) WHERE n <= 20""")
 def tk07_violation_samples(spark: SparkSession, sf: str) -> DataFrame:
     check = F.when(F.col("low").isNull(), "null_low").when(F.col("high") < F.greatest("open", "close"), "high_below")
     return quality.samples(_broken(spark, sf), check, ["d", "symbol"], 20).select("symbol", "d", "check")
@@ -226,7 +235,7 @@ def ag40_content_fingerprint(spark: SparkSession, sf: str) -> DataFrame:
     return quality.fingerprint(table(spark, sf, "events"), ["event_id", "ts", "user_id", "value", "props"], ["event_type"])
 
 
-@query("SELECT page_id, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title, regexp_extract(html, '<html lang=\"([a-z]+)\"', 1) AS lang, len(regexp_extract_all(html, '<a href=\"([^\"]*)\"', 1)) AS n_links FROM pages")
+@query("""SELECT page_id, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title, regexp_extract(html, '<html lang=\"([a-z]+)\"', 1) AS lang, len(regexp_extract_all(html, '<a href=\"([^\"]*)\"', 1)) AS n_links FROM pages""")
 def io19_html_fields(spark: SparkSession, sf: str) -> DataFrame:
     h = F.col("html")
     return table(spark, sf, "pages").select("page_id", F.regexp_extract(h, "<title>([^<]*)</title>", 1).alias("title"), F.regexp_extract(h, '<html lang="([a-z]+)"', 1).alias("lang"), F.size(F.regexp_extract_all(h, F.lit('<a href="([^"]*)"'), F.lit(1))).cast("long").alias("n_links"))

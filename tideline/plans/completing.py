@@ -23,7 +23,8 @@ def query(sql: str | None = None):
     return add
 
 
-_BROKEN = f"""{DAILY}, b AS (SELECT symbol, d, CASE WHEN volume <> 21 THEN open END AS open, CASE WHEN volume = 21 THEN NULL WHEN dayofmonth(d) = 5 THEN low ELSE high END AS high, CASE WHEN volume = 21 OR dayofmonth(d) = 6 THEN NULL ELSE low END AS low, CASE WHEN volume <> 21 THEN close END AS close, CASE WHEN volume <> 21 THEN volume END AS volume, CASE WHEN volume <> 21 THEN amount END AS amount FROM daily)"""
+_BROKEN = f"""{DAILY},
+b AS (SELECT symbol, d, CASE WHEN volume <> 21 THEN open END AS open, CASE WHEN volume = 21 THEN NULL WHEN dayofmonth(d) = 5 THEN low ELSE high END AS high, CASE WHEN volume = 21 OR dayofmonth(d) = 6 THEN NULL ELSE low END AS low, CASE WHEN volume <> 21 THEN close END AS close, CASE WHEN volume <> 21 THEN volume END AS volume, CASE WHEN volume <> 21 THEN amount END AS amount FROM daily)"""
 
 
 def _broken(spark: SparkSession, sf: str) -> DataFrame:
@@ -32,13 +33,13 @@ def _broken(spark: SparkSession, sf: str) -> DataFrame:
     return daily(spark, sf).select("symbol", "d", pick("open"), F.when(whole, F.when(day == 5, F.col("low")).otherwise(F.col("high"))).alias("high"), F.when(whole & (day != 6), F.col("low")).alias("low"), pick("close"), F.when(whole, F.col("volume")).alias("v"), F.when(whole, F.col("amount")).alias("amount")).withColumnRenamed("v", "volume")
 
 
-@query(f"WITH {_BROKEN} SELECT symbol, d, greatest(open, high, low, close) AS high, least(open, high, low, close) AS low, greatest(open, high, low, close) IS DISTINCT FROM high OR least(open, high, low, close) IS DISTINCT FROM low AS repaired FROM b WHERE open IS NOT NULL")
+@query(f"""WITH {_BROKEN} SELECT symbol, d, greatest(open, high, low, close) AS high, least(open, high, low, close) AS low, greatest(open, high, low, close) IS DISTINCT FROM high OR least(open, high, low, close) IS DISTINCT FROM low AS repaired FROM b WHERE open IS NOT NULL""")
 def pr13_repaired_bars(spark: SparkSession, sf: str) -> DataFrame:
     """Placeholders dropped, bounds widened."""
     return normalize.repair_bars(_broken(spark, sf)).select("symbol", "d", "high", "low", "repaired")
 
 
-@query(f"WITH {_BROKEN} SELECT (SELECT count(*) FROM b) - count(*) AS n_placeholders, count(*) FILTER (WHERE greatest(open, high, low, close) IS DISTINCT FROM high OR least(open, high, low, close) IS DISTINCT FROM low) AS n_repaired FROM b WHERE open IS NOT NULL")
+@query(f"""WITH {_BROKEN} SELECT (SELECT count(*) FROM b) - count(*) AS n_placeholders, count(*) FILTER (WHERE greatest(open, high, low, close) IS DISTINCT FROM high OR least(open, high, low, close) IS DISTINCT FROM low) AS n_repaired FROM b WHERE open IS NOT NULL""")
 def pr13_repair_counts(spark: SparkSession, sf: str) -> DataFrame:
     b = _broken(spark, sf).withColumn("row", F.lit(1))
     kept = normalize.repair_bars(b)
@@ -46,7 +47,9 @@ def pr13_repair_counts(spark: SparkSession, sf: str) -> DataFrame:
     return every.agg((F.sum("n") - F.sum("k")).alias("n_placeholders"), F.sum("r").alias("n_repaired"))
 
 
-@query(f"""WITH {DAILY}, p AS (SELECT *, lag(close) OVER (PARTITION BY symbol ORDER BY d) AS b FROM daily) SELECT symbol, d, coalesce(close >= b * 1.1, false) AS is_limit_up, coalesce(close <= b * 0.9, false) AS is_limit_down FROM p""")
+@query(f"""WITH {DAILY},
+p AS (SELECT *, lag(close) OVER (PARTITION BY symbol ORDER BY d) AS b FROM daily)
+SELECT symbol, d, coalesce(close >= b * 1.1, false) AS is_limit_up, coalesce(close <= b * 0.9, false) AS is_limit_down FROM p""")
 def pr15_limit_flags(spark: SparkSession, sf: str) -> DataFrame:
     """Both limits, a tenth around the close before."""
     p = daily(spark, sf).withColumn("b", F.lag("close").over(Window.partitionBy("symbol").orderBy("d")))
@@ -54,7 +57,10 @@ def pr15_limit_flags(spark: SparkSession, sf: str) -> DataFrame:
     return p.select("symbol", "d", up.alias("is_limit_up"), down.alias("is_limit_down"))
 
 
-@query(f"""WITH {DAILY}, s AS (SELECT DISTINCT l_suppkey AS symbol, l_shipdate::DATE AS d FROM lineitem WHERE l_discount >= 0.1), x AS (SELECT symbol, d, CASE WHEN volume > 3 THEN volume ELSE 0 END AS volume, CASE WHEN n_trades < 4 THEN amount END AS amount FROM daily) SELECT x.symbol, x.d, s.d IS NOT NULL OR volume <= 0 OR amount IS NULL AS is_suspended FROM x LEFT JOIN s ON s.symbol = x.symbol AND s.d = x.d""")
+@query(f"""WITH {DAILY},
+s AS (SELECT DISTINCT l_suppkey AS symbol, l_shipdate::DATE AS d FROM lineitem WHERE l_discount >= 0.1),
+x AS (SELECT symbol, d, CASE WHEN volume > 3 THEN volume ELSE 0 END AS volume, CASE WHEN n_trades < 4 THEN amount END AS amount FROM daily)
+SELECT x.symbol, x.d, s.d IS NOT NULL OR volume <= 0 OR amount IS NULL AS is_suspended FROM x LEFT JOIN s ON s.symbol = x.symbol AND s.d = x.d""")
 def pr16_suspensions(spark: SparkSession, sf: str) -> DataFrame:
     """By a list, and by days without volume or amount."""
     x = daily(spark, sf).select("symbol", "d", F.when(F.col("volume") > 3, F.col("volume")).otherwise(0.0).alias("volume"), F.when(F.col("n_trades") < 4, F.col("amount")).alias("amount"))
@@ -100,7 +106,8 @@ def pr21_signed_trades(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("""WITH b AS (SELECT user_id AS symbol, ts, ts::DATE AS day, value AS open, CASE WHEN event_type = 'error' THEN value - 1 ELSE value + 1 END AS high, CASE WHEN event_type = 'view' AND value < 3 THEN NULL ELSE value - 2 END AS low, value AS close, CASE WHEN event_type = 'click' AND value > 20 THEN 'inf'::DOUBLE WHEN event_type = 'purchase' AND value < 2 THEN -1 ELSE 5 END AS volume, hour(ts) * 60 + minute(ts) AS m FROM events),
-k AS (SELECT day, symbol, ts, count(*) AS n FROM b GROUP BY 1, 2, 3) SELECT b.day, count(*) AS n_rows, count(DISTINCT symbol) AS n_symbols, count(*) - count(DISTINCT (symbol, ts)) AS n_duplicates, count(*) FILTER (WHERE low IS NULL) AS n_null, count(*) FILTER (WHERE isinf(volume)) AS n_not_finite, count(*) FILTER (WHERE high < greatest(open, high, low, close) OR low > least(open, high, low, close)) AS n_bounds,
+k AS (SELECT day, symbol, ts, count(*) AS n FROM b GROUP BY 1, 2, 3)
+SELECT b.day, count(*) AS n_rows, count(DISTINCT symbol) AS n_symbols, count(*) - count(DISTINCT (symbol, ts)) AS n_duplicates, count(*) FILTER (WHERE low IS NULL) AS n_null, count(*) FILTER (WHERE isinf(volume)) AS n_not_finite, count(*) FILTER (WHERE high < greatest(open, high, low, close) OR low > least(open, high, low, close)) AS n_bounds,
  count(*) FILTER (WHERE coalesce(open < 0 OR high < 0 OR close < 0 OR volume < 0, false) OR coalesce(low < 0, false)) AS n_negative, 0::BIGINT AS n_bad_code, 0::BIGINT AS n_wrong_date, count(*) FILTER (WHERE NOT (m BETWEEN 570 AND 690 OR m BETWEEN 780 AND 900)) AS n_off_session, min(ts) AS first_time, max(ts) AS last_time FROM b GROUP BY b.day""")
 def ag14_day_counters(spark: SparkSession, sf: str) -> DataFrame:
     """AG-13 and AG-14: every counter of a day, in one pass."""
@@ -112,7 +119,9 @@ def ag14_day_counters(spark: SparkSession, sf: str) -> DataFrame:
     return quality.day_counters(b, ["day"], ["symbol", "ts"], "symbol", "ts", F.col("day"), F.hour("ts") * 60 + F.minute("ts"), ((570, 690), (780, 900)))
 
 
-@query(f"""WITH {DAILY}, p AS (SELECT *, lag(d) OVER (PARTITION BY symbol ORDER BY d) AS b FROM daily) SELECT unnest(['code_format', 'date_format', 'order', 'numeric', 'negative', 'price', 'bounds', 'duplicate']) AS "check", unnest(['error', 'error', 'error', 'error', 'error', 'error', 'error', 'error']) AS severity, unnest([count(*) FILTER (WHERE symbol % 9 = 0), 0, 0, count(*) FILTER (WHERE volume = 22), count(*) FILTER (WHERE volume = 23), count(*) FILTER (WHERE volume = 24), count(*) FILTER (WHERE volume = 26), 0]) AS n_bad, count(*) AS n_rows FROM p""")
+@query(f"""WITH {DAILY},
+p AS (SELECT *, lag(d) OVER (PARTITION BY symbol ORDER BY d) AS b FROM daily)
+SELECT unnest(['code_format', 'date_format', 'order', 'numeric', 'negative', 'price', 'bounds', 'duplicate']) AS "check", unnest(['error', 'error', 'error', 'error', 'error', 'error', 'error', 'error']) AS severity, unnest([count(*) FILTER (WHERE symbol % 9 = 0), 0, 0, count(*) FILTER (WHERE volume = 22), count(*) FILTER (WHERE volume = 23), count(*) FILTER (WHERE volume = 24), count(*) FILTER (WHERE volume = 26), 0]) AS n_bad, count(*) AS n_rows FROM p""")
 def ql01_all_panel_checks(spark: SparkSession, sf: str) -> DataFrame:
     """Each check of the daily panel, with faults planted by volume and by code."""
     v = F.col("volume")
@@ -132,7 +141,10 @@ def ql01_all_panel_checks(spark: SparkSession, sf: str) -> DataFrame:
 _OBS = "obs AS (SELECT o_custkey % 60 AS series, date_trunc('month', o_orderdate)::DATE AS period, (o_orderdate + INTERVAL 20 DAY)::DATE AS available, (o_orderdate + INTERVAL 25 DAY)::DATE AS retrieved, o_orderkey AS id, o_orderstatus = 'P' AS reconstructed, o_orderstatus = 'F' AS covered FROM orders WHERE o_custkey % 60 < 50 AND NOT (o_custkey % 60 < 9 AND o_orderdate >= DATE '1998-06-01'))"
 
 
-@query(f"""WITH {_OBS}, v AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY series, period ORDER BY available DESC, retrieved DESC, id DESC) AS n FROM obs WHERE available <= DATE '1999-06-30' AND retrieved <= DATE '1999-06-30') WHERE n = 1), g AS (SELECT series, max(period) AS p, count(*) AS n, count(*) FILTER (WHERE reconstructed) AS r, count(*) FILTER (WHERE covered) AS c FROM v GROUP BY 1), e AS (SELECT DISTINCT c_custkey % 60 AS series FROM customer)
+@query(f"""WITH {_OBS},
+v AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY series, period ORDER BY available DESC, retrieved DESC, id DESC) AS n FROM obs WHERE available <= DATE '1999-06-30' AND retrieved <= DATE '1999-06-30') WHERE n = 1),
+g AS (SELECT series, max(period) AS p, count(*) AS n, count(*) FILTER (WHERE reconstructed) AS r, count(*) FILTER (WHERE covered) AS c FROM v GROUP BY 1),
+e AS (SELECT DISTINCT c_custkey % 60 AS series FROM customer)
 SELECT e.series, p AS last_period, coalesce(n, 0) AS n_periods, coalesce(r, 0) AS n_reconstructed, coalesce(c, 0) AS n_covered, date_diff('day', p, DATE '1999-06-30')::INT AS age, CASE WHEN p IS NULL THEN 'missing' WHEN date_diff('day', p, DATE '1999-06-30') > 120 THEN 'stale' ELSE 'fresh' END AS state FROM e LEFT JOIN g USING (series)""")
 def pt03_context_audit(spark: SparkSession, sf: str) -> DataFrame:
     """What a read as of a day gives for each expected series."""
@@ -144,7 +156,8 @@ def pt03_context_audit(spark: SparkSession, sf: str) -> DataFrame:
     return pit.context_audit(obs, expected, F.lit("1999-06-30").cast("date"), series="series", period="period", known=["available", "retrieved"], order=["available", "retrieved", "id"], max_age=120)
 
 
-@query("""WITH a AS (SELECT o_custkey AS asset, CASE WHEN o_custkey % 11 <> 0 THEN max(o_orderdate)::DATE END AS as_of, CASE WHEN o_custkey % 13 <> 0 THEN DATE '2001-06-30' END AS target, CASE WHEN o_custkey % 2 = 0 THEN 90 ELSE 400 END AS allowed FROM orders GROUP BY 1) SELECT asset, as_of, target, date_diff('day', as_of, target)::INT AS lag_days, coalesce(date_diff('day', as_of, target) > allowed, false) AS stale FROM a""")
+@query("""WITH a AS (SELECT o_custkey AS asset, CASE WHEN o_custkey % 11 <> 0 THEN max(o_orderdate)::DATE END AS as_of, CASE WHEN o_custkey % 13 <> 0 THEN DATE '2001-06-30' END AS target, CASE WHEN o_custkey % 2 = 0 THEN 90 ELSE 400 END AS allowed FROM orders GROUP BY 1)
+SELECT asset, as_of, target, date_diff('day', as_of, target)::INT AS lag_days, coalesce(date_diff('day', as_of, target) > allowed, false) AS stale FROM a""")
 def pt32_asset_lags(spark: SparkSession, sf: str) -> DataFrame:
     """Assets with an allowance and a target of their own; a missing date flags nothing."""
     k = F.col("asset")
@@ -163,7 +176,8 @@ def io17_nested_payload(spark: SparkSession, sf: str) -> DataFrame:
     return payloads.series_observations(docs, "user_id", "body")
 
 
-@query("""WITH l AS (SELECT user_id, event_id, value, CASE WHEN event_id % 15 = 0 THEN 1 WHEN event_id % 10 = 0 THEN 2 ELSE 0 END AS f FROM events) SELECT user_id, count(*) AS n_lines, count(*) FILTER (WHERE f > 0) AS n_malformed, round(sum(CASE WHEN f = 0 THEN value END), 4) AS total FROM l GROUP BY 1""")
+@query("""WITH l AS (SELECT user_id, event_id, value, CASE WHEN event_id % 15 = 0 THEN 1 WHEN event_id % 10 = 0 THEN 2 ELSE 0 END AS f FROM events)
+SELECT user_id, count(*) AS n_lines, count(*) FILTER (WHERE f > 0) AS n_malformed, round(sum(CASE WHEN f = 0 THEN value END), 4) AS total FROM l GROUP BY 1""")
 def io18_kline_rows(spark: SparkSession, sf: str) -> DataFrame:
     """Arrays of comma-joined lines; malformed ones are counted and left out of the sums."""
     i, x = F.col("event_id"), F.col("value").cast("string")
@@ -174,7 +188,8 @@ def io18_kline_rows(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(out, "total", digits=4)
 
 
-@query("""WITH g AS (SELECT *, CASE WHEN epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY user_id ORDER BY ts, event_id) > 3600000000 THEN 1 ELSE 0 END AS new FROM events) SELECT user_id, event_id, (sum(new) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING))::BIGINT AS session FROM g""")
+@query("""WITH g AS (SELECT *, CASE WHEN epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY user_id ORDER BY ts, event_id) > 3600000000 THEN 1 ELSE 0 END AS new FROM events)
+SELECT user_id, event_id, (sum(new) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING))::BIGINT AS session FROM g""")
 def wn25_user_sessions(spark: SparkSession, sf: str) -> DataFrame:
     """Sessions of each user, whose number grows with the data."""
     e = table(spark, sf, "events").select("user_id", "event_id", "ts")

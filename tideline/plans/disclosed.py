@@ -72,7 +72,9 @@ def pt09_native_as_of(spark: SparkSession, sf: str) -> DataFrame:
     return _as_of(spark, sf, "dataset_native")
 
 
-@query(f"""WITH {_RAW}, a AS (SELECT ts_code, report_period, arg_max(revenue, id) AS income_revenue, max(available_date) AS t FROM events WHERE report_type = '1' AND revenue IS NOT NULL GROUP BY 1, 2), b AS (SELECT ts_code, report_period, arg_max(profit, id) AS cash_profit, max(available_date) AS t FROM events WHERE report_type <> '1' GROUP BY 1, 2)
+@query(f"""WITH {_RAW},
+a AS (SELECT ts_code, report_period, arg_max(revenue, id) AS income_revenue, max(available_date) AS t FROM events WHERE report_type = '1' AND revenue IS NOT NULL GROUP BY 1, 2),
+b AS (SELECT ts_code, report_period, arg_max(profit, id) AS cash_profit, max(available_date) AS t FROM events WHERE report_type <> '1' GROUP BY 1, 2)
 SELECT a.ts_code AS symbol, a.report_period, income_revenue, cash_profit, greatest(a.t, b.t) AS available_date FROM a JOIN b USING (ts_code, report_period) WHERE month(report_period) = 12""")
 def pt10_component_panel(spark: SparkSession, sf: str) -> DataFrame:
     """PT-10 and JN-17: two components joined one to one, annual periods only."""
@@ -82,7 +84,10 @@ def pt10_component_panel(spark: SparkSession, sf: str) -> DataFrame:
     return disclosures.annual_only(disclosures.component_panel(parts, ["symbol", "report_period"], {"income": ["revenue"], "cash": ["profit"]}))
 
 
-@query(f"""WITH {_RAW}, k AS (SELECT *, max(update_flag) OVER (PARTITION BY ts_code, report_period) AS m FROM events WHERE report_type IN ('1', '5') AND comp_type = '1'), n AS (SELECT *, max(available_date) OVER (PARTITION BY ts_code, report_period) AS t FROM k WHERE update_flag = m), l AS (SELECT * FROM n WHERE available_date = t)
+@query(f"""WITH {_RAW},
+k AS (SELECT *, max(update_flag) OVER (PARTITION BY ts_code, report_period) AS m FROM events WHERE report_type IN ('1', '5') AND comp_type = '1'),
+n AS (SELECT *, max(available_date) OVER (PARTITION BY ts_code, report_period) AS t FROM k WHERE update_flag = m),
+l AS (SELECT * FROM n WHERE available_date = t)
 SELECT ts_code, report_period, count(DISTINCT (coalesce(revenue, -1), profit)) > 1 AS ambiguous FROM l GROUP BY 1, 2""")
 def pt11_normalized(spark: SparkSession, sf: str) -> DataFrame:
     out = disclosures.normalized_fundamentals(events(spark, sf), ["ts_code", "report_period"], ["revenue", "profit"], report_types=["1", "5"], templates=["1"], revision=["update_flag", "available_date"])
@@ -118,7 +123,10 @@ def pt14_field_provenance(spark: SparkSession, sf: str) -> DataFrame:
     return out.withColumns({f"{f}_age": F.col(f"{f}_age").cast("long") for f in ("revenue", "profit")})
 
 
-@query(f"""WITH {_RAW}, s AS (SELECT unnest(['1', '4', '5', '9']) AS source), d AS (SELECT DISTINCT date_trunc('month', o_orderdate)::DATE AS d FROM orders), v AS (SELECT report_type AS source, available_date AS t FROM events WHERE month(available_date) <> 6)
+@query(f"""WITH {_RAW},
+s AS (SELECT unnest(['1', '4', '5', '9']) AS source),
+d AS (SELECT DISTINCT date_trunc('month', o_orderdate)::DATE AS d FROM orders),
+v AS (SELECT report_type AS source, available_date AS t FROM events WHERE month(available_date) <> 6)
 SELECT source, d, max(t) AS vintage, date_diff('day', max(t), d) AS age, CASE WHEN max(t) IS NULL THEN 'missing' WHEN date_diff('day', max(t), d) > 2 THEN 'stale' ELSE 'fresh' END AS state FROM s CROSS JOIN d LEFT JOIN v USING (source) WHERE t IS NULL OR t <= d GROUP BY 1, 2
 UNION ALL SELECT source, d, NULL, NULL, 'missing' FROM s CROSS JOIN d WHERE EXISTS (SELECT 1 FROM v WHERE v.source = s.source) AND NOT EXISTS (SELECT 1 FROM v WHERE v.source = s.source AND t <= d)""")
 def pt16_freshness(spark: SparkSession, sf: str) -> DataFrame:
@@ -129,7 +137,8 @@ def pt16_freshness(spark: SparkSession, sf: str) -> DataFrame:
     return disclosures.freshness(v, sources, dates, "source", "vintage", "d", 2).withColumn("age", F.col("age").cast("long"))
 
 
-@query(f"""WITH {_RAW}, c AS (SELECT count(*) AS n_rows, count(*) FILTER (WHERE available_date < report_period) AS early, count(*) FILTER (WHERE k > 1) AS twice FROM (SELECT *, count(*) OVER (PARTITION BY ts_code, report_period) AS k FROM events))
+@query(f"""WITH {_RAW},
+c AS (SELECT count(*) AS n_rows, count(*) FILTER (WHERE available_date < report_period) AS early, count(*) FILTER (WHERE k > 1) AS twice FROM (SELECT *, count(*) OVER (PARTITION BY ts_code, report_period) AS k FROM events))
 SELECT unnest(['null_key', 'disclosed_before_period', 'available_before_disclosed', 'duplicate_key']) AS "check", 'error' AS severity, unnest([0, early, 0, twice]) AS n_bad, n_rows FROM c""")
 def pt17_pit_checks(spark: SparkSession, sf: str) -> DataFrame:
     e = events(spark, sf).withColumn("disclosed", F.col("available_date"))
@@ -138,7 +147,8 @@ def pt17_pit_checks(spark: SparkSession, sf: str) -> DataFrame:
     return gates.check_table(marked, {n: (s, F.col(n)) for n, (s, _) in checks.items()})
 
 
-@query(f"""WITH {_RAW}, o AS (SELECT e.id, greatest(strptime(coalesce(ann_date, f_ann_date), '%Y%m%d')::DATE, strptime(coalesce(f_ann_date, ann_date), '%Y%m%d')::DATE) AS disclosed, (o_orderdate + INTERVAL 20 HOUR + INTERVAL 8 HOUR)::DATE AS seen FROM events e JOIN orders ON o_orderkey = e.id)
+@query(f"""WITH {_RAW},
+o AS (SELECT e.id, greatest(strptime(coalesce(ann_date, f_ann_date), '%Y%m%d')::DATE, strptime(coalesce(f_ann_date, ann_date), '%Y%m%d')::DATE) AS disclosed, (o_orderdate + INTERVAL 20 HOUR + INTERVAL 8 HOUR)::DATE AS seen FROM events e JOIN orders ON o_orderkey = e.id)
 SELECT id, (greatest(disclosed, seen) + 1)::DATE AS available_from FROM o""")
 def pt18_version_ledger(spark: SparkSession, sf: str) -> DataFrame:
     """Statements that were observed in the evening (UTC), so on the next day in China."""
@@ -147,7 +157,9 @@ def pt18_version_ledger(spark: SparkSession, sf: str) -> DataFrame:
     return disclosures.version_ledger(rows, "observed_at", "Asia/Shanghai", 1).select("id", "available_from")
 
 
-_CONFLICT = f"""{_RAW}, g AS (SELECT ts_code, report_period, count(DISTINCT report_type) AS n_categories, concat_ws(',', CASE WHEN count(DISTINCT coalesce(revenue, -1)) > 1 THEN 'revenue' END, CASE WHEN count(DISTINCT profit) > 1 THEN 'profit' END) AS fields FROM events GROUP BY 1, 2), c AS (SELECT * FROM g WHERE n_categories > 1)"""
+_CONFLICT = f"""{_RAW},
+g AS (SELECT ts_code, report_period, count(DISTINCT report_type) AS n_categories, concat_ws(',', CASE WHEN count(DISTINCT coalesce(revenue, -1)) > 1 THEN 'revenue' END, CASE WHEN count(DISTINCT profit) > 1 THEN 'profit' END) AS fields FROM events GROUP BY 1, 2),
+c AS (SELECT * FROM g WHERE n_categories > 1)"""
 
 
 @query(f"WITH {_CONFLICT} SELECT * FROM c")
@@ -167,7 +179,8 @@ def pt20_decision_errors(spark: SparkSession, sf: str) -> DataFrame:
     return disclosures.decided(e, conflicts, decisions, ["ts_code", "report_period"], "report_type")[1]
 
 
-_CONSENSUS = f"""{_RAW}, f AS (SELECT ts_code, report_period, count(*) AS n_versions, max(available_date) AS usable_at, count(DISTINCT coalesce(update_flag, '?')) = 1 AND count(DISTINCT report_type) = 1 AS agreed, CASE WHEN count(DISTINCT update_flag) = 1 THEN max(update_flag) END AS update_flag, CASE WHEN count(DISTINCT report_type) = 1 THEN max(report_type) END AS report_type FROM events GROUP BY 1, 2)"""
+_CONSENSUS = f"""{_RAW},
+f AS (SELECT ts_code, report_period, count(*) AS n_versions, max(available_date) AS usable_at, count(DISTINCT coalesce(update_flag, '?')) = 1 AND count(DISTINCT report_type) = 1 AS agreed, CASE WHEN count(DISTINCT update_flag) = 1 THEN max(update_flag) END AS update_flag, CASE WHEN count(DISTINCT report_type) = 1 THEN max(report_type) END AS report_type FROM events GROUP BY 1, 2)"""
 
 
 @query(f"WITH {_CONSENSUS} SELECT * FROM f")
@@ -175,7 +188,9 @@ def pt21_field_consensus(spark: SparkSession, sf: str) -> DataFrame:
     return disclosures.field_consensus(events(spark, sf), ["ts_code", "report_period"], ["update_flag", "report_type"], "available_date")
 
 
-@query(f"""WITH {_RAW}, v AS (SELECT ts_code, report_period, min(report_type) AS report_type, max(available_date) + 30 AS evidence_at FROM events GROUP BY 1, 2), w AS (SELECT ts_code, report_period, CASE WHEN substr(ts_code, 6, 1) = '2' THEN '8' ELSE report_type END AS report_type, evidence_at FROM v),
+@query(f"""WITH {_RAW},
+v AS (SELECT ts_code, report_period, min(report_type) AS report_type, max(available_date) + 30 AS evidence_at FROM events GROUP BY 1, 2),
+w AS (SELECT ts_code, report_period, CASE WHEN substr(ts_code, 6, 1) = '2' THEN '8' ELSE report_type END AS report_type, evidence_at FROM v),
 r AS (SELECT w.*, (SELECT min(available_date) FROM events e WHERE e.ts_code = w.ts_code AND e.report_period = w.report_period AND e.report_type = w.report_type) AS u FROM w)
 SELECT ts_code, report_period, CASE WHEN u IS NOT NULL AND greatest(evidence_at, u) <= DATE '1999-06-30' THEN report_type END AS report_type FROM r""")
 def pt22_adjudicated(spark: SparkSession, sf: str) -> DataFrame:
@@ -198,7 +213,8 @@ def pt23_exact_read(spark: SparkSession, sf: str) -> DataFrame:
 _OBS = """obs AS (SELECT 's' || o_custkey % 40 AS series_id, 'v' || o_orderkey % 997 AS vintage_id, o_orderkey AS id, o_orderdate AS t, o_orderkey % 11 = 0 AS a, o_orderkey % 13 = 0 AS b, o_orderkey % 17 = 0 AS c, o_orderkey % 19 = 0 AS d, o_orderkey % 23 = 0 AS e FROM orders)"""
 
 
-@query(f"""WITH {_OBS}, n AS (SELECT count(*) FILTER (WHERE e) AS bad_time, 0 AS no_series, count(*) FILTER (WHERE d) AS not_finite, 0 AS bad_flag, (SELECT coalesce(sum(k), 0) FROM (SELECT count(*) AS k FROM obs GROUP BY series_id, t, vintage_id HAVING count(*) > 1))::BIGINT AS duplicate, count(*) FILTER (WHERE b) AS period_order,
+@query(f"""WITH {_OBS},
+n AS (SELECT count(*) FILTER (WHERE e) AS bad_time, 0 AS no_series, count(*) FILTER (WHERE d) AS not_finite, 0 AS bad_flag, (SELECT coalesce(sum(k), 0) FROM (SELECT count(*) AS k FROM obs GROUP BY series_id, t, vintage_id HAVING count(*) > 1))::BIGINT AS duplicate, count(*) FILTER (WHERE b) AS period_order,
  count(*) FILTER (WHERE c) AS bad_revision, count(*) FILTER (WHERE a AND c) AS bad_hash, count(*) FILTER (WHERE a AND NOT e) AS retrieved_early, count(*) FILTER (WHERE d) AS available_early, count(*) FILTER (WHERE b AND a) AS covered_reconstruction FROM obs)
 SELECT unnest(['bad_time', 'no_series', 'not_finite', 'bad_flag', 'duplicate', 'period_order', 'bad_revision', 'bad_hash', 'retrieved_early', 'available_early', 'covered_reconstruction']) AS rule, unnest([bad_time, no_series, not_finite, bad_flag, duplicate, period_order, bad_revision, bad_hash, retrieved_early, available_early, covered_reconstruction]) AS n_bad FROM n""")
 def pt04_observation_faults(spark: SparkSession, sf: str) -> DataFrame:
@@ -230,7 +246,8 @@ def pt05_observations(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(_observations(spark, sf), "value", digits=2)
 
 
-@query(f"""WITH {_WIDE}, cal AS (SELECT DISTINCT 'n' AS series, l_shipdate::DATE AS publish_date FROM lineitem WHERE dayofmonth(l_shipdate) = 16 UNION SELECT DISTINCT 'total', l_shipdate::DATE FROM lineitem WHERE dayofmonth(l_shipdate) = 28 AND month(l_shipdate) % 6 = 0),
+@query(f"""WITH {_WIDE},
+cal AS (SELECT DISTINCT 'n' AS series, l_shipdate::DATE AS publish_date FROM lineitem WHERE dayofmonth(l_shipdate) = 16 UNION SELECT DISTINCT 'total', l_shipdate::DATE FROM lineitem WHERE dayofmonth(l_shipdate) = 28 AND month(l_shipdate) % 6 = 0),
 r AS (SELECT o.series, o.period_end, min(publish_date + INTERVAL 1 DAY - INTERVAL 8 HOUR) AS release_at FROM obs o JOIN cal c ON c.series = o.series AND publish_date + INTERVAL 1 DAY - INTERVAL 8 HOUR > o.period_end AND publish_date + INTERVAL 1 DAY - INTERVAL 8 HOUR <= o.period_end + INTERVAL 120 DAY GROUP BY 1, 2)
 SELECT o.series, o.period_end, strftime(release_at, '%Y-%m-%d %H:%M') AS release_at, coalesce(o.period_end + INTERVAL 18 DAY >= release_at AND o.period_end + INTERVAL 18 DAY - release_at <= INTERVAL 3 DAY, false) AS observed FROM obs o LEFT JOIN r ON o.series = r.series AND o.period_end = r.period_end""")
 def pt06_release(spark: SparkSession, sf: str) -> DataFrame:
@@ -242,10 +259,13 @@ def pt06_release(spark: SparkSession, sf: str) -> DataFrame:
     return disclosures.released(obs, cal, "Asia/Shanghai").select("series", "period_end", F.date_format("release_at", "yyyy-MM-dd HH:mm").alias("release_at"), "observed")
 
 
-_HELD = """held AS (SELECT l_suppkey AS symbol, date_trunc('quarter', l_shipdate)::DATE AS period, sum(l_quantity) AS amount FROM lineitem GROUP BY 1, 2), val AS (SELECT s_suppkey AS symbol, period, CASE WHEN s_nationkey = 3 THEN 0 ELSE 1 + s_nationkey + year(period) / 100.0 END::DOUBLE AS share FROM supplier, (SELECT DISTINCT period FROM held WHERE month(period) <> 7))"""
+_HELD = """held AS (SELECT l_suppkey AS symbol, date_trunc('quarter', l_shipdate)::DATE AS period, sum(l_quantity) AS amount FROM lineitem GROUP BY 1, 2),
+val AS (SELECT s_suppkey AS symbol, period, CASE WHEN s_nationkey = 3 THEN 0 ELSE 1 + s_nationkey + year(period) / 100.0 END::DOUBLE AS share FROM supplier, (SELECT DISTINCT period FROM held WHERE month(period) <> 7))"""
 
 
-@query(f"WITH {_HELD}, r AS (SELECT symbol, period, CASE WHEN share > 0 THEN amount / (share * 10000) END AS ratio FROM held LEFT JOIN val USING (symbol, period)) SELECT symbol, period, round(ratio, 9) AS ratio, round(ratio - lag(ratio) OVER (PARTITION BY symbol ORDER BY period), 9) AS ratio_change FROM r")
+@query(f"""WITH {_HELD},
+r AS (SELECT symbol, period, CASE WHEN share > 0 THEN amount / (share * 10000) END AS ratio FROM held LEFT JOIN val USING (symbol, period))
+SELECT symbol, period, round(ratio, 9) AS ratio, round(ratio - lag(ratio) OVER (PARTITION BY symbol ORDER BY period), 9) AS ratio_change FROM r""")
 def pt25_float_ratios(spark: SparkSession, sf: str) -> DataFrame:
     held = table(spark, sf, "lineitem").groupBy(F.col("l_suppkey").alias("symbol"), F.to_date(F.date_trunc("quarter", "l_shipdate")).alias("period")).agg(F.sum("l_quantity").alias("amount"))
     n = F.col("s_nationkey")
@@ -255,7 +275,8 @@ def pt25_float_ratios(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(disclosures.to_float_ratios(held, val, ["symbol", "period"], "amount", "share").select("symbol", "period", "ratio", "ratio_change"), "ratio", "ratio_change", digits=9)
 
 
-_NAMES = """names AS (SELECT symbol, start_date, name FROM (SELECT o_custkey AS symbol, o_orderdate::DATE AS start_date, o_orderpriority AS name, row_number() OVER (PARTITION BY o_custkey, o_orderdate ORDER BY o_orderkey DESC) AS n FROM orders) WHERE n = 1), cal AS (SELECT DISTINCT l_shipdate::DATE AS d FROM lineitem WHERE dayofweek(l_shipdate) BETWEEN 1 AND 5 AND dayofmonth(l_shipdate) <= 4)"""
+_NAMES = """names AS (SELECT symbol, start_date, name FROM (SELECT o_custkey AS symbol, o_orderdate::DATE AS start_date, o_orderpriority AS name, row_number() OVER (PARTITION BY o_custkey, o_orderdate ORDER BY o_orderkey DESC) AS n FROM orders) WHERE n = 1),
+cal AS (SELECT DISTINCT l_shipdate::DATE AS d FROM lineitem WHERE dayofweek(l_shipdate) BETWEEN 1 AND 5 AND dayofmonth(l_shipdate) <= 4)"""
 
 
 def _names(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
@@ -264,14 +285,18 @@ def _names(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     return windows.keep_one(o, ["symbol", "start_date"], [F.desc("o_orderkey")]).drop("o_orderkey"), cal
 
 
-@query(f"WITH {_NAMES}, i AS (SELECT *, (lead(start_date) OVER (PARTITION BY symbol ORDER BY start_date) - 1)::DATE AS e FROM names) SELECT symbol, d, arg_max(name, start_date) AS name FROM i JOIN cal ON d >= start_date AND (e IS NULL OR d <= e) WHERE name IN ('1-URGENT', '2-HIGH') GROUP BY 1, 2")
+@query(f"""WITH {_NAMES},
+i AS (SELECT *, (lead(start_date) OVER (PARTITION BY symbol ORDER BY start_date) - 1)::DATE AS e FROM names)
+SELECT symbol, d, arg_max(name, start_date) AS name FROM i JOIN cal ON d >= start_date AND (e IS NULL OR d <= e) WHERE name IN ('1-URGENT', '2-HIGH') GROUP BY 1, 2""")
 def pt26_status_history(spark: SparkSession, sf: str) -> DataFrame:
     """Status days from name changes: each name holds until the next."""
     changes, cal = _names(spark, sf)
     return disclosures.status_history(changes, cal, "symbol", "start_date", "name", "URGENT|HIGH", "d")
 
 
-@query(f"WITH {_NAMES}, s AS (SELECT symbol, start_date, name, CASE WHEN symbol % 4 <> 0 THEN (start_date + 200)::DATE END AS e FROM names) SELECT symbol, d, arg_max(name, start_date) AS name FROM s JOIN cal ON d >= start_date AND (e IS NULL OR d <= e) GROUP BY 1, 2")
+@query(f"""WITH {_NAMES},
+s AS (SELECT symbol, start_date, name, CASE WHEN symbol % 4 <> 0 THEN (start_date + 200)::DATE END AS e FROM names)
+SELECT symbol, d, arg_max(name, start_date) AS name FROM s JOIN cal ON d >= start_date AND (e IS NULL OR d <= e) GROUP BY 1, 2""")
 def jn05_expand_to_the_end(spark: SparkSession, sf: str) -> DataFrame:
     """Intervals of their own length, some of them open, over a calendar; the latest start wins."""
     changes, cal = _names(spark, sf)
@@ -279,7 +304,8 @@ def jn05_expand_to_the_end(spark: SparkSession, sf: str) -> DataFrame:
     return disclosures.expand_intervals(spans, cal, "symbol", "start_date", "end_date", "name", "d")
 
 
-@query("""WITH h AS (SELECT DISTINCT o_custkey AS symbol, o_orderdate::DATE AS d FROM orders WHERE o_orderstatus = 'F'), e AS (SELECT DISTINCT o_custkey AS symbol, o_orderdate::DATE AS d FROM orders WHERE o_orderstatus <> 'F' OR o_orderkey % 3 = 0),
+@query("""WITH h AS (SELECT DISTINCT o_custkey AS symbol, o_orderdate::DATE AS d FROM orders WHERE o_orderstatus = 'F'),
+e AS (SELECT DISTINCT o_custkey AS symbol, o_orderdate::DATE AS d FROM orders WHERE o_orderstatus <> 'F' OR o_orderkey % 3 = 0),
 j AS (SELECT h.symbol, h.d, max(e.d) FILTER (WHERE e.d = h.d) AS s, max(e.d) FILTER (WHERE e.d < h.d) AS p, min(e.d) FILTER (WHERE e.d > h.d) AS l FROM h LEFT JOIN e ON e.symbol = h.symbol AND e.d BETWEEN h.d - 60 AND h.d + 60 GROUP BY 1, 2)
 SELECT symbol, d, CASE WHEN s IS NOT NULL THEN 'same_day' WHEN p IS NOT NULL THEN 'prior' WHEN l IS NOT NULL THEN 'later' ELSE 'none' END AS timing, coalesce(s, p, l) AS evidence FROM j""")
 def pt27_announcement_timing(spark: SparkSession, sf: str) -> DataFrame:
@@ -288,10 +314,12 @@ def pt27_announcement_timing(spark: SparkSession, sf: str) -> DataFrame:
 
 
 _HOLDERS = """h AS (SELECT date_trunc('quarter', l_shipdate)::DATE AS t, l_suppkey AS symbol, date_trunc('month', l_shipdate)::DATE AS period, l_quantity AS amount, l_partkey % 3 <> 0 AS inst, l_linenumber <= 3 AS f FROM lineitem),
-g AS (SELECT t, symbol, f, period, sum(amount) AS total, coalesce(sum(amount) FILTER (WHERE inst), 0) / sum(amount) AS share FROM h GROUP BY ALL), l AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY t, symbol, f ORDER BY period DESC) AS n FROM g) WHERE n = 1)"""
+g AS (SELECT t, symbol, f, period, sum(amount) AS total, coalesce(sum(amount) FILTER (WHERE inst), 0) / sum(amount) AS share FROM h GROUP BY ALL),
+l AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY t, symbol, f ORDER BY period DESC) AS n FROM g) WHERE n = 1)"""
 
 
-@query(f"""WITH {_HOLDERS}, j AS (SELECT coalesce(a.t, b.t) AS t, coalesce(a.symbol, b.symbol) AS symbol, a.total AS top_total, a.share AS ts, b.total AS float_total, b.share AS fs FROM (SELECT * FROM l WHERE f) a FULL JOIN (SELECT * FROM l WHERE NOT f) b ON a.t = b.t AND a.symbol = b.symbol)
+@query(f"""WITH {_HOLDERS},
+j AS (SELECT coalesce(a.t, b.t) AS t, coalesce(a.symbol, b.symbol) AS symbol, a.total AS top_total, a.share AS ts, b.total AS float_total, b.share AS fs FROM (SELECT * FROM l WHERE f) a FULL JOIN (SELECT * FROM l WHERE NOT f) b ON a.t = b.t AND a.symbol = b.symbol)
 SELECT t, symbol, top_total, round(ts, 9) AS top_share, float_total, round(fs, 9) AS float_share, round(ts - lag(ts) OVER w, 9) AS top_change, round(fs - lag(fs) OVER w, 9) AS float_change FROM j WINDOW w AS (PARTITION BY symbol ORDER BY t)""")
 def pt28_holder_structure(spark: SparkSession, sf: str) -> DataFrame:
     """Two holder tables: of each quarter the latest month's concentration, and its change."""
@@ -301,7 +329,8 @@ def pt28_holder_structure(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("""WITH r AS (SELECT o_custkey AS symbol, CASE WHEN o_orderkey % 37 = 0 THEN 'soon' ELSE strftime(o_orderdate, '%Y%m%d') END AS a, CASE WHEN o_orderkey % 5 = 0 THEN '' WHEN o_orderkey % 29 = 0 THEN strftime(o_orderdate - INTERVAL 9 DAY, '%Y%m%d') ELSE strftime(o_orderdate + INTERVAL 90 DAY, '%Y-%m-%d') END AS z, o_orderstatus AS v FROM orders),
-t AS (SELECT symbol, try_strptime(a, '%Y%m%d')::DATE AS start_date, coalesce(try_strptime(z, '%Y%m%d'), try_strptime(z, '%Y-%m-%d'))::DATE AS end_date, v FROM r), o AS (SELECT *, row_number() OVER (PARTITION BY symbol, start_date ORDER BY end_date DESC NULLS FIRST, v DESC) AS n FROM t)
+t AS (SELECT symbol, try_strptime(a, '%Y%m%d')::DATE AS start_date, coalesce(try_strptime(z, '%Y%m%d'), try_strptime(z, '%Y-%m-%d'))::DATE AS end_date, v FROM r),
+o AS (SELECT *, row_number() OVER (PARTITION BY symbol, start_date ORDER BY end_date DESC NULLS FIRST, v DESC) AS n FROM t)
 SELECT symbol, start_date, end_date, v, CASE WHEN start_date IS NULL THEN 'bad_start' WHEN end_date < start_date THEN 'bad_order' END AS fault FROM o WHERE n = 1""")
 def pt29_interval_table(spark: SparkSession, sf: str) -> DataFrame:
     k, d = F.col("o_orderkey"), F.col("o_orderdate")
@@ -309,19 +338,23 @@ def pt29_interval_table(spark: SparkSession, sf: str) -> DataFrame:
     return disclosures.interval_table(r, "symbol", "start_date", "end_date", "v")
 
 
-@query("""WITH e AS (SELECT o_custkey AS symbol, date_trunc('quarter', o_orderdate)::DATE AS ex, o_orderstatus AS s, CASE WHEN o_orderkey % 2 = 0 THEN o_orderpriority END AS p FROM orders), g AS (SELECT symbol, ex, count(*) AS n_versions, concat_ws(',', CASE WHEN count(DISTINCT s) > 1 THEN 's:conflict' END, CASE WHEN count(DISTINCT p) > 1 THEN 'p:conflict' END, CASE WHEN count(p) = 0 THEN 'p:missing' END) AS why, max(s) AS s, max(p) AS p FROM e GROUP BY 1, 2)
+@query("""WITH e AS (SELECT o_custkey AS symbol, date_trunc('quarter', o_orderdate)::DATE AS ex, o_orderstatus AS s, CASE WHEN o_orderkey % 2 = 0 THEN o_orderpriority END AS p FROM orders),
+g AS (SELECT symbol, ex, count(*) AS n_versions, concat_ws(',', CASE WHEN count(DISTINCT s) > 1 THEN 's:conflict' END, CASE WHEN count(DISTINCT p) > 1 THEN 'p:conflict' END, CASE WHEN count(p) = 0 THEN 'p:missing' END) AS why, max(s) AS s, max(p) AS p FROM e GROUP BY 1, 2)
 SELECT symbol, ex, n_versions, CASE WHEN why = '' THEN 'ready' ELSE 'blocked' END AS state, why, CASE WHEN why = '' THEN s END AS s, CASE WHEN why = '' THEN p END AS p FROM g""")
 def pt30_corporate_actions(spark: SparkSession, sf: str) -> DataFrame:
     e = table(spark, sf, "orders").select(F.col("o_custkey").alias("symbol"), F.to_date(F.date_trunc("quarter", "o_orderdate")).alias("ex"), F.col("o_orderstatus").alias("s"), F.when(F.col("o_orderkey") % 2 == 0, F.col("o_orderpriority")).alias("p"))
     return disclosures.corporate_actions(e, ["symbol", "ex"], ["s", "p"], ["p"])
 
 
-@query(f"WITH {_RAW}, v AS (SELECT ts_code, report_period, count(DISTINCT (coalesce(revenue, -1), comp_type)) > 1 AS ambiguous FROM events GROUP BY 1, 2) SELECT id, ts_code, report_period, ambiguous FROM events JOIN v USING (ts_code, report_period)")
+@query(f"""WITH {_RAW},
+v AS (SELECT ts_code, report_period, count(DISTINCT (coalesce(revenue, -1), comp_type)) > 1 AS ambiguous FROM events GROUP BY 1, 2)
+SELECT id, ts_code, report_period, ambiguous FROM events JOIN v USING (ts_code, report_period)""")
 def pt31_ambiguous_templates(spark: SparkSession, sf: str) -> DataFrame:
     return disclosures.split_ambiguous(events(spark, sf), ["ts_code", "report_period"], ["revenue", "comp_type"]).select("id", "ts_code", "report_period", "ambiguous")
 
 
-@query(f"""WITH {_RAW}, u AS (SELECT 'income' AS component, * FROM events WHERE report_type = '1' UNION ALL SELECT 'balance', * FROM events WHERE report_type = '5' UNION ALL SELECT 'cash', * FROM events WHERE report_type = '4')
+@query(f"""WITH {_RAW},
+u AS (SELECT 'income' AS component, * FROM events WHERE report_type = '1' UNION ALL SELECT 'balance', * FROM events WHERE report_type = '5' UNION ALL SELECT 'cash', * FROM events WHERE report_type = '4')
 SELECT component, count(*) AS n_rows, min(report_period) AS first_period, max(report_period) AS last_period, min(available_date) AS first_known, max(available_date) AS last_known, count(DISTINCT (ts_code, report_period)) AS n_keys FROM u GROUP BY 1""")
 def pt33_component_union(spark: SparkSession, sf: str) -> DataFrame:
     """PT-33 and ST-01: three tables of different columns as one, and what is known of each."""

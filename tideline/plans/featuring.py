@@ -21,7 +21,8 @@ def query(sql: str | None = None):
     return add
 
 
-_FLOWS = f"""{DAILY}, flows AS (SELECT symbol, d, sum(CASE WHEN flag = 'A' AND volume > 25 THEN price * volume END) AS large_buy, sum(CASE WHEN flag = 'R' AND volume > 25 THEN price * volume END) AS large_sell, sum(CASE WHEN flag <> 'R' AND volume <= 25 THEN price * volume END) AS small_buy, sum(CASE WHEN flag = 'R' AND volume <= 25 THEN price * volume END) AS small_sell FROM trades GROUP BY 1, 2),
+_FLOWS = f"""{DAILY},
+flows AS (SELECT symbol, d, sum(CASE WHEN flag = 'A' AND volume > 25 THEN price * volume END) AS large_buy, sum(CASE WHEN flag = 'R' AND volume > 25 THEN price * volume END) AS large_sell, sum(CASE WHEN flag <> 'R' AND volume <= 25 THEN price * volume END) AS small_buy, sum(CASE WHEN flag = 'R' AND volume <= 25 THEN price * volume END) AS small_sell FROM trades GROUP BY 1, 2),
 ind AS (SELECT s_suppkey AS symbol, DATE '1990-01-01' AS a, DATE '1997-06-30' AS z, 'i' || s_nationkey % 3 AS industry FROM supplier UNION ALL SELECT s_suppkey, DATE '1997-07-01', NULL, 'j' || s_nationkey % 4 FROM supplier WHERE s_nationkey <> 5),
 j AS (SELECT f.symbol, f.d, amount, coalesce(large_buy, 0) - coalesce(large_sell, 0) AS net_large, coalesce(large_buy, 0) - coalesce(large_sell, 0) + coalesce(small_buy, 0) - coalesce(small_sell, 0) AS net, i.industry FROM flows f LEFT JOIN daily y ON f.symbol = y.symbol AND f.d = y.d LEFT JOIN ind i ON i.symbol = f.symbol AND f.d >= i.a AND (i.z IS NULL OR f.d <= i.z)),
 w AS (SELECT *, sum(net) OVER w3 AS net_3, sum(net_large) OVER w3 AS net_large_3, avg((net > 0)::INT) OVER w3 AS positive_3, CASE WHEN sum(amount) OVER w3 > 1e-12 THEN sum(net) OVER w3 / sum(amount) OVER w3 END AS r3, sum(net) OVER w10 AS net_10, CASE WHEN sum(amount) OVER w10 > 1e-12 THEN sum(net) OVER w10 / sum(amount) OVER w10 END AS r10
@@ -47,8 +48,11 @@ def wn12_flow_features(spark: SparkSession, sf: str) -> DataFrame:
 _ON = """span AS (SELECT min(d) AS a, max(d) AS z FROM ev), pan AS (SELECT symbol, d, x FROM base, span WHERE d BETWEEN a AND z AND symbol IN (SELECT symbol FROM ev))"""
 
 
-@query(f"""WITH {DAILY}, ev AS (SELECT symbol, d, count(*) AS n_events, count(*) FILTER (WHERE volume > 45) AS n_buys, count(*) FILTER (WHERE volume <= 45) AS n_sells, sum(CASE WHEN volume > 45 THEN 1 ELSE -1 END * price * volume) AS net_buy FROM trades WHERE flag = 'R' AND volume > 40 GROUP BY 1, 2), base AS (SELECT symbol, d, amount AS x FROM daily), {_ON},
-j AS (SELECT coalesce(p.symbol, e.symbol) AS symbol, coalesce(p.d, e.d) AS d, x AS amount, coalesce(n_events, 0) AS n_events, coalesce(n_buys, 0) AS n_buys, coalesce(net_buy, 0) AS net_buy FROM pan p FULL JOIN ev e ON p.symbol = e.symbol AND p.d = e.d), n AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY d) AS k FROM j)
+@query(f"""WITH {DAILY},
+ev AS (SELECT symbol, d, count(*) AS n_events, count(*) FILTER (WHERE volume > 45) AS n_buys, count(*) FILTER (WHERE volume <= 45) AS n_sells, sum(CASE WHEN volume > 45 THEN 1 ELSE -1 END * price * volume) AS net_buy FROM trades WHERE flag = 'R' AND volume > 40 GROUP BY 1, 2),
+base AS (SELECT symbol, d, amount AS x FROM daily), {_ON},
+j AS (SELECT coalesce(p.symbol, e.symbol) AS symbol, coalesce(p.d, e.d) AS d, x AS amount, coalesce(n_events, 0) AS n_events, coalesce(n_buys, 0) AS n_buys, coalesce(net_buy, 0) AS net_buy FROM pan p FULL JOIN ev e ON p.symbol = e.symbol AND p.d = e.d),
+n AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY d) AS k FROM j)
 SELECT symbol, d, round(CASE WHEN amount > 0 THEN net_buy / amount END, 9) AS net_buy_to_amount, round(sum(net_buy) OVER w, 4) AS net_buy_5, sum(n_events) OVER w::DOUBLE AS n_events_5, sum(n_buys) OVER w::DOUBLE AS n_buys_5, round(CASE WHEN sum(amount) OVER w > 0 THEN sum(net_buy) OVER w / sum(amount) OVER w END, 9) AS net_buy_5_to_amount, (sum(n_events) OVER w > 0)::INT::DOUBLE AS is_event_5,
  k - max(CASE WHEN n_events > 0 THEN k END) OVER u AS since_event, k - max(CASE WHEN n_buys > 0 THEN k END) OVER u AS since_buy FROM n WINDOW w AS (PARTITION BY symbol ORDER BY d ROWS BETWEEN 4 PRECEDING AND CURRENT ROW), u AS (PARTITION BY symbol ORDER BY d ROWS UNBOUNDED PRECEDING)""")
 def wn17_institution_features(spark: SparkSession, sf: str) -> DataFrame:
@@ -74,8 +78,11 @@ def ag06_insider_daily(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(_insider(spark, sf), "net_amount", digits=4)
 
 
-@query(f"""WITH {DAILY}, {_INSIDER}, base AS (SELECT symbol, d, CASE WHEN symbol % 4 = 0 THEN 0 ELSE close * 1000 END AS x FROM daily), {_ON}, j AS (SELECT coalesce(p.symbol, e.symbol) AS symbol, coalesce(p.d, e.d) AS d, x, coalesce(n_events, 0) AS n_events, coalesce(n_buys, 0) AS n_buys, coalesce(net_volume, 0) AS net_volume, CASE WHEN coalesce(n_events, 0) = 0 THEN coalesce(net_amount, 0) ELSE net_amount END AS net_amount FROM pan p FULL JOIN ev e ON p.symbol = e.symbol AND p.d = e.d),
-n AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY d) AS k FROM j) SELECT symbol, d, round(sum(net_amount) OVER a, 4) AS net_amount_20, sum(n_events) OVER c::DOUBLE AS n_events_60, sum(n_buys) OVER c::DOUBLE AS n_buys_60, sum(net_volume) OVER c AS net_volume_60, round(CASE WHEN x > 0 THEN sum(net_amount) OVER a / x END, 9) AS net_amount_20_to_float, k - max(CASE WHEN n_events > 0 THEN k END) OVER u AS since_event
+@query(f"""WITH {DAILY}, {_INSIDER},
+base AS (SELECT symbol, d, CASE WHEN symbol % 4 = 0 THEN 0 ELSE close * 1000 END AS x FROM daily), {_ON},
+j AS (SELECT coalesce(p.symbol, e.symbol) AS symbol, coalesce(p.d, e.d) AS d, x, coalesce(n_events, 0) AS n_events, coalesce(n_buys, 0) AS n_buys, coalesce(net_volume, 0) AS net_volume, CASE WHEN coalesce(n_events, 0) = 0 THEN coalesce(net_amount, 0) ELSE net_amount END AS net_amount FROM pan p FULL JOIN ev e ON p.symbol = e.symbol AND p.d = e.d),
+n AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY d) AS k FROM j)
+SELECT symbol, d, round(sum(net_amount) OVER a, 4) AS net_amount_20, sum(n_events) OVER c::DOUBLE AS n_events_60, sum(n_buys) OVER c::DOUBLE AS n_buys_60, sum(net_volume) OVER c AS net_volume_60, round(CASE WHEN x > 0 THEN sum(net_amount) OVER a / x END, 9) AS net_amount_20_to_float, k - max(CASE WHEN n_events > 0 THEN k END) OVER u AS since_event
 FROM n WINDOW a AS (PARTITION BY symbol ORDER BY d ROWS BETWEEN 19 PRECEDING AND CURRENT ROW), c AS (PARTITION BY symbol ORDER BY d ROWS BETWEEN 59 PRECEDING AND CURRENT ROW), u AS (PARTITION BY symbol ORDER BY d ROWS UNBOUNDED PRECEDING)""")
 def wn18_insider_features(spark: SparkSession, sf: str) -> DataFrame:
     panel = daily(spark, sf).select("symbol", "d", F.when(F.col("symbol") % 4 == 0, 0.0).otherwise(F.col("close") * 1000).alias("float_value"))
@@ -83,16 +90,23 @@ def wn18_insider_features(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(rounded(out, "net_amount_20", digits=4), "net_amount_20_to_float", digits=9)
 
 
-@query("SELECT o_orderdate::DATE AS known, o_custkey AS fund, date_trunc('quarter', o_orderdate)::DATE AS period, l_suppkey AS stock, max(l_shipdate::DATE) AS disclosed, count(*) AS n_rows, sum(l_quantity) AS amount, round(sum(l_extendedprice), 2) AS value FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2, 3, 4")
+@query("""SELECT o_orderdate::DATE AS known, o_custkey AS fund, date_trunc('quarter', o_orderdate)::DATE AS period, l_suppkey AS stock, max(l_shipdate::DATE) AS disclosed, count(*) AS n_rows, sum(l_quantity) AS amount, round(sum(l_extendedprice), 2) AS value FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2, 3, 4""")
 def ag07_fund_holdings(spark: SparkSession, sf: str) -> DataFrame:
     o = table(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.to_date("o_orderdate").alias("known"), F.col("o_custkey").alias("fund"), F.to_date(F.date_trunc("quarter", "o_orderdate")).alias("period"))
     h = table(spark, sf, "lineitem").join(o, "l_orderkey").select("known", "fund", "period", F.col("l_suppkey").alias("stock"), F.to_date("l_shipdate").alias("disclosed"), F.col("l_quantity").alias("amount"), F.col("l_extendedprice").alias("value"))
     return rounded(features.fund_holdings(h, ["known", "fund", "period", "stock"], "disclosed", ["amount", "value"]), "value", digits=2)
 
 
-@query(f"""WITH {DAILY}, hot AS (SELECT symbol, d, amount AS heat FROM daily WHERE n_trades > 1), h1 AS (SELECT *, rank() OVER (PARTITION BY d ORDER BY heat DESC, symbol) AS k, count(*) OVER (PARTITION BY d) AS n FROM hot), h2 AS (SELECT *, lag(k) OVER (PARTITION BY symbol ORDER BY d) - k AS ch FROM h1),
-m AS (SELECT l_shipdate::DATE AS d, l_suppkey AS symbol, p_brand AS theme, l_quantity AS q FROM lineitem JOIN part ON l_partkey = p_partkey), th AS (SELECT d, theme, sum(q) AS strength, arg_max(symbol, (q, symbol)) AS lead FROM m GROUP BY 1, 2), x AS (SELECT d, symbol, count(DISTINCT theme) AS n_themes, max(strength) AS s, max((lead = symbol)::INT) AS leader FROM m JOIN th USING (d, theme) GROUP BY 1, 2),
-e AS (SELECT symbol, d, count(*) AS n FROM trades WHERE flag = 'R' GROUP BY 1, 2), mo AS (SELECT symbol, strftime(d, '%Y%m') AS month, count(*) AS n FROM trades WHERE volume > 48 GROUP BY 1, 2), days AS (SELECT d, row_number() OVER (ORDER BY d) AS i FROM (SELECT DISTINCT d FROM daily)),
+@query(f"""WITH {DAILY},
+hot AS (SELECT symbol, d, amount AS heat FROM daily WHERE n_trades > 1),
+h1 AS (SELECT *, rank() OVER (PARTITION BY d ORDER BY heat DESC, symbol) AS k, count(*) OVER (PARTITION BY d) AS n FROM hot),
+h2 AS (SELECT *, lag(k) OVER (PARTITION BY symbol ORDER BY d) - k AS ch FROM h1),
+m AS (SELECT l_shipdate::DATE AS d, l_suppkey AS symbol, p_brand AS theme, l_quantity AS q FROM lineitem JOIN part ON l_partkey = p_partkey),
+th AS (SELECT d, theme, sum(q) AS strength, arg_max(symbol, (q, symbol)) AS lead FROM m GROUP BY 1, 2),
+x AS (SELECT d, symbol, count(DISTINCT theme) AS n_themes, max(strength) AS s, max((lead = symbol)::INT) AS leader FROM m JOIN th USING (d, theme) GROUP BY 1, 2),
+e AS (SELECT symbol, d, count(*) AS n FROM trades WHERE flag = 'R' GROUP BY 1, 2),
+mo AS (SELECT symbol, strftime(d, '%Y%m') AS month, count(*) AS n FROM trades WHERE volume > 48 GROUP BY 1, 2),
+days AS (SELECT d, row_number() OVER (ORDER BY d) AS i FROM (SELECT DISTINCT d FROM daily)),
 g AS (SELECT y.symbol, y.d, i, h2.k, h2.n, h2.ch, h2.symbol IS NOT NULL AS hit, x.n_themes, x.s, x.leader, coalesce(e.n, 0) AS ev, mo.n AS rec FROM daily y JOIN days USING (d) LEFT JOIN h2 ON h2.symbol = y.symbol AND h2.d = y.d LEFT JOIN x ON x.symbol = y.symbol AND x.d = y.d LEFT JOIN e ON e.symbol = y.symbol AND e.d = y.d LEFT JOIN mo ON mo.symbol = y.symbol AND mo.month = strftime(y.d, '%Y%m'))
 SELECT symbol, d, coalesce(n, 0)::DOUBLE AS hot_count, round(CASE WHEN n > 1 THEN 1 - (k - 1) / (n - 1) WHEN n = 1 THEN 1 ELSE 0 END, 9)::DOUBLE AS hot_rank, coalesce(ch, 0)::DOUBLE AS hot_change, coalesce(i - max(CASE WHEN hit THEN i END) OVER (PARTITION BY symbol ORDER BY d ROWS UNBOUNDED PRECEDING), 999)::DOUBLE AS days_since_hot, coalesce(n_themes, 0)::DOUBLE AS n_themes, coalesce(s, 0)::DOUBLE AS strongest_theme, coalesce(leader, 0)::DOUBLE AS leader,
  sum(ev) OVER (PARTITION BY symbol ORDER BY d ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)::DOUBLE AS n_events_5, sum(ev) OVER (PARTITION BY symbol ORDER BY d ROWS BETWEEN 19 PRECEDING AND CURRENT ROW)::DOUBLE AS n_events_20, coalesce(rec, 0)::DOUBLE AS n_recommended FROM g""")
@@ -105,7 +119,8 @@ def wn38_hotspot_features(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(out, "hot_rank", digits=9)
 
 
-@query("""WITH b AS (SELECT user_id, ts, event_id, value, hour(ts) * 60 + minute(ts) AS m, 1 + coalesce((props->>'$.k')::BIGINT, 0) AS v FROM events) SELECT user_id, arg_min(value, (ts, event_id)) AS first_price, arg_max(value, (ts, event_id)) AS last_price, max(value) FILTER (WHERE m > 570) AS high_inside, min(value) FILTER (WHERE m > 570) AS low_inside,
+@query("""WITH b AS (SELECT user_id, ts, event_id, value, hour(ts) * 60 + minute(ts) AS m, 1 + coalesce((props->>'$.k')::BIGINT, 0) AS v FROM events)
+SELECT user_id, arg_min(value, (ts, event_id)) AS first_price, arg_max(value, (ts, event_id)) AS last_price, max(value) FILTER (WHERE m > 570) AS high_inside, min(value) FILTER (WHERE m > 570) AS low_inside,
  round(coalesce(sum(v) FILTER (WHERE m < 600), 0) / sum(v), 9) AS opening_share, round(coalesce(sum(v) FILTER (WHERE m >= 870), 0) / sum(v), 9) AS closing_share FROM b GROUP BY 1""")
 def ag15_session_profile(spark: SparkSession, sf: str) -> DataFrame:
     v = (1 + F.coalesce(F.get_json_object("props", "$.k").cast("long"), F.lit(0))).cast("double")
@@ -113,12 +128,14 @@ def ag15_session_profile(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(audits.session_profile(e, ["user_id"], "at", F.col("minute"), 570, 900), "opening_share", "closing_share", digits=9)
 
 
-@query(f"WITH {TRADES}, e AS (SELECT date_trunc('month', d)::DATE AS d, symbol, count(*) AS n FROM trades GROUP BY 1, 2) SELECT d, count(*) AS n_symbols, sum(n)::BIGINT AS n_rows, count(*) FILTER (WHERE n <> 7) AS n_odd, sum(n) = count(*) * 7 AS product_holds FROM e GROUP BY d")
+@query(f"""WITH {TRADES},
+e AS (SELECT date_trunc('month', d)::DATE AS d, symbol, count(*) AS n FROM trades GROUP BY 1, 2)
+SELECT d, count(*) AS n_symbols, sum(n)::BIGINT AS n_rows, count(*) FILTER (WHERE n <> 7) AS n_odd, sum(n) = count(*) * 7 AS product_holds FROM e GROUP BY d""")
 def ag25_shape(spark: SparkSession, sf: str) -> DataFrame:
     return audits.shape(trades(spark, sf).withColumn("d", F.to_date(F.date_trunc("month", "d"))), "d", "symbol", 7)
 
 
-@query(f"WITH {TRADES} SELECT flag AS tier, count(*) AS n_rows, count(*) FILTER (WHERE volume < 10) AS n_accepted, count(*) FILTER (WHERE price > 5000) AS n_fatal, count(DISTINCT d) AS n_dates, grouping(flag)::INT AS is_total FROM trades GROUP BY ROLLUP (flag)")
+@query(f"""WITH {TRADES} SELECT flag AS tier, count(*) AS n_rows, count(*) FILTER (WHERE volume < 10) AS n_accepted, count(*) FILTER (WHERE price > 5000) AS n_fatal, count(DISTINCT d) AS n_dates, grouping(flag)::INT AS is_total FROM trades GROUP BY ROLLUP (flag)""")
 def ag28_dispositions(spark: SparkSession, sf: str) -> DataFrame:
     return audits.dispositions(trades(spark, sf).withColumnRenamed("flag", "tier"), "tier", "d", F.col("volume") < 10, F.col("price") > 5000)
 
@@ -130,16 +147,21 @@ def ag30_payload(spark: SparkSession, sf: str) -> DataFrame:
     return quality.counters(o, {"n_null": F.col("v").isNull(), "n_low": F.col("x") < 1000, "n_not_finite": F.col("v") == float("inf")}, ["market"])
 
 
-@query(f"""WITH {DAILY}, a AS (SELECT CASE WHEN n_trades > 1 THEN close END AS close, volume FROM daily), n AS (SELECT count(*) AS n_rows, avg((close IS NULL)::INT) AS c0, avg(close) AS c1, sum((CASE WHEN close IS NULL THEN -1 ELSE round(close * 100)::BIGINT END::HUGEINT * 2654435761) % 1000003 + CASE WHEN (CASE WHEN close IS NULL THEN -1 ELSE round(close * 100)::BIGINT END::HUGEINT * 2654435761) % 1000003 < 0 THEN 1000003 ELSE 0 END)::BIGINT AS c2, avg((volume IS NULL)::INT) AS v0, avg(volume) AS v1, sum((round(volume * 100)::HUGEINT * 2654435761) % 1000003)::BIGINT AS v2 FROM a)
+@query(f"""WITH {DAILY},
+a AS (SELECT CASE WHEN n_trades > 1 THEN close END AS close, volume FROM daily),
+n AS (SELECT count(*) AS n_rows, avg((close IS NULL)::INT) AS c0, avg(close) AS c1, sum((CASE WHEN close IS NULL THEN -1 ELSE round(close * 100)::BIGINT END::HUGEINT * 2654435761) % 1000003 + CASE WHEN (CASE WHEN close IS NULL THEN -1 ELSE round(close * 100)::BIGINT END::HUGEINT * 2654435761) % 1000003 < 0 THEN 1000003 ELSE 0 END)::BIGINT AS c2, avg((volume IS NULL)::INT) AS v0, avg(volume) AS v1, sum((round(volume * 100)::HUGEINT * 2654435761) % 1000003)::BIGINT AS v2 FROM a)
 SELECT 'close' AS feature, round(c0, 9) AS null_share, round(c1, 4) AS mean, c2 AS content, n_rows FROM n UNION ALL SELECT 'volume', round(v0, 9), round(v1, 4), v2, n_rows FROM n""")
 def ag35_receipt(spark: SparkSession, sf: str) -> DataFrame:
     y = daily(spark, sf).select(F.when(F.col("n_trades") > 1, F.col("close")).alias("close"), "volume")
     return rounded(rounded(audits.receipt(y, ["close", "volume"]), "mean", digits=4), "null_share", digits=9)
 
 
-_BOOK = """o AS (SELECT o_orderkey AS order_id, CASE WHEN o_orderkey % 2 = 0 THEN 'B' ELSE 'S' END AS side, floor(o_totalprice / 20000) AS price, 100.0 AS volume FROM orders), r AS (SELECT l_orderkey AS order_id, CASE WHEN l_returnflag = 'R' THEN 'cancel' ELSE 'trade' END AS kind, l_quantity AS quantity FROM lineitem),
-u AS (SELECT order_id, sum(quantity) AS q, coalesce(sum(quantity) FILTER (WHERE kind = 'trade'), 0) AS t, coalesce(sum(quantity) FILTER (WHERE kind = 'cancel'), 0) AS c FROM r GROUP BY 1), b AS (SELECT o.*, greatest(volume - coalesce(q, 0), 0) AS "left", coalesce(t, 0) AS t, coalesce(c, 0) AS c FROM o LEFT JOIN u USING (order_id)),
-l AS (SELECT side, price, sum("left") AS volume, count(*) AS n_orders FROM b WHERE "left" > 0 GROUP BY 1, 2), p AS (SELECT *, row_number() OVER (PARTITION BY side ORDER BY CASE WHEN side = 'B' THEN -price ELSE price END) AS place FROM l)"""
+_BOOK = """o AS (SELECT o_orderkey AS order_id, CASE WHEN o_orderkey % 2 = 0 THEN 'B' ELSE 'S' END AS side, floor(o_totalprice / 20000) AS price, 100.0 AS volume FROM orders),
+r AS (SELECT l_orderkey AS order_id, CASE WHEN l_returnflag = 'R' THEN 'cancel' ELSE 'trade' END AS kind, l_quantity AS quantity FROM lineitem),
+u AS (SELECT order_id, sum(quantity) AS q, coalesce(sum(quantity) FILTER (WHERE kind = 'trade'), 0) AS t, coalesce(sum(quantity) FILTER (WHERE kind = 'cancel'), 0) AS c FROM r GROUP BY 1),
+b AS (SELECT o.*, greatest(volume - coalesce(q, 0), 0) AS "left", coalesce(t, 0) AS t, coalesce(c, 0) AS c FROM o LEFT JOIN u USING (order_id)),
+l AS (SELECT side, price, sum("left") AS volume, count(*) AS n_orders FROM b WHERE "left" > 0 GROUP BY 1, 2),
+p AS (SELECT *, row_number() OVER (PARTITION BY side ORDER BY CASE WHEN side = 'B' THEN -price ELSE price END) AS place FROM l)"""
 
 
 def _book(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
@@ -148,7 +170,9 @@ def _book(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     return o, r
 
 
-@query(f"WITH {_BOOK}, e AS (SELECT side, place, price, CASE WHEN place = 2 THEN volume + 1 ELSE volume END AS volume FROM p WHERE place <= 6) SELECT side, coalesce(f.place, e.place)::INT AS place, f.price AS price_found, f.volume AS volume_found, e.price, e.volume, f.price IS NOT DISTINCT FROM e.price AND f.volume IS NOT DISTINCT FROM e.volume AS matches FROM (SELECT * FROM p WHERE place <= 5) f FULL JOIN e USING (side, place)")
+@query(f"""WITH {_BOOK},
+e AS (SELECT side, place, price, CASE WHEN place = 2 THEN volume + 1 ELSE volume END AS volume FROM p WHERE place <= 6)
+SELECT side, coalesce(f.place, e.place)::INT AS place, f.price AS price_found, f.volume AS volume_found, e.price, e.volume, f.price IS NOT DISTINCT FROM e.price AND f.volume IS NOT DISTINCT FROM e.volume AS matches FROM (SELECT * FROM p WHERE place <= 5) f FULL JOIN e USING (side, place)""")
 def ag36_book_match(spark: SparkSession, sf: str) -> DataFrame:
     """AG-36 and TK-05: the best five levels of each side after trades and cancels, against a published book of six."""
     o, r = _book(spark, sf)
@@ -169,7 +193,9 @@ def ag37_level_trace(spark: SparkSession, sf: str) -> DataFrame:
     return audits.trace_level(*_book(spark, sf), ["side", "price"])
 
 
-@query("""WITH c AS (SELECT o_custkey AS item, o_orderpriority AS chk, ['ok', 'note', 'warning', 'error'][1 + max(CASE WHEN o_orderkey % 40 = 0 THEN 3 WHEN o_orderkey % 9 = 0 THEN 2 WHEN o_orderkey % 4 = 0 THEN 1 ELSE 0 END)] AS s FROM orders GROUP BY 1, 2), v AS (SELECT *, CASE WHEN item % 3 = 0 AND chk = '1-URGENT' THEN 'ok' END AS o FROM c), r AS (SELECT *, list_position(['ok', 'note', 'warning', 'error'], coalesce(o, s)) AS r FROM v)
+@query("""WITH c AS (SELECT o_custkey AS item, o_orderpriority AS chk, ['ok', 'note', 'warning', 'error'][1 + max(CASE WHEN o_orderkey % 40 = 0 THEN 3 WHEN o_orderkey % 9 = 0 THEN 2 WHEN o_orderkey % 4 = 0 THEN 1 ELSE 0 END)] AS s FROM orders GROUP BY 1, 2),
+v AS (SELECT *, CASE WHEN item % 3 = 0 AND chk = '1-URGENT' THEN 'ok' END AS o FROM c),
+r AS (SELECT *, list_position(['ok', 'note', 'warning', 'error'], coalesce(o, s)) AS r FROM v)
 SELECT item, count(*) AS n_checks, count(o) AS n_overridden, ['ok', 'note', 'warning', 'error'][max(r)] AS worst, CASE WHEN max(r) <= 2 THEN 'eligible' WHEN max(r) = 3 THEN 'restricted' ELSE 'ineligible' END AS eligibility FROM r GROUP BY 1""")
 def ag38_eligibility(spark: SparkSession, sf: str) -> DataFrame:
     k = F.col("o_orderkey")
@@ -187,21 +213,27 @@ def ag39_identity_evidence(spark: SparkSession, sf: str) -> DataFrame:
     return audits.identity_evidence(e, "user_id", "label")
 
 
-@query("""WITH s AS (SELECT o_orderstatus AS stage, o_custkey, date_trunc('month', o_orderdate)::DATE AS m, CASE WHEN o_orderkey % 20 <> 0 THEN o_orderdate::DATE END AS d FROM orders), f AS (SELECT stage, count(*) AS n_rows, count(*) - count(DISTINCT (o_custkey, m)) AS n_duplicates, count(*) FILTER (WHERE d IS NULL) AS n_undated, min(d) AS first_date, max(d) AS last_date FROM s GROUP BY 1), e AS (SELECT unnest(['F', 'O', 'X']) AS stage)
+@query("""WITH s AS (SELECT o_orderstatus AS stage, o_custkey, date_trunc('month', o_orderdate)::DATE AS m, CASE WHEN o_orderkey % 20 <> 0 THEN o_orderdate::DATE END AS d FROM orders),
+f AS (SELECT stage, count(*) AS n_rows, count(*) - count(DISTINCT (o_custkey, m)) AS n_duplicates, count(*) FILTER (WHERE d IS NULL) AS n_undated, min(d) AS first_date, max(d) AS last_date FROM s GROUP BY 1),
+e AS (SELECT unnest(['F', 'O', 'X']) AS stage)
 SELECT coalesce(e.stage, f.stage) AS stage, coalesce(n_rows, 0) AS n_rows, coalesce(n_duplicates, 0) AS n_duplicates, coalesce(n_undated, 0) AS n_undated, first_date, last_date FROM e FULL JOIN f ON e.stage = f.stage""")
 def ag41_stage_audit(spark: SparkSession, sf: str) -> DataFrame:
     s = table(spark, sf, "orders").select(F.col("o_orderstatus").alias("stage"), "o_custkey", F.to_date(F.date_trunc("month", "o_orderdate")).alias("m"), F.when(F.col("o_orderkey") % 20 != 0, F.to_date("o_orderdate")).alias("d"))
     return audits.stage_audit(s, "stage", ["o_custkey", "m"], "d", ["F", "O", "X"])
 
 
-@query(f"WITH {TRADES}, a AS (SELECT symbol, d, sum(volume) AS volume_a, sum(k % 97)::BIGINT AS mark_a FROM trades WHERE flag <> 'R' GROUP BY 1, 2), b AS (SELECT symbol, d, sum(volume) AS volume_b, sum(k % 97)::BIGINT AS mark_b FROM trades WHERE flag <> 'A' GROUP BY 1, 2) SELECT symbol, d, volume_a, volume_b, mark_a, mark_b, round(volume_b / volume_a, 9) AS volume_ratio, round(CASE WHEN mark_a <> 0 THEN mark_b / mark_a END, 9) AS mark_ratio FROM a FULL JOIN b USING (symbol, d)")
+@query(f"""WITH {TRADES},
+a AS (SELECT symbol, d, sum(volume) AS volume_a, sum(k % 97)::BIGINT AS mark_a FROM trades WHERE flag <> 'R' GROUP BY 1, 2),
+b AS (SELECT symbol, d, sum(volume) AS volume_b, sum(k % 97)::BIGINT AS mark_b FROM trades WHERE flag <> 'A' GROUP BY 1, 2)
+SELECT symbol, d, volume_a, volume_b, mark_a, mark_b, round(volume_b / volume_a, 9) AS volume_ratio, round(CASE WHEN mark_a <> 0 THEN mark_b / mark_a END, 9) AS mark_ratio FROM a FULL JOIN b USING (symbol, d)""")
 def ag42_source_ratios(spark: SparkSession, sf: str) -> DataFrame:
     t = trades(spark, sf).withColumn("mark", F.col("k") % 97)
     out = audits.cross_source_ratios(t.where("flag <> 'R'"), t.where("flag <> 'A'"), ["symbol", "d"], ["volume", "mark"])
     return rounded(out, "volume_ratio", "mark_ratio", digits=9)
 
 
-@query("WITH p AS (SELECT o_custkey AS id, year(o_orderdate) AS y, count(*)::VARCHAR || CASE WHEN o_custkey % 10 = 0 THEN ' rows' ELSE '' END AS n FROM orders GROUP BY o_custkey, y) SELECT 0::BIGINT AS n_unknown, coalesce(sum(TRY_CAST(n AS BIGINT)), 0)::BIGINT AS n_rows FROM p WHERE y BETWEEN 1995 AND 1997")
+@query("""WITH p AS (SELECT o_custkey AS id, year(o_orderdate) AS y, count(*)::VARCHAR || CASE WHEN o_custkey % 10 = 0 THEN ' rows' ELSE '' END AS n FROM orders GROUP BY o_custkey, y)
+SELECT 0::BIGINT AS n_unknown, coalesce(sum(TRY_CAST(n AS BIGINT)), 0)::BIGINT AS n_rows FROM p WHERE y BETWEEN 1995 AND 1997""")
 def ag43_selection_count(spark: SparkSession, sf: str) -> DataFrame:
     """All customers with orders are asked for; some counts are no numbers."""
     o = table(spark, sf, "orders")
@@ -228,18 +260,24 @@ def jn24_worst_differences(spark: SparkSession, sf: str) -> DataFrame:
     return audits.compare_archive(*_archive(spark, sf), ["symbol", "d"], "v", 0.1, 5)[1]
 
 
-@query(f"WITH {_ARCHIVE}, c AS (SELECT r.symbol, r.v AS v, x.v AS w FROM r LEFT JOIN x USING (symbol, d)) SELECT count(*) AS n_old, count(*) FILTER (WHERE w IS NULL) AS n_lost, count(*) FILTER (WHERE v <> w) AS n_changed, count(*) FILTER (WHERE w IS NULL OR v <> w) = 0 AS unrevised FROM c")
+@query(f"""WITH {_ARCHIVE},
+c AS (SELECT r.symbol, r.v AS v, x.v AS w FROM r LEFT JOIN x USING (symbol, d))
+SELECT count(*) AS n_old, count(*) FILTER (WHERE w IS NULL) AS n_lost, count(*) FILTER (WHERE v <> w) AS n_changed, count(*) FILTER (WHERE w IS NULL OR v <> w) = 0 AS unrevised FROM c""")
 def jn25_revision_check(spark: SparkSession, sf: str) -> DataFrame:
     return audits.revised(*_archive(spark, sf), ["symbol", "d"], "v")
 
 
-@query(f"WITH {DAILY}, p AS (SELECT symbol, d, close FROM daily WHERE n_trades > 1), j AS (SELECT symbol, d, close, o.n FROM p JOIN (SELECT DISTINCT l_suppkey AS symbol, l_shipdate::DATE AS d, 1 AS n FROM lineitem WHERE l_quantity > 10) o USING (symbol, d)), c AS (SELECT *, count(*) OVER (PARTITION BY d) AS k FROM j) SELECT symbol, d, close, n FROM c WHERE k >= 2")
+@query(f"""WITH {DAILY},
+p AS (SELECT symbol, d, close FROM daily WHERE n_trades > 1),
+j AS (SELECT symbol, d, close, o.n FROM p JOIN (SELECT DISTINCT l_suppkey AS symbol, l_shipdate::DATE AS d, 1 AS n FROM lineitem WHERE l_quantity > 10) o USING (symbol, d)),
+c AS (SELECT *, count(*) OVER (PARTITION BY d) AS k FROM j)
+SELECT symbol, d, close, n FROM c WHERE k >= 2""")
 def jn20_restricted_candidates(spark: SparkSession, sf: str) -> DataFrame:
     pool = table(spark, sf, "lineitem").where("l_quantity > 10").select(F.col("l_suppkey").alias("symbol"), F.to_date("l_shipdate").alias("d"), F.lit(1).alias("n")).distinct()
     return audits.restricted(daily(spark, sf).where("n_trades > 1").select("symbol", "d", "close"), pool, ["symbol", "d"], ["d"], 2)
 
 
-@query("SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE dayofweek(l_shipdate) BETWEEN 1 AND 5 AND l_suppkey IN (SELECT s_suppkey FROM supplier WHERE s_nationkey < 18) AND (l_partkey, l_returnflag) IN (SELECT p_partkey, 'A' FROM part WHERE p_size > 25)")
+@query("""SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE dayofweek(l_shipdate) BETWEEN 1 AND 5 AND l_suppkey IN (SELECT s_suppkey FROM supplier WHERE s_nationkey < 18) AND (l_partkey, l_returnflag) IN (SELECT p_partkey, 'A' FROM part WHERE p_size > 25)""")
 def jn15_semi_filters(spark: SparkSession, sf: str) -> DataFrame:
     """Open days, members and restricted keys, each as a semi-join."""
     line = table(spark, sf, "lineitem").withColumn("d", F.to_date("l_shipdate"))
@@ -250,12 +288,13 @@ def jn15_semi_filters(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("l_orderkey", "l_linenumber", "l_quantity")
 
 
-@query("WITH x AS (SELECT l_suppkey, row(l_shipdate, l_quantity) AS a, lag(row(l_shipdate, l_quantity)) OVER (PARTITION BY l_suppkey ORDER BY l_shipdate, l_orderkey, l_linenumber) AS b FROM lineitem) SELECT l_suppkey, count(*) AS n_rows, count(*) FILTER (WHERE a = b) AS n_repeats, count(*) FILTER (WHERE a < b) AS n_backwards FROM x GROUP BY 1")
+@query("""WITH x AS (SELECT l_suppkey, row(l_shipdate, l_quantity) AS a, lag(row(l_shipdate, l_quantity)) OVER (PARTITION BY l_suppkey ORDER BY l_shipdate, l_orderkey, l_linenumber) AS b FROM lineitem)
+SELECT l_suppkey, count(*) AS n_rows, count(*) FILTER (WHERE a = b) AS n_repeats, count(*) FILTER (WHERE a < b) AS n_backwards FROM x GROUP BY 1""")
 def wn30_adjacent_faults(spark: SparkSession, sf: str) -> DataFrame:
     return audits.adjacent_faults(table(spark, sf, "lineitem"), ["l_suppkey"], ["l_shipdate", "l_orderkey", "l_linenumber"], ["l_shipdate", "l_quantity"])
 
 
-@query(f"WITH {DAILY} SELECT symbol, min(d) AS first_trade, least(min(d), DATE '1995-06-01' + s_nationkey::INT) AS list_date, count(*) AS n_days, date_diff('day', least(min(d), DATE '1995-06-01' + s_nationkey::INT), max(d)) AS listed_days FROM daily JOIN supplier ON s_suppkey = symbol GROUP BY symbol, s_nationkey")
+@query(f"""WITH {DAILY} SELECT symbol, min(d) AS first_trade, least(min(d), DATE '1995-06-01' + s_nationkey::INT) AS list_date, count(*) AS n_days, date_diff('day', least(min(d), DATE '1995-06-01' + s_nationkey::INT), max(d)) AS listed_days FROM daily JOIN supplier ON s_suppkey = symbol GROUP BY symbol, s_nationkey""")
 def pr18_list_date(spark: SparkSession, sf: str) -> DataFrame:
     """The earlier of the recorded date and the first trade."""
     first = daily(spark, sf).groupBy("symbol").agg(F.min("d").alias("first_trade"), F.max("d").alias("last_trade"), F.count("*").alias("n_days"))
@@ -275,7 +314,8 @@ def tk04_ordered_output(spark: SparkSession, sf: str) -> DataFrame:
     return y.withColumn("k", place).join(F.broadcast(before.select("d", "before")), "d").select("d", "symbol", "amount", (F.col("k") + F.col("before")).alias("place")).orderBy("place")
 
 
-@query("WITH u AS (SELECT o_custkey AS member, o_orderpriority AS theme, NULL::DATE AS since FROM orders UNION ALL SELECT o_custkey, o_orderpriority, o_orderdate::DATE FROM orders WHERE o_orderstatus = 'F') SELECT member, theme, min(since) AS since FROM u GROUP BY 1, 2")
+@query("""WITH u AS (SELECT o_custkey AS member, o_orderpriority AS theme, NULL::DATE AS since FROM orders UNION ALL SELECT o_custkey, o_orderpriority, o_orderdate::DATE FROM orders WHERE o_orderstatus = 'F')
+SELECT member, theme, min(since) AS since FROM u GROUP BY 1, 2""")
 def st08_membership_union(spark: SparkSession, sf: str) -> DataFrame:
     """Two parts of a membership, of which one lacks a column; one row a member and theme."""
     o = table(spark, sf, "orders").select(F.col("o_custkey").alias("member"), F.col("o_orderpriority").alias("theme"), F.to_date("o_orderdate").alias("since"), "o_orderstatus")

@@ -81,8 +81,12 @@ def jn07_step_factor(spark: SparkSession, sf: str) -> DataFrame:
     return joins.as_of(p, f, ["symbol"], "d", "ex", ["factor"]).select("symbol", "d", F.coalesce("factor", F.lit(1.0)).alias("factor"))
 
 
-@query(f"""WITH {TRADES}, e AS (SELECT symbol, d, count(*) AS n FROM trades WHERE flag = 'R' AND volume > 40 GROUP BY 1, 2), y AS (SELECT symbol, d, sum(volume) AS volume FROM trades GROUP BY 1, 2), b AS (SELECT min(d) AS lo, max(d) AS hi FROM e),
-p AS (SELECT y.* FROM y, b WHERE d BETWEEN lo AND hi AND symbol IN (SELECT symbol FROM e)) SELECT coalesce(e.symbol, p.symbol) AS symbol, coalesce(e.d, p.d) AS d, coalesce(n, 0) AS n_events, volume FROM e FULL JOIN p ON e.symbol = p.symbol AND e.d = p.d""")
+@query(f"""WITH {TRADES},
+e AS (SELECT symbol, d, count(*) AS n FROM trades WHERE flag = 'R' AND volume > 40 GROUP BY 1, 2),
+y AS (SELECT symbol, d, sum(volume) AS volume FROM trades GROUP BY 1, 2),
+b AS (SELECT min(d) AS lo, max(d) AS hi FROM e),
+p AS (SELECT y.* FROM y, b WHERE d BETWEEN lo AND hi AND symbol IN (SELECT symbol FROM e))
+SELECT coalesce(e.symbol, p.symbol) AS symbol, coalesce(e.d, p.d) AS d, coalesce(n, 0) AS n_events, volume FROM e FULL JOIN p ON e.symbol = p.symbol AND e.d = p.d""")
 def jn08_events_on_panel(spark: SparkSession, sf: str) -> DataFrame:
     t = trades(spark, sf)
     e = t.where("flag = 'R' AND volume > 40").groupBy("symbol", "d").agg(F.count("*").alias("n"))
@@ -90,7 +94,10 @@ def jn08_events_on_panel(spark: SparkSession, sf: str) -> DataFrame:
     return features.on_panel(e, p, "symbol", "d").select("symbol", "d", F.coalesce("n", F.lit(0)).alias("n_events"), "volume")
 
 
-@query(f"""WITH {TRADES}, a AS (SELECT symbol, d, sum(volume) AS bought FROM trades WHERE flag = 'A' GROUP BY 1, 2), r AS (SELECT symbol, d, sum(volume) AS returned FROM trades WHERE flag = 'R' GROUP BY 1, 2), n AS (SELECT symbol, d, count(*) AS normal FROM trades WHERE flag = 'N' GROUP BY 1, 2)
+@query(f"""WITH {TRADES},
+a AS (SELECT symbol, d, sum(volume) AS bought FROM trades WHERE flag = 'A' GROUP BY 1, 2),
+r AS (SELECT symbol, d, sum(volume) AS returned FROM trades WHERE flag = 'R' GROUP BY 1, 2),
+n AS (SELECT symbol, d, count(*) AS normal FROM trades WHERE flag = 'N' GROUP BY 1, 2)
 SELECT symbol, d, bought, returned, normal FROM a FULL JOIN r USING (symbol, d) FULL JOIN n USING (symbol, d)""")
 def jn09_outer_merge(spark: SparkSession, sf: str) -> DataFrame:
     t = trades(spark, sf)
@@ -129,7 +136,9 @@ def jn13_shifted_match(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(joins.shifted_match(m, m, "event_type", "h", "v", [-60, 0, 60]), "mae", digits=4)
 
 
-@query(f"""WITH {_TWO}, g AS (SELECT symbol, count(*) AS rows_a, max_by(v, d) AS last_a, count(*) FILTER (WHERE v > 30) AS large_a FROM a GROUP BY 1), t AS (SELECT symbol, count(*) AS rows_b, min_by(v, d) AS first_b FROM b GROUP BY 1),
+@query(f"""WITH {_TWO},
+g AS (SELECT symbol, count(*) AS rows_a, max_by(v, d) AS last_a, count(*) FILTER (WHERE v > 30) AS large_a FROM a GROUP BY 1),
+t AS (SELECT symbol, count(*) AS rows_b, min_by(v, d) AS first_b FROM b GROUP BY 1),
 e AS (SELECT symbol, count(*) AS matched, round(avg(abs(a.v - b.v / 100)), 6) AS mae, count(*) FILTER (WHERE a.v = b.v / 100) AS exact FROM a JOIN b USING (symbol, d) GROUP BY 1)
 SELECT symbol, rows_a, last_a, large_a, rows_b, first_b, matched, mae, exact FROM g FULL JOIN t USING (symbol) LEFT JOIN e USING (symbol)""")
 def jn14_source_comparison(spark: SparkSession, sf: str) -> DataFrame:
@@ -162,7 +171,8 @@ def ag09_theme_exposure(spark: SparkSession, sf: str) -> DataFrame:
     return m.join(t, ["d", "theme"]).groupBy("d", "symbol").agg(F.countDistinct("theme").alias("n_themes"), F.max("strength").alias("strongest"), F.countDistinct(F.when(F.col("strength") > 60, F.col("theme"))).alias("n_strong"))
 
 
-@query("""WITH s AS (SELECT c_custkey, min(o_orderdate)::DATE AS a, CASE WHEN c_custkey % 3 = 0 THEN max(o_orderdate)::DATE END AS b FROM customer JOIN orders ON o_custkey = c_custkey GROUP BY 1), d AS (SELECT DISTINCT l_shipdate::DATE AS d FROM lineitem)
+@query("""WITH s AS (SELECT c_custkey, min(o_orderdate)::DATE AS a, CASE WHEN c_custkey % 3 = 0 THEN max(o_orderdate)::DATE END AS b FROM customer JOIN orders ON o_custkey = c_custkey GROUP BY 1),
+d AS (SELECT DISTINCT l_shipdate::DATE AS d FROM lineitem)
 SELECT d, count(c_custkey) AS n_active FROM d LEFT JOIN s ON a <= d AND (b IS NULL OR b >= d) GROUP BY d""")
 def jn21_active_count(spark: SparkSession, sf: str) -> DataFrame:
     s = table(spark, sf, "orders").groupBy("o_custkey").agg(F.to_date(F.min("o_orderdate")).alias("a"), F.to_date(F.max("o_orderdate")).alias("z")).withColumn("b", F.when(F.col("o_custkey") % 3 == 0, F.col("z")))
@@ -182,8 +192,12 @@ def jn23_latest_rows(spark: SparkSession, sf: str) -> DataFrame:
     return last.join(table(spark, sf, "supplier").withColumnRenamed("s_suppkey", "l_suppkey"), "l_suppkey").select("s_name", F.to_date("l_shipdate").alias("d"), "l_quantity")
 
 
-@query(f"""WITH {TRADES}, x AS (SELECT symbol, d, sum(volume) AS v FROM trades WHERE flag = 'R' GROUP BY 1, 2), y AS (SELECT symbol, d, sum(volume) AS v FROM trades WHERE flag = 'A' GROUP BY 1, 2), z AS (SELECT symbol, d, sum(volume) AS v FROM trades GROUP BY 1, 2),
-u AS (SELECT *, 'override' AS source, 0 AS p FROM x UNION ALL SELECT *, 'deal', 1 FROM y UNION ALL SELECT *, 'annual', 2 FROM z) SELECT symbol, d, v, source FROM (SELECT *, row_number() OVER (PARTITION BY symbol, d ORDER BY p) AS n FROM u) WHERE n = 1""")
+@query(f"""WITH {TRADES},
+x AS (SELECT symbol, d, sum(volume) AS v FROM trades WHERE flag = 'R' GROUP BY 1, 2),
+y AS (SELECT symbol, d, sum(volume) AS v FROM trades WHERE flag = 'A' GROUP BY 1, 2),
+z AS (SELECT symbol, d, sum(volume) AS v FROM trades GROUP BY 1, 2),
+u AS (SELECT *, 'override' AS source, 0 AS p FROM x UNION ALL SELECT *, 'deal', 1 FROM y UNION ALL SELECT *, 'annual', 2 FROM z)
+SELECT symbol, d, v, source FROM (SELECT *, row_number() OVER (PARTITION BY symbol, d ORDER BY p) AS n FROM u) WHERE n = 1""")
 def jn26_precedence(spark: SparkSession, sf: str) -> DataFrame:
     t = trades(spark, sf)
     part = lambda c: (t.where(c) if c else t).groupBy("symbol", "d").agg(F.sum("volume").alias("v"))
@@ -195,7 +209,7 @@ def jn27_mapping_conflicts(spark: SparkSession, sf: str) -> DataFrame:
     return sets.mapping_conflicts(table(spark, sf, "part"), "p_brand", "p_type", "n_types", "first_type")
 
 
-@query("SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_extendedprice DESC NULLS LAST, l_quantity DESC, l_partkey, l_linenumber) AS n FROM lineitem) WHERE n <= 2")
+@query("""SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_extendedprice DESC NULLS LAST, l_quantity DESC, l_partkey, l_linenumber) AS n FROM lineitem) WHERE n <= 2""")
 def tk01_top_holdings(spark: SparkSession, sf: str) -> DataFrame:
     order = [F.desc_nulls_last("l_extendedprice"), F.desc("l_quantity"), "l_partkey", "l_linenumber"]
     return sets.top_rows(table(spark, sf, "lineitem"), ["l_orderkey"], order, 2).select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
@@ -222,7 +236,9 @@ def st03_row_set_equality(spark: SparkSession, sf: str) -> DataFrame:
     return sets.row_set_difference(*_two(spark, sf), ["symbol", "d"])
 
 
-@query(f"""WITH {TRADES}, o AS (SELECT d, sum(volume) AS f FROM trades WHERE dayofmonth(d) <> 7 GROUP BY d), n AS (SELECT d, sum(CASE WHEN dayofmonth(d) = 5 THEN volume + 1 ELSE volume END) AS f FROM trades WHERE dayofmonth(d) <> 9 GROUP BY d)
+@query(f"""WITH {TRADES},
+o AS (SELECT d, sum(volume) AS f FROM trades WHERE dayofmonth(d) <> 7 GROUP BY d),
+n AS (SELECT d, sum(CASE WHEN dayofmonth(d) = 5 THEN volume + 1 ELSE volume END) AS f FROM trades WHERE dayofmonth(d) <> 9 GROUP BY d)
 SELECT coalesce(o.d, n.d) AS d, CASE WHEN o.f IS NULL THEN 'added' WHEN n.f IS NULL THEN 'removed' WHEN o.f <> n.f THEN 'changed' ELSE 'reused' END AS state FROM o FULL JOIN n ON o.d = n.d""")
 def st04_partition_delta(spark: SparkSession, sf: str) -> DataFrame:
     """Dates whose content fingerprints differ between two versions of a table."""
@@ -231,7 +247,9 @@ def st04_partition_delta(spark: SparkSession, sf: str) -> DataFrame:
     return sets.partition_delta(t.where(F.dayofmonth("d") != 7), new, "d", ["symbol", "k", "volume"])
 
 
-@query(f"""WITH {TRADES}, o AS (SELECT symbol, d, sum(volume) * 2 AS v FROM trades WHERE dayofmonth(d) = 3 GROUP BY 1, 2) SELECT symbol, d, sum(volume) AS v FROM trades WHERE d NOT IN (SELECT d FROM o) GROUP BY 1, 2 UNION ALL SELECT * FROM o""")
+@query(f"""WITH {TRADES},
+o AS (SELECT symbol, d, sum(volume) * 2 AS v FROM trades WHERE dayofmonth(d) = 3 GROUP BY 1, 2)
+SELECT symbol, d, sum(volume) AS v FROM trades WHERE d NOT IN (SELECT d FROM o) GROUP BY 1, 2 UNION ALL SELECT * FROM o""")
 def st05_date_overlay(spark: SparkSession, sf: str) -> DataFrame:
     v = trades(spark, sf).groupBy("symbol", "d").agg(F.sum("volume").alias("v"))
     return sets.replace_dates(v, v.where(F.dayofmonth("d") == 3).withColumn("v", F.col("v") * 2), "d")
@@ -243,7 +261,9 @@ def st06_distinct_union(spark: SparkSession, sf: str) -> DataFrame:
     return a.unionByName(table(spark, sf, "lineitem").select(F.to_date("l_shipdate").alias("d"), F.col("l_linestatus").alias("what"))).distinct()
 
 
-@query(f"""WITH {TRADES}, n AS (SELECT symbol, d, sum(volume) + 0.5 AS v FROM trades WHERE d >= DATE '2000-06-01' GROUP BY 1, 2), c AS (SELECT symbol, d, sum(volume) AS v FROM trades WHERE d < DATE '2000-07-01' GROUP BY 1, 2)
+@query(f"""WITH {TRADES},
+n AS (SELECT symbol, d, sum(volume) + 0.5 AS v FROM trades WHERE d >= DATE '2000-06-01' GROUP BY 1, 2),
+c AS (SELECT symbol, d, sum(volume) AS v FROM trades WHERE d < DATE '2000-07-01' GROUP BY 1, 2)
 SELECT symbol, d, v FROM n UNION ALL SELECT symbol, d, v FROM c ANTI JOIN n USING (symbol, d)""")
 def st07_incremental_merge(spark: SparkSession, sf: str) -> DataFrame:
     v = trades(spark, sf).groupBy("symbol", "d").agg(F.sum("volume").alias("v"))
@@ -251,7 +271,7 @@ def st07_incremental_merge(spark: SparkSession, sf: str) -> DataFrame:
     return joins.by_precedence([("new", new), ("cached", v.where("d < DATE '2000-07-01'"))], ["symbol", "d"]).drop("source")
 
 
-@query(f"WITH {DAILY} SELECT y.symbol, y.d, close, o.n AS n_orders FROM daily y LEFT JOIN (SELECT o_custkey % 100 AS symbol, o_orderdate::DATE AS d, arg_max(o_totalprice, o_orderkey) AS n FROM orders GROUP BY 1, 2) o ON y.symbol = o.symbol AND y.d = o.d")
+@query(f"""WITH {DAILY} SELECT y.symbol, y.d, close, o.n AS n_orders FROM daily y LEFT JOIN (SELECT o_custkey % 100 AS symbol, o_orderdate::DATE AS d, arg_max(o_totalprice, o_orderkey) AS n FROM orders GROUP BY 1, 2) o ON y.symbol = o.symbol AND y.d = o.d""")
 def jn01_overlay(spark: SparkSession, sf: str) -> DataFrame:
     o = table(spark, sf, "orders").select((F.col("o_custkey") % 100).alias("symbol"), F.to_date("o_orderdate").alias("d"), F.col("o_totalprice").alias("n_orders"), "o_orderkey")
     return joins.overlay(daily(spark, sf).select("symbol", "d", "close"), o, ["symbol", "d"], [F.desc("o_orderkey")], ["n_orders"])

@@ -66,7 +66,9 @@ def pr08_resolved_code(spark: SparkSession, sf: str) -> DataFrame:
     return normalize.resolve_code(lines, m, "line_code", {"1": ".A", "12": ".B", "2": ".C"}).drop("line_code")
 
 
-@query(f"WITH {_CODES}, c AS (SELECT DISTINCT CASE WHEN substr(code, 6, 1) = '7' THEN '688' || substr(code, 4) WHEN substr(code, 6, 1) = '3' THEN '300' || substr(code, 4) ELSE code END AS code FROM codes) SELECT code, CASE WHEN code LIKE '%.BJ' THEN 'BSE' WHEN code LIKE '688%.SH' THEN 'STAR' WHEN code LIKE '300%.SZ' THEN 'CHINEXT' ELSE 'MAIN' END AS board FROM c")
+@query(f"""WITH {_CODES},
+c AS (SELECT DISTINCT CASE WHEN substr(code, 6, 1) = '7' THEN '688' || substr(code, 4) WHEN substr(code, 6, 1) = '3' THEN '300' || substr(code, 4) ELSE code END AS code FROM codes)
+SELECT code, CASE WHEN code LIKE '%.BJ' THEN 'BSE' WHEN code LIKE '688%.SH' THEN 'STAR' WHEN code LIKE '300%.SZ' THEN 'CHINEXT' ELSE 'MAIN' END AS board FROM c""")
 def pr09_board(spark: SparkSession, sf: str) -> DataFrame:
     c, last = F.col("code"), F.substring("code", 6, 1)
     code = F.when(last == "7", F.concat(F.lit("688"), F.substring(c, 4, 10))).when(last == "3", F.concat(F.lit("300"), F.substring(c, 4, 10))).otherwise(c)
@@ -82,7 +84,9 @@ _MINUTES = """bars AS (SELECT event_id, CASE WHEN user_id % 40 <> 0 THEN user_id
  CASE WHEN event_id % 17 <> 0 THEN value END AS x, CASE WHEN event_id % 17 = 0 OR event_id % 13 = 0 THEN NULL WHEN event_id % 37 = 0 THEN 'inf'::DOUBLE WHEN event_id % 7 = 0 THEN 0 ELSE value * 2 END AS volume, CASE WHEN event_id % 17 = 0 THEN NULL WHEN event_id % 11 = 0 THEN -value WHEN event_id % 5 = 0 THEN 0 ELSE value END AS amount FROM events)"""
 
 
-@query(f"""WITH {_MINUTES}, s AS (SELECT *, x IS NULL AND volume IS NULL AND amount IS NULL AS e, make_timestamp(epoch * 1000000) AS t FROM bars), g AS (SELECT *, NOT e AND (x IS NULL OR volume IS NULL OR amount IS NULL) AS p, NOT e AND coalesce(isinf(volume), false) AS n, hour(t) * 100 + minute(t) AS c FROM s)
+@query(f"""WITH {_MINUTES},
+s AS (SELECT *, x IS NULL AND volume IS NULL AND amount IS NULL AS e, make_timestamp(epoch * 1000000) AS t FROM bars),
+g AS (SELECT *, NOT e AND (x IS NULL OR volume IS NULL OR amount IS NULL) AS p, NOT e AND coalesce(isinf(volume), false) AS n, hour(t) * 100 + minute(t) AS c FROM s)
 SELECT event_id, e AS is_empty, p AS partial_null, n AS non_finite, NOT e AND ticker IS NULL AS invalid_ticker, NOT e AND epoch IS NULL AS invalid_timestamp, coalesce(NOT e AND year(t) <> 2024, false) AS wrong_year, coalesce(NOT e AND epoch % 60 <> 0, false) AS non_minute,
  coalesce(NOT e AND NOT p AND NOT n AND (volume < 0 OR amount < 0), false) AS negative_flow, coalesce(NOT e AND NOT p AND NOT n AND volume = 0 AND amount > 0, false) AS zero_volume_nonzero_amount, coalesce(NOT e AND NOT p AND NOT n AND volume > 0 AND amount = 0, false) AS positive_volume_zero_amount,
  coalesce(NOT e AND NOT (c BETWEEN 930 AND 1130 OR c BETWEEN 1301 AND 1500), false) AS off_session,
@@ -133,7 +137,7 @@ def pr26_identity(spark: SparkSession, sf: str) -> DataFrame:
     return normalize.research_identity(lines, "l_suppkey", "d", known, dated).select("l_orderkey", "l_linenumber", "identity")
 
 
-@query("SELECT l_orderkey, l_linenumber, CASE WHEN s_nationkey < 5 AND l_shipdate::DATE < DATE '1996-01-01' + s_nationkey::INT THEN 100000 + l_suppkey ELSE l_suppkey END AS active_code FROM lineitem JOIN supplier ON s_suppkey = l_suppkey")
+@query("""SELECT l_orderkey, l_linenumber, CASE WHEN s_nationkey < 5 AND l_shipdate::DATE < DATE '1996-01-01' + s_nationkey::INT THEN 100000 + l_suppkey ELSE l_suppkey END AS active_code FROM lineitem JOIN supplier ON s_suppkey = l_suppkey""")
 def pr27_dated_code(spark: SparkSession, sf: str) -> DataFrame:
     s = table(spark, sf, "supplier").where("s_nationkey < 5").select(F.col("s_suppkey").alias("new_code"), (100000 + F.col("s_suppkey")).alias("old_code"), F.date_add(F.lit("1996-01-01").cast("date"), F.col("s_nationkey").cast("int")).alias("first_day"))
     lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_suppkey"), F.to_date("l_shipdate").alias("d"))
@@ -149,7 +153,8 @@ def pr28_join_key(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "customer").select("c_custkey", key.alias("key"), repaired.alias("repaired"))
 
 
-@query(f"""WITH {DAILY}, s AS (SELECT s_suppkey AS symbol, CASE WHEN s_nationkey % 3 = 0 THEN NULL ELSE DATE '1995-01-01' END AS a, CASE WHEN s_nationkey % 4 = 0 THEN NULL ELSE DATE '1997-12-31' END AS z FROM supplier WHERE s_nationkey < 22)
+@query(f"""WITH {DAILY},
+s AS (SELECT s_suppkey AS symbol, CASE WHEN s_nationkey % 3 = 0 THEN NULL ELSE DATE '1995-01-01' END AS a, CASE WHEN s_nationkey % 4 = 0 THEN NULL ELSE DATE '1997-12-31' END AS z FROM supplier WHERE s_nationkey < 22)
 SELECT symbol, d, close FROM daily SEMI JOIN s ON s.symbol = daily.symbol AND (a IS NULL OR d >= a) AND (z IS NULL OR d <= z)""")
 def pr29_validity_spans(spark: SparkSession, sf: str) -> DataFrame:
     n, day = F.col("s_nationkey"), lambda x: F.lit(x).cast("date")
@@ -162,14 +167,15 @@ def pr30_overlay_columns(spark: SparkSession, sf: str) -> DataFrame:
     return normalize.pick_columns(table(spark, sf, "customer"), ["c_custkey"], ["c_name", "c_acctbal", "c_rating"])
 
 
-@query(f"WITH {DAILY} SELECT symbol, d, coalesce(CASE WHEN n_trades > 1 THEN amount END, 0)::DOUBLE AS hot, 999::DOUBLE AS days_since, coalesce(CASE WHEN volume > 20 THEN close END, 999)::DOUBLE AS last_price FROM daily")
+@query(f"""WITH {DAILY} SELECT symbol, d, coalesce(CASE WHEN n_trades > 1 THEN amount END, 0)::DOUBLE AS hot, 999::DOUBLE AS days_since, coalesce(CASE WHEN volume > 20 THEN close END, 999)::DOUBLE AS last_price FROM daily""")
 def pr33_filled_columns(spark: SparkSession, sf: str) -> DataFrame:
     y = daily(spark, sf).select("symbol", "d", F.when(F.col("n_trades") > 1, F.col("amount")).alias("hot"), F.when(F.col("volume") > 20, F.col("close")).alias("last_price"), "high")
     return normalize.filled(y, ["symbol", "d"], {"hot": 0, "days_since": 999, "last_price": 999})
 
 
 @query("""WITH r AS (SELECT user_id, date_trunc('minute', ts) AS t, event_id, CASE WHEN value >= 1 THEN replace(format('{:t,}', (value * 1000)::BIGINT), 't', '') END AS x, value FROM events),
-o AS (SELECT *, row_number() OVER (PARTITION BY user_id, t ORDER BY event_id DESC) AS k FROM r) SELECT user_id AS code, t AS trade_time, CASE WHEN value >= 1 THEN (value * 1000)::BIGINT::DOUBLE END AS amount, NULL::DOUBLE AS volume FROM o WHERE k = 1 AND strftime(t, '%H:%M') BETWEEN '09:30' AND '15:00'""".replace("replace(format('{:t,}', (value * 1000)::BIGINT), 't', '')", "value::VARCHAR"))
+o AS (SELECT *, row_number() OVER (PARTITION BY user_id, t ORDER BY event_id DESC) AS k FROM r)
+SELECT user_id AS code, t AS trade_time, CASE WHEN value >= 1 THEN (value * 1000)::BIGINT::DOUBLE END AS amount, NULL::DOUBLE AS volume FROM o WHERE k = 1 AND strftime(t, '%H:%M') BETWEEN '09:30' AND '15:00'""".replace("replace(format('{:t,}', (value * 1000)::BIGINT), 't', '')", "value::VARCHAR"))
 def pr34_renamed_bars(spark: SparkSession, sf: str) -> DataFrame:
     """Numbers with separators, a column that the source lacks, the last row of a minute, session times only."""
     x = F.when(F.col("value") >= 1, F.format_number(F.rint(F.col("value") * 1000), 0))

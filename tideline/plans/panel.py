@@ -176,7 +176,8 @@ def wn22_keep_last(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("""WITH g AS (SELECT *, CASE WHEN epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY event_type ORDER BY ts, event_id) > 900000000 THEN 1 ELSE 0 END AS new FROM events),
-s AS (SELECT *, sum(new) OVER (PARTITION BY event_type ORDER BY ts, event_id) AS session FROM g) SELECT event_type, session::BIGINT AS session, count(*) AS n, min(ts) AS first_ts, max(ts) AS last_ts, round(sum(value), 4) AS total FROM s GROUP BY 1, 2""")
+s AS (SELECT *, sum(new) OVER (PARTITION BY event_type ORDER BY ts, event_id) AS session FROM g)
+SELECT event_type, session::BIGINT AS session, count(*) AS n, min(ts) AS first_ts, max(ts) AS last_ts, round(sum(value), 4) AS total FROM s GROUP BY 1, 2""")
 def wn25_sessions(spark: SparkSession, sf: str) -> DataFrame:
     s = windows.sessions(table(spark, sf, "events"), ["event_type"], "ts", 900)
     return s.groupBy("event_type", "session").agg(F.count("*").alias("n"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"), F.round(F.sum("value"), 4).alias("total"))

@@ -34,7 +34,9 @@ def facts(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@query(f"""WITH {_FACTS}, cal AS (SELECT DISTINCT l_shipdate::DATE AS d FROM lineitem WHERE dayofweek(l_shipdate) BETWEEN 1 AND 5) SELECT id, min(cal.d) AS available_date FROM facts JOIN cal ON cal.d >= disclosed + 1 GROUP BY id""")
+@query(f"""WITH {_FACTS},
+cal AS (SELECT DISTINCT l_shipdate::DATE AS d FROM lineitem WHERE dayofweek(l_shipdate) BETWEEN 1 AND 5)
+SELECT id, min(cal.d) AS available_date FROM facts JOIN cal ON cal.d >= disclosed + 1 GROUP BY id""")
 def pt01_availability(spark: SparkSession, sf: str) -> DataFrame:
     cal = table(spark, sf, "lineitem").select(F.to_date("l_shipdate").alias("day")).distinct().where(F.dayofweek("day").between(2, 6))
     return pit.available(facts(spark, sf), "disclosed", 1, cal).select("id", "available_date")
@@ -57,7 +59,10 @@ def pt14_field_state(spark: SparkSession, sf: str) -> DataFrame:
     return pit.field_state(facts(spark, sf).where("known <= DATE '1999-06-30'"), "symbol", ["revenue", "profit"], ["period", "known", "id"])
 
 
-@query(f"""WITH {_FACTS}, days AS (SELECT DISTINCT date_trunc('month', l_shipdate)::DATE AS d FROM lineitem), k AS (SELECT symbol, min(known) AS a FROM facts GROUP BY 1), s AS (SELECT symbol, d FROM k JOIN days ON d >= a)
+@query(f"""WITH {_FACTS},
+days AS (SELECT DISTINCT date_trunc('month', l_shipdate)::DATE AS d FROM lineitem),
+k AS (SELECT symbol, min(known) AS a FROM facts GROUP BY 1),
+s AS (SELECT symbol, d FROM k JOIN days ON d >= a)
 SELECT s.symbol, s.d, arg_max(revenue, period::VARCHAR || known::VARCHAR || lpad(id::VARCHAR, 12, '0')) AS revenue FROM s LEFT JOIN facts f ON f.symbol = s.symbol AND f.known <= s.d AND revenue IS NOT NULL GROUP BY 1, 2""")
 def pt15_state_panel(spark: SparkSession, sf: str) -> DataFrame:
     days = table(spark, sf, "lineitem").select(F.to_date(F.date_trunc("month", "l_shipdate")).alias("d")).distinct()
@@ -69,19 +74,26 @@ def wn24_revisions(spark: SparkSession, sf: str) -> DataFrame:
     return pit.revisions(facts(spark, sf), ["symbol", "period"], ["known", "id"]).select("id", "revision")
 
 
-@query(f"WITH {_FACTS}, a AS (SELECT *, max(status) OVER (PARTITION BY symbol, period) AS m FROM facts), b AS (SELECT *, max(known) OVER (PARTITION BY symbol, period) AS k FROM a WHERE status = m) SELECT id, symbol, period FROM b WHERE known = k")
+@query(f"""WITH {_FACTS},
+a AS (SELECT *, max(status) OVER (PARTITION BY symbol, period) AS m FROM facts),
+b AS (SELECT *, max(known) OVER (PARTITION BY symbol, period) AS k FROM a WHERE status = m)
+SELECT id, symbol, period FROM b WHERE known = k""")
 def wn23_newest_flagged(spark: SparkSession, sf: str) -> DataFrame:
     return pit.newest_flagged(facts(spark, sf), ["symbol", "period"], ["status", "known"]).select("id", "symbol", "period")
 
 
-@query(f"WITH {_FACTS}, c AS (SELECT symbol, count(*) AS n_versions, count(DISTINCT status) AS k, min(status) AS s FROM facts GROUP BY 1) SELECT symbol, n_versions, k = 1 AS agreed, CASE WHEN k = 1 THEN s END AS status FROM c")
+@query(f"""WITH {_FACTS},
+c AS (SELECT symbol, count(*) AS n_versions, count(DISTINCT status) AS k, min(status) AS s FROM facts GROUP BY 1)
+SELECT symbol, n_versions, k = 1 AS agreed, CASE WHEN k = 1 THEN s END AS status FROM c""")
 def pt21_consensus(spark: SparkSession, sf: str) -> DataFrame:
     return pit.consensus(facts(spark, sf), "symbol", ["status"])
 
 
-@query("""WITH disc AS (SELECT o_custkey % 200 AS fund, o_orderdate::DATE AS known, o_orderkey % 7 AS period, o_orderkey AS list_id FROM orders), h AS (SELECT l_orderkey AS list_id, l_suppkey AS stock, sum(l_extendedprice) AS value FROM lineitem GROUP BY 1, 2),
+@query("""WITH disc AS (SELECT o_custkey % 200 AS fund, o_orderdate::DATE AS known, o_orderkey % 7 AS period, o_orderkey AS list_id FROM orders),
+h AS (SELECT l_orderkey AS list_id, l_suppkey AS stock, sum(l_extendedprice) AS value FROM lineitem GROUP BY 1, 2),
 r AS (SELECT *, row_number() OVER (PARTITION BY fund, known ORDER BY period DESC, list_id DESC) AS n FROM disc), l AS (SELECT *, lead(known) OVER (PARTITION BY fund ORDER BY known) AS til FROM r WHERE n = 1),
-held AS (SELECT fund, stock, known AS a, til, value FROM l JOIN h USING (list_id)), m AS (SELECT stock, a AS known FROM held UNION SELECT stock, til FROM held WHERE til IS NOT NULL UNION SELECT stock, known FROM r JOIN h USING (list_id) WHERE n > 1)
+held AS (SELECT fund, stock, known AS a, til, value FROM l JOIN h USING (list_id)),
+m AS (SELECT stock, a AS known FROM held UNION SELECT stock, til FROM held WHERE til IS NOT NULL UNION SELECT stock, known FROM r JOIN h USING (list_id) WHERE n > 1)
 SELECT m.stock, m.known, count(DISTINCT fund) AS n_funds, round(coalesce(sum(value), 0), 2) AS total FROM m LEFT JOIN held ON held.stock = m.stock AND m.known >= a AND (til IS NULL OR m.known < til) GROUP BY 1, 2""")
 def pt24_replacement_state(spark: SparkSession, sf: str) -> DataFrame:
     d = table(spark, sf, "orders").select((F.col("o_custkey") % 200).alias("fund"), F.to_date("o_orderdate").alias("known"), (F.col("o_orderkey") % 7).alias("period"), F.col("o_orderkey").alias("list_id"))

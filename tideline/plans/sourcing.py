@@ -67,7 +67,7 @@ def io07_standard_layer(spark: SparkSession, sf: str) -> DataFrame:
     return layer.select("symbol", "trade_date", "l_orderkey", "l_quantity", "trade_year")
 
 
-@query(f"WITH {_RAW} SELECT (SELECT count(*) FROM keyed) AS n_read, (SELECT count(*) FROM keyed WHERE trade_date IS NULL) AS n_bad_keys, (SELECT count(*) FROM keyed WHERE trade_date IS NOT NULL) - (SELECT count(*) FROM one) AS n_duplicates, (SELECT count(*) FROM one) AS n_kept")
+@query(f"""WITH {_RAW} SELECT (SELECT count(*) FROM keyed) AS n_read, (SELECT count(*) FROM keyed WHERE trade_date IS NULL) AS n_bad_keys, (SELECT count(*) FROM keyed WHERE trade_date IS NOT NULL) - (SELECT count(*) FROM one) AS n_duplicates, (SELECT count(*) FROM one) AS n_kept""")
 def io07_layer_counters(spark: SparkSession, sf: str) -> DataFrame:
     return layouts.standard_layer(_raw(spark, sf), work_folder(spark, "layer"), date="d", symbol="code", order=[F.desc("l_orderkey"), F.desc("l_linenumber")])[1]
 
@@ -116,7 +116,9 @@ def io15_staging(spark: SparkSession, sf: str) -> DataFrame:
     return staged.groupBy("stage").agg(F.count("*").alias("n_rows"), F.sum("volume").alias("volume"))
 
 
-@query(f"WITH e AS ({_LOOSE}), r AS (SELECT event_id, CASE WHEN TRY_CAST(user_id AS BIGINT) IS NULL THEN 'bad_user' WHEN value IS NULL THEN 'no_value' END AS reason FROM e) SELECT event_id, reason, reason IS NULL AS good FROM r")
+@query(f"""WITH e AS ({_LOOSE}),
+r AS (SELECT event_id, CASE WHEN TRY_CAST(user_id AS BIGINT) IS NULL THEN 'bad_user' WHEN value IS NULL THEN 'no_value' END AS reason FROM e)
+SELECT event_id, reason, reason IS NULL AS good FROM r""")
 def io16_quarantine_sinks(spark: SparkSession, sf: str) -> DataFrame:
     """Usable and rejected rows in two folders; the reasons are found in the data."""
     reason = F.when(F.col("user_id").try_cast("long").isNull(), "bad_user").when(F.col("value").isNull(), "no_value")
@@ -124,7 +126,9 @@ def io16_quarantine_sinks(spark: SparkSession, sf: str) -> DataFrame:
     return good.select("event_id", "reason", F.lit(True).alias("good")).union(bad.select("event_id", "reason", F.lit(False)))
 
 
-@query(f"""WITH {DAILY}, o AS (SELECT o_custkey AS symbol, o_orderdate::DATE AS d, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders GROUP BY 1, 2), r AS (SELECT symbol, d, count(*) AS n FROM trades WHERE flag = 'R' GROUP BY 1, 2)
+@query(f"""WITH {DAILY},
+o AS (SELECT o_custkey AS symbol, o_orderdate::DATE AS d, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders GROUP BY 1, 2),
+r AS (SELECT symbol, d, count(*) AS n FROM trades WHERE flag = 'R' GROUP BY 1, 2)
 SELECT y.symbol, y.d, y.close, o.n AS orders_n, o.total AS orders_total, r.n AS returns_n FROM daily y LEFT JOIN o ON y.symbol = o.symbol AND y.d = o.d JOIN r ON r.symbol = y.symbol AND r.d = y.d
 WHERE dayofweek(y.d) BETWEEN 1 AND 5 AND y.symbol IN (SELECT s_suppkey FROM supplier WHERE s_nationkey < 20)""")
 def io20_research_frame(spark: SparkSession, sf: str) -> DataFrame:
@@ -160,7 +164,7 @@ def io02_mixed_layout(spark: SparkSession, sf: str) -> DataFrame:
     return dated.read_dated(spark, root, first="2024-01-04", last="2024-01-20").select("event_id", "user_id", "value", "trade_date")
 
 
-@query("SELECT p_partkey AS id, lpad(p_size::VARCHAR, 6, '0') AS code, CASE WHEN p_partkey % 2 = 0 THEN p_size::BIGINT END AS size, '型号' || p_brand AS brand, CASE WHEN p_partkey % 5 = 0 THEN '' ELSE p_size::VARCHAR END AS gaps FROM part")
+@query("""SELECT p_partkey AS id, lpad(p_size::VARCHAR, 6, '0') AS code, CASE WHEN p_partkey % 2 = 0 THEN p_size::BIGINT END AS size, '型号' || p_brand AS brand, CASE WHEN p_partkey % 5 = 0 THEN '' ELSE p_size::VARCHAR END AS gaps FROM part""")
 def io11_legacy_members(spark: SparkSession, sf: str) -> DataFrame:
     """Two kinds of members in GB18030, whose headers differ in spelling, order and columns, as one typed table."""
     out = work_folder(spark, "members")

@@ -54,14 +54,16 @@ def ss08_closed_window_bars(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("event_type", F.col("start").cast("timestamp_ntz").alias("start"), "open", "high", "low", "close", "n")
 
 
-@query("""WITH g AS (SELECT *, CASE WHEN epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY event_type ORDER BY ts) >= 900000000 THEN 1 ELSE 0 END AS new FROM events), s AS (SELECT *, sum(new) OVER (PARTITION BY event_type ORDER BY ts, event_id) AS k FROM g)
+@query("""WITH g AS (SELECT *, CASE WHEN epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY event_type ORDER BY ts) >= 900000000 THEN 1 ELSE 0 END AS new FROM events),
+s AS (SELECT *, sum(new) OVER (PARTITION BY event_type ORDER BY ts, event_id) AS k FROM g)
 SELECT event_type, count(*) AS n, min(ts) AS first_ts, max(ts) AS last_ts FROM s GROUP BY event_type, k""")
 def ss06_sessions(spark: SparkSession, sf: str) -> DataFrame:
     out = flows.drain(flows.gap_sessions(_events(spark, sf), "event_type", "ts", "15 minutes"), "complete")
     return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("first_ts", "last_ts")})
 
 
-@query("""WITH s AS (SELECT event_type, event_id, CASE WHEN event_id % 23 <> 0 THEN (event_id * 7919) % 1009 END AS seq FROM events), l AS (SELECT *, seq - lag(seq) OVER (PARTITION BY event_type ORDER BY event_id) AS s FROM s WHERE seq IS NOT NULL),
+@query("""WITH s AS (SELECT event_type, event_id, CASE WHEN event_id % 23 <> 0 THEN (event_id * 7919) % 1009 END AS seq FROM events),
+l AS (SELECT *, seq - lag(seq) OVER (PARTITION BY event_type ORDER BY event_id) AS s FROM s WHERE seq IS NOT NULL),
 b AS (SELECT event_type, count(*) AS n_non_numeric FROM s WHERE seq IS NULL GROUP BY 1)
 SELECT event_type, count(*) + n_non_numeric AS n, n_non_numeric, count(seq) - count(DISTINCT seq) AS n_duplicates, count(*) FILTER (WHERE s < 0) AS n_backwards, count(*) FILTER (WHERE s > 1) AS n_gaps,
  coalesce(sum(s - 1) FILTER (WHERE s > 1), 0)::BIGINT AS gap_span, count(DISTINCT seq) AS tracked, false AS truncated FROM l JOIN b USING (event_type) GROUP BY event_type, n_non_numeric""")
@@ -89,7 +91,7 @@ def ss03_archive(spark: SparkSession, sf: str) -> DataFrame:
     return flows.drain(e, "append", write).select("user_id", F.col("minute").cast("timestamp_ntz").alias("minute"), "value")
 
 
-@query("SELECT user_id, ts::DATE AS day, count(*) AS n, max(strftime(ts, '%H:%M')) >= '14:30' AS complete FROM events WHERE dayofweek(ts) BETWEEN 1 AND 5 AND (strftime(ts, '%H:%M') BETWEEN '09:30' AND '11:30' OR strftime(ts, '%H:%M') BETWEEN '13:00' AND '15:00') GROUP BY 1, 2")
+@query("""SELECT user_id, ts::DATE AS day, count(*) AS n, max(strftime(ts, '%H:%M')) >= '14:30' AS complete FROM events WHERE dayofweek(ts) BETWEEN 1 AND 5 AND (strftime(ts, '%H:%M') BETWEEN '09:30' AND '11:30' OR strftime(ts, '%H:%M') BETWEEN '13:00' AND '15:00') GROUP BY 1, 2""")
 def ss04_session_gate(spark: SparkSession, sf: str) -> DataFrame:
     """Only events inside the sessions are taken; a day is complete with a row of its last half hour."""
     e = _events(spark, sf).where(flows.in_session(F.col("ts"), [("09:30", "11:30"), ("13:00", "15:00")]))
@@ -97,7 +99,8 @@ def ss04_session_gate(spark: SparkSession, sf: str) -> DataFrame:
     return flows.drain(days, "complete").select("user_id", "day", "n", (F.col("last") >= "14:30").alias("complete"))
 
 
-@query("WITH k AS (SELECT *, ts + INTERVAL 1 DAY * (event_id % 3) AS known FROM events) SELECT user_id, event_type, arg_max(value, (known, event_id)) AS value, count(*) AS n_versions FROM k WHERE known <= (SELECT max(ts) FROM events) GROUP BY 1, 2")
+@query("""WITH k AS (SELECT *, ts + INTERVAL 1 DAY * (event_id % 3) AS known FROM events)
+SELECT user_id, event_type, arg_max(value, (known, event_id)) AS value, count(*) AS n_versions FROM k WHERE known <= (SELECT max(ts) FROM events) GROUP BY 1, 2""")
 def ss09_late_facts(spark: SparkSession, sf: str) -> DataFrame:
     """Facts that become known late are appended, never overwritten; readers choose by the time at which they were known."""
     e = _events(spark, sf).withColumn("known", F.col("ts") + F.make_dt_interval(days=(F.col("event_id") % 3).cast("int")))
@@ -107,7 +110,8 @@ def ss09_late_facts(spark: SparkSession, sf: str) -> DataFrame:
     return seen.groupBy("user_id", "event_type").agg(F.max_by("value", F.struct("known", "event_id")).alias("value"), F.count("*").alias("n_versions"))
 
 
-@query("WITH n AS (SELECT event_id, user_id, ts::DATE AS d, CASE WHEN dayofmonth(ts) = 5 THEN value + 1 ELSE value END AS value FROM events WHERE dayofmonth(ts) <> 9) SELECT d, user_id, count(*) AS n, round(sum(value), 4) AS total FROM n GROUP BY 1, 2")
+@query("""WITH n AS (SELECT event_id, user_id, ts::DATE AS d, CASE WHEN dayofmonth(ts) = 5 THEN value + 1 ELSE value END AS value FROM events WHERE dayofmonth(ts) <> 9)
+SELECT d, user_id, count(*) AS n, round(sum(value), 4) AS total FROM n GROUP BY 1, 2""")
 def ss10_incremental_refresh(spark: SparkSession, sf: str) -> DataFrame:
     """After a change, a removal and no change of days: only the changed ones are computed anew, in place."""
     e = spark.read.parquet(f"{sf}/events.parquet").select("event_id", "user_id", F.to_date("ts").alias("d"), "value")
