@@ -12,6 +12,7 @@ import time
 import zlib
 from pathlib import Path
 
+import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -286,3 +287,31 @@ def test_pipeline_leaves_only_what_its_result_reads(spark):
     out = corpus_pipeline.run(spark, SF)
     assert sorted([*before, corpus_pipeline.STAGES[-2][0]]) == stages()
     assert out.count() > 0
+
+
+def _loss(weights, thresholds, x, y):
+    """Mean negative log-likelihood of grades under a cumulative-link model, written out level by level."""
+    score, edges = x @ weights, [-np.inf, *thresholds, np.inf]
+    below = [1 / (1 + np.exp(-(e - score))) if np.isfinite(e) else np.full(len(y), float(e > 0)) for e in edges]
+    return -np.mean([np.log(max(below[g + 1][i] - below[g][i], 1e-12)) for i, g in enumerate(y)])
+
+
+def test_fit_comes_close_to_an_independent_optimum():
+    rnd = np.random.default_rng(1)
+    x, true = rnd.random((500, 4)) * (rnd.random((500, 4)) < 0.7), np.array([3.0, -2.0, 1.0, 0.0])
+    y = np.searchsorted([-0.5, 1.0], x @ true + rnd.logistic(size=500))
+    rows = [(np.flatnonzero(v).astype(np.int64), v[v > 0]) for v in x]
+    model = quality.fit(rows, y, 3, epochs=200, l1=0.0)
+    # coordinate steps that shrink whenever none of them helps, from the model without features
+    best, step = np.array([0.0, 0.0, 0.0, 0.0, -0.5, 0.5]), 0.5
+    value = _loss(best[:4], best[4:], x, y)
+    while step > 1e-3:
+        tries = [best + d * step * np.eye(6)[k] for k in range(6) for d in (-1, 1)]
+        losses = [_loss(t[:4], t[4:], x, y) if t[4] < t[5] else np.inf for t in tries]
+        if min(losses) < value - 1e-9:
+            value, best = min(losses), tries[int(np.argmin(losses))]
+        else:
+            step /= 2
+    got = _loss(model.weights[:4], model.thresholds, x, y)
+    assert value - 1e-6 <= got <= value * 1.01
+    assert np.abs(model.weights[:4] - best[:4]).max() < 0.4 and model.thresholds[0] < model.thresholds[1]
