@@ -51,6 +51,19 @@ def shared_folder(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+_tables: list[dict] = []
+
+
+def keep_only(table: dict | None) -> None:
+    """Empty the tables of words that other operators have left in this worker process, which Spark uses again for their
+    successors: memory then holds one operator's words and not those of all that ran before."""
+    for other in _tables:
+        if other is not table:
+            other.clear()
+    if table is not None and not any(other is table for other in _tables):
+        _tables.append(table)
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that `column` holds about most_bytes in each; a longer value stays whole."""
     for batch in batches:

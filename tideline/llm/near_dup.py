@@ -33,12 +33,12 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tideline.llm.common import LOWER, materialize, slices
+from tideline.llm.common import LOWER, keep_only, materialize, slices
 
 WIDTH = 5
 BINS, ROWS = 256, 5
 BANDS = BINS // ROWS
-MOST_WORDS = 500_000
+MOST_WORDS = 250_000
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 #: Documents whose buckets are reduced in a task before they are shuffled.
 CHUNK = 1 << 14
@@ -71,6 +71,7 @@ _words = WordHashes()
 
 def shingle_sets(texts: list[str | None]) -> list[np.ndarray]:
     """Sorted distinct 64-bit shingle hashes of each text."""
+    keep_only(_words)
     split = [(t or "").encode().translate(LOWER).split() for t in texts]
     hashes = np.array([_words[w] for own in split for w in own], np.uint64)
     sums = np.zeros(max(0, len(hashes) - WIDTH + 1), np.uint64)

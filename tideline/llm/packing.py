@@ -24,9 +24,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.common import slices
+from tideline.llm.common import keep_only, slices
 
-MOST_RUNS = 600_000
+MOST_RUNS = 400_000
 
 #: Letters of Latin-1, and those in lower case.
 _LETTERS, _LOWER = "A-Za-zªµºÀ-ÖØ-öø-ÿ", "a-zªµºß-öø-ÿ"
@@ -208,6 +208,7 @@ def pack(docs: DataFrame, *, path: str, end_id: int = 2, capacity: int = 4096, g
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = load(path)
+        keep_only(words)
         sequence = TaskContext.get().partitionId() << 36
         ids: list[np.ndarray] = []
         owners: list[int] = []

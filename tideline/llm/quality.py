@@ -30,10 +30,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.common import slices
+from tideline.llm.common import keep_only, slices
 
 BITS = 18
-MOST_TOKENS = 300_000
+MOST_TOKENS = 200_000
 _WORD = re.compile(r"\w+")
 _SHAPES = ((re.compile(r"[^\W\d_a-zß-öø-ÿ]+"), "A"), (re.compile(r"[^\W\d_A]+"), "a"), (re.compile(r"\d+"), "0"))
 
@@ -124,6 +124,7 @@ def train(docs: DataFrame, grades: DataFrame, *, levels: int, sample_rows: int =
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 1 << 20):
+            keep_only(_tokens)
             found = [features(t) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("grade"), pa.array([f[0] for f in found], pa.list_(pa.int64())), pa.array([f[1] for f in found], pa.list_(pa.float64()))], names=["doc_id", "grade", "at", "value"])
 
@@ -156,6 +157,7 @@ def score(docs: DataFrame, model: Model, *, at_least: int, least: float = 0.5, t
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, text_col, 4 << 20):
+            keep_only(_tokens)
             found = [features(t) for t in batch.column(text_col).to_pylist()]
             tails = model.tails(np.array([model.weights[a] @ v for a, v in found]))
             tail = tails[:, at_least - 1].round(9)

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.common import materialize
+from tideline.llm.common import keep_only, materialize
 
 MARK = "▁"
 UNITS = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
@@ -229,6 +229,7 @@ def token_counts(docs: DataFrame, *, path: str, id_col: str = "doc_id", text_col
 
     def short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = load(path)
+        keep_only(words)
         for batch in batches:
             texts = batch.column("text").to_pylist()
             n = [whole_count(words, MARK + t.replace(" ", MARK)) if t else 0 for t in texts]
@@ -239,6 +240,7 @@ def token_counts(docs: DataFrame, *, path: str, id_col: str = "doc_id", text_col
 
     def maps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = load(path)
+        keep_only(words)
         for batch in batches:
             found, sizes = [], []
             for k, t in zip(batch.column("k").to_pylist(), batch.column("text").to_pylist(), strict=True):

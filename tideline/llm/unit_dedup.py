@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from tideline.llm.common import slices
+from tideline.llm.common import keep_only, slices
 
 CUT = re.compile(r"(?<=\n)|(?<=[.!?] )")
 WORDS = re.compile(r"\w+")
@@ -50,6 +50,7 @@ def _lines(pieces: list[str]) -> Iterator[tuple[int, int]]:
 
 def _occurrences(min_words: int, whole_lines: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_only(None)
         first: dict[int, tuple[int, int, int, int, int]] = {}
         lost: list[tuple[int, int, int, int, int]] = []
 
