@@ -91,7 +91,8 @@ def pr21_direction(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "events").select("event_id", scalar.direction(text, F.col("value")).alias("side"))
 
 
-@query(f"""WITH {TICKS}, r AS (SELECT symbol, CASE WHEN event_id % 97 = 0 THEN 'missing_required_value' WHEN event_id % 13 = 0 THEN 'special_price_or_event' ELSE '' END AS reason FROM ticks)
+@query(f"""WITH {TICKS}, p AS (SELECT symbol, ts, event_id, CASE WHEN event_id % 97 = 0 THEN NULL WHEN event_id % 13 = 0 THEN -price ELSE price END AS price FROM ticks),
+r AS (SELECT symbol, CASE WHEN symbol IS NULL OR ts IS NULL OR price IS NULL THEN 'missing_required_value' WHEN event_id IS NULL THEN 'missing_event_id' WHEN price <= 0 THEN 'special_price_or_event' ELSE '' END AS reason FROM p)
 SELECT symbol, CASE reason WHEN '' THEN 'keep' WHEN 'special_price_or_event' THEN 'tag' ELSE 'exclude' END AS decision, reason, count(*) AS n FROM r GROUP BY 1, 2, 3""")
 def pr24_tick_triage(spark: SparkSession, sf: str) -> DataFrame:
     """Decisions of deals by symbol."""
