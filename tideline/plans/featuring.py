@@ -303,12 +303,13 @@ def pr18_list_date(spark: SparkSession, sf: str) -> DataFrame:
     return first.join(recorded, "symbol").select("symbol", "first_trade", listed.alias("list_date"), "n_days", F.datediff("last_trade", listed).cast("long").alias("listed_days"))
 
 
-@query(f"WITH {DAILY} SELECT d, symbol, amount, row_number() OVER (ORDER BY d, amount DESC, symbol) AS place FROM daily")
+@query(f"WITH {DAILY} SELECT d, symbol, round(amount, 4) AS amount, row_number() OVER (ORDER BY d, round(amount, 4) DESC, symbol) AS place FROM daily")
 def tk04_ordered_output(spark: SparkSession, sf: str) -> DataFrame:
-    """Rows in their order of output, each with its place: places inside a date, behind the dates before it."""
+    """Rows in their order of output, each with its place: places inside a date, behind the dates before it. Amounts are
+    rounded before they are compared, as equal ones differ in their last bits by the order of their sums."""
     from pyspark.sql import Window
 
-    y = daily(spark, sf).select("d", "symbol", "amount")
+    y = rounded(daily(spark, sf).select("d", "symbol", "amount"), "amount", digits=4)
     before = y.groupBy("d").agg(F.count("*").alias("n")).withColumn("before", F.sum("n").over(Window.orderBy("d")) - F.col("n"))  # one row a date
     place = F.row_number().over(Window.partitionBy("d").orderBy(F.desc("amount"), "symbol"))
     return y.withColumn("k", place).join(F.broadcast(before.select("d", "before")), "d").select("d", "symbol", "amount", (F.col("k") + F.col("before")).alias("place")).orderBy("place")
