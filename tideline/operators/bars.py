@@ -6,12 +6,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 
 #: Rows that are summed up at once in search of a bar's end.
 STEP = 256
+#: Cells of a wide panel that are laid out at once.
+CELLS = 1_000_000
 
 
 def ohlcv(trades: DataFrame, keys: list[str | Column], order: list[str], price: str = "price", volume: str = "volume") -> DataFrame:
@@ -121,19 +126,72 @@ def wide_panel(long: DataFrame, date: str, symbol: str, value: str, out: str, pr
     """One column for each symbol and one row for each date, written in groups of `width` columns side by side, so that no
     plan and no row grows with the number of symbols; returns the folders, in order. A value that is missing is null.
 
-    The symbols are found first and named in the plans: they are the columns of the result.
+    The symbols are found first and named in the plans: they are the columns of the result. The long form is computed once
+    and written by group, so that each group reads its own rows only.
     """
     symbols = sorted(r[0] for r in long.select(symbol).distinct().where(F.col(symbol).isNotNull()).collect())
-    days, folders = long.select(date).distinct(), []
+    spark, place = long.sparkSession, {s: i for i, s in enumerate(symbols)}
+    places = spark.createDataFrame([(s, i // width) for s, i in place.items()], StructType([StructField("_s", long.schema[symbol].dataType), *StructType.fromDDL("_g int")]))
+    dealt = long.select(date, symbol, value).join(F.broadcast(places), F.col(symbol) == F.col("_s"), "left").drop("_s")
+    dealt.repartition("_g").write.mode("overwrite").partitionBy("_g").parquet(f"{out}/long")
+    every, folders = spark.read.parquet(f"{out}/long"), []
+    days = every.select(date).distinct()
     for k in range(0, len(symbols), width):
         own = symbols[k : k + width]
-        part = long.where(F.col(symbol).isin(own)).groupBy(date).pivot(symbol, own).agg(F.first(value))
+        part = every.where(F.col("_g") == k // width).groupBy(date).pivot(symbol, own).agg(F.first(value))
         part = days.join(part.withColumnsRenamed({str(s): f"{prefix}{s}" for s in own}), date, "left")
         part.write.mode("overwrite").parquet(f"{out}/columns={k // width:05d}")
         folders.append(f"{out}/columns={k // width:05d}")
     return folders
 
 
+def wide_rows(long: DataFrame, date: str, symbol: str, value: str, prefix: str = "s_") -> DataFrame:
+    """One column for each symbol and one row for each date, in one pass and one shuffle by date; a value that is missing
+    is null. The symbols are found first: they are the columns of the result.
+
+    Each date's values are laid out by their symbol's place, in blocks of at most CELLS cells (one row at least).
+    """
+    symbols = sorted(r[0] for r in long.select(symbol).distinct().where(F.col(symbol).isNotNull()).collect())
+    own = pa.array(symbols) if symbols else pa.array([], pa.int64())
+    n, most = len(symbols), max(1, CELLS // max(1, len(symbols)))
+    kind = long.schema[value].dataType
+    schema = StructType([StructField(date, long.schema[date].dataType), *[StructField(f"{prefix}{s}", kind) for s in symbols]])
+    names = schema.fieldNames()
+
+    def block(days: list, day_type: pa.DataType, parts: list[tuple[int, np.ndarray, pa.Array]], value_type: pa.DataType) -> pa.RecordBatch:
+        at = np.full((n, len(days)), -1, np.int64)
+        held = 0
+        for row, places, values in parts:
+            known = places >= 0
+            at[places[known], row] = held + np.flatnonzero(known)
+            held += len(places)
+        flat = pa.concat_arrays([v for *_, v in parts] or [pa.array([], value_type)]).take(pa.array(at.ravel(), mask=at.ravel() < 0))
+        return pa.RecordBatch.from_arrays([pa.array(days, day_type), *[flat.slice(i * len(days), len(days)) for i in range(n)]], names)
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        days, parts, types = [], [], None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            d, values = batch.column(0), batch.column(2)
+            types = d.type, values.type
+            places = pc.fill_null(pc.index_in(batch.column(1), value_set=own.cast(batch.column(1).type)), -1).to_numpy(zero_copy_only=False)
+            runs = d.dictionary_encode("encode").indices.to_numpy(zero_copy_only=False)
+            edges = [0, *(np.flatnonzero(runs[1:] != runs[:-1]) + 1).tolist(), len(runs)]
+            for a, z in zip(edges, edges[1:], strict=False):
+                day = d[a].as_py()
+                if not days or day != days[-1]:
+                    if len(days) == most:
+                        yield block(days, types[0], parts, types[1])
+                        days, parts = [], []
+                    days.append(day)
+                parts.append((len(days) - 1, places[a:z], values.slice(a, z - a)))
+        if days:
+            yield block(days, types[0], parts, types[1])
+
+    return long.select(date, symbol, value).repartition(date).sortWithinPartitions(date).mapInArrow(spread, schema)
+
+
 def side_by_side(spark: SparkSession, folders: list[str], date: str) -> DataFrame:
     """The groups of a wide panel as one table."""
     out = spark.read.parquet(folders[0])
