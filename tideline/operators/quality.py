@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tideline.operators.dealing import dealt
+
 
 def counters(df: DataFrame, checks: dict[str, Column], by: list[str] | None = None) -> DataFrame:
     """How many rows meet each condition, all in one scan."""
@@ -55,12 +57,42 @@ def errors(df: DataFrame, a: str, b: str, by: list[str]) -> DataFrame:
 
 
 def rank_correlation(df: DataFrame, a: str, b: str, by: list[str], least: int = 3) -> DataFrame:
-    """Spearman correlation with average ties; null for fewer rows than `least` or a constant side."""
-    both = df.where(F.col(a).isNotNull() & F.col(b).isNotNull())
-    w = Window.partitionBy(*by)
-    ranks = {f"_r{i}": F.rank().over(w.orderBy(c)) + (F.count("*").over(Window.partitionBy(*by, c)) - 1) / 2 for i, c in enumerate((a, b))}
-    out = both.withColumns(ranks).groupBy(*by).agg(F.count("*").alias("n"), F.corr("_r0", "_r1").alias("_c"), F.countDistinct(a).alias("_a"), F.countDistinct(b).alias("_b"))
-    return out.select(*by, "n", F.when((F.col("n") >= least) & (F.col("_a") > 1) & (F.col("_b") > 1), F.col("_c")).alias("rank_corr"))
+    """Spearman correlation with average ties; null for fewer rows than `least` or a constant side.
+
+    A group is ranked in ranges of its values, so that none is sorted in one task. The ranges end at values that a hash
+    picks, so they depend on the values only; a group of few values is one range.
+    """
+    ranked = df.where(F.col(a).isNotNull() & F.col(b).isNotNull()).select(*by, F.col(a).alias("_a"), F.col(b).alias("_b"))
+    for c in ("_a", "_b"):
+        ranked = with_average_rank(ranked, c, by, f"_r{c}")
+    out = ranked.groupBy(*by).agg(F.count("*").alias("n"), F.covar_pop("_r_a", "_r_b").alias("_c"), (F.stddev_pop("_r_a") * F.stddev_pop("_r_b")).alias("_s"), *[(F.min(c) < F.max(c)).alias(f"_v{c}") for c in ("_a", "_b")])
+    return out.select(*by, "n", F.when((F.col("n") >= least) & F.col("_v_a") & F.col("_v_b"), F.try_divide("_c", "_s")).alias("rank_corr"))
+
+
+#: One value of so many ends a range of ranks, and a group has at most so many ranges.
+PICKED, RANGES = 4096, 128
+
+
+def with_average_rank(df: DataFrame, value: str, by: list[str], name: str) -> DataFrame:
+    """Adds the rank of a value in its group, ties with their average: the rank inside a range of values, behind the rows
+    of the ranges before it."""
+    own = [f"_by{i}" for i in range(len(by))]
+    named = lambda x: x.withColumnsRenamed(dict(zip(by, own, strict=True)))
+    alike = lambda: [F.col(k).eqNullSafe(F.col(o)) for k, o in zip(by, own, strict=True)]
+    ends = df.where(F.pmod(F.xxhash64(value), F.lit(PICKED)) == 0).groupBy(*by).agg(F.sort_array(F.collect_set(value)).alias("_ends"))
+    step = F.ceil(F.size("_ends") / F.lit(RANGES)).cast("int")
+    ends = named(ends.withColumn("_ends", F.filter("_ends", lambda x, i: i % step == 0)))
+    # one row for a group of some thousand values
+    marked = df.join(F.broadcast(ends), reduce(Column.__and__, alike(), F.lit(True)), "left").drop(*own)
+    marked = marked.withColumn("_range", F.coalesce(F.size(F.filter("_ends", lambda x: x <= F.col(value))), F.lit(0))).withColumn("_range", F.greatest("_range", F.lit(0))).drop("_ends")
+    sizes = marked.groupBy(*by, "_range").agg(F.count("*").alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy(*by).orderBy("_range")) - F.col("_n")
+    sizes = sizes.withColumn("_before", before).where("_range > 0").drop("_n").withColumnRenamed("_range", "_to")
+    inside = Window.partitionBy(*by, "_range").orderBy(value)
+    rank = F.rank().over(inside) + (F.count("*").over(Window.partitionBy(*by, "_range", value)) - 1) / 2
+    on = reduce(Column.__and__, alike(), F.col("_range") == F.col("_to"))
+    joined = dealt(marked, *by, "_range").withColumn("_rank", rank).join(F.broadcast(named(sizes)), on, "left")
+    return joined.select(*df.columns, (F.col("_rank") + F.coalesce("_before", F.lit(0))).alias(name))
 
 
 def fingerprint(df: DataFrame, columns: list[str], by: list[str]) -> DataFrame:
