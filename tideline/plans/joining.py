@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.operators import features, joins, sets, windows
-from tideline.plans.tables import DAILY, TRADES, daily, rounded, table, trades
+from tideline.plans.tables import DAILY, TRADES, daily, day_volumes, rounded, table, trades
 
 QUERIES, SQL = {}, {}
 
@@ -120,7 +120,7 @@ def jn10_fusion(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"WITH {TRADES} SELECT symbol, d, sum(volume) AS v FROM trades GROUP BY 1, 2")
 def jn11_disjoint_union(spark: SparkSession, sf: str) -> DataFrame:
-    v = trades(spark, sf).groupBy("symbol", "d").agg(F.sum("volume").alias("v"))
+    v = day_volumes(trades(spark, sf))
     return joins.disjoint_union(v.where("symbol % 2 = 0"), v.where("symbol % 2 = 1"), ["symbol", "d"])
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.operators import bars
+from tideline.operators.dealing import dealt
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -25,6 +26,11 @@ def daily(spark: SparkSession, sf: str) -> DataFrame:
     return bars.ohlcv(trades(spark, sf), ["symbol", "d"], ["k"])
 
 
+def day_volumes(t: DataFrame) -> DataFrame:
+    """Trades' volume v by symbol and d."""
+    return dealt(t.select("symbol", "d", "volume"), "symbol", "d").groupBy("symbol", "d").agg(F.sum("volume").alias("v"))
+
+
 TRADES = """trades AS (SELECT l_suppkey AS symbol, l_shipdate::DATE AS d, l_orderkey * 1000000000 + l_linenumber * 10000000 + l_partkey AS k,
   l_extendedprice / l_quantity AS price, l_quantity AS volume, l_returnflag AS flag FROM lineitem)"""
 DAILY = TRADES + """, daily AS (SELECT symbol, d, arg_min(price, k) AS open, max(price) AS high, min(price) AS low, arg_max(price, k) AS close,
