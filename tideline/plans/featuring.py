@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.operators import audits, features, quality
-from tideline.plans.tables import DAILY, TRADES, daily, rounded, table, trades
+from tideline.plans.tables import DAILY, TRADES, daily, day_volumes, rounded, table, trades
 
 QUERIES, SQL = {}, {}
 
@@ -245,7 +245,7 @@ _ARCHIVE = f"{TRADES}, a AS (SELECT symbol, d, sum(volume) AS v FROM trades GROU
 
 
 def _archive(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    a = trades(spark, sf).groupBy("symbol", "d").agg(F.sum("volume").alias("v"))
+    a = day_volumes(trades(spark, sf))
     return a.withColumn("v", F.col("v") + F.when(F.col("v") == 30, 0.5).otherwise(0.0)), a.where("v <> 31")
 
 
