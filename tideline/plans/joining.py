@@ -110,7 +110,7 @@ _TWO = f"{TRADES}, a AS (SELECT symbol, d, sum(volume) AS v FROM trades WHERE fl
 
 def _two(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     t = trades(spark, sf)
-    return t.where("flag <> 'R'").groupBy("symbol", "d").agg(F.sum("volume").alias("v")), t.where("flag <> 'A'").groupBy("symbol", "d").agg((F.sum("volume") * 100).alias("v"))
+    return day_volumes(t.where("flag <> 'R'")), day_volumes(t.where("flag <> 'A'")).withColumn("v", F.col("v") * 100)
 
 
 @query(f"WITH {_TWO} SELECT symbol, d, v, 'second' AS source FROM b UNION ALL SELECT symbol, d, v, 'first' FROM a ANTI JOIN b USING (symbol, d)")
