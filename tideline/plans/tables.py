@@ -23,7 +23,8 @@ def trades(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def daily(spark: SparkSession, sf: str) -> DataFrame:
-    return bars.ohlcv(trades(spark, sf), ["symbol", "d"], ["k"])
+    # nearly every trade has a key of its own, so that bars are made behind the shuffle only
+    return bars.ohlcv(dealt(trades(spark, sf), "symbol", "d"), ["symbol", "d"], ["k"])
 
 
 def day_volumes(t: DataFrame) -> DataFrame:
