@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tideline.operators.dealing import dealt
 from tideline.operators.joins import next_session
 
 
@@ -44,7 +45,7 @@ def state_panel(events: DataFrame, dates: DataFrame, key: str, known: str, date:
     pick = F.struct(*priority, F.col(field).alias("_value"))
     facts = events.where(F.col(field).isNotNull()).select(key, F.col(known).alias("_at"), F.lit(0).alias("_side"), pick.alias("_pick"))
     w = Window.partitionBy(key).orderBy("_at", "_side").rowsBetween(Window.unboundedPreceding, 0)
-    out = spine.unionByName(facts, allowMissingColumns=True).withColumn("_best", F.max("_pick").over(w)).where("_side = 1")
+    out = dealt(spine.unionByName(facts, allowMissingColumns=True), key).withColumn("_best", F.max("_pick").over(w)).where("_side = 1")
     return out.select(key, F.col("_at").alias(date), F.col("_best._value").alias(field))
 
 
