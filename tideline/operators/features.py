@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tideline.operators.dealing import dealt
 from tideline.operators.joins import interval_member
 from tideline.operators.normalize import filled
 from tideline.operators.windows import cross_rank, cross_zscore, positive_share, rolling_sum, rows, safe_ratio, with_rows_since
@@ -90,14 +91,15 @@ def hotspot_features(grid: DataFrame, hot: DataFrame, themes: DataFrame, members
     """
     keys = [symbol, date]
     day = Window.partitionBy(date).orderBy(F.desc("heat"), symbol)
-    ranked = hot.select(*keys, "heat").withColumns({"_k": F.rank().over(day), "hot_count": F.count("*").over(Window.partitionBy(date))})
+    ranked = dealt(hot.select(*keys, "heat"), date).withColumns({"_k": F.rank().over(day), "hot_count": F.count("*").over(Window.partitionBy(date))})
     ranked = ranked.withColumn("hot_rank", F.when(F.col("hot_count") > 1, 1 - (F.col("_k") - 1) / (F.col("hot_count") - 1)).otherwise(1.0))
-    ranked = ranked.withColumn("hot_change", F.lag("_k").over(Window.partitionBy(symbol).orderBy(date)) - F.col("_k")).select(*keys, "hot_count", "hot_rank", "hot_change", F.lit(True).alias("_hot"))
-    exposure = members.join(themes, [date, "theme"]).groupBy(*keys).agg(F.countDistinct("theme").alias("n_themes"), F.max("strength").alias("strongest_theme"), F.max((F.col("lead") == F.col(symbol)).cast("int")).alias("leader"))
-    counted = events.groupBy(*keys).agg(F.count("*").alias("_events"))
+    ranked = dealt(ranked, symbol).withColumn("hot_change", F.lag("_k").over(Window.partitionBy(symbol).orderBy(date)) - F.col("_k")).select(*keys, "hot_count", "hot_rank", "hot_change", F.lit(True).alias("_hot"))
+    exposure = dealt(dealt(members, date, "theme").join(themes, [date, "theme"]), *keys).groupBy(*keys).agg(F.countDistinct("theme").alias("n_themes"), F.max("strength").alias("strongest_theme"), F.max((F.col("lead") == F.col(symbol)).cast("int")).alias("leader"))
+    counted = dealt(events, *keys).groupBy(*keys).agg(F.count("*").alias("_events"))
     days = grid.select(date).distinct().withColumn("_day", F.row_number().over(Window.orderBy(date)))  # one row a day
     out = grid.select(*keys).join(F.broadcast(days), date).join(ranked, keys, "left").join(exposure, keys, "left").join(counted, keys, "left").withColumn("month", F.date_format(date, "yyyyMM"))
-    out = out.join(monthly.groupBy(symbol, "month").agg(F.count("*").alias("n_recommended")), [symbol, "month"], "left").withColumn("_events", F.coalesce("_events", F.lit(0)))
+    out = dealt(out, symbol, "month").join(monthly.groupBy(symbol, "month").agg(F.count("*").alias("n_recommended")), [symbol, "month"], "left")
+    out = dealt(out, symbol).withColumn("_events", F.coalesce("_events", F.lit(0)))
     before = Window.partitionBy(symbol).orderBy(date).rowsBetween(Window.unboundedPreceding, 0)
     last = F.last(F.when(F.col("_hot"), F.col("_day")), ignorenulls=True).over(before)
     out = out.withColumns({"days_since_hot": F.col("_day") - last, "n_events_5": F.sum("_events").over(rows(symbol, date, 5)), "n_events_20": F.sum("_events").over(rows(symbol, date, 20))})
