@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tideline.operators.dealing import dealt
 from tideline.operators.sweeps import latest_open
 
 
@@ -35,7 +36,7 @@ def as_of_label(panel: DataFrame, changes: DataFrame, symbol: str, date: str, st
 def interval_member(df: DataFrame, intervals: DataFrame, key: str, date: str, start: str, end: str, columns: list[str]) -> DataFrame:
     """The interval of the key that holds the date; of several the one that starts last, of those that start together the
     one with the largest columns; null if none."""
-    held = latest_open(df, intervals, key, date, start, end, columns).withColumnRenamed("held", "_held")
+    held = dealt(latest_open(df, intervals, key, date, start, end, columns).withColumnRenamed("held", "_held"), key, date)
     return df.join(held, [key, date], "left").select(*df.columns, *[F.col(f"_held.{c}").alias(c) for c in columns])
 
 

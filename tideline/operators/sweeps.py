@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tideline.operators.dealing import dealt
+
 FOREVER = (1 << 63) - 1
 
 
@@ -36,7 +40,7 @@ def latest_open(df: DataFrame, intervals: DataFrame, key: str, date: str, start:
     asked = df.select(key, date).where(F.col(key).isNotNull() & F.col(date).isNotNull()).distinct()
     # of equal intervals one is enough; this is done before the shuffle of the sweep
     spans = intervals.select(F.col(key), F.col(start).alias("_from"), F.coalesce(ordinal(F.col(end), dict(intervals.dtypes)[end]), F.lit(FOREVER)).alias("_end"), held.alias("held"))
-    spans = spans.where(F.col(key).isNotNull() & F.col("_from").isNotNull()).groupBy(key, "_from", "held").agg(F.max("_end").alias("_end"))
+    spans = dealt(spans.where(F.col(key).isNotNull() & F.col("_from").isNotNull()), key, "_from").groupBy(key, "_from", "held").agg(F.max("_end").alias("_end"))
     a = asked.select(F.col(key).alias("key"), ordinal(F.col(date), kinds[date]).alias("at"), F.lit(1).alias("side"), F.lit(0).cast("long").alias("end"), F.col(date).alias("date"), F.lit(None).cast(spans.schema["held"].dataType).alias("held"))
     b = spans.select(F.col(key).alias("key"), ordinal(F.col("_from"), dict(spans.dtypes)["_from"]).alias("at"), F.lit(0).alias("side"), F.col("_end").alias("end"), F.lit(None).cast(kinds[date]).alias("date"), "held")
 
@@ -46,28 +50,36 @@ def latest_open(df: DataFrame, intervals: DataFrame, key: str, date: str, start:
             own = batch.column("held")
             payload = own if carried is None else pa.concat_arrays([carried, own])
             before, rows, picks = len(payload) - len(own), [], []
-            columns = (batch.column(c).to_pylist() for c in ("key", "at", "side", "end"))
-            for r, (k, at, side, until) in enumerate(zip(*columns, strict=True)):
-                if k != current:
-                    current, stack = k, []
-                if side:
-                    while stack and stack[-1][0] < at:
-                        stack.pop()
-                    if stack:
-                        rows.append(r)
-                        picks.append(stack[-1][1])
-                else:
+            at, ends, begins = batch.column("at").to_pylist(), batch.column("end").to_pylist(), batch.column("side").to_numpy() == 0
+            codes = batch.column("key").dictionary_encode().indices.to_numpy(zero_copy_only=False)
+            fresh = np.concatenate(([True], codes[1:] != codes[:-1]))[: len(codes)]
+            # between two starts, or keys, the asked dates ascend: each open interval holds a stretch of them
+            edges = np.flatnonzero(fresh | begins)
+            for a, z, new, start in zip(edges.tolist(), [*edges[1:].tolist(), len(at)], fresh[edges].tolist(), begins[edges].tolist(), strict=True):
+                if new and (a or batch.column("key")[0].as_py() != current):
+                    current, stack = batch.column("key")[a].as_py(), []
+                if start:
+                    until = ends[a]
                     while stack and stack[-1][0] <= until:
                         stack.pop()
-                    stack.append((until, before + r))
-            at_ = pa.array(rows, pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column("key").take(at_), batch.column("date").take(at_), payload.take(pa.array(picks, pa.int64()))], names=["key", "date", "held"])
+                    stack.append((until, before + a))
+                    a += 1
+                while stack and a < z:
+                    m = bisect_right(at, stack[-1][0], a, z)
+                    if m > a:
+                        rows.extend(range(a, m))
+                        picks.extend([stack[-1][1]] * (m - a))
+                    if m < z:
+                        stack.pop()
+                    a = m
+            at_, picked = pa.array(rows, pa.int64()), pa.array(picks, pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column("key").take(at_), batch.column("date").take(at_), payload.take(picked)], names=["key", "date", "held"])
             carried = payload.take(pa.array([i for _, i in stack], pa.int64()))
             stack = [(until, i) for i, (until, _) in enumerate(stack)]
 
     both = a.unionByName(b)
     schema = both.select("key", "date", "held").schema
-    return both.repartition("key").sortWithinPartitions("key", "at", "side", "held").mapInArrow(sweep, schema).withColumnsRenamed({"key": key, "date": date})
+    return dealt(both, "key").sortWithinPartitions("key", "at", "side", "held").mapInArrow(sweep, schema).withColumnsRenamed({"key": key, "date": date})
 
 
 def covered(df: DataFrame, intervals: DataFrame, key: str, date: str, start: str, end: str) -> DataFrame:

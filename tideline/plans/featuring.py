@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.operators import audits, features, quality
+from tideline.operators.dealing import dealt
 from tideline.plans.tables import DAILY, TRADES, daily, day_volumes, rounded, table, trades
 
 QUERIES, SQL = {}, {}
@@ -37,7 +38,7 @@ def wn12_flow_features(spark: SparkSession, sf: str) -> DataFrame:
     t = trades(spark, sf)
     v = F.col("price") * F.col("volume")
     part = lambda c, n: F.sum(F.when(F.expr(c), v)).alias(n)
-    flows = t.groupBy("symbol", "d").agg(part("flag = 'A' AND volume > 25", "large_buy"), part("flag = 'R' AND volume > 25", "large_sell"), part("flag <> 'R' AND volume <= 25", "small_buy"), part("flag = 'R' AND volume <= 25", "small_sell"))
+    flows = dealt(t.select("symbol", "d", "flag", "price", "volume"), "symbol", "d").groupBy("symbol", "d").agg(part("flag = 'A' AND volume > 25", "large_buy"), part("flag = 'R' AND volume > 25", "large_sell"), part("flag <> 'R' AND volume <= 25", "small_buy"), part("flag = 'R' AND volume <= 25", "small_sell"))
     s, day = table(spark, sf, "supplier").withColumnRenamed("s_suppkey", "symbol"), lambda x: F.lit(x).cast("date")
     ind = s.select("symbol", day("1990-01-01").alias("start"), day("1997-06-30").alias("end"), F.concat(F.lit("i"), (F.col("s_nationkey") % 3).cast("string")).alias("industry"))
     ind = ind.union(s.where("s_nationkey <> 5").select("symbol", day("1997-07-01"), F.lit(None).cast("date"), F.concat(F.lit("j"), (F.col("s_nationkey") % 4).cast("string"))))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.operators import features, joins, sets, windows
+from tideline.operators.dealing import dealt
 from tideline.plans.tables import DAILY, TRADES, daily, day_volumes, rounded, table, trades
 
 QUERIES, SQL = {}, {}
@@ -28,7 +29,7 @@ _CHANGES = """changes AS (SELECT customer, start_date, status, CASE WHEN custome
 def changes(spark: SparkSession, sf: str) -> DataFrame:
     """Order status changes per customer; some close after 400 days."""
     o = table(spark, sf, "orders").select(F.col("o_custkey").alias("customer"), F.to_date("o_orderdate").alias("start_date"), F.col("o_orderstatus").alias("status"), "o_orderkey")
-    one = windows.keep_one(o, ["customer", "start_date"], [F.desc("o_orderkey")]).drop("o_orderkey")
+    one = windows.keep_one(dealt(o, "customer", "start_date"), ["customer", "start_date"], [F.desc("o_orderkey")]).drop("o_orderkey")
     return one.withColumn("stop_date", F.when(F.col("customer") % 5 == 0, F.date_add("start_date", 400)))
 
 
@@ -45,7 +46,8 @@ _ORDER_PANEL = "panel AS (SELECT DISTINCT o_custkey AS customer, l_shipdate::DAT
 def _order_panel(spark: SparkSession, sf: str) -> DataFrame:
     """Shipping days of each customer, by way of the orders."""
     o = table(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("customer"))
-    return table(spark, sf, "lineitem").select("l_orderkey", F.to_date("l_shipdate").alias("d")).join(o, "l_orderkey").select("customer", "d").distinct()
+    lines = dealt(table(spark, sf, "lineitem").select("l_orderkey", F.to_date("l_shipdate").alias("d")), "l_orderkey")
+    return dealt(lines.join(o, "l_orderkey").select("customer", "d"), "customer", "d").distinct()
 
 
 @query(f"""WITH {_CHANGES}, {_ORDER_PANEL}, j AS (SELECT p.customer, p.d, c.status, c.stop_date FROM panel p ASOF LEFT JOIN changes c ON p.customer = c.customer AND p.d >= c.start_date)
