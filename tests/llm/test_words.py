@@ -7,6 +7,7 @@ import hashlib
 import os
 import random
 import struct
+import subprocess
 import sys
 import time
 import zlib
@@ -315,3 +316,37 @@ def test_fit_comes_close_to_an_independent_optimum():
     got = _loss(model.weights[:4], model.thresholds, x, y)
     assert value - 1e-6 <= got <= value * 1.01
     assert np.abs(model.weights[:4] - best[:4]).max() < 0.4 and model.thresholds[0] < model.thresholds[1]
+
+
+def test_a_reused_worker_gives_its_memory_back():
+    """Spark keeps Python workers from stage to stage: what a task or an operator before has freed must not stay with them."""
+    code = """
+import re
+from tideline.llm import common
+
+def held():
+    return int(re.search(r"Pss_Anon:\\s+(\\d+)", open("/proc/self/smaps_rollup").read())[1]) / 1024
+
+def fill():
+    own = [bytes(20000) for _ in range(5000)]
+    return dict(enumerate(own)), own[::50]  # a few that stay, so that malloc itself gives nothing back
+
+table, few = fill()
+common.keep_only(table)
+before = held()
+common.keep_only(None)
+assert not table and held() < before - 50, (before, held())
+
+def run(batches):
+    kept = fill()
+    few.extend(kept[1])
+    tops.append(held())
+    del kept
+    yield from batches
+
+tops = []
+assert list(common.gives_back(run)(iter([1, 2]))) == [1, 2]
+assert held() < tops[0] - 50, (tops, held())
+"""
+    done = subprocess.run([sys.executable, "-c", code], cwd=Path(__file__).resolve().parents[2], capture_output=True, text=True, timeout=60)
+    assert done.returncode == 0, done.stderr

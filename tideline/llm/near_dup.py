@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tideline.llm.common import LOWER, keep_only, materialize, slices
+from tideline.llm.common import LOWER, gives_back, keep_only, materialize, slices
 
 WIDTH = 5
 BINS, ROWS = 256, 5
@@ -186,6 +186,7 @@ def describe(docs: DataFrame) -> DataFrame:
     n_shingles, at (where one of its texts is), sketch, own (keys of the buckets whose centre in the chunk it is), held (key and centre of the buckets that
     it shares with another node of the chunk)."""
 
+    @gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids: list[int | None] = []
         parts: list[tuple[np.ndarray, ...]] = []
@@ -213,6 +214,7 @@ def describe(docs: DataFrame) -> DataFrame:
 def full_sets(docs: DataFrame) -> DataFrame:
     """node and its set of shingle hashes, once a task, for texts (node, text) that may have that set."""
 
+    @gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done: set[int] = set()
         for batch in slices(batches, "text", 1 << 20):
@@ -230,6 +232,7 @@ def full_sets(docs: DataFrame) -> DataFrame:
 def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Those pairs (a, b) whose full sets have 100 * intersection >= percent * union."""
 
+    @gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ok = []
@@ -366,6 +369,7 @@ def _by_blocks(left: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     bx, by = (blocks.select("group", F.col("block").alias(f"block_{k}"), F.col("own").alias(f"own_{k}")) for k in "xy")
     met = pairs.repartition("group", "block_x", "block_y").join(bx, ["group", "block_x"]).join(by, ["group", "block_y"])
 
+    @gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):

@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.common import keep_only, slices
+from tideline.llm.common import gives_back, keep_only, slices
 
 MOST_RUNS = 400_000
 
@@ -206,6 +206,7 @@ def pack(docs: DataFrame, *, path: str, end_id: int = 2, capacity: int = 4096, g
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"] + ["ids"] * with_ids
     kinds = [pa.int64()] * 7 + [pa.list_(pa.int32())] * with_ids
 
+    @gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = load(path)
         keep_only(words)

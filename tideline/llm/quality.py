@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.common import keep_only, slices
+from tideline.llm.common import gives_back, keep_only, slices
 
 BITS = 18
 MOST_TOKENS = 200_000
@@ -122,12 +122,14 @@ def train(docs: DataFrame, grades: DataFrame, *, levels: int, sample_rows: int =
     sample = known.groupBy("doc_id").agg(F.min("grade").cast("int").alias("grade")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).join(F.broadcast(sample), "doc_id")
 
+    @gives_back
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 1 << 20):
             keep_only(_tokens)
             found = [features(t) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("grade"), pa.array([f[0] for f in found], pa.list_(pa.int64())), pa.array([f[1] for f in found], pa.list_(pa.float64()))], names=["doc_id", "grade", "at", "value"])
 
+    @gives_back
     def fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, y = [], []
         for batch in batches:
@@ -155,6 +157,7 @@ def score(docs: DataFrame, model: Model, *, at_least: int, least: float = 0.5, t
     names = ("expected_grade", "tail", "accepted")
     base = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in names])
 
+    @gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, text_col, 4 << 20):
             keep_only(_tokens)
