@@ -16,7 +16,9 @@ from pyspark.sql.types import StructField, StructType
 #: Rows that are summed up at once in search of a bar's end.
 STEP = 256
 #: Cells of a wide panel that are laid out at once.
-CELLS = 1_000_000
+CELLS = 8_000_000
+#: Columns from which on a task's start, which goes with their number, is paid once a core only.
+WIDE = 5_000
 
 
 def ohlcv(trades: DataFrame, keys: list[str | Column], order: list[str], price: str = "price", volume: str = "volume") -> DataFrame:
@@ -101,10 +103,14 @@ def last_of_period(panel: DataFrame, symbol: str, date: str, period: str) -> Dat
     return panel.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
 
 
-def adjust(panel: DataFrame, factors: DataFrame, symbol: str, date: str, columns: list[str], factor: str = "factor") -> DataFrame:
-    """Prices times the day's factor over the symbol's latest factor; where no factor is known they stay raw."""
-    latest = factors.groupBy(symbol).agg(F.max_by(factor, date).alias("_latest"))
-    joined = panel.join(factors.select(symbol, date, factor), [symbol, date], "left").join(latest, symbol, "left")
+def adjust(panel: DataFrame, factors: DataFrame | None, symbol: str, date: str, columns: list[str], factor: str = "factor") -> DataFrame:
+    """Prices times the day's factor over the symbol's latest factor; where no factor is known they stay raw. Without
+    `factors` the panel holds its own, and is read once."""
+    if factors is None:
+        joined = panel.withColumn("_latest", F.max_by(factor, date).over(Window.partitionBy(symbol)))
+    else:
+        latest = factors.groupBy(symbol).agg(F.max_by(factor, date).alias("_latest"))
+        joined = panel.join(factors.select(symbol, date, factor), [symbol, date], "left").join(latest, symbol, "left")
     ratio = F.when(F.col("_latest") != 0, F.col(factor) / F.col("_latest"))
     joined = joined.withColumn("adjust_source", F.when(ratio.isNull(), "raw").otherwise("factor"))
     return joined.withColumns({f"{c}_adj": F.col(c) * F.coalesce(ratio, F.lit(1.0)) for c in columns}).drop("_latest")
@@ -145,13 +151,16 @@ def wide_panel(long: DataFrame, date: str, symbol: str, value: str, out: str, pr
     return folders
 
 
-def wide_rows(long: DataFrame, date: str, symbol: str, value: str, prefix: str = "s_") -> DataFrame:
+def wide_rows(long: DataFrame, date: str, symbol: str, value: str, prefix: str = "s_", columns: DataFrame | None = None) -> DataFrame:
     """One column for each symbol and one row for each date, in one pass and one shuffle by date; a value that is missing
-    is null. The symbols are found first: they are the columns of the result.
+    is null. The symbols are found first: they are the columns of the result. `columns` holds the same symbols where these
+    can be read without making the long form.
 
-    Each date's values are laid out by their symbol's place, in blocks of at most CELLS cells (one row at least).
+    Each date's values are laid out by their symbol's place, in blocks of at most CELLS cells (one row at least). A block
+    and the start of a task cost as much as their columns, so that blocks hold many rows, and from WIDE columns on there is
+    one task for each core.
     """
-    symbols = sorted(r[0] for r in long.select(symbol).distinct().where(F.col(symbol).isNotNull()).collect())
+    symbols = sorted(r[0] for r in (long if columns is None else columns).select(symbol).distinct().where(F.col(symbol).isNotNull()).collect())
     own = pa.array(symbols) if symbols else pa.array([], pa.int64())
     n, most = len(symbols), max(1, CELLS // max(1, len(symbols)))
     kind = long.schema[value].dataType
@@ -189,7 +198,8 @@ def wide_rows(long: DataFrame, date: str, symbol: str, value: str, prefix: str =
         if days:
             yield block(days, types[0], parts, types[1])
 
-    return long.select(date, symbol, value).repartition(date).sortWithinPartitions(date).mapInArrow(spread, schema)
+    parts = [long.sparkSession.sparkContext.defaultParallelism] if n >= WIDE else []
+    return long.select(date, symbol, value).repartition(*parts, date).sortWithinPartitions(date).mapInArrow(spread, schema)
 
 
 def side_by_side(spark: SparkSession, folders: list[str], date: str) -> DataFrame:
