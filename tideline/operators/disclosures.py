@@ -9,9 +9,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tideline.functions.scalar import tolerant_date
-from tideline.operators.dealing import dealt
 from tideline.operators.pit import newest_flagged
-from tideline.operators.sweeps import nearest
+from tideline.operators.sweeps import nearest, stretches
 from tideline.operators.windows import intervals, keep_one, safe_ratio
 
 #: Which report types an as-of selection takes; None takes all.
@@ -245,19 +244,14 @@ def expand_intervals(spans: DataFrame, calendar: DataFrame, symbol: str, start:
     """One row for each open day inside an interval, up to its end or, if that is open, the calendar's; of several
     intervals the one that starts last wins.
 
-    An interval is cut where the next one begins and taken up again behind that one's end, before days are made of it; what
-    still overlaps is settled day by day. Days stay in the task of their symbol, so the spans alone are shuffled.
+    Intervals are cut into stretches that do not overlap before days are made of them, so the spans alone are shuffled and
+    sorted; days are not.
     """
     last = calendar.agg(F.max(date).alias("_last"))  # one row
-    bounded = spans.join(F.broadcast(last)).withColumn("_end", F.least(F.coalesce(F.col(end), F.col("_last")), F.col("_last"))).where(F.col(start) <= F.col("_end"))
-    by = Window.partitionBy(symbol).orderBy(start, value, "_end")
-    ahead = dealt(bounded.select(symbol, start, value, "_end"), symbol).withColumns({"_next": F.lead(start).over(by), "_until": F.lead("_end").over(by)})
-    head = F.struct(F.col(start).alias("a"), F.least("_end", F.date_sub("_next", 1)).alias("z"))
-    tail = F.struct(F.date_add("_until", 1).alias("a"), F.col("_end").alias("z"))
-    parts = ahead.select(symbol, start, value, F.explode(F.array(head, tail)).alias("_part")).where("_part.a <= _part.z")
-    days = parts.select(symbol, start, value, F.explode(F.sequence("_part.a", "_part.z")).alias(date))
-    open_ = days.join(F.broadcast(calendar.select(date).distinct()), date, "left_semi")
-    return open_.groupBy(symbol, date).agg(F.max_by(value, F.struct(start, value)).alias(value))
+    bounded = spans.join(F.broadcast(last)).withColumn("_end", F.least(F.coalesce(F.col(end), F.col("_last")), F.col("_last")))
+    parts = stretches(bounded, symbol, start, "_end", value)
+    days = parts.select(symbol, F.explode(F.sequence("_from", "_until")).alias(date), value)
+    return days.join(F.broadcast(calendar.select(date).distinct()), date, "left_semi").select(symbol, date, value)
 
 
 def announcement_timing(history: DataFrame, events: DataFrame, symbol: str, date: str, within: int) -> DataFrame:

@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tideline.operators.dealing import dealt
 
@@ -82,6 +83,60 @@ def latest_open(df: DataFrame, intervals: DataFrame, key: str, date: str, start:
     return dealt(both, "key").sortWithinPartitions("key", "at", "side", "held").mapInArrow(sweep, schema).withColumnsRenamed({"key": key, "date": date})
 
 
+def stretches(intervals: DataFrame, key: str, start: str, end: str, value: str) -> DataFrame:
+    """Key, value, `_from` and `_until` of the stretches of days, none of which overlap, that intervals of a key hold, both
+    ends inside: of several the interval that starts last, of those that start together the one with the largest value.
+
+    Starts of a key are sorted and walked once, with the open intervals on a stack as in `latest_open`. Up to the next start
+    the top holds the days to its end, then the one below it; there are at most two stretches for each interval.
+    """
+    rows = intervals.select(F.col(key), F.unix_date(start).alias("_at"), F.unix_date(end).alias("_end"), F.col(value)).where("_at <= _end")
+
+    def settle(stack: list, day: int, before: int, out: list) -> None:
+        while stack and day < before:
+            until, i = stack[-1]
+            if until < day:
+                stack.pop()
+            else:
+                out.append((i, day, min(until, before - 1)))
+                day = min(until, before - 1) + 1
+
+    def batch_of(out: list, keys: pa.Array, values: pa.Array) -> pa.RecordBatch:
+        picks = pa.array([i for i, *_ in out], pa.int64())
+        ends = [pa.array([o[k] for o in out], pa.int32()).cast(pa.date32()) for k in (1, 2)]
+        return pa.RecordBatch.from_arrays([keys.take(picks), values.take(picks), *ends], names=[key, value, "_from", "_until"])
+
+    def sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, stack, day, keys, values = None, [], 0, None, None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            before = 0 if keys is None else len(keys)
+            keys = batch.column(0) if keys is None else pa.concat_arrays([keys, batch.column(0)])
+            values = batch.column(3) if values is None else pa.concat_arrays([values, batch.column(3)])
+            codes = batch.column(0).dictionary_encode("encode").indices.to_numpy()
+            fresh = np.concatenate(([batch.column(0)[0].as_py() != current], codes[1:] != codes[:-1])).tolist()
+            out: list = []
+            for i, (new, at, until) in enumerate(zip(fresh, batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True), before):
+                settle(stack, day, FOREVER if new else at, out)
+                if new:
+                    stack.clear()
+                while stack and stack[-1][0] <= until:
+                    stack.pop()
+                stack.append((until, i))
+                day = at
+            yield batch_of(out, keys, values)
+            current, held = keys[-1].as_py(), pa.array([i for _, i in stack], pa.int64())
+            keys, values, stack = keys.take(held), values.take(held), [(until, i) for i, (until, _) in enumerate(stack)]
+        out = []
+        settle(stack, day, FOREVER, out)
+        if out:
+            yield batch_of(out, keys, values)
+
+    schema = StructType([rows.schema[key], rows.schema[value], *StructType.fromDDL("_from date, _until date")])
+    return dealt(rows, key).sortWithinPartitions(key, "_at", value, "_end").mapInArrow(sweep, schema)
+
+
 def covered(df: DataFrame, intervals: DataFrame, key: str, date: str, start: str, end: str) -> DataFrame:
     """Distinct keys and dates of df that lie inside an interval of the key (a null start or end is open): the running
     largest end of all intervals that have begun."""

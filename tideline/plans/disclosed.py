@@ -275,13 +275,16 @@ def pt25_float_ratios(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(disclosures.to_float_ratios(held, val, ["symbol", "period"], "amount", "share").select("symbol", "period", "ratio", "ratio_change"), "ratio", "ratio_change", digits=9)
 
 
-_NAMES = """names AS (SELECT symbol, start_date, name FROM (SELECT o_custkey AS symbol, o_orderdate::DATE AS start_date, o_orderpriority AS name, row_number() OVER (PARTITION BY o_custkey, o_orderdate ORDER BY o_orderkey DESC) AS n FROM orders) WHERE n = 1),
-cal AS (SELECT DISTINCT l_shipdate::DATE AS d FROM lineitem WHERE dayofweek(l_shipdate) BETWEEN 1 AND 5 AND dayofmonth(l_shipdate) <= 4)"""
+_CHANGES = """names AS (SELECT symbol, start_date, name FROM (SELECT o_custkey AS symbol, o_orderdate::DATE AS start_date, o_orderpriority AS name, row_number() OVER (PARTITION BY o_custkey, o_orderdate ORDER BY o_orderkey DESC) AS n FROM orders) WHERE n = 1),
+"""
+_OPEN = "cal AS (SELECT DISTINCT l_shipdate::DATE AS d FROM lineitem WHERE dayofweek(l_shipdate) BETWEEN 1 AND 5)"
+_NAMES = _CHANGES + "cal AS (SELECT DISTINCT l_shipdate::DATE AS d FROM lineitem WHERE dayofweek(l_shipdate) BETWEEN 1 AND 5 AND dayofmonth(l_shipdate) <= 4)"
 
 
 def _names(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Names by the day they begin on, and every open day."""
     o = table(spark, sf, "orders").select(F.col("o_custkey").alias("symbol"), F.to_date("o_orderdate").alias("start_date"), F.col("o_orderpriority").alias("name"), "o_orderkey")
-    cal = table(spark, sf, "lineitem").select(F.to_date("l_shipdate").alias("d")).distinct().where(F.dayofweek("d").between(2, 6) & (F.dayofmonth("d") <= 4))
+    cal = table(spark, sf, "lineitem").select(F.to_date("l_shipdate").alias("d")).distinct().where(F.dayofweek("d").between(2, 6))
     return windows.keep_one(o, ["symbol", "start_date"], [F.desc("o_orderkey")]).drop("o_orderkey"), cal
 
 
@@ -291,10 +294,10 @@ SELECT symbol, d, arg_max(name, start_date) AS name FROM i JOIN cal ON d >= star
 def pt26_status_history(spark: SparkSession, sf: str) -> DataFrame:
     """Status days from name changes: each name holds until the next."""
     changes, cal = _names(spark, sf)
-    return disclosures.status_history(changes, cal, "symbol", "start_date", "name", "URGENT|HIGH", "d")
+    return disclosures.status_history(changes, cal.where(F.dayofmonth("d") <= 4), "symbol", "start_date", "name", "URGENT|HIGH", "d")
 
 
-@query(f"""WITH {_NAMES},
+@query(f"""WITH {_CHANGES}{_OPEN},
 s AS (SELECT symbol, start_date, name, CASE WHEN symbol % 4 <> 0 THEN (start_date + 200)::DATE END AS e FROM names)
 SELECT symbol, d, arg_max(name, start_date) AS name FROM s JOIN cal ON d >= start_date AND (e IS NULL OR d <= e) GROUP BY 1, 2""")
 def jn05_expand_to_the_end(spark: SparkSession, sf: str) -> DataFrame:
